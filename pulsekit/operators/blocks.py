@@ -26,10 +26,16 @@ def default_block(reach_us: int) -> int:
     return max(32 * reach_us, DAY_US)
 
 
-def time_blocks(df: DataFrame, ts: str, back=0, ahead=0, block=None) -> DataFrame:
-    """Add ``_us`` (epoch µs), ``_blk`` and ``_own`` columns; rows near a block edge are copied."""
-    bk, ah = to_micros(back), to_micros(ahead)
+def time_blocks(df: DataFrame, ts: str, back_us: int = 0, ahead_us: int = 0, block=None) -> DataFrame:
+    """Add ``_us`` (epoch µs), ``_blk`` and ``_own`` columns; rows near a block edge are copied.
+
+    ``back_us`` / ``ahead_us``: how far (µs) a rule looks before / after a row.
+    ``block``: block length (interval text or seconds); by default 32 reaches.
+    """
+    bk, ah = int(back_us), int(ahead_us)
     size = to_micros(block) if block else default_block(max(bk, ah, 1))
+    if size < max(bk, ah):
+        raise ValueError("a block must be at least as long as the reach")
     us = micros(df, ts)
     out = (df.withColumn("_us", us)
            .withColumn("_blk", F.explode(F.sequence(floor_div(F.col("_us") - F.lit(ah), size),

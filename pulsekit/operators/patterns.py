@@ -27,7 +27,7 @@ def consecutive(df: DataFrame, key, ts: str, seq: str, cond: Column, n: int, wit
     """
     keys = _keys(key)
     span = to_micros(within)
-    b = time_blocks(df.select(*keys, ts, seq, cond.cast("int").alias("_m")), ts, ahead=span, block=block)
+    b = time_blocks(df.select(*keys, ts, seq, cond.cast("int").alias("_m")), ts, ahead_us=span, block=block)
     w = Window.partitionBy(*keys, "_blk").orderBy(ts, seq)
     hits = F.sum("_m").over(w.rowsBetween(0, n - 1))
     last_us = F.lead("_us", n - 1).over(w)
@@ -51,7 +51,7 @@ def followed_by(df: DataFrame, key, ts: str, seq: str, first: Column, then: Colu
     """
     keys = _keys(key)
     span = to_micros(within)
-    b = time_blocks(df.select(*keys, ts, seq, first.alias("_a"), then.alias("_b")), ts, ahead=span, block=block)
+    b = time_blocks(df.select(*keys, ts, seq, first.alias("_a"), then.alias("_b")), ts, ahead_us=span, block=block)
     # nearest following ``then`` row: a running ``last`` in descending order is incremental.
     wd = (Window.partitionBy(*keys, "_blk").orderBy(F.col(ts).desc(), F.col(seq).desc())
           .rowsBetween(Window.unboundedPreceding, -1))

@@ -56,7 +56,7 @@ def fail_pairs(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interval=
     span = to_micros(interval)
     base = df.select(*keys, ts, seq, is_fail.alias("_f"))
     if order == "event":
-        b = time_blocks(base, ts, back=span, block=block)
+        b = time_blocks(base, ts, back_us=span, block=block)
         w = Window.partitionBy(*keys, "_blk").orderBy(ts, seq)
         own = F.col("_own")
     elif order == "arrival":
@@ -142,7 +142,7 @@ def order_status(df: DataFrame, key, ts: str, seq: str, is_create: Column, is_pa
     keys = _keys(key)
     span = to_micros(within)
     base = df.select(*keys, ts, seq, is_create.alias("_c"), is_pay.alias("_p")).filter(F.col("_c") | F.col("_p"))
-    b = time_blocks(base, ts, back=span, ahead=span, block=block)
+    b = time_blocks(base, ts, back_us=span, ahead_us=span, block=block)
     w = Window.partitionBy(*keys, "_blk").orderBy(ts, seq)
     x = b.select(*keys, ts, seq, "_c", "_p", "_us", "_own",
                  F.lag("_c").over(w).alias("_pc"), F.lag("_us").over(w).alias("_pus"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsekit.functions.time import millis_to_ntz, parse_log_time, seconds_to_ntz
-from pulsekit.sources import schemas as S
+from pulsekit.sources import schemas as S  # noqa: F401
 
 
 def _with_seq(df: DataFrame, seq: str = "seq") -> DataFrame:
@@ -22,34 +22,39 @@ def _with_seq(df: DataFrame, seq: str = "seq") -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
              mode: str = "PERMISSIVE") -> tuple[DataFrame, DataFrame]:
-    """Header-less delimited file with an explicit schema; bad lines → rejects."""
-    full = T.StructType(schema.fields + [T.StructField(S.CORRUPT, T.StringType(), True)])
-    raw = (spark.read.schema(full).option("sep", sep).option("header", "false")
-           .option("mode", mode).option("columnNameOfCorruptRecord", S.CORRUPT)
-           .option("emptyValue", "").csv(path))
-    raw = _with_seq(raw)
-    bad = F.col(S.CORRUPT).isNotNull()
-    return raw.filter(~bad).drop(S.CORRUPT), raw.filter(bad).select(S.CORRUPT, "seq")
+    """Header-less delimited lines with an explicit schema; bad lines → rejects.
+
+    Lines are split on ``sep`` without quoting rules, exactly as the
+    reference's ``String.split`` does.  Empty string fields become NULL.
+    ``mode='FAILFAST'`` raises on the first line that does not parse.
+    """
+    lines = _with_seq(spark.read.text(path))
+    return parse_lines(lines, schema, sep=sep, mode=mode)
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value", sep: str = ",",
-                positions: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
+                positions: list[int] | None = None, mode: str = "PERMISSIVE") -> tuple[DataFrame, DataFrame]:
     """Split text lines on ``sep`` and cast field ``positions[i]`` to ``schema[i]``.
 
-    A line whose field is missing or does not cast is a reject.  ``split`` keeps
-    empty fields as ``''`` like Java's ``String.split`` does inside a line.
+    A line whose field is missing, or whose numeric field is empty or does not
+    cast, is a reject (the reference's ``parseLong`` would throw).  Empty text
+    fields (the create rows' tx id) become NULL.
     """
     positions = positions or list(range(len(schema.fields)))
     parts = F.split(F.col(col), _regex_quote(sep))
     typed = []
     for pos, f in zip(positions, schema.fields):
-        raw = F.get(parts, pos)
+        raw = F.nullif(F.get(parts, pos), F.lit(""))
         typed.append((raw.try_cast(f.dataType) if not isinstance(f.dataType, T.StringType) else raw).alias(f.name))
     ok = F.lit(True)
     for pos, f in zip(positions, schema.fields):
+        raw = F.nullif(F.get(parts, pos), F.lit(""))
         ok = ok & F.get(parts, pos).isNotNull()
         if not isinstance(f.dataType, T.StringType):
-            ok = ok & F.get(parts, pos).try_cast(f.dataType).isNotNull()
+            ok = ok & raw.try_cast(f.dataType).isNotNull()
+    if mode.upper() == "FAILFAST":
+        ok = F.coalesce(F.assert_true(ok, F.concat(F.lit("malformed line: "), F.col(col))).cast("boolean"),
+                        F.lit(True))
     keep = [c for c in lines.columns if c != col]
     staged = lines.select(*keep, F.col(col), ok.alias("_ok"), *typed)
     rows = staged.filter("_ok").drop("_ok", col)
