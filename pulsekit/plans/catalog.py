@@ -200,3 +200,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_join": q_interval_join,
     "reconcile": q_reconcile,
 }
+
+from pulsekit.plans.stream_catalog import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)

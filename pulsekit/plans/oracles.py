@@ -223,3 +223,9 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
 
 
 ORACLES = build()
+ORACLES.update({
+    "stream_pv_hourly": ORACLES["pv_hourly"],
+    "stream_hot_items_topn": ORACLES["hot_items_topn"],
+    "stream_uv_hourly": ORACLES["uv_hourly"],
+    "stream_interval_join": ORACLES["interval_join"],
+})
