@@ -41,24 +41,34 @@ def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value", sep:
     fields (the create rows' tx id) become NULL.
     """
     positions = positions or list(range(len(schema.fields)))
-    parts = F.split(F.col(col), _regex_quote(sep))
-    typed = []
-    for pos, f in zip(positions, schema.fields):
-        raw = F.nullif(F.get(parts, pos), F.lit(""))
-        typed.append((raw.try_cast(f.dataType) if not isinstance(f.dataType, T.StringType) else raw).alias(f.name))
+    keep = [c for c in lines.columns if c != col]
+    # Staged projections: split once, read each field once, cast once.  (A
+    # single select would repeat the split, and the upstream expression of
+    # the line, for every field reference.)
+    parts = lines.select(*keep, col, F.split(F.col(col), _regex_quote(sep)).alias("_parts"))
+    raw = parts.select(*keep, col, *[
+        x for i, pos in enumerate(positions)
+        for x in (F.nullif(F.get(F.col("_parts"), pos), F.lit("")).alias(f"_r{i}"),
+                  F.get(F.col("_parts"), pos).isNotNull().alias(f"_h{i}"))])
+    typed = raw.select(*keep, col, *[f"_h{i}" for i in range(len(positions))], *[
+        (F.col(f"_r{i}") if isinstance(f.dataType, T.StringType)
+         else F.col(f"_r{i}").try_cast(f.dataType)).alias(f.name)
+        for i, f in enumerate(schema.fields)])
     ok = F.lit(True)
-    for pos, f in zip(positions, schema.fields):
-        raw = F.nullif(F.get(parts, pos), F.lit(""))
-        ok = ok & F.get(parts, pos).isNotNull()
+    for i, f in enumerate(schema.fields):
+        ok = ok & F.col(f"_h{i}")
         if not isinstance(f.dataType, T.StringType):
-            ok = ok & raw.try_cast(f.dataType).isNotNull()
+            ok = ok & F.col(f.name).isNotNull()
     if mode.upper() == "FAILFAST":
         ok = F.coalesce(F.assert_true(ok, F.concat(F.lit("malformed line: "), F.col(col))).cast("boolean"),
                         F.lit(True))
-    keep = [c for c in lines.columns if c != col]
-    staged = lines.select(*keep, F.col(col), ok.alias("_ok"), *typed)
-    rows = staged.filter("_ok").drop("_ok", col)
-    rejects = staged.filter(~F.col("_ok")).select(*keep, col)
+    staged = typed.select(*keep, col, ok.alias("_ok"), *schema.names)
+    # Rows are selected through a generator, not a Filter: Catalyst would push
+    # a Filter on ``_ok`` below these projections with every alias inlined,
+    # re-evaluating the split (and whatever built the line) per field.
+    rows = (staged.select(*keep, F.explode(F.when(F.col("_ok"), F.array(F.struct(*schema.names)))).alias("_x"))
+            .select(*keep, "_x.*"))
+    rejects = (staged.select(*keep, F.explode(F.when(~F.col("_ok"), F.array(F.col(col)))).alias(col)))
     return rows, rejects
 
 
