@@ -228,4 +228,5 @@ ORACLES.update({
     "stream_hot_items_topn": ORACLES["hot_items_topn"],
     "stream_uv_hourly": ORACLES["uv_hourly"],
     "stream_interval_join": ORACLES["interval_join"],
+    "stream_order_status": ORACLES["order_status"],
 })

@@ -59,11 +59,24 @@ def q_stream_interval_join(spark, sf):
     return _ntz(out, "pay_ts", "receipt_ts")
 
 
+def q_stream_order_status(spark, sf, within: str = "12 hours"):
+    from pulsekit.sources.driver import order_events
+    from pulsekit.streaming.processors import stream_order_status
+    ev = read_table_stream(spark, sf, "events")
+    orders = close_input(order_events(ev).filter(F.col("event_type").isin("create", "pay")), "ts")
+    out = run_to_table(stream_order_status(orders, "order_id", "ts", "seq", "event_type", within),
+                       "stream_order_status")
+    ntz = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return out.select("order_id", ntz("create_us").alias("create_ts"), ntz("pay_us").alias("pay_ts"),
+                      "create_seq", "pay_seq", "status")
+
+
 STREAM_QUERIES = {
     "stream_pv_hourly": q_stream_pv_hourly,
     "stream_hot_items_topn": q_stream_hot_items_topn,
     "stream_uv_hourly": q_stream_uv_hourly,
     "stream_interval_join": q_stream_interval_join,
+    "stream_order_status": q_stream_order_status,
 }
 # Same questions as the batch queries, so the same oracles.
 STREAM_ORACLE_OF = {
@@ -71,4 +84,5 @@ STREAM_ORACLE_OF = {
     "stream_hot_items_topn": "hot_items_topn",
     "stream_uv_hourly": "uv_hourly",
     "stream_interval_join": "interval_join",
+    "stream_order_status": "order_status",
 }

@@ -11,6 +11,7 @@ from tests.conftest import SF001
     ("stream_hot_items_topn", "hot_items_topn"),
     ("stream_uv_hourly", "uv_hourly"),
     ("stream_interval_join", "interval_join"),
+    ("stream_order_status", "order_status"),
 ])
 def test_stream_equals_batch(spark, stream, batch):
     s = QUERIES[stream](spark, SF001)
