@@ -74,7 +74,7 @@ def fail_pairs(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interval=
 
 
 def fail_episodes(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interval="2 seconds",
-                  grace="0 seconds") -> DataFrame:
+                  grace="0 seconds", block=None) -> DataFrame:
     """The first fail opens an episode closing ``interval`` later; >= 2 fails → one alert.
 
     A success before the close cancels the episode; the next fail after the
@@ -85,21 +85,34 @@ def fail_episodes(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interv
     The episodes of a run of fails depend on each other (each starts at the
     first fail after the previous one closed), so each island (fails with
     gaps within reach, no success between) is folded in time order with
-    ``aggregate`` over its sorted rows.
+    ``aggregate`` over its sorted rows.  Islands are found per (key, time
+    block), so a key's history is not one task; an island is one array.
     """
     keys = _keys(key)
     reach = to_micros(interval) + to_micros(grace)
-    base = df.select(*keys, ts, seq, is_fail.alias("_f")).withColumn("_us", micros(df, ts))
-    w = Window.partitionBy(*keys).orderBy(ts, seq)
-    x = base.select(*keys, ts, "_f", "_us",
-                    F.lag("_f").over(w).alias("_pf"), F.lag("_us").over(w).alias("_pus"),
-                    F.lead("_f").over(w).alias("_nf"), F.lead("_us").over(w).alias("_nus"), seq)
+    base = df.select(*keys, ts, seq, is_fail.alias("_f"))
+    # Island starts and the success that may cancel an island's last episode
+    # are within ``reach`` of their rows: compute them per (key, time block).
+    b = time_blocks(base, ts, back_us=reach, ahead_us=reach, block=block)
+    w = Window.partitionBy(*keys, "_blk").orderBy(ts, seq)
+    x = b.select(*keys, ts, seq, "_f", "_us", "_blk", "_own",
+                 F.lag("_f").over(w).alias("_pf"), F.lag("_us").over(w).alias("_pus"),
+                 F.lead("_f").over(w).alias("_nf"), F.lead("_us").over(w).alias("_nus"))
     start = F.col("_f") & (F.col("_pf").isNull() | ~F.col("_pf") | (F.col("_us") - F.col("_pus") > reach))
-    x = x.withColumn("_start", start.cast("int"))
-    x = x.withColumn("_island", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    x = x.filter("_own").withColumn("_start", F.when(start, F.struct(F.col("_us").alias("us"), F.col(seq).alias("seq"))))
+    # Island of a fail = the latest start at or before it: inside the block a
+    # running ``last``; before the block's first start, the last start of an
+    # earlier block, found on a per-(key, block) summary (one row per block).
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_isl", F.last("_start", ignorenulls=True).over(upto))
+    summary = x.groupBy(*keys, "_blk").agg(F.max("_start").alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, "_blk", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    x = (x.join(carry, keys + ["_blk"], "left")
+         .withColumn("_island", F.coalesce("_isl", "_carry")))
     ends = F.when(F.col("_nf") == F.lit(False), F.col("_nus"))
     isl = (x.filter("_f")
-           .groupBy(*keys, "_island")
+           .groupBy(*keys, F.col("_island.us").alias("_iu"), F.col("_island.seq").alias("_is"))
            .agg(F.array_sort(F.collect_list(F.struct(F.col("_us").alias("us"), F.col(ts).alias("ts")))).alias("_rows"),
                 F.max(ends).alias("_cancel_us")))
     # state: t0 (µs), first ts, last ts, count, closed episodes

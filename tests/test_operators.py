@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pulsekit.functions.keys import salt
 from pulsekit.operators.distinct import running_distinct
 from pulsekit.operators.patterns import consecutive, followed_by
-from pulsekit.operators.rules import fail_pairs, order_status
+from pulsekit.operators.rules import fail_episodes, fail_pairs, order_status
 from pulsekit.operators.topn import top_n_by_count
 from pulsekit.operators.windows import salted_counts, window_counts
 from pulsekit.sources import driver as D
@@ -103,6 +103,8 @@ def test_time_blocks_do_not_change_answers(events):
     c, p = F.col("event_type") == "create", F.col("event_type") == "pay"
     assert same(order_status(od, "order_id", "ts", "seq", c, p, "20 hours", block="20 hours"),
                 order_status(od, "order_id", "ts", "seq", c, p, "20 hours", block="1000 days"))
+    assert same(fail_episodes(lg, "user_id", "ts", "seq", fail, "8 hours", block="10 hours"),
+                fail_episodes(lg, "user_id", "ts", "seq", fail, "8 hours", block="1000 days"))
     m1, t1 = followed_by(od, "order_id", "ts", "seq", c, p, "20 hours", block="20 hours")
     m2, t2 = followed_by(od, "order_id", "ts", "seq", c, p, "20 hours", block="1000 days")
     assert same(m1, m2) and same(t1, t2)

@@ -90,6 +90,14 @@ def test_fail_episodes(spark):
     exact = jobs.login_fail_episodes(lg, "2 seconds").collect()
     assert sorted((a, b, r.n_fails) for (a, b), r in zip(_secs(exact, "first_ts", "last_ts"), exact)) == \
         [(842, 844, 3), (845, 846, 2)]
+    from pulsekit.operators.rules import fail_episodes
+    tiny = fail_episodes(lg, "user_id", "ts", "seq", F.col("event_type") == "fail", "2 seconds",
+                         block="3 seconds").collect()
+    assert sorted((a, b, r.n_fails) for (a, b), r in zip(_secs(tiny, "first_ts", "last_ts"), tiny)) == \
+        [(842, 844, 3), (845, 846, 2)]
+    tiny_g = fail_episodes(lg, "user_id", "ts", "seq", F.col("event_type") == "fail", "2 seconds",
+                           grace="5 seconds", block="7 seconds").collect()
+    assert [r.n_fails for r in tiny_g] == [5]
     grace = jobs.login_fail_episodes(lg, "2 seconds", grace="5 seconds").collect()
     assert [(a, b, r.n_fails) for (a, b), r in zip(_secs(grace, "first_ts", "last_ts"), grace)] == [(842, 846, 5)]
 
