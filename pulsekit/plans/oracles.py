@@ -229,4 +229,5 @@ ORACLES.update({
     "stream_uv_hourly": ORACLES["uv_hourly"],
     "stream_interval_join": ORACLES["interval_join"],
     "stream_order_status": ORACLES["order_status"],
+    "stream_click_cap_pass": ORACLES["click_cap_pass"],
 })

@@ -71,12 +71,23 @@ def q_stream_order_status(spark, sf, within: str = "12 hours"):
                       "create_seq", "pay_seq", "status")
 
 
+def q_stream_click_cap_pass(spark, sf, cap: int = 3):
+    from pulsekit.streaming.processors import stream_click_cap
+    ev = read_table_stream(spark, sf, "events").select("user_id", "event_type", "ts", F.col("event_id").alias("seq"))
+    clicks = close_input(ev, "ts")
+    out = run_to_table(stream_click_cap(clicks, "user_id", "event_type", "ts", "seq", cap), "stream_click_cap")
+    return out.filter(F.col("status") == "pass").select(
+        "user_id", F.col("ad").alias("event_type"), F.timestamp_micros("ts_us").cast("timestamp_ntz").alias("ts"),
+        "seq", "day")
+
+
 STREAM_QUERIES = {
     "stream_pv_hourly": q_stream_pv_hourly,
     "stream_hot_items_topn": q_stream_hot_items_topn,
     "stream_uv_hourly": q_stream_uv_hourly,
     "stream_interval_join": q_stream_interval_join,
     "stream_order_status": q_stream_order_status,
+    "stream_click_cap_pass": q_stream_click_cap_pass,
 }
 # Same questions as the batch queries, so the same oracles.
 STREAM_ORACLE_OF = {
@@ -85,4 +96,5 @@ STREAM_ORACLE_OF = {
     "stream_uv_hourly": "uv_hourly",
     "stream_interval_join": "interval_join",
     "stream_order_status": "order_status",
+    "stream_click_cap_pass": "click_cap_pass",
 }

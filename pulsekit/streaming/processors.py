@@ -8,6 +8,8 @@ microseconds (no time-zone conversion in the workers).
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,3 +98,75 @@ def stream_order_status(orders: DataFrame, key: str, ts: str, seq: str, event_ty
     # here would be pushed below the watermark and drop the end marker.
     return (x.groupBy("order_id")
             .transformWithState(OrderStatusProcessor(to_micros(within)), ORDER_STATUS_OUT, "append", "EventTime"))
+
+
+CLICK_CAP_OUT = T.StructType([
+    T.StructField("user_id", T.LongType()), T.StructField("ad", T.StringType()),
+    T.StructField("day", T.DateType()), T.StructField("ts_us", T.LongType()),
+    T.StructField("seq", T.LongType()), T.StructField("status", T.StringType()),
+])
+
+
+class ClickCapProcessor(StatefulProcessor):
+    """Per (user, ad, local day) pass clicks while ``n == 1 or n < max``; warn once at ``max(2, max)``.
+
+    State is one counter per key; an event-time timer at the next local
+    midnight clears it (the day is part of the key, so the timer only frees
+    state).  Rows beyond the cap are dropped; a ``warn`` row marks the click
+    that reached it.
+    """
+
+    def __init__(self, max_clicks: int):
+        self.max_clicks = max_clicks
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        user, ad, day = key
+        before = self.count.get()[0] if self.count.exists() else 0
+        warn_at = max(2, self.max_clicks)
+        seen = [0, None]
+
+        def counted():
+            for r in rows:
+                seen[0] += 1
+                seen[1] = r.midnight_us // 1000
+                yield r
+        # Only the first (warn_at - before) clicks of the batch can pass or
+        # warn: keep those in a bounded heap instead of sorting the batch.
+        head = heapq.nsmallest(max(warn_at - before, 0), counted(), key=lambda x: (x.us, x.seq))
+        for i, r in enumerate(head, start=before + 1):
+            if i == 1 or i < self.max_clicks:
+                yield Row(user_id=user, ad=ad, day=day, ts_us=r.us, seq=r.seq, status="pass")
+            elif i == warn_at:
+                yield Row(user_id=user, ad=ad, day=day, ts_us=r.us, seq=r.seq, status="warn")
+        for _ in counted() if warn_at - before <= 0 else ():
+            pass
+        self.count.update((before + seen[0],))
+        if seen[1] is not None:
+            self.handle.registerTimer(seen[1])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.count.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_click_cap(clicks: DataFrame, user: str, ad: str, ts: str, seq: str, max_clicks: int = 100,
+                     zone: str = "Asia/Shanghai") -> DataFrame:
+    """Watermarked click stream → pass / warn rows (``ts_us`` in epoch µs)."""
+    from pulsekit.functions.time import local_day
+    spark = clicks.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    day = local_day(ts, zone)
+    midnight = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.date_add(day, 1).cast("timestamp_ntz"))
+    x = clicks.select(F.col(user).alias("user_id"), F.col(ad).cast("string").alias("ad"), day.alias("day"),
+                      F.unix_micros(F.col(ts)).alias("us"), F.col(seq).alias("seq"),
+                      F.unix_micros(midnight.cast("timestamp")).alias("midnight_us"))
+    return (x.groupBy("user_id", "ad", "day")
+            .transformWithState(ClickCapProcessor(max_clicks), CLICK_CAP_OUT, "append", "EventTime"))

@@ -12,6 +12,7 @@ from tests.conftest import SF001
     ("stream_uv_hourly", "uv_hourly"),
     ("stream_interval_join", "interval_join"),
     ("stream_order_status", "order_status"),
+    ("stream_click_cap_pass", "click_cap_pass"),
 ])
 def test_stream_equals_batch(spark, stream, batch):
     s = QUERIES[stream](spark, SF001)
