@@ -108,12 +108,16 @@ CLICK_CAP_OUT = T.StructType([
 
 
 class ClickCapProcessor(StatefulProcessor):
-    """Per (user, ad, local day) pass clicks while ``n == 1 or n < max``; warn once at ``max(2, max)``.
-
-    State is one counter per key; an event-time timer at the next local
-    midnight clears it (the day is part of the key, so the timer only frees
-    state).  Rows beyond the cap are dropped; a ``warn`` row marks the click
-    that reached it.
+    """Per (user, ad) and local day pass clicks while ``n == 1 or n < max``; warn once at ``max(2, max)``.
+
+    Keyed by (user, ad) like the reference; the state is ``(day, count)`` of
+    the latest day seen, so a new day starts from zero (the reference's
+    midnight reset) and state stays one row per pair (state TTL needs
+    processing-time mode, which did not finish under ``availableNow`` here,
+    so pairs are kept).  Per batch only the first ``max(2, max)`` clicks
+    of each day can produce output, so each day keeps a bounded heap rather
+    than the sorted batch.  A late row for a day older than the state's day
+    is counted from zero for that day (its earlier count is gone).
     """
 
     def __init__(self, max_clicks: int):
@@ -121,36 +125,33 @@ class ClickCapProcessor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "n long")
+        self.state = handle.getValueState("day_count", "day date, n long")
 
     def handleInputRows(self, key, rows, timerValues):
-        user, ad, day = key
-        before = self.count.get()[0] if self.count.exists() else 0
+        user, ad = key
         warn_at = max(2, self.max_clicks)
-        seen = [0, None]
-
-        def counted():
-            for r in rows:
-                seen[0] += 1
-                seen[1] = r.midnight_us // 1000
-                yield r
-        # Only the first (warn_at - before) clicks of the batch can pass or
-        # warn: keep those in a bounded heap instead of sorting the batch.
-        head = heapq.nsmallest(max(warn_at - before, 0), counted(), key=lambda x: (x.us, x.seq))
-        for i, r in enumerate(head, start=before + 1):
-            if i == 1 or i < self.max_clicks:
-                yield Row(user_id=user, ad=ad, day=day, ts_us=r.us, seq=r.seq, status="pass")
-            elif i == warn_at:
-                yield Row(user_id=user, ad=ad, day=day, ts_us=r.us, seq=r.seq, status="warn")
-        for _ in counted() if warn_at - before <= 0 else ():
-            pass
-        self.count.update((before + seen[0],))
-        if seen[1] is not None:
-            self.handle.registerTimer(seen[1])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.count.clear()
-        return iter(())
+        held = self.state.get() if self.state.exists() else None
+        days: dict = {}
+        for r in rows:
+            d = days.setdefault(r.day, [0, []])
+            d[0] += 1
+            item = (-r.us, -r.seq, r.us, r.seq)
+            if len(d[1]) < warn_at:
+                heapq.heappush(d[1], item)
+            elif item > d[1][0]:
+                heapq.heapreplace(d[1], item)
+        last = None
+        for day in sorted(days):
+            total, heap = days[day]
+            before = held[1] if held is not None and held[0] == day else 0
+            for i, (_, _, us, seq) in enumerate(sorted(heap, reverse=True), start=before + 1):
+                if i == 1 or i < self.max_clicks:
+                    yield Row(user_id=user, ad=ad, day=day, ts_us=us, seq=seq, status="pass")
+                elif i == warn_at:
+                    yield Row(user_id=user, ad=ad, day=day, ts_us=us, seq=seq, status="warn")
+            last = (day, before + total)
+        if last is not None and (held is None or last[0] >= held[0]):
+            self.state.update(last)
 
     def close(self) -> None:
         pass
@@ -163,10 +164,7 @@ def stream_click_cap(clicks: DataFrame, user: str, ad: str, ts: str, seq: str, m
     spark = clicks.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    day = local_day(ts, zone)
-    midnight = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.date_add(day, 1).cast("timestamp_ntz"))
-    x = clicks.select(F.col(user).alias("user_id"), F.col(ad).cast("string").alias("ad"), day.alias("day"),
-                      F.unix_micros(F.col(ts)).alias("us"), F.col(seq).alias("seq"),
-                      F.unix_micros(midnight.cast("timestamp")).alias("midnight_us"))
-    return (x.groupBy("user_id", "ad", "day")
+    x = clicks.select(F.col(user).alias("user_id"), F.col(ad).cast("string").alias("ad"),
+                      local_day(ts, zone).alias("day"), F.unix_micros(F.col(ts)).alias("us"), F.col(seq).alias("seq"))
+    return (x.groupBy("user_id", "ad")
             .transformWithState(ClickCapProcessor(max_clicks), CLICK_CAP_OUT, "append", "EventTime"))
