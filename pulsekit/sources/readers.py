@@ -124,12 +124,15 @@ def parse_access_log(lines: DataFrame, col: str = "value", sep: str = ",") -> tu
     """
     raw_schema = T.StructType([T.StructField(n, T.StringType(), True)
                                for n in ("ip", "user_id", "time_text", "method", "url")])
-    rows, rejects = parse_lines(lines, raw_schema, col=col, sep=sep, positions=[0, 1, 3, 5, 6])
+    keep = [c for c in lines.columns if c != col]
+    # keep a copy of the line so rows whose time does not parse can be rejected whole
+    rows, rejects = parse_lines(lines.withColumn("_line", F.col(col)), raw_schema, col=col, sep=sep,
+                                positions=[0, 1, 3, 5, 6])
     rows = rows.withColumn("ts", parse_log_time("time_text"))
     bad_time = F.col("ts").isNull()
-    keep = [c for c in lines.columns if c != col]
-    return (rows.filter(~bad_time).select(*keep, "ip", "user_id", "ts", "method", "url"),
-            rejects)
+    good = rows.filter(~bad_time).select(*keep, "ip", "user_id", "ts", "method", "url")
+    bad = rows.filter(bad_time).select(*keep, F.col("_line").alias(col))
+    return good, rejects.select(*keep, col).unionByName(bad)
 
 
 def read_access_log(spark: SparkSession, path: str, sep: str = ",") -> tuple[DataFrame, DataFrame]:

@@ -130,6 +130,7 @@ def test_reader_rejects_and_failfast(spark, tmp_path):
 def test_access_log_space_separated(spark):
     lines = spark.createDataFrame([("83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /presentations/",),
                                    ("83.149.9.216 - - bad-time +0000 GET /x",)], "value string")
-    rows, _ = R.parse_access_log(lines, sep=" ")
+    rows, bad = R.parse_access_log(lines, sep=" ")
+    assert [x.value for x in bad.collect()] == ["83.149.9.216 - - bad-time +0000 GET /x"]
     r = rows.collect()
     assert len(r) == 1 and str(r[0].ts) == "2015-05-17 10:05:03" and r[0].method == "GET"
