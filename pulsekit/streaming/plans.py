@@ -16,9 +16,11 @@ from pulsekit.functions.time import to_micros
 def stream_window_counts(df: DataFrame, ts: str, keys, size, slide=None, name: str = "cnt") -> DataFrame:
     """Counts per key and window on a watermarked stream.
 
-    Modest overlap uses ``window()``; large overlap (1 h / 5 s: 720 windows
-    per row) explodes each row to its window ends first, as ``window()``
-    would plan a 720-way Expand.
+    Modest overlap uses ``window()`` on a stream watermarked on ``ts``.
+    Large overlap (1 h / 5 s: 720 windows per row) explodes each row to its
+    window ends first, as ``window()`` would plan a 720-way Expand, and sets
+    the watermark on the exploded ``window_end`` itself: pass an input that
+    is not yet watermarked in that case.
     """
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     slide = slide or size

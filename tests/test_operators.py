@@ -134,3 +134,12 @@ def test_access_log_space_separated(spark):
     assert [x.value for x in bad.collect()] == ["83.149.9.216 - - bad-time +0000 GET /x"]
     r = rows.collect()
     assert len(r) == 1 and str(r[0].ts) == "2015-05-17 10:05:03" and r[0].method == "GET"
+
+
+def test_render_top_n(spark):
+    from pulsekit.functions.render import render_top_n
+    df = spark.createDataFrame([("2024-01-01 01:00:00", 1, 7, 5), ("2024-01-01 01:00:00", 2, 9, 3)],
+                               "we string, rank int, item_id long, cnt long").selectExpr(
+        "CAST(we AS TIMESTAMP_NTZ) AS window_end", "rank", "item_id", "cnt")
+    text = render_top_n(df, "window_end", "rank", "item_id", "cnt").first().text
+    assert text.splitlines() == ["====2024-01-01 01:00:00.0====", "Top1 ItemId:7 Count:5", "Top2 ItemId:9 Count:3"]
