@@ -6,12 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import bpe, token_store
+from pulsekit.llm import bpe, packing, sharding, token_store
 from pulsekit.llm.common import table, text_bytes
 from pulsekit.llm.token_counts import token_counts
 from pulsekit.session import scratch_path
 
 
+OLD_SHARDS, SHARDS = 12, 8
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents from twelve shards (files dealt by name) to eight of near equal bytes."""
+    path, out = f"{sf_dir}/documents.parquet", scratch_path(spark, "shards")
+    old = F.pmod(F.crc32(F.col("_metadata.file_name").cast("binary")), F.lit(OLD_SHARDS))
+    manifest = sharding.reshard(spark, path, out, SHARDS, old_shard=old)
+    rows = sharding.read_shards(
+        spark, path, out, manifest, F.col("doc_id"), (text_bytes("text") + 1).alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +38,22 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+CAPACITY = 4096
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """The pieces of all documents with their places in sequences of 4,096 tokens."""
+    ids = packing.document_ids(F.col("text"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    pieces = packing.cut_pieces(docs.select("doc_id", ids.alias("ids")), "ids", CAPACITY)
+    light = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(light, CAPACITY, order=("doc_id", "piece", "ids_crc32"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences."""
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     counts = token_counts(F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -39,7 +70,9 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_counts": op9_token_counts,
     "op10_token_store": op10_token_store,
 }
