@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import bpe, packing, sharding, token_store
+from pulsekit.llm import bpe, packing, sharding, simhash, token_store, toxicity
 from pulsekit.llm.common import table, text_bytes
 from pulsekit.llm.token_counts import token_counts
 from pulsekit.session import scratch_path
@@ -27,6 +27,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 4-word shingles, at most 4 bits."""
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=4, shingle=4)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -54,6 +60,24 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"))
 
 
+def held_out(doc_id) -> F.Column:
+    """Rows that no label is learnt from; null ids are not among them."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def toxicity_scores(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``docs`` with a score column, learnt from the labels that are not held out."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out("doc_id")))
+    return docs.withColumn("score", toxicity.score(F.col("text"), model))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_scores(docs, spark, sf_dir).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     counts = token_counts(F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -72,7 +96,9 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_byte_bpe": op4_byte_bpe,
+    "op3_simhash": op3_simhash,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_token_store": op10_token_store,
 }

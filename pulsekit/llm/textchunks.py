@@ -29,18 +29,10 @@ def cut(text: str) -> list[str]:
     return [text[a:b] for a, b in itertools.pairwise(at)]
 
 
-class ChunkTable(dict):
-    """Values of chunks (packed ids, counts), computed once while they stay here.
-
-    ``compute(chunk, known)`` gives the value of a chunk; ``known`` looks up
-    another chunk, such as one of its pieces, without computing it.  Two
-    generations of about ``limit`` chunks each: when the newer is full it
-    becomes the older one, and chunks still in use move back as they occur.
-    """
-
-    def __init__(self, compute, limit: int = 500_000):
+class _Generation(dict):
+    def __init__(self, compute, old):
         super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
+        self.compute, self.old = compute, old
 
     def known(self, chunk: str):
         return self.get(chunk) or self.old.get(chunk)
@@ -52,13 +44,30 @@ class ChunkTable(dict):
         self[chunk] = value
         return value
 
+
+class ChunkTable:
+    """Values of chunks (packed ids, counts), computed once while they stay here.
+
+    ``compute(chunk, known)`` gives the value of a chunk; ``known`` looks up
+    another chunk, such as one of its pieces, without computing it.  Two
+    generations of about ``limit`` chunks each: when the newer is full it
+    becomes the older one, and chunks still in use move back as they occur.
+    """
+
+    def __init__(self, compute, limit: int = 1_000_000):
+        self.compute, self.limit = compute, limit
+        self.now = _Generation(compute, {})
+
+    def row(self, chunks):
+        """The values of some chunks, in order."""
+        if len(self.now) > self.limit:
+            self.now.old = {}
+            self.now = _Generation(self.compute, self.now)
+        return map(self.now.__getitem__, chunks)
+
     def rows(self, texts: list[str]):
         """For each text, the values of its chunks in order."""
-        for t in texts:
-            if len(self) > self.limit:
-                self.old = dict(self)
-                self.clear()
-            yield map(self.__getitem__, cut(t))
+        return (self.row(cut(t)) for t in texts)
 
 
 _TABLES: dict[tuple, ChunkTable] = {}
