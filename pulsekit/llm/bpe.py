@@ -100,10 +100,8 @@ def _chunk_table(path: str, pattern: str) -> ChunkTable:
         def compute(chunk, known):
             out = []
             for piece in find(chunk):
-                got = known(piece)
-                if got is None:
-                    got = array("I", merge(piece.encode(), ranks)).tobytes()
-                out.append(got)
+                got = known(piece) if piece != chunk else None
+                out.append(array("I", merge(piece.encode(), ranks)).tobytes() if got is None else got)
             return b"".join(out)
 
         return ChunkTable(compute)
@@ -119,10 +117,8 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     """
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        rows = [b"".join(v) for v in _chunk_table(path, pattern).rows([t or "" for t in texts.to_pylist()])]
-        offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-        np.cumsum([len(r) >> 2 for r in rows], out=offsets[1:])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), dtype="<i4")))
+        found, at = _chunk_table(path, pattern).ids(texts)
+        return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found.view(np.int32)))
 
     return ids(text)
 
@@ -135,14 +131,10 @@ def decode(ids: Column, path: str) -> Column:
     @F.arrow_udf("binary")
     def data(rows: pa.Array) -> pa.Array:
         token = _token_bytes(path)
-        values = rows.flatten().to_numpy(zero_copy_only=False).tolist()
-        ends = np.cumsum(np.diff(rows.offsets.to_numpy()) if not rows.null_count else
-                         [0 if r is None else len(r) for r in rows.to_pylist()]).tolist()
-        out, a = [], 0
-        for b, ok in zip(ends, rows.is_valid().to_pylist(), strict=True):
-            out.append(b"".join([token[i] for i in values[a:b]]) if ok else None)
-            a = b
-        return pa.array(out, type=pa.binary())
+        values = rows.values.to_numpy(zero_copy_only=False)
+        at = rows.offsets.to_numpy().tolist()
+        return pa.array([b"".join([token[i] for i in values[a:b].tolist()]) if ok else None
+                         for (a, b), ok in zip(itertools.pairwise(at), rows.is_valid().to_pylist(), strict=True)], type=pa.binary())
 
     return data(ids)
 

@@ -13,11 +13,13 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+
 from pulsekit.llm.textchunks import ChunkTable, worker_table
 
 #: What ``ByteLevel`` with ``use_regex`` cuts by (fixed value of the format).
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_HIGH = re.compile("[\u0130-\U0010ffff]")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -56,20 +58,28 @@ def library_table(path: str) -> ChunkTable:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         pattern, folds = _front(config)
+        by_library = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        if folds:  # letters whose folding or composition may depend on their neighbours
+            by_library.append("[\u0130-\U0010ffff]")
+        slow = re.compile("|".join(by_library or ["(?!)"]) if pattern else "").search
         find = regex.compile(pattern or "").findall
         model, letters = tokenizer.model, byte_alphabet()
 
+        def piece_ids(piece):
+            return array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
+
         def compute(chunk, known):
-            if pattern is None or any(s in chunk for s in special) or folds and _HIGH.search(chunk):
+            if slow(chunk):
                 return array("I", tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+            if folds:
+                chunk = chunk.lower()
+            elif chunk[1:].isalpha() and chunk[0] == " ":  # one piece, most chunks
+                return piece_ids(chunk)
             out = []
-            for piece in find(chunk.lower() if folds else chunk):
+            for piece in find(chunk):
                 got = known(piece)
-                if got is None:
-                    got = array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
-                out.append(got)
+                out.append(piece_ids(piece) if got is None else got)
             return b"".join(out)
 
         return ChunkTable(compute)
@@ -77,7 +87,12 @@ def library_table(path: str) -> ChunkTable:
     return worker_table(("library", path), make)
 
 
-def library_ids(path: str, texts: list[str | None]):
-    """For each text (null: empty) its packed ids."""
-    for values in library_table(path).rows([t or "" for t in texts]):
-        yield b"".join(values)
+def library_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row (null: none), and where each text's begin (one more than texts)."""
+    return library_table(path).ids(texts)
+
+
+def closed_ids(path: str, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with ``end_id`` after each text."""
+    ids, at = library_ids(path, texts)
+    return np.insert(ids, at[1:], end_id), at + np.arange(len(at))

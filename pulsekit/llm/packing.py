@@ -20,20 +20,21 @@ Placing is a join of each row's (length, rank) with the rounds' runs.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import PREFIX, written
-from pulsekit.llm.library_ids import library_ids
+from pulsekit.llm.library_ids import closed_ids
 
 
 def document_ids(text: Column, tokenizer: str, end_id: int) -> Column:
     """``binary``: little-endian unsigned 32-bit ids of a whole text (null: empty), closed by ``end_id``."""
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
-        end = end_id.to_bytes(4, "little")
-        return pa.array([x + end for x in library_ids(tokenizer, texts.to_pylist())], type=pa.binary())
+        found, at = closed_ids(tokenizer, texts, end_id)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(found)])
 
     return ids(text)
 

@@ -12,7 +12,12 @@ from __future__ import annotations
 import itertools
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 _OTHER_SPACE = re.compile("[\t\r\x00\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_NOT_PLAIN = r"  |\n\n| \n|\n |[\t\r\x00\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -29,20 +34,18 @@ def cut(text: str) -> list[str]:
     return [text[a:b] for a, b in itertools.pairwise(at)]
 
 
-class _Generation(dict):
-    def __init__(self, compute, old):
-        super().__init__()
-        self.compute, self.old = compute, old
-
-    def known(self, chunk: str):
-        return self.get(chunk) or self.old.get(chunk)
-
-    def __missing__(self, chunk: str):
-        value = self.old.get(chunk)
-        if value is None:
-            value = self.compute(chunk, self.known)
-        self[chunk] = value
-        return value
+def cut_all(texts: pa.Array) -> pa.ListArray:
+    """``cut`` of each text (null: of an empty one)."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    lists = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n\x00"), "\x00")
+    odd = pc.match_substring_regex(texts, _NOT_PLAIN)
+    if not pc.any(odd).as_py():
+        return lists
+    odd = odd.to_numpy(zero_copy_only=False)
+    by_hand = pa.array([cut(t) for t in texts.filter(pa.array(odd)).to_pylist()], lists.type)
+    order = np.empty(len(texts), dtype=np.int64)
+    order[~odd], order[odd] = np.arange((~odd).sum()), np.arange((~odd).sum(), len(texts))
+    return pa.concat_arrays([lists.filter(pa.array(~odd)), by_hand]).take(pa.array(order))
 
 
 class ChunkTable:
@@ -54,20 +57,60 @@ class ChunkTable:
     becomes the older one, and chunks still in use move back as they occur.
     """
 
-    def __init__(self, compute, limit: int = 1_000_000):
+    def __init__(self, compute, limit: int = 600_000):
         self.compute, self.limit = compute, limit
-        self.now = _Generation(compute, {})
+        self.now, self.old = {}, {}
 
-    def row(self, chunks):
-        """The values of some chunks, in order."""
-        if len(self.now) > self.limit:
-            self.now.old = {}
-            self.now = _Generation(self.compute, self.now)
-        return map(self.now.__getitem__, chunks)
+    def known(self, chunk: str):
+        got = self.now.get(chunk)
+        return self.old.get(chunk) if got is None else got
 
-    def rows(self, texts: list[str]):
-        """For each text, the values of its chunks in order."""
-        return (self.row(cut(t)) for t in texts)
+    def values(self, chunks: list[str]) -> list:
+        """The value of each of some distinct chunks."""
+        if len(self.now) > self.limit:
+            self.now, self.old = {}, self.now
+        now, old, known, compute = self.now, self.old, self.known, self.compute
+        out = []
+        for c in chunks:
+            v = now.get(c)
+            if v is None:
+                v = old.get(c)
+                if v is None:
+                    v = compute(c, known)
+                now[c] = v
+            out.append(v)
+        return out
+
+    def coded(self, texts: pa.Array, batch_bytes: int = 1 << 24):
+        """Runs of texts: the values of their distinct chunks, the chunks as codes into these, and where each text's begin."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        runs = np.cumsum(sizes) // batch_bytes
+        for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(texts)] if len(texts) else []):
+            lists = cut_all(texts.slice(a, b - a))
+            at = lists.offsets.to_numpy().astype(np.int64)
+            chunks = lists.flatten().dictionary_encode()
+            yield self.values(chunks.dictionary.to_numpy(zero_copy_only=False).tolist()), chunks.indices.to_numpy(), at - at[0]
+
+    def sums(self, texts: pa.Array) -> np.ndarray:
+        """For each text the sum of its chunks' values."""
+        out = [np.zeros(0, dtype=np.int64)]
+        for values, codes, at in self.coded(texts):
+            through = np.concatenate([[0], np.cumsum(np.array(values, dtype=np.int64)[codes])])
+            out.append(through[at[1:]] - through[at[:-1]])
+        return np.concatenate(out)
+
+    def ids(self, texts: pa.Array):
+        """Packed 32-bit ids of all texts in a row, and where each text's begin (one more than texts)."""
+        found, ends = [np.zeros(0, dtype=np.uint32)], [np.zeros(1, dtype=np.int64)]
+        for values, codes, at in self.coded(texts):
+            each = np.array([len(v) >> 2 for v in values], dtype=np.int64)
+            first = np.cumsum(each) - each
+            n = each[codes]
+            through = np.concatenate([[0], np.cumsum(n)])
+            where = np.repeat(first[codes] - through[:-1], n) + np.arange(through[-1])
+            found.append(np.frombuffer(b"".join(values), dtype="<u4")[where])
+            ends.append(through[at[1:]] + ends[-1][-1])
+        return np.concatenate(found), np.concatenate(ends)
 
 
 _TABLES: dict[tuple, ChunkTable] = {}

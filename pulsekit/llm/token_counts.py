@@ -23,13 +23,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pulsekit.llm.bpe import merge
 from pulsekit.llm.common import pairwise_tree
 from pulsekit.llm.library_ids import BYTE_LEVEL, byte_alphabet
-from pulsekit.llm.textchunks import _INNER_SPACE, ChunkTable, worker_table
+from pulsekit.llm.textchunks import _INNER_SPACE, ChunkTable, cut, worker_table
 
 START = -1
 
@@ -165,10 +166,10 @@ def token_counts(text: Column, path: str, pattern: str = BYTE_LEVEL, chunk_chars
     @F.arrow_udf("long")
     def counts(texts: pa.Array) -> pa.Array:
         table = _counter(path, pattern)
-
-        def count(t):
-            return sum(next(table.rows([t])))
-
-        return pa.array(np.array([text_count(t or "", count, chunk_chars) for t in texts.to_pylist()], dtype=np.int64))
+        long = pc.fill_null(pc.greater(pc.utf8_length(texts), chunk_chars), False).to_numpy(zero_copy_only=False)
+        out = np.zeros(len(texts), dtype=np.int64)
+        out[~long] = table.sums(texts.filter(pa.array(~long)))
+        out[long] = [text_count(t, lambda x: sum(table.values(cut(x))), chunk_chars) for t in texts.filter(pa.array(long)).to_pylist()]
+        return pa.array(out)
 
     return counts(text)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsekit.llm.library_ids import library_ids
+from pulsekit.llm.library_ids import closed_ids
 
 BLOCK_IDS = 1 << 16
 _BLOCK = ("part int, block int, first long, n_ids int, mode string, planes array<binary>, crc long, "
@@ -105,11 +105,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, *, doc_co
 
     def blocks(batches):
         out = _Blocks(TaskContext.get().partitionId(), block_ids, mode)
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids = library_ids(tokenizer, batch.column("text").to_pylist())
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
-                yield from map(_as_batch, out.add(doc_id, np.frombuffer(data + end, dtype="<u4")))
+            ids, at = closed_ids(tokenizer, batch.column("text"), end_id)
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                yield from map(_as_batch, out.add(doc_id, ids[a:b]))
         if out.n_held:
             yield _as_batch(out.row())
 
