@@ -38,7 +38,7 @@ START = -1
 class CountTransducer:
     """Counts the tokens of one match, a byte at a time."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 400_000):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {i: b for b, i in ranks.items()}
         self.growing = {b[:k] for b in ranks for k in range(len(b))}
