@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import itertools
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -116,9 +117,10 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     strings in them are ordinary text.
     """
     @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
-        found, at = _chunk_table(path, pattern).ids(texts)
-        return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found.view(np.int32)))
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for found, at in _chunk_table(path, pattern).ids(texts):
+                yield pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found.view(np.int32)))
 
     return ids(text)
 

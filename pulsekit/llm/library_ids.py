@@ -87,12 +87,7 @@ def library_table(path: str) -> ChunkTable:
     return worker_table(("library", path), make)
 
 
-def library_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts in a row (null: none), and where each text's begin (one more than texts)."""
-    return library_table(path).ids(texts)
-
-
-def closed_ids(path: str, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same with ``end_id`` after each text."""
-    ids, at = library_ids(path, texts)
-    return np.insert(ids, at[1:], end_id), at + np.arange(len(at))
+def library_ids(path: str, texts: pa.Array, end_id: int | None = None):
+    """Runs of texts (null: empty): their ids in a row, ``end_id`` after each, and where each text's begin (one more than texts)."""
+    for ids, at in library_table(path).ids(texts):
+        yield (ids, at) if end_id is None else (np.insert(ids, at[1:], end_id), at + np.arange(len(at)))

@@ -20,21 +20,25 @@ Placing is a join of each row's (length, rank) with the rounds' runs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import PREFIX, written
-from pulsekit.llm.library_ids import closed_ids
+from pulsekit.llm.library_ids import library_ids
 
 
 def document_ids(text: Column, tokenizer: str, end_id: int) -> Column:
     """``binary``: little-endian unsigned 32-bit ids of a whole text (null: empty), closed by ``end_id``."""
     @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
-        found, at = closed_ids(tokenizer, texts, end_id)
-        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(found)])
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for found, at in library_ids(tokenizer, texts, end_id):
+                offsets = pa.py_buffer((at * 4).astype(np.int32))
+                yield pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, offsets, pa.py_buffer(found)])
 
     return ids(text)
 

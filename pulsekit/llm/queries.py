@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import bpe, packing, sharding, simhash, token_store, toxicity
+from pulsekit.llm import bpe, embedding_dedup, packing, sharding, simhash, token_store, toxicity
 from pulsekit.llm.common import table, text_bytes
 from pulsekit.llm.token_counts import token_counts
 from pulsekit.session import scratch_path
@@ -27,6 +27,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.95."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), min_cosine=0.95)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, at most 4 bits."""
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=4, shingle=4)
@@ -96,6 +101,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_byte_bpe": op4_byte_bpe,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash": op3_simhash,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_toxicity": op8_toxicity,

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm.common import PREFIX, written
 from pulsekit.llm.components import connected_components
+from pulsekit.llm.tiles import deal_pairs, forest, whole_groups
 
 BITS = 64
 
@@ -90,112 +91,52 @@ def links(prints: DataFrame, distance: int, tile: int = 2048) -> DataFrame:
     sizes = (entries.groupBy(*key).agg(F.count("*").alias("n"), F.sum("side").alias("ones"))
              .filter((F.col("n") > 1) & (whole | ((F.col("ones") > 0) & (F.col("ones") < F.col("n")))))
              .select(*key, F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
-    met = entries.join(sizes, key)
-    mine = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-    dealt = (met.withColumn("t", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-             .select("fp", *key, "side", "t", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b")))
-    spread = dealt.repartition(*(F.col(c) for c in (*key, "a", "b"))).sortWithinPartitions(*key, "a", "b")
-    return spread.mapInArrow(_tiles(distance), "u long, v long").distinct()
+    return deal_pairs(entries, sizes, key, "fp").mapInArrow(_close(distance), "u long, v long").distinct()
 
 
-def _tiles(distance: int):
-    """Close pairs of each tile pair, as a spanning forest.  Rows come sorted by tile pair."""
+def _close(distance: int):
+    """Close pairs of each pair of tiles, as a spanning forest where there are many."""
     def run(batches):
-        held: list[pa.Table] = []
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            codes = _changes(t)
-            if held and len(codes) > 1:
-                t0 = pa.concat_tables([*held, t.slice(0, codes[1])]) if _same(held[-1], t) else pa.concat_tables(held)
-                rest = t.slice(codes[1]) if _same(held[-1], t) else t
-                yield from _forests(t0, distance)
-                held, t = [], rest
-                codes = _changes(t)
-            elif held and not _same(held[-1], t):
-                yield from _forests(pa.concat_tables(held), distance)
-                held = []
-            if len(codes) > 2:
-                yield from _forests(t.slice(0, codes[-2]), distance)
-                t = t.slice(codes[-2])
-            held.append(t)
-        if held:
-            yield from _forests(pa.concat_tables(held), distance)
+        for t, cuts in whole_groups(batches, ["slot", "rest", "a", "b"]):
+            fp = t.column("fp").to_numpy().view(np.uint64)
+            side, tile = t.column("side").to_numpy(), t.column("t").to_numpy()
+            whole = t.column("slot").to_numpy() % 128 == 64
+            cross = t.column("a").to_numpy() != t.column("b").to_numpy()
+            sizes = np.diff(cuts)
+            us, vs = [], []
+            for n in np.unique(sizes):
+                starts = cuts[:-1][sizes == n]
+                if n > 64:
+                    for s in starts.tolist():
+                        u, v = _forest(fp[s:s + n], side[s:s + n], tile[s:s + n], whole[s], cross[s], distance)
+                        us.append(u)
+                        vs.append(v)
+                    continue
+                i, j = np.triu_indices(n, 1)  # groups of one size, by far the most, all at once
+                at = max(1, (1 << 20) // max(1, len(i)))
+                for k in range(0, len(starts), at):
+                    s = starts[k:k + at, None]
+                    x, y = (s + i).ravel(), (s + j).ravel()
+                    near = np.bitwise_count(fp[x] ^ fp[y]) <= distance
+                    near &= (whole[x] | (side[x] != side[y])) & (~cross[x] | (tile[x] != tile[y]))
+                    us.append(fp[x[near]])
+                    vs.append(fp[y[near]])
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (us, vs)], ["u", "v"])
 
     return run
 
 
-_KEY = ("slot", "rest", "a", "b")
-
-
-def _changes(t: pa.Table) -> list[int]:
-    """Where each tile pair begins, and the end."""
-    change = np.zeros(t.num_rows, dtype=bool)
-    change[:1] = True
-    for c in _KEY:
-        v = t.column(c).to_numpy()
-        change[1:] |= v[1:] != v[:-1]
-    return [*np.flatnonzero(change).tolist(), t.num_rows]
-
-
-def _same(a: pa.Table, b: pa.Table) -> bool:
-    return all(a.column(c)[-1] == b.column(c)[0] for c in _KEY)
-
-
-def _forests(t: pa.Table, distance: int):
-    """Links of whole tile pairs.  Small ones, by far the most, are compared all at once by their size."""
-    cuts = np.array(_changes(t))
-    fp = t.column("fp").to_numpy().view(np.uint64)
-    side, tile = t.column("side").to_numpy(), t.column("t").to_numpy()
-    whole = t.column("slot").to_numpy() % 128 == 64
-    cross = t.column("a").to_numpy() != t.column("b").to_numpy()
-    sizes = np.diff(cuts)
-    us, vs = [], []
-    for n in np.unique(sizes):
-        starts = cuts[:-1][sizes == n]
-        if n <= 64:
-            i, j = np.triu_indices(n, 1)
-            at = max(1, (1 << 20) // max(1, len(i)))
-            for k in range(0, len(starts), at):
-                s = starts[k:k + at, None]
-                x, y = (s + i).ravel(), (s + j).ravel()
-                ok = whole[x] | (side[x] != side[y])
-                ok &= ~cross[x] | (tile[x] != tile[y])
-                x, y = x[ok], y[ok]
-                near = np.bitwise_count(fp[x] ^ fp[y]) <= distance
-                us.append(fp[x[near]])
-                vs.append(fp[y[near]])
-            continue
-        for s in starts.tolist():
-            u, v = _forest(fp[s:s + n], side[s:s + n], tile[s:s + n], bool(whole[s]), bool(cross[s]), distance)
-            us.append(u)
-            vs.append(v)
-    if us:
-        u, v = np.concatenate(us).view(np.int64), np.concatenate(vs).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
-
-
 def _forest(fp, side, tile, whole: bool, cross: bool, distance: int):
-    """Spanning edges of the links in one large tile pair: rows grow breadth-first from unreached ones."""
-    left = np.ones(len(fp), dtype=bool)
-    us, vs = [], []
-    for root in range(len(fp)):
-        if not left[root]:
-            continue
-        left[root] = False
-        queue = [root]
-        while queue:
-            x = queue.pop()
-            ok = left & (np.bitwise_count(fp ^ fp[x]) <= distance)
-            if not whole:
-                ok &= side != side[x]
-            if cross:
-                ok &= tile != tile[x]
-            near = np.flatnonzero(ok)
-            left[near] = False
-            us.append(np.full(len(near), fp[x]))
-            vs.append(fp[near])
-            queue += near.tolist()
-    return np.concatenate(us), np.concatenate(vs)
+    """Spanning edges of the links in one large pair of tiles."""
+    def near(x, left):
+        ok = left & (np.bitwise_count(fp ^ fp[x]) <= distance)
+        if not whole:
+            ok &= side != side[x]
+        return ok & (tile != tile[x]) if cross else ok
+
+    edges = np.array(forest(near, len(fp)), dtype=np.int64).reshape(-1, 2)
+    return fp[edges[:, 0]], fp[edges[:, 1]]
 
 
 def near_duplicates(docs: DataFrame, *, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -57,7 +57,7 @@ class ChunkTable:
     becomes the older one, and chunks still in use move back as they occur.
     """
 
-    def __init__(self, compute, limit: int = 600_000):
+    def __init__(self, compute, limit: int = 400_000):
         self.compute, self.limit = compute, limit
         self.now, self.old = {}, {}
 
@@ -81,7 +81,7 @@ class ChunkTable:
             out.append(v)
         return out
 
-    def coded(self, texts: pa.Array, batch_bytes: int = 1 << 24):
+    def coded(self, texts: pa.Array, batch_bytes: int = 6 << 20):
         """Runs of texts: the values of their distinct chunks, the chunks as codes into these, and where each text's begin."""
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         runs = np.cumsum(sizes) // batch_bytes
@@ -100,17 +100,15 @@ class ChunkTable:
         return np.concatenate(out)
 
     def ids(self, texts: pa.Array):
-        """Packed 32-bit ids of all texts in a row, and where each text's begin (one more than texts)."""
-        found, ends = [np.zeros(0, dtype=np.uint32)], [np.zeros(1, dtype=np.int64)]
+        """Runs of texts: their packed 32-bit ids in a row, and where each text's begin (one more than texts)."""
         for values, codes, at in self.coded(texts):
             each = np.array([len(v) >> 2 for v in values], dtype=np.int64)
             first = np.cumsum(each) - each
             n = each[codes]
             through = np.concatenate([[0], np.cumsum(n)])
-            where = np.repeat(first[codes] - through[:-1], n) + np.arange(through[-1])
-            found.append(np.frombuffer(b"".join(values), dtype="<u4")[where])
-            ends.append(through[at[1:]] + ends[-1][-1])
-        return np.concatenate(found), np.concatenate(ends)
+            where = np.repeat(first[codes] - through[:-1], n)
+            where += np.arange(through[-1])
+            yield np.frombuffer(b"".join(values), dtype="<u4")[where], through[at]
 
 
 _TABLES: dict[tuple, ChunkTable] = {}

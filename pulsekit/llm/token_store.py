@@ -13,6 +13,7 @@ that Spark writes, and a lost task's blocks are written again or not at all.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsekit.llm.library_ids import closed_ids
+from pulsekit.llm.library_ids import library_ids
 
 BLOCK_IDS = 1 << 16
 _BLOCK = ("part int, block int, first long, n_ids int, mode string, planes array<binary>, crc long, "
@@ -106,9 +107,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, *, doc_co
     def blocks(batches):
         out = _Blocks(TaskContext.get().partitionId(), block_ids, mode)
         for batch in batches:
-            ids, at = closed_ids(tokenizer, batch.column("text"), end_id)
-            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-                yield from map(_as_batch, out.add(doc_id, ids[a:b]))
+            names = iter(batch.column("doc_id").to_pylist())
+            for ids, at in library_ids(tokenizer, batch.column("text"), end_id):
+                for a, b in itertools.pairwise(at.tolist()):
+                    yield from map(_as_batch, out.add(next(names), ids[a:b]))
         if out.n_held:
             yield _as_batch(out.row())
 
