@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import bpe, embedding_dedup, packing, sharding, simhash, token_store, toxicity
+from pulsekit.llm import ann, bpe, embedding_dedup, packing, sharding, simhash, token_store, toxicity
 from pulsekit.llm.common import table, text_bytes
 from pulsekit.llm.token_counts import token_counts
 from pulsekit.session import scratch_path
@@ -49,6 +49,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, against all vectors."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20)
+
+
 CAPACITY = 4096
 
 
@@ -103,6 +108,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash": op3_simhash,
+    "op5_nearest": op5_nearest,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
