@@ -110,6 +110,21 @@ def _chunk_table(path: str, pattern: str) -> ChunkTable:
     return worker_table(("bpe", path, pattern), make)
 
 
+def encode_texts(texts: pa.Array, path: str, pattern: str):
+    """Runs of ``array<int>``: the ids of each text (null: none)."""
+    for found, at in _chunk_table(path, pattern).ids(texts):
+        yield pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found.view(np.int32)))
+
+
+def decode_lists(rows: pa.ListArray, path: str) -> pa.Array:
+    """The bytes that each list of ids stands for (null: null)."""
+    token = _token_bytes(path)
+    values = rows.values.to_numpy(zero_copy_only=False)
+    return pa.array([b"".join([token[i] for i in values[a:b].tolist()]) if ok else None
+                     for (a, b), ok in zip(itertools.pairwise(rows.offsets.to_numpy().tolist()), rows.is_valid().to_pylist(), strict=True)],
+                    type=pa.binary())
+
+
 def encode(text: Column, path: str, pattern: str) -> Column:
     """``array<int>`` of the ids of ``text`` by the rank file at ``path``.
 
@@ -119,8 +134,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            for found, at in _chunk_table(path, pattern).ids(texts):
-                yield pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found.view(np.int32)))
+            yield from encode_texts(texts, path, pattern)
 
     return ids(text)
 
@@ -132,15 +146,22 @@ def decode(ids: Column, path: str) -> Column:
     """
     @F.arrow_udf("binary")
     def data(rows: pa.Array) -> pa.Array:
-        token = _token_bytes(path)
-        values = rows.values.to_numpy(zero_copy_only=False)
-        at = rows.offsets.to_numpy().tolist()
-        return pa.array([b"".join([token[i] for i in values[a:b].tolist()]) if ok else None
-                         for (a, b), ok in zip(itertools.pairwise(at), rows.is_valid().to_pylist(), strict=True)], type=pa.binary())
+        return decode_lists(rows, path)
 
     return data(ids)
 
 
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """``struct<ids: array<int>, decoded: binary>``: ``encode`` and ``decode`` of its ids, in one Python worker."""
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for ids in encode_texts(texts, path, pattern):
+                yield pa.StructArray.from_arrays([ids, decode_lists(ids, path)], ["ids", "decoded"])
+
+    return both(text)
+
+
 _BYTES: dict[str, dict[int, bytes]] = {}
 
 

@@ -42,11 +42,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
-    ids = docs.select("doc_id", bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids"))
-    return ids.select("doc_id", "ids", bpe.decode(F.col("ids"), ranks).alias("decoded")).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = docs.select("doc_id", bpe.round_trip(F.col("text"), ranks, public_tokenizers.PATTERN).alias("t"))
+    return both.select(
+        "doc_id", F.size("t.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("t.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("t.decoded", 256).alias("decoded_sha256"))
 
 
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
