@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import ann, bpe, embedding_dedup, packing, sharding, simhash, token_store, toxicity
+from pulsekit.llm import ann, bpe, embedding_dedup, packing, sharding, simhash, suffix_dedup, token_store, toxicity
 from pulsekit.llm.common import table, text_bytes
 from pulsekit.llm.token_counts import token_counts
 from pulsekit.session import scratch_path
@@ -54,6 +54,11 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses with the 400-byte strings that occur elsewhere too."""
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 CAPACITY = 4096
 
 
@@ -109,6 +114,7 @@ QUERIES = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash": op3_simhash,
     "op5_nearest": op5_nearest,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
