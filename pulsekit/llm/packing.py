@@ -136,8 +136,9 @@ def pack(pieces: DataFrame, capacity: int, *, length: str = "length", order: tup
     spark = pieces.sparkSession
     pos, part, rank = PREFIX + "pos", PREFIX + "part", PREFIX + "rank"
     by = [F.col(length).desc_nulls_last(), *(F.col(c) for c in order)]
+    source = written(pieces.drop("sequence_id", "offset"), "pieces")  # the bounds of ranges are sampled: made once, read twice
     ranged = written(
-        pieces.drop("sequence_id", "offset").repartitionByRange(*by).sortWithinPartitions(*by)
+        source.repartitionByRange(*by).sortWithinPartitions(*by)
         .withColumn(pos, F.monotonically_increasing_id()).withColumn(part, F.shiftright(pos, 33)), "packing")
     fits = F.col(length).between(1, capacity)
     runs = ranged.filter(fits).groupBy(part, length).agg(F.min(pos).alias(PREFIX + "first"), F.count("*").alias(PREFIX + "n"))
