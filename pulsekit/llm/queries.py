@@ -32,9 +32,12 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), min_cosine=0.95)
 
 
+SIMHASH = {"distance": 4, "shingle": 4}
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, at most 4 bits."""
-    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=4, shingle=4)
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), **SIMHASH)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -54,9 +57,12 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20)
 
 
+REPEAT_BYTES = 400
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses with the 400-byte strings that occur elsewhere too."""
-    return suffix_dedup.repeats(table(spark, sf_dir, "documents"), length=400)
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"), length=REPEAT_BYTES)
 
 
 CAPACITY = 4096
@@ -121,4 +127,16 @@ QUERIES = {
     "op10_token_store": op10_token_store,
 }
 
-ORACLES: dict[str, str] = {}
+_VALID = "embedding IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0 AND isfinite(list_sum(embedding::DOUBLE[]))"
+
+ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": f"""
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE {_VALID}),
+        near AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id
+                 AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach AS (SELECT vec_id AS u, vec_id AS v FROM embeddings UNION SELECT r.u, n.v FROM reach r JOIN near n ON r.v = n.u),
+        part AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u),
+        many AS (SELECT u, count(*) AS n_links FROM near GROUP BY u)
+        SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN part ON part.u = vec_id LEFT JOIN many ON many.u = vec_id""",
+}

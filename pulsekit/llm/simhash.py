@@ -139,18 +139,32 @@ def _forest(fp, side, tile, whole: bool, cross: bool, distance: int):
     return fp[edges[:, 0]], fp[edges[:, 1]]
 
 
+def components(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, group) of every fingerprint in ``prints`` (fp: long): ``group`` is one of its component's fingerprints."""
+    classes = prints.select("fp").distinct()
+    nodes = connected_components(links(classes, distance)).select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    return classes.join(nodes, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+
+
 def near_duplicates(docs: DataFrame, *, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint as long ``fp``, ``component_id``): the smallest id reachable by links of ``distance`` bits or fewer.
 
     Rows with a null id take part (in what they link) and never name a
     component; a component of only such rows has a null id.
     """
-    fp, node = PREFIX + "fp", PREFIX + "node"
-    rows = written(docs.select(F.col(id_col).alias(id_col), fingerprint(F.col(text_col), shingle).alias(fp)), "fingerprints")
-    classes = rows.groupBy(fp).agg(F.min(id_col).alias("low"))
-    edges = links(classes.select(F.col(fp).alias("fp")), distance)
-    nodes = connected_components(edges).select(F.col("node").alias(fp), F.col("component").alias(node))
-    named = classes.join(nodes, fp, "left").withColumn(node, F.coalesce(node, fp))
-    lows = named.groupBy(node).agg(F.min("low").alias("component_id"))
-    found = named.join(lows, node).select(fp, "component_id")
-    return rows.join(found, fp).select(id_col, F.col(fp).alias("fp"), "component_id")
+    rows = written(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp")), "fingerprints")
+    lows = rows.groupBy("fp").agg(F.min("id").alias("low"))
+    named = components(rows, distance).join(lows, "fp")
+    found = named.join(named.groupBy("group").agg(F.min("low").alias("component_id")), "group").select("fp", "component_id")
+    return rows.join(found, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def representatives(docs: DataFrame, *, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, that of the smallest id (null ids last, then by a hash of the text)."""
+    row = PREFIX + "row"
+    name = F.xxhash64(id_col, text_col)
+    rows = written(docs.select(F.col(id_col).alias("id"), name.alias("row"), fingerprint(F.col(text_col), shingle).alias("fp")), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first")
+    stay = (rows.groupBy("fp").agg(first).join(components(rows, distance), "fp")
+            .groupBy("group").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row)))
+    return docs.withColumn(row, name).join(stay, row).dropDuplicates([row]).select(*docs.columns)
