@@ -41,7 +41,6 @@ from pulsekit.llm.common import PREFIX, written
 from pulsekit.llm.suffix_array import suffix_array
 from pulsekit.llm.tiles import gathered, whole_groups
 
-_ROW = PREFIX + "row"
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _TABLE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -262,7 +261,8 @@ def _repeats(windows: Windows):
             met[:-1] |= met[1:].copy()
             some = np.flatnonzero(met)
             for part in np.array_split(some, max(1, len(some) // 20_000)) if len(some) else []:
-                again[part] |= shared_windows([contexts[i] for i in part.tolist()], lead[part], n[part], windows.length)[:, :again.shape[1]]
+                found = shared_windows([contexts[i] for i in part.tolist()], lead[part], n[part], windows.length)[:, :again.shape[1]]
+                again[part, :found.shape[1]] |= found
             again &= np.arange(again.shape[1]) < n[:, None]
             yield from _as_runs(again, names)
 
@@ -412,8 +412,8 @@ def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000)
     else:
         name = ["c1", "c2", "lead", "a"]
         each = contexts.join(busy, "key").mapInArrow(_by_digest(windows), _DIGESTS)
-        twice = each.groupBy("d1", "d2", "lead").agg(F.sum("times").alias("all")).filter(F.col("all") > 1)
-        met = each.join(twice, ["d1", "d2", "lead"]).select(*name, F.col("a").alias("b")).distinct()
+        twice = each.groupBy("d1", "d2").agg(F.sum("times").alias("all")).filter(F.col("all") > 1)
+        met = each.join(twice, ["d1", "d2"]).select(*name, F.col("a").alias("b")).distinct()
         found = (gathered(contexts.join(busy, "key", "left_anti"), ["key"]).mapInArrow(_repeats(windows), _FOUND)
                  .unionByName(met))
     where = affected.mapInArrow(_contexts(windows, "places"), _PLACES)
@@ -483,7 +483,7 @@ def without_repeats(docs: DataFrame, length: int = 400, *, id_col: str = "doc_id
     A character that a cut runs through goes with it; null texts stay null;
     rows stay, also those with nothing left.
     """
-    row = PREFIX + "row"
+    row, found = PREFIX + "row", PREFIX + "spans"
     rows = docs.withColumn(row, row_name(docs, id_col, text_col))
     _, spans = repeated_windows(rows.select(F.col(row).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), length)
 
@@ -491,6 +491,6 @@ def without_repeats(docs: DataFrame, length: int = 400, *, id_col: str = "doc_id
     def valid(data: pa.Array) -> pa.Array:
         return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in data.to_pylist()], type=pa.string())
 
-    text = F.when(F.col("spans").isNull(), F.col(text_col)).otherwise(valid(kept_bytes(F.col(text_col), F.col("spans"))))
-    joined = rows.join(spans.select(F.col("row").alias(row), "spans"), row, "left")
+    text = F.when(F.col(found).isNull(), F.col(text_col)).otherwise(valid(kept_bytes(F.col(text_col), F.col(found))))
+    joined = rows.join(spans.select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left")
     return joined.withColumn(text_col, text).select(*docs.columns)
