@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pulsekit.llm.common import PREFIX, written
 from pulsekit.llm.components import connected_components
 from pulsekit.llm.embeddings import matrix, products, rotation, usable
-from pulsekit.llm.tiles import deal_pairs, forest, whole_groups
+from pulsekit.llm.tiles import deal_pairs, whole_groups
 
 _SLACK = 1e-9
 _CELL = ["dim", "block", "cell"]
@@ -68,10 +68,16 @@ class Subspaces:
                     code = code * 2_000_003 + home[rows, c] + step[c]
                 yield b, rows, code, not any(step)
 
-    def distance(self, u: np.ndarray, v: np.ndarray, b: int) -> np.ndarray:
-        """Squared distance in block ``b`` of each pair of rows."""
-        d = u[:, self.cuts[b]:self.cuts[b + 1]] - v[:, self.cuts[b]:self.cuts[b + 1]]
-        return products(d, d)
+    def first_here(self, x: np.ndarray, u: np.ndarray, v: np.ndarray, b: int):
+        """The pairs of rows whose first block within its share is ``b``; one sum order, so every tile agrees."""
+        if len(u):
+            rows, back = np.unique(np.concatenate([u, v]), return_inverse=True)
+            y = self.rotated(x[rows])
+            square = (y[back[:len(u)]] - y[back[len(u):]]) ** 2
+            within = np.add.reduceat(square, self.cuts[:-1], axis=1) <= self.budgets
+            here = within.argmax(axis=1) == b
+            u, v = u[here & within[:, b]], v[here & within[:, b]]
+        return u, v
 
 
 def _spread(make):
@@ -104,45 +110,44 @@ def _linked(make, min_cosine: float):
 
 def _tile(t: pa.Table, make, min_cosine: float):
     dim, block = t.column("dim")[0].as_py(), t.column("block")[0].as_py()
-    cross = t.column("a")[0] != t.column("b")[0]
-    space = make(dim)
-    x = matrix(t.column("vec"), dim)
-    norm = np.sqrt(products(x, x))
-    y = space.rotated(x)
-    home, tile = t.column("home").to_numpy(), t.column("t").to_numpy()
+    tile, home = t.column("t").to_numpy(), t.column("home").to_numpy()
     cid, weight = t.column("cid").to_numpy(), t.column("n").to_numpy()
-    part = y[:, space.cuts[block]:space.cuts[block + 1]]
+    space, x = make(dim), matrix(t.column("vec"), dim)
+    norm = np.sqrt(products(x, x))
+    part = ((x / norm[:, None]) @ space.turn[space.cuts[block]:space.cuts[block + 1]].T).astype(np.float32)
     square = (part ** 2).sum(axis=1)
-    n = len(x)
-    linked = np.zeros((n, n), dtype=bool)
-    for i in range(0, n, 512):
-        near = square[i:i + 512, None] + square[None, :] - 2 * part[i:i + 512] @ part.T <= space.budgets[block] + _SLACK
+    if t.column("a")[0] == t.column("b")[0]:
+        own = other = np.arange(len(x))
+    else:
+        own, other = np.flatnonzero(tile == t.column("a")[0].as_py()), np.flatnonzero(tile == t.column("b")[0].as_py())
+    counts, groups, edges = np.zeros(len(x), dtype=np.int64), np.arange(len(x)), []
+    for i in range(0, len(own), 512):
+        some = own[i:i + 512]
+        near = square[some, None] + square[other] - 2 * part[some] @ part[other].T <= np.float32(space.budgets[block] + 1e-5)
         p, q = np.nonzero(near)
-        p += i
-        ok = (p < q) & (home[p] | home[q])
-        if cross:
-            ok &= tile[p] != tile[q]
-        p, q = p[ok], q[ok]
-        ok = space.distance(y[p], y[q], block) <= space.budgets[block]
-        for earlier in range(block):
-            p, q = p[ok], q[ok]
-            ok = space.distance(y[p], y[q], earlier) > space.budgets[earlier]
+        p, q = some[p], other[q]
+        ok = (home[p] | home[q]) if own is not other else (home[p] | home[q]) & (p < q)
         p, q = p[ok], q[ok]
-        ok = products(x[p], x[q]) / (norm[p] * norm[q]) >= min_cosine
-        linked[p[ok], q[ok]] = True
-    linked |= linked.T
-    counts = linked @ weight
+        for j in range(0, len(p), 1 << 16):
+            u, v = p[j:j + (1 << 16)], q[j:j + (1 << 16)]
+            ok = products(x[u], x[v]) / (norm[u] * norm[v]) >= min_cosine
+            u, v = space.first_here(x, u[ok], v[ok], block)
+            counts += np.bincount(u, weight[v], len(x)).astype(np.int64) + np.bincount(v, weight[u], len(x)).astype(np.int64)
+            while len(u := u[new := groups[u] != groups[v]]):  # one link at a time joins two groups
+                v = v[new]
+                edges.append((u[0], v[0]))
+                groups[groups == groups[v[0]]] = groups[u[0]]
     has = np.flatnonzero(counts)
     if len(has):
-        edges = np.array(forest(lambda v, left: left & linked[v], n), dtype=np.int64).reshape(-1, 2)
-        u = np.concatenate([cid[has], cid[edges[:, 0]]])
-        v = pa.array(np.concatenate([np.zeros(len(has), dtype=np.int64), cid[edges[:, 1]]]),
-                     mask=np.arange(len(u)) < len(has))
-        yield pa.RecordBatch.from_arrays([pa.array(u), v, pa.array(np.concatenate([counts[has], np.zeros(len(edges), dtype=np.int64)]))],
+        pairs = np.array(edges, dtype=np.int64).reshape(-1, 2)
+        none = np.zeros(len(has), dtype=np.int64)
+        u = np.concatenate([cid[has], cid[pairs[:, 0]]])
+        v = pa.array(np.concatenate([none, cid[pairs[:, 1]]]), mask=np.arange(len(u)) < len(has))
+        yield pa.RecordBatch.from_arrays([pa.array(u), v, pa.array(np.concatenate([counts[has], np.zeros(len(pairs), dtype=np.int64)]))],
                                          ["u", "v", "n"])
 
 
-def near_duplicates(vectors: DataFrame, *, min_cosine: float = 0.95, block_dims: int = 8, grid_dims: int = 2, tile: int = 2048,
+def near_duplicates(vectors: DataFrame, *, min_cosine: float = 0.95, block_dims: int = 8, grid_dims: int = 2, tile: int = 8192,
                     id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """One row per vector: id, n_links (other vectors with cosine >= ``min_cosine``), component_id (smallest id reachable), kept.
 
