@@ -1,8 +1,9 @@
 """Streaming twins of driver queries: the same answer through Structured Streaming.
 
-Each query streams the whole ``events`` file, closes its windows with the
-end marker, runs to completion (``availableNow``) into parquet under the
-checkpoint folder, and returns that table with the batch query's schema.
+Each query streams the whole ``events`` table, drains it, closes its input,
+writes parquet under the checkpoint folder, and returns that table with the
+batch query's schema.  ``max_files`` bounds the files of a micro-batch and
+``delay`` the disorder between them.
 """
 
 from __future__ import annotations
@@ -10,16 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.sources.driver import item_id
-from pulsekit.streaming.io import close_input, read_table_stream, run_to_table
-from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_top_n,
+from pulsekit.sources import driver as D
+from pulsekit.streaming import processors as P
+from pulsekit.streaming.io import Ending, read_table_stream, run_to_table
+from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_top_n,
                                       stream_window_counts)
 
-
-def _views(spark: SparkSession, sf: str, *extra) -> DataFrame:
-    ev = read_table_stream(spark, sf, "events")
-    views = ev.filter(F.col("event_type") == "view").select("ts", "user_id", *extra)
-    return close_input(views, "ts")
+# The batch queries' parameters.
+TOP_N, CAP = 3, 3
+PAIR_GAP, RUN_N, RUN_WITHIN, ORDER_WITHIN = "2 hours", 3, "24 hours", "12 hours"
+JOIN_LOWER, JOIN_UPPER = "-3 hours", "5 hours"
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -28,73 +29,139 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-def q_stream_pv_hourly(spark, sf):
-    views = _views(spark, sf)
-    out = run_to_table(stream_window_counts(views, "ts", None, "1 hour", name="pv"), "stream_pv_hourly")
-    return _ntz(out, "window_start", "window_end")
+def _us(name: str, alias: str):
+    return F.timestamp_micros(name).cast("timestamp_ntz").alias(alias)
+
+
+def _views(spark, sf, ending, max_files, delay, *extra) -> DataFrame:
+    ev = read_table_stream(spark, sf, "events", max_files)
+    return ending.close(ev.filter(F.col("event_type") == "view").select("ts", "user_id", *extra), "ts", delay)
+
 
+def q_stream_pv_hourly(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    counts = stream_window_counts(_views(spark, sf, end, max_files, delay), "ts", None, "1 hour", name="pv")
+    return _ntz(run_to_table(counts, "stream_pv_hourly", end), "window_start", "window_end")
 
-def q_stream_hot_items_topn(spark, sf, n: int = 3):
-    views = _views(spark, sf, item_id().alias("item_id"))
-    counts = (views.groupBy(F.window("ts", "1 hour", "5 minutes").alias("w"), "item_id")
-              .agg(F.count(F.lit(1)).alias("cnt")))
-    out = run_to_table(stream_top_n(counts, "item_id", "cnt", "5 minutes", n), "stream_hot_items")
+
+def q_stream_hot_items_topn(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    views = _views(spark, sf, end, max_files, delay, D.item_id().alias("item_id"))
+    counts = stream_panes(views, "ts", "item_id", "1 hour", "5 minutes")
+    out = run_to_table(stream_top_n(counts, "item_id", "cnt", "5 minutes", TOP_N), "stream_hot_items", end)
     return _ntz(out, "window_end").select("window_end", "rank", "item_id", "cnt")
 
 
-def q_stream_uv_hourly(spark, sf):
-    views = _views(spark, sf)
-    out = run_to_table(stream_distinct_per_window(views, "ts", "user_id", "1 hour"), "stream_uv_hourly")
+def q_stream_uv_hourly(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    out = run_to_table(stream_distinct_per_window(_views(spark, sf, end, max_files, delay), "ts", "user_id", "1 hour"), "stream_uv_hourly", end)
     return _ntz(out, "window_start", "window_end")
 
 
-def q_stream_interval_join(spark, sf):
+def q_stream_channel_counts(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    rows = D.market_behavior(read_table_stream(spark, sf, "events", max_files)).select("channel", "behavior", "ts")
+    counts = stream_window_counts(end.close(rows, "ts", delay), "ts", ["channel", "behavior"], "1 hour", "5 seconds")
+    return _ntz(run_to_table(counts, "stream_channel_counts", end), "window_start", "window_end")
+
+
+def _sides(spark, sf, close, max_files, delay):
     def side(etype, idn, tsn):
-        ev = read_table_stream(spark, sf, "events").filter(F.col("event_type") == etype)
-        return (ev.select(F.col("user_id").alias("tx"), F.col("event_id").alias(idn), F.col("ts").alias(tsn))
-                .withWatermark(tsn, "0 seconds"))
-    j = stream_interval_join(side("purchase", "pay_id", "pay_ts"), side("signup", "receipt_id", "receipt_ts"),
-                             "tx", "pay_ts", "receipt_ts", "-3 hours", "5 hours")
+        ev = read_table_stream(spark, sf, "events", max_files).filter(F.col("event_type") == etype)
+        return close(ev.select(F.col("user_id").alias("tx"), F.col("event_id").alias(idn), F.col("ts").alias(tsn)), tsn, delay)
+
+    return side("purchase", "pay_id", "pay_ts"), side("signup", "receipt_id", "receipt_ts")
+
+
+def q_stream_interval_join(spark, sf, max_files=None, delay="0 seconds"):
+    pays, receipts = _sides(spark, sf, lambda df, ts, wait: df.withWatermark(ts, wait), max_files, delay)
+    j = stream_interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", JOIN_LOWER, JOIN_UPPER)
     out = run_to_table(j.select("tx", "pay_id", "pay_ts", "receipt_id", "receipt_ts"), "stream_interval_join")
     return _ntz(out, "pay_ts", "receipt_ts")
 
 
-def q_stream_order_status(spark, sf, within: str = "12 hours"):
-    from pulsekit.sources.driver import order_events
-    from pulsekit.streaming.processors import stream_order_status
-    ev = read_table_stream(spark, sf, "events")
-    orders = close_input(order_events(ev).filter(F.col("event_type").isin("create", "pay")), "ts")
-    out = run_to_table(stream_order_status(orders, "order_id", "ts", "seq", "event_type", within),
-                       "stream_order_status")
-    ntz = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
-    return out.select("order_id", ntz("create_us").alias("create_ts"), ntz("pay_us").alias("pay_ts"),
-                      "create_seq", "pay_seq", "status")
-
-
-def q_stream_click_cap_pass(spark, sf, cap: int = 3):
-    from pulsekit.streaming.processors import stream_click_cap
-    ev = read_table_stream(spark, sf, "events").select("user_id", "event_type", "ts", F.col("event_id").alias("seq"))
-    clicks = close_input(ev, "ts")
-    out = run_to_table(stream_click_cap(clicks, "user_id", "event_type", "ts", "seq", cap), "stream_click_cap")
-    return out.filter(F.col("status") == "pass").select(
-        "user_id", F.col("ad").alias("event_type"), F.timestamp_micros("ts_us").cast("timestamp_ntz").alias("ts"),
-        "seq", "day")
-
-
-STREAM_QUERIES = {
-    "stream_pv_hourly": q_stream_pv_hourly,
-    "stream_hot_items_topn": q_stream_hot_items_topn,
-    "stream_uv_hourly": q_stream_uv_hourly,
-    "stream_interval_join": q_stream_interval_join,
-    "stream_order_status": q_stream_order_status,
-    "stream_click_cap_pass": q_stream_click_cap_pass,
-}
+def q_stream_reconcile(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    pays, receipts = _sides(spark, sf, end.close, max_files, delay)
+    j = stream_interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", JOIN_LOWER, JOIN_UPPER, "full_outer")
+    status = F.when(F.col("receipt_id").isNull(), "pay_only").when(F.col("pay_id").isNull(), "receipt_only").otherwise("matched")
+    out = run_to_table(j.select("tx", "pay_id", "pay_ts", "receipt_id", "receipt_ts", status.alias("status")), "stream_reconcile", end)
+    return _ntz(out, "pay_ts", "receipt_ts")
+
+
+def _orders(spark, sf, end, max_files, delay) -> DataFrame:
+    orders = D.order_events(read_table_stream(spark, sf, "events", max_files))
+    return end.close(orders.filter(F.col("event_type").isin("create", "pay")).select("order_id", "event_type", "ts", "seq"), "ts", delay)
+
+
+def q_stream_order_status(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    rows = P.stream_order_status(_orders(spark, sf, end, max_files, delay), "order_id", "ts", "seq", "event_type", ORDER_WITHIN)
+    out = run_to_table(rows, "stream_order_status", end)
+    return out.select("order_id", _us("create_us", "create_ts"), _us("pay_us", "pay_ts"), "create_seq", "pay_seq", "status")
+
+
+def _followed(spark, sf, max_files, delay) -> DataFrame:
+    end = Ending(spark)
+    rows = P.stream_followed_by(_orders(spark, sf, end, max_files, delay), "order_id", "ts", "seq", "event_type", ORDER_WITHIN)
+    return run_to_table(rows, "stream_followed_by", end)
+
+
+def q_stream_order_paid(spark, sf, max_files=None, delay="0 seconds"):
+    return _followed(spark, sf, max_files, delay).filter("status = 'match'").select(
+        "order_id", _us("first_us", "first_ts"), "first_seq", _us("then_us", "then_ts"), "then_seq")
+
+
+def q_stream_order_timeout(spark, sf, max_files=None, delay="0 seconds"):
+    return _followed(spark, sf, max_files, delay).filter("status = 'timeout'").select(
+        "order_id", _us("first_us", "first_ts"), "first_seq")
+
+
+def _logins(spark, sf, end, max_files, delay) -> DataFrame:
+    return end.close(D.logins(read_table_stream(spark, sf, "events", max_files)).select("user_id", "event_type", "ts", "seq"), "ts", delay)
+
+
+def q_stream_fail_pairs(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    rows = P.stream_fail_pairs(_logins(spark, sf, end, max_files, delay), "user_id", "ts", "seq", "event_type", PAIR_GAP)
+    return run_to_table(rows, "stream_fail_pairs", end).select(
+        "user_id", _us("first_us", "first_ts"), _us("last_us", "last_ts"), "first_seq", "last_seq")
+
+
+def q_stream_fail_episodes(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    rows = P.stream_fail_episodes(_logins(spark, sf, end, max_files, delay), "user_id", "ts", "seq", "event_type", PAIR_GAP)
+    return run_to_table(rows, "stream_fail_episodes", end).select(
+        "user_id", _us("first_us", "first_ts"), _us("last_us", "last_ts"), "n_fails")
+
+
+def q_stream_fail_runs(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    rows = P.stream_fail_runs(_logins(spark, sf, end, max_files, delay), "user_id", "ts", "seq", "event_type", RUN_N, RUN_WITHIN)
+    return run_to_table(rows, "stream_fail_runs", end).select(
+        "user_id", _us("first_us", "first_ts"), _us("last_us", "last_ts"), "first_seq", "last_seq", "n_events")
+
+
+def _capped(spark, sf, max_files, delay) -> DataFrame:
+    end = Ending(spark)
+    ev = read_table_stream(spark, sf, "events", max_files).select("user_id", "event_type", "ts", F.col("event_id").alias("seq"))
+    rows = P.stream_click_cap(end.close(ev, "ts", delay), "user_id", "event_type", "ts", "seq", CAP)
+    out = run_to_table(rows, "stream_click_cap", end)
+    return out.select("user_id", "event_type", F.col("day").cast("date").alias("day"), _us("ts_us", "ts"), "seq", "status")
+
+
+def q_stream_click_cap_pass(spark, sf, max_files=None, delay="0 seconds"):
+    return _capped(spark, sf, max_files, delay).filter("status = 'pass'").select("user_id", "event_type", "ts", "seq", "day")
+
+
+def q_stream_click_cap_warn(spark, sf, max_files=None, delay="0 seconds"):
+    from pulsekit.operators.rules import BLACKLIST_WARNING
+    return _capped(spark, sf, max_files, delay).filter("status = 'warn'").select(
+        "user_id", "event_type", "day", "ts", "seq", F.lit(BLACKLIST_WARNING).alias("warning"))
+
+
 # Same questions as the batch queries, so the same oracles.
-STREAM_ORACLE_OF = {
-    "stream_pv_hourly": "pv_hourly",
-    "stream_hot_items_topn": "hot_items_topn",
-    "stream_uv_hourly": "uv_hourly",
-    "stream_interval_join": "interval_join",
-    "stream_order_status": "order_status",
-    "stream_click_cap_pass": "click_cap_pass",
-}
+STREAM_ORACLE_OF = {f"stream_{name}": name for name in (
+    "pv_hourly", "hot_items_topn", "uv_hourly", "channel_counts", "interval_join", "reconcile", "order_status", "order_paid",
+    "order_timeout", "fail_pairs", "fail_episodes", "fail_runs", "click_cap_pass", "click_cap_warn")}
+STREAM_QUERIES = {name: globals()[f"q_{name}"] for name in STREAM_ORACLE_OF}

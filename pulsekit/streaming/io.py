@@ -1,19 +1,21 @@
-"""Stream sources, the end-of-input marker (H1) and sinks.
+"""Stream sources, the end of input (H1) and sinks.
 
 Streams carry ``timestamp`` event times (watermarks need them); the batch
 tables are ``timestamp_ntz``.  The session zone is UTC, so the casts between
 the two keep the wall clock.
 
-End of input: Spark's append mode emits a window only after the watermark
-passes it, and a finite input never moves the watermark past its own tail.
-:func:`with_end_marker` unions the stream with a one-row stream holding a
-far-future marker; the watermark operator sees it, the query filters it out
-right after, and the last real windows close on the next (no-data) batch.
+End of input: append mode emits a window only after the watermark passes it,
+and a finite input never moves the watermark past its own tail.  A stream is
+therefore read together with a second one over a folder that stays empty
+while the data is drained, in as many micro-batches as it takes.  Then a
+one-row marker far in the future is put into that folder and the same query
+runs once more on its checkpoint, which closes what is still open.  Closing
+is final: the checkpoint's watermark is then far ahead of any later row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,97 +24,112 @@ from pulsekit.session import ensure_utc, scratch_path
 MARKER = "_end_marker"
 # Fixed value: the marker's event time, far beyond any real event.
 MARKER_TS = "2999-12-31 00:00:00"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """The parquet table ``name`` of ``sf_dir`` as a file stream (NTZ columns become timestamp)."""
+    """The parquet table ``name`` of ``sf_dir``, a file or a folder of part files, as a stream (NTZ columns become timestamp).
+
+    Files come by their modification time, ``max_files`` a micro-batch.
+    """
     ensure_utc(spark)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    df = r.parquet(sf_dir)
+    df = r.parquet(path) if _is_folder(spark, path) else r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     for f in schema.fields:
         if isinstance(f.dataType, T.TimestampNTZType):
             df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
     return df
 
 
-def with_end_marker(stream: DataFrame, ts: str, name: str = "marker") -> DataFrame:
-    """``stream`` plus a one-row marker stream (column ``_end_marker``) far in the future.
-
-    Apply ``withWatermark`` on the result, then ``drop_marker`` before any
-    aggregation or join.
-    """
-    spark = stream.sparkSession
-    path = scratch_path(spark, name)
-    row = [F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema.fields if f.name != ts]
-    (spark.range(1).select(*row, F.to_timestamp(F.lit(MARKER_TS)).alias(ts))
-     .select(*stream.columns).write.parquet(path))
-    marker = spark.readStream.schema(stream.schema).parquet(path)
-    return (stream.withColumn(MARKER, F.lit(False))
-            .unionByName(marker.withColumn(MARKER, F.lit(True))))
-
-
-def drop_marker(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Remove the marker after ``withWatermark``.
-
-    Catalyst pushes deterministic filters that do not read the event-time
-    column below the watermark operator and into both sides of the union,
-    where they would drop the marker (its other fields are NULL) before the
-    watermark sees it.  This predicate therefore reads the event time; and
-    row filters belong before :func:`close_input` (see there).
-    """
-    keep = F.when(F.col(MARKER), F.col(ts) < F.to_timestamp(F.lit(MARKER_TS))).otherwise(F.lit(True))
-    return df.filter(keep).drop(MARKER)
-
-
-def close_input(df: DataFrame, ts: str, delay: str = "0 seconds", name: str = "marker") -> DataFrame:
-    """Filtered/projected stream → + end marker → watermark → marker removed.
-
-    Apply row filters and projections to ``df`` first: after this call only
-    stateful steps (aggregations, de-duplication, joins) should follow.
-    """
-    return drop_marker(with_end_marker(df, ts, name).withWatermark(ts, delay), ts)
-
-
-def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a streaming query over everything available, write parquet in the checkpoint folder, read it back.
-
-    The sink and the query checkpoint both live under ``spark.checkpoint.dir``
-    (shared storage), so a lost executor or a restarted driver resumes.
+class Ending:
+    """The ends of a query's inputs: attached to its streams, released when they are drained."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.markers: list[tuple[DataFrame, str]] = []
+
+    def close(self, stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
+        """Filtered and projected ``stream`` with its watermark; its windows close when the end is released.
+
+        Only stateful steps should follow: Catalyst pushes deterministic
+        filters that do not read the event time below the watermark and into
+        both inputs, where they would drop the marker, whose other fields are
+        null.  The marker itself is removed by a filter that reads the time.
+        """
+        path = scratch_path(self.spark, "marker")
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema.fields if f.name != ts]
+        row = self.spark.range(1).select(*blank, F.to_timestamp(F.lit(MARKER_TS)).alias(ts)).select(*stream.columns)
+        row.limit(0).write.parquet(path)
+        self.markers.append((row, path))
+        end = self.spark.readStream.schema(stream.schema).parquet(path)
+        both = (stream.withColumn(MARKER, F.lit(False)).unionByName(end.withColumn(MARKER, F.lit(True)))
+                .withWatermark(ts, delay))
+        keep = F.when(F.col(MARKER), F.col(ts) < F.to_timestamp(F.lit(MARKER_TS))).otherwise(F.lit(True))
+        return both.filter(keep).drop(MARKER)
+
+    def release(self) -> None:
+        for row, path in self.markers:
+            row.coalesce(1).write.mode("append").parquet(path)
+
+
+def run_to_table(df: DataFrame, name: str, ending: Ending | None = None, mode: str = "append",
+                 out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Run a streaming query over everything available, write parquet, read it back.
+
+    ``out`` and ``checkpoint`` name the sink and the query's progress: a run
+    with the same two goes on where the last one stopped.  Without them both
+    are fresh folders under ``spark.checkpoint.dir``.  With an ``ending`` the
+    inputs are drained first, then closed, which is final.
     """
     spark = df.sparkSession
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start(out))
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    out = out or scratch_path(spark, f"{name}-out")
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+
+    def drain() -> None:
+        before = spark.conf.get(_PROVIDER)
+        spark.conf.set(_PROVIDER, _ROCKS)  # read when the query starts; keyed processors need it
+        try:
+            q = (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start(out))
+        finally:
+            spark.conf.set(_PROVIDER, before)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+
+    drain()
+    if ending:
+        ending.release()
+        drain()
     return spark.read.schema(df.schema).parquet(out)
 
 
 def write_outputs(df: DataFrame, targets: dict, epoch_id: int) -> None:
     """``foreachBatch`` body writing several tagged outputs of one micro-batch (K2).
 
-    ``targets`` maps a ``status`` value to an output folder; the batch is
-    persisted once and each tag is appended with its epoch id, so a replayed
-    epoch can be recognised downstream.
+    ``targets`` maps a ``status`` value to an output folder.  Each epoch has
+    its own sub-folder, written over on a replay, so no row comes twice.
     """
     df.persist()
     try:
         for tag, path in targets.items():
-            (df.filter(F.col("status") == tag).withColumn("epoch_id", F.lit(epoch_id))
-             .write.mode("append").parquet(path))
+            df.filter(F.col("status") == tag).write.mode("overwrite").parquet(f"{path}/epoch_id={epoch_id}")
     finally:
         df.unpersist()
 
 
 def upsert_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Read an append-only update log written per epoch and keep the latest row per key (K3)."""
-    from pyspark.sql import Window
+    """Read a log written per epoch (:func:`write_outputs`) and keep the latest row per key (K3)."""
     log = spark.read.parquet(path)
     w = Window.partitionBy(*keys).orderBy(F.col("epoch_id").desc())
     return log.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "epoch_id")

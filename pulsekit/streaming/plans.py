@@ -13,46 +13,53 @@ from pyspark.sql import functions as F
 from pulsekit.functions.time import to_micros
 
 
-def stream_window_counts(df: DataFrame, ts: str, keys, size, slide=None, name: str = "cnt") -> DataFrame:
-    """Counts per key and window on a watermarked stream.
+def _txt(span) -> str:
+    return f"{to_micros(span)} microseconds"
+
 
-    Modest overlap uses ``window()`` on a stream watermarked on ``ts``.
-    Large overlap (1 h / 5 s: 720 windows per row) explodes each row to its
-    window ends first, as ``window()`` would plan a 720-way Expand, and sets
-    the watermark on the exploded ``window_end`` itself: pass an input that
-    is not yet watermarked in that case.
+def stream_panes(df: DataFrame, ts: str, keys, size, slide=None, name: str = "cnt") -> DataFrame:
+    """Counts per key and window ``w`` on a watermarked stream, rows counted once.
+
+    Rows are first counted per pane of the slide's length; a sliding window
+    then sums panes, so the copies (size / slide of them) are of panes, not
+    of rows.  The slide must divide the size.
     """
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     slide = slide or size
-    k = to_micros(size) // to_micros(slide)
-    if k <= 24:
-        g = df.groupBy(F.window(ts, _txt(size), _txt(slide)).alias("w"), *keys).agg(F.count(F.lit(1)).alias(name))
-        return g.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), name)
-    slide_us, size_us = to_micros(slide), to_micros(size)
-    first_end = (F.floor(F.unix_micros(F.col(ts)) / slide_us) + 1) * slide_us
-    ends = F.sequence(first_end.cast("long"), (first_end + (k - 1) * slide_us).cast("long"), F.lit(slide_us))
-    x = df.select(*keys, F.explode(ends).alias("_end")).select(*keys, F.timestamp_micros("_end").alias("window_end"))
-    x = x.withWatermark("window_end", f"{size_us // 1_000_000} seconds")
-    g = x.groupBy("window_end", *keys).agg(F.count(F.lit(1)).alias(name))
-    return g.select(*keys, (F.col("window_end") - F.expr(f"INTERVAL {size_us // 1_000_000} SECONDS")).alias("window_start"),
-                    "window_end", name)
+    if to_micros(size) % to_micros(slide):
+        raise ValueError("the slide must divide the size")
+    panes = df.groupBy(F.window(ts, _txt(slide)).alias("w"), *keys).agg(F.count(F.lit(1)).alias(name))
+    if to_micros(size) == to_micros(slide):
+        return panes
+    return (panes.groupBy(F.window(F.window_time("w"), _txt(size), _txt(slide)).alias("w2"), *keys)
+            .agg(F.sum(name).alias(name)).withColumnRenamed("w2", "w"))
 
 
-def _txt(span) -> str:
-    return f"{to_micros(span)} microseconds"
+def stream_window_counts(df: DataFrame, ts: str, keys, size, slide=None, name: str = "cnt") -> DataFrame:
+    """:func:`stream_panes` with the window's two ends as columns."""
+    keys = [keys] if isinstance(keys, str) else list(keys or [])
+    g = stream_panes(df, ts, keys, size, slide, name)
+    return g.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), name)
 
 
-def stream_top_n(counts_with_window: DataFrame, key: str, cnt: str, slide, n: int = 3) -> DataFrame:
-    """Second window stage keeping the top ``n`` (count desc, key asc) per window end.
+def stream_top_n(counts_with_window: DataFrame, key: str, cnt: str, slide, n: int = 3, salts: int = 16) -> DataFrame:
+    """The top ``n`` (count desc, key asc) per window end, in two stages.
 
-    Input: the output of a ``groupBy(window(...), key).count()`` stage with
-    its ``w`` window column.  ``window_time(w)`` falls in exactly one
-    tumbling window of the slide length, whose end is ``w``'s end.
+    Input: counts per key with their window column ``w``.
+    ``window_time(w)`` falls in exactly one tumbling window of the slide's
+    length, whose end is ``w``'s end.  The first stage keeps ``n`` of each
+    salt's keys, the second at most ``n * salts`` rows.
     """
-    g = counts_with_window.groupBy(F.window(F.window_time("w"), _txt(slide)).alias("w2")).agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col(cnt)).alias("neg"), F.col(key).alias("k")))), 1, n)
-        .alias("top"))
-    return (g.select(F.col("w2.end").alias("window_end"), F.posexplode("top").alias("pos", "t"))
+    row = F.struct((-F.col(cnt)).alias("neg"), F.col(key).alias("k"))
+
+    def best(rows):
+        return F.slice(F.sort_array(rows), 1, n).alias("top")
+
+    part = (counts_with_window.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)))
+            .groupBy(F.window(F.window_time("w"), _txt(slide)).alias("w2"), "salt").agg(best(F.collect_list(row))))
+    g = (part.groupBy(F.window(F.window_time("w2"), _txt(slide)).alias("w3"))
+         .agg(best(F.flatten(F.collect_list("top")))))
+    return (g.select(F.col("w3.end").alias("window_end"), F.posexplode("top").alias("pos", "t"))
             .select("window_end", (F.col("pos") + 1).cast("int").alias("rank"), F.col("t.k").alias(key),
                     (-F.col("t.neg")).alias(cnt)))
 
@@ -65,10 +72,13 @@ def stream_distinct_per_window(df: DataFrame, ts: str, id_col: str, size, name:
 
 
 def stream_interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
-                         lower, upper) -> DataFrame:
-    """J1 on streams: both sides watermarked; the time bound lets Spark drop join state."""
-    lo, hi = to_micros(lower) // 1_000_000, to_micros(upper) // 1_000_000
+                         lower, upper, how: str = "inner") -> DataFrame:
+    """J1 on streams: both sides watermarked; the time bound lets Spark drop join state.
+
+    ``how='full_outer'`` also gives, once the watermark is past any partner,
+    the rows of either side without one; its key column is filled from either side.
+    """
     r = right.withColumnRenamed(on, "_rk")
-    cond = F.expr(f"{on} = _rk AND {right_ts} >= {left_ts} + INTERVAL {lo} SECONDS "
-                  f"AND {right_ts} <= {left_ts} + INTERVAL {hi} SECONDS")
-    return left.join(r, cond, "inner").drop("_rk")
+    cond = F.expr(f"{on} = _rk AND {right_ts} >= {left_ts} + INTERVAL '{to_micros(lower) / 1e6:.6f}' SECOND "
+                  f"AND {right_ts} <= {left_ts} + INTERVAL '{to_micros(upper) / 1e6:.6f}' SECOND")
+    return left.join(r, cond, how).withColumn(on, F.coalesce(on, "_rk")).drop("_rk")

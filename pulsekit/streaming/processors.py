@@ -1,170 +1,322 @@
 """Keyed state machines for streams (``transformWithState``, Row API).
 
-State per key is O(1); timers only emit absences.  Rows of a key reach the
-processor in no promised order within a micro-batch, so each batch is sorted
-by (event time, seq) first.  Times cross the Python boundary as epoch
-microseconds (no time-zone conversion in the workers).
+Rows reach a processor in no promised order, so each is kept until the
+watermark passes it; then the rows due are acted on in (event time, seq)
+order, whatever micro-batches they came in.  Disorder within the watermark's
+delay therefore gives the batch answer.  Absences (no pay, an episode's
+close) are found when the watermark passes their time, from a timer.
+
+A rule is a small class: ``step`` takes the state and a row, ``expire`` what
+the watermark has passed; both give outputs and the new state.  State is
+bounded by what the rule may still need and goes when it is past.  Times
+cross the Python boundary as epoch microseconds.
 """
 
 from __future__ import annotations
 
-import heapq
+import json
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from pulsekit.functions.time import to_micros
-
-ORDER_STATUS_OUT = T.StructType([
-    T.StructField("order_id", T.LongType()), T.StructField("create_us", T.LongType()),
-    T.StructField("pay_us", T.LongType()), T.StructField("create_seq", T.LongType()),
-    T.StructField("pay_seq", T.LongType()), T.StructField("status", T.StringType()),
-])
-_HELD = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType())])
+from pulsekit.functions.time import local_day, to_micros
 
+_ROWS = "us long, seq long, kind string"
 
-class OrderStatusProcessor(StatefulProcessor):
-    """T4: create → pay within ``within_us`` (inclusive); else ``no_pay`` / ``payed_timeout``.
 
-    Same rule as :func:`pulsekit.operators.rules.order_status`: the latest
-    create is held; a pay takes it if it is still within reach; a newer
-    create replaces it; an event-time timer at its deadline reports
-    ``no_pay`` when nothing took it.
-    """
+class EventTimeRule(StatefulProcessor):
+    """Holds rows until the watermark passes them, then acts in event order."""
 
-    def __init__(self, within_us: int):
-        self.within_us = within_us
+    def __init__(self, rule):
+        self.rule = rule
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held_create", _HELD)
-
-    def _deadline_ms(self, us: int) -> int:
-        return (us + self.within_us) // 1000 + 1  # first ms strictly after the deadline
+        self.rows = handle.getListState("rows", _ROWS)
+        self.held = handle.getValueState("held", "state string")
 
     def handleInputRows(self, key, rows, timerValues):
-        oid = key[0]
-        held = self.held.get() if self.held.exists() else None
-        held = (held[0], held[1]) if held else None
-        for r in sorted(rows, key=lambda x: (x.us, x.seq)):
-            if held and r.us > held[0] + self.within_us:
-                self.handle.deleteTimer(self._deadline_ms(held[0]))
-                yield Row(order_id=oid, create_us=held[0], pay_us=None, create_seq=held[1], pay_seq=None,
-                          status="no_pay")
-                held = None
-            if r.event_type == "create":
-                if held:
-                    self.handle.deleteTimer(self._deadline_ms(held[0]))
-                held = (r.us, r.seq)
-            elif r.event_type == "pay":
-                if held:
-                    self.handle.deleteTimer(self._deadline_ms(held[0]))
-                    yield Row(order_id=oid, create_us=held[0], pay_us=r.us, create_seq=held[1], pay_seq=r.seq,
-                              status="paid")
-                    held = None
-                else:
-                    yield Row(order_id=oid, create_us=None, pay_us=r.us, create_seq=None, pay_seq=r.seq,
-                              status="payed_timeout")
-        if held:
-            self.held.update(held)
-            self.handle.registerTimer(self._deadline_ms(held[0]))
-        else:
-            self.held.clear()
+        some, first = [], None
+        for r in rows:
+            some.append((r.us, r.seq, r.kind))
+            first = r.us if first is None else min(first, r.us)
+            if len(some) == 1000:
+                self.rows.appendList(some)
+                some = []
+        if some:
+            self.rows.appendList(some)
+        if first is not None:
+            self.handle.registerTimer(first // 1000 + 1)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.held.exists():
-            us, seq = self.held.get()
-            if self._deadline_ms(us) == expiredTimerInfo.getExpiryTimeInMs():
-                self.held.clear()
-                yield Row(order_id=key[0], create_us=us, pay_us=None, create_seq=seq, pay_seq=None,
-                          status="no_pay")
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        due, rest = [], []
+        if self.rows.exists():
+            for us, seq, kind in self.rows.get():
+                (due if us < passed else rest).append((us, seq, kind))
+        state = json.loads(self.held.get()[0]) if self.held.exists() else None
+        before = json.dumps(state)
+        for row in sorted(due):
+            for out in self.rule.step(state, *row):
+                yield Row(**dict(zip(self.rule.keys, key, strict=True)), **out)
+            state = self.rule.state
+        if state is not None:
+            for out in self.rule.expire(state, passed):
+                yield Row(**dict(zip(self.rule.keys, key, strict=True)), **out)
+            state = self.rule.state
+        if due:
+            if rest:
+                self.rows.put(rest)
+            else:
+                self.rows.clear()
+        if state is None:
+            self.held.clear()
+        elif json.dumps(state) != before:
+            self.held.update((json.dumps(state),))
+        wake = [u for u in (min((r[0] for r in rest), default=None), self.rule.wakes(state) if state is not None else None) if u is not None]
+        if wake:
+            self.handle.registerTimer(max(min(wake), passed) // 1000 + 1)
 
     def close(self) -> None:
         pass
 
 
-def stream_order_status(orders: DataFrame, key: str, ts: str, seq: str, event_type: str,
-                        within="15 minutes") -> DataFrame:
-    """Watermarked stream of (key, ts, seq, event_type) → order status rows (timestamps as µs columns)."""
-    spark = orders.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    x = orders.select(F.col(key).alias("order_id"), F.col(event_type).alias("event_type"),
-                      F.unix_micros(F.col(ts)).alias("us"), F.col(seq).alias("seq"))
-    # Rows other than create / pay are ignored by the processor.  Filter them
-    # before the watermark (see streaming.io.close_input), not here: a filter
-    # here would be pushed below the watermark and drop the end marker.
-    return (x.groupBy("order_id")
-            .transformWithState(OrderStatusProcessor(to_micros(within)), ORDER_STATUS_OUT, "append", "EventTime"))
-
-
-CLICK_CAP_OUT = T.StructType([
-    T.StructField("user_id", T.LongType()), T.StructField("ad", T.StringType()),
-    T.StructField("day", T.DateType()), T.StructField("ts_us", T.LongType()),
-    T.StructField("seq", T.LongType()), T.StructField("status", T.StringType()),
-])
-
-
-class ClickCapProcessor(StatefulProcessor):
-    """Per (user, ad) and local day pass clicks while ``n == 1 or n < max``; warn once at ``max(2, max)``.
-
-    Keyed by (user, ad) like the reference; the state is ``(day, count)`` of
-    the latest day seen, so a new day starts from zero (the reference's
-    midnight reset) and state stays one row per pair (state TTL needs
-    processing-time mode, which did not finish under ``availableNow`` here,
-    so pairs are kept).  Per batch only the first ``max(2, max)`` clicks
-    of each day can produce output, so each day keeps a bounded heap rather
-    than the sorted batch.  A late row for a day older than the state's day
-    is counted from zero for that day (its earlier count is gone).
+class _Rule:
+    """``step`` and ``expire`` yield output columns and leave the new state in ``self.state``."""
+
+    def __init__(self, keys: list[str], span_us: int = 0):
+        self.keys, self.span, self.state = keys, span_us, None
+
+    def wakes(self, state) -> int | None:
+        """The time (µs) that the watermark must pass for ``expire`` to have work."""
+        return state["us"] + self.span
+
+    def expire(self, state, passed):
+        self.state = None if self.wakes(state) < passed else state
+        return iter(())
+
+
+class OrderStatus(_Rule):
+    """T4: create, then pay within the span (inclusive), else ``no_pay`` / ``payed_timeout``; a newer create replaces one."""
+
+    out = "create_us long, pay_us long, create_seq long, pay_seq long, status string"
+
+    def _row(self, state=None, us=None, seq=None, status=None):
+        return {"create_us": state and state["us"], "pay_us": us, "create_seq": state and state["seq"], "pay_seq": seq, "status": status}
+
+    def step(self, state, us, seq, kind):
+        if state and us > state["us"] + self.span:
+            yield self._row(state, status="no_pay")
+            state = None
+        if kind == "create":
+            state = {"us": us, "seq": seq}
+        elif kind == "pay":
+            yield self._row(state, us, seq, "paid" if state else "payed_timeout")
+            state = None
+        self.state = state
+
+    def expire(self, state, passed):
+        self.state = state
+        if self.wakes(state) < passed:
+            yield self._row(state, status="no_pay")
+            self.state = None
+
+
+class ClickCap(_Rule):
+    """Per local day (``kind``) pass clicks while ``n == 1 or n < max``, warn once at ``max(2, max)``.
+
+    A day's count goes when the watermark is past the day in every zone.
     """
 
-    def __init__(self, max_clicks: int):
+    out = "day string, ts_us long, seq long, status string"
+
+    def __init__(self, keys, max_clicks):
+        super().__init__(keys)
         self.max_clicks = max_clicks
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("day_count", "day date, n long")
+    def step(self, state, us, seq, kind):
+        state = state or {}
+        n = state[kind] = state.get(kind, 0) + 1
+        if n == 1 or n < self.max_clicks:
+            yield {"day": kind, "ts_us": us, "seq": seq, "status": "pass"}
+        elif n == max(2, self.max_clicks):
+            yield {"day": kind, "ts_us": us, "seq": seq, "status": "warn"}
+        self.state = state
 
-    def handleInputRows(self, key, rows, timerValues):
-        user, ad = key
-        warn_at = max(2, self.max_clicks)
-        held = self.state.get() if self.state.exists() else None
-        days: dict = {}
-        for r in rows:
-            d = days.setdefault(r.day, [0, []])
-            d[0] += 1
-            item = (-r.us, -r.seq, r.us, r.seq)
-            if len(d[1]) < warn_at:
-                heapq.heappush(d[1], item)
-            elif item > d[1][0]:
-                heapq.heapreplace(d[1], item)
-        last = None
-        for day in sorted(days):
-            total, heap = days[day]
-            before = held[1] if held is not None and held[0] == day else 0
-            for i, (_, _, us, seq) in enumerate(sorted(heap, reverse=True), start=before + 1):
-                if i == 1 or i < self.max_clicks:
-                    yield Row(user_id=user, ad=ad, day=day, ts_us=us, seq=seq, status="pass")
-                elif i == warn_at:
-                    yield Row(user_id=user, ad=ad, day=day, ts_us=us, seq=seq, status="warn")
-            last = (day, before + total)
-        if last is not None and (held is None or last[0] >= held[0]):
-            self.state.update(last)
+    def _end(self, day: str) -> int:
+        return int((datetime.combine(date.fromisoformat(day), datetime.min.time(), timezone.utc) + timedelta(days=2)).timestamp()) * 1_000_000
 
-    def close(self) -> None:
-        pass
+    def wakes(self, state):
+        return min(map(self._end, state))
+
+    def expire(self, state, passed):
+        self.state = {d: n for d, n in state.items() if self._end(d) >= passed} or None
+        return iter(())
+
+
+class FailPairs(_Rule):
+    """A fail whose previous row is a fail at most the span away."""
+
+    out = "first_us long, last_us long, first_seq long, last_seq long"
+
+    def step(self, state, us, seq, kind):
+        if state and kind == "fail" and us - state["us"] <= self.span:
+            yield {"first_us": state["us"], "last_us": us, "first_seq": state["seq"], "last_seq": seq}
+        self.state = {"us": us, "seq": seq} if kind == "fail" else None
+
+
+class FailEpisodes(_Rule):
+    """The first fail opens an episode that closes the span later; two fails or more alert, a success before cancels."""
+
+    out = "first_us long, last_us long, n_fails long"
+
+    def _alert(self, state):
+        if state["n"] >= 2:
+            yield {"first_us": state["us"], "last_us": state["last"], "n_fails": state["n"]}
+
+    def step(self, state, us, seq, kind):
+        if state and us > state["us"] + self.span:
+            yield from self._alert(state)
+            state = None
+        if kind != "fail":
+            state = None
+        elif state:
+            state = state | {"last": us, "n": state["n"] + 1}
+        else:
+            state = {"us": us, "last": us, "n": 1}
+        self.state = state
+
+    def expire(self, state, passed):
+        self.state = state
+        if self.wakes(state) < passed:
+            yield from self._alert(state)
+            self.state = None
+
+
+class FailRuns(_Rule):
+    """``n`` fails in a row that span less than ``span``; overlapping runs all count."""
+
+    out = "first_us long, last_us long, first_seq long, last_seq long, n_events int"
+
+    def __init__(self, keys, span_us, n):
+        super().__init__(keys, span_us)
+        self.n = n
+
+    def step(self, state, us, seq, kind):
+        run = [*(state["run"] if state else []), [us, seq]][-self.n:] if kind == "fail" else []
+        if len(run) == self.n and us - run[0][0] < self.span:
+            yield {"first_us": run[0][0], "last_us": us, "first_seq": run[0][1], "last_seq": seq, "n_events": self.n}
+        self.state = {"us": us, "run": run} if run else None
+
+
+class FollowedBy(_Rule):
+    """Each ``create`` pairs with the next ``pay`` less than the span later, else it times out."""
+
+    out = "first_us long, first_seq long, then_us long, then_seq long, status string"
+
+    def step(self, state, us, seq, kind):
+        waiting = state["waiting"] if state else []
+        if kind == "pay":
+            for a, s in waiting:
+                hit = us - a < self.span
+                yield {"first_us": a, "first_seq": s, "then_us": us if hit else None, "then_seq": seq if hit else None,
+                       "status": "match" if hit else "timeout"}
+            waiting = []
+        elif kind == "create":
+            waiting = [*waiting, [us, seq]]
+        self.state = {"waiting": waiting} if waiting else None
+
+    def wakes(self, state):
+        return state["waiting"][0][0] + self.span
+
+    def expire(self, state, passed):
+        for a, s in state["waiting"]:
+            if a + self.span < passed:
+                yield {"first_us": a, "first_seq": s, "then_us": None, "then_seq": None, "status": "timeout"}
+        waiting = [w for w in state["waiting"] if w[0] + self.span >= passed]
+        self.state = {"waiting": waiting} if waiting else None
+
+
+class OneToOne(_Rule):
+    """Pays and receipts of one key pair off one to one, each pay with the earliest receipt left in its bounds."""
+
+    out = "pay_us long, pay_seq long, receipt_us long, receipt_seq long, status string"
+
+    def __init__(self, keys, lower_us, upper_us):
+        super().__init__(keys)
+        self.low, self.high = lower_us, upper_us
+
+    def _reach(self, kind):
+        return max(self.high, 0) if kind == "pay" else max(-self.low, 0)
+
+    def step(self, state, us, seq, kind):
+        waiting = state["waiting"] if state else []
+        for i, (u, s, k) in enumerate(waiting):
+            gap = u - us if kind == "pay" else us - u
+            if k != kind and self.low <= gap <= self.high:
+                pay, receipt = ((us, seq), (u, s)) if kind == "pay" else ((u, s), (us, seq))
+                yield {"pay_us": pay[0], "pay_seq": pay[1], "receipt_us": receipt[0], "receipt_seq": receipt[1], "status": "matched"}
+                waiting = waiting[:i] + waiting[i + 1:]
+                break
+        else:
+            waiting = [*waiting, [us, seq, kind]]
+        self.state = {"waiting": waiting} if waiting else None
+
+    def wakes(self, state):
+        return min(u + self._reach(k) for u, _, k in state["waiting"])
+
+    def expire(self, state, passed):
+        left = []
+        for u, s, k in state["waiting"]:
+            if u + self._reach(k) >= passed:
+                left.append([u, s, k])
+            elif k == "pay":
+                yield {"pay_us": u, "pay_seq": s, "receipt_us": None, "receipt_seq": None, "status": "pay_only"}
+            else:
+                yield {"pay_us": None, "pay_seq": None, "receipt_us": u, "receipt_seq": s, "status": "receipt_only"}
+        self.state = {"waiting": left} if left else None
+
+
+def _run(df: DataFrame, key, ts: str, seq: str, kind: Column, rule) -> DataFrame:
+    """The rule's output per key.  Filter rows before the watermark, not after it (see ``streaming.io``)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    x = df.select(*keys, F.unix_micros(F.col(ts)).alias("us"), F.col(seq).cast("long").alias("seq"), kind.alias("kind"))
+    schema = T.StructType([*(x.schema[k] for k in keys), *T._parse_datatype_string(rule.out).fields])
+    return x.groupBy(*keys).transformWithState(EventTimeRule(rule), schema, "append", "EventTime")
+
+
+def stream_order_status(orders: DataFrame, key: str, ts: str, seq: str, event_type: str, within="15 minutes") -> DataFrame:
+    """Watermarked create and pay rows → order status rows (times in epoch µs)."""
+    return _run(orders, key, ts, seq, F.col(event_type), OrderStatus([key], to_micros(within)))
 
 
 def stream_click_cap(clicks: DataFrame, user: str, ad: str, ts: str, seq: str, max_clicks: int = 100,
                      zone: str = "Asia/Shanghai") -> DataFrame:
-    """Watermarked click stream → pass / warn rows (``ts_us`` in epoch µs)."""
-    from pulsekit.functions.time import local_day
-    spark = clicks.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    x = clicks.select(F.col(user).alias("user_id"), F.col(ad).cast("string").alias("ad"),
-                      local_day(ts, zone).alias("day"), F.unix_micros(F.col(ts)).alias("us"), F.col(seq).alias("seq"))
-    return (x.groupBy("user_id", "ad")
-            .transformWithState(ClickCapProcessor(max_clicks), CLICK_CAP_OUT, "append", "EventTime"))
+    """Watermarked clicks → pass and warn rows, tagged by ``status``."""
+    return _run(clicks, [user, ad], ts, seq, local_day(ts, zone).cast("string"), ClickCap([user, ad], max_clicks))
+
+
+def stream_fail_pairs(logins: DataFrame, key: str, ts: str, seq: str, event_type: str, interval="2 seconds") -> DataFrame:
+    return _run(logins, key, ts, seq, F.col(event_type), FailPairs([key], to_micros(interval)))
+
+
+def stream_fail_episodes(logins: DataFrame, key: str, ts: str, seq: str, event_type: str, interval="2 seconds") -> DataFrame:
+    return _run(logins, key, ts, seq, F.col(event_type), FailEpisodes([key], to_micros(interval)))
+
+
+def stream_fail_runs(logins: DataFrame, key: str, ts: str, seq: str, event_type: str, n: int = 5, within="5 seconds") -> DataFrame:
+    return _run(logins, key, ts, seq, F.col(event_type), FailRuns([key], to_micros(within), n))
+
+
+def stream_followed_by(orders: DataFrame, key: str, ts: str, seq: str, event_type: str, within="15 minutes") -> DataFrame:
+    """Watermarked create and pay rows → ``match`` and ``timeout`` rows."""
+    return _run(orders, key, ts, seq, F.col(event_type), FollowedBy([key], to_micros(within)))
+
+
+def stream_one_to_one(both: DataFrame, key: str, ts: str, seq: str, kind: str, lower="-3 seconds", upper="5 seconds") -> DataFrame:
+    """A watermarked union of ``pay`` and ``receipt`` rows → matched pairs and the rows without a partner."""
+    return _run(both, key, ts, seq, F.col(kind), OneToOne([key], to_micros(lower), to_micros(upper)))
