@@ -17,6 +17,8 @@ forest of its links, not the links.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm.common import PREFIX, written
 from pulsekit.llm.components import connected_components
-from pulsekit.llm.tiles import deal_pairs, forest, whole_groups
+from pulsekit.llm.tiles import deal_pairs, forest, gathered, whole_groups
 
 BITS = 64
 
@@ -71,40 +73,89 @@ def segments(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _variants(fp: str, distance: int) -> Column:
-    """Index entries of a fingerprint: segment and wildcard (64: none), the segment without that bit, and the bit."""
-    out = []
+def _values(fp: np.ndarray, distance: int):
+    """(segment, its value in each fingerprint)."""
     for s, (first, bits) in enumerate(segments(distance)):
-        value = F.expr(f"shiftrightunsigned({fp}, {first}) & {(1 << bits) - 1}L")
-        out.append(F.struct(F.lit(s * 128 + 64).alias("slot"), value.alias("rest"), F.lit(0).alias("side")))
-        for j in range(bits):
-            out.append(F.struct(F.lit(s * 128 + j).alias("slot"), value.bitwiseAND(F.lit(~(1 << j))).alias("rest"),
-                                F.shiftright(value, j).bitwiseAND(F.lit(1)).cast("int").alias("side")))
-    return F.array(*out)
+        yield s, bits, (fp >> np.uint64(first) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _key(s: int, wildcard: int, rest: np.ndarray) -> np.ndarray:
+    """An index key: segment, the place of its wildcard (64: none), the segment without that bit."""
+    return np.int64(s * 128 + wildcard << 40) + rest
+
+
+def _variants(s: int, bits: int, value: np.ndarray):
+    yield _key(s, 64, value)
+    for j in range(bits):
+        yield _key(s, j, value & ~np.int64(1 << j))
+
+
+def _index(distance: int, whole_only: bool = False):
+    """(key, fp): the entries of each fingerprint, or those of its whole segments only."""
+    def run(batches):
+        for batch in batches:
+            fp = batch.column("fp").to_numpy()
+            keys = [k for s, bits, v in _values(fp.view(np.uint64), distance)
+                    for k in ([_key(s, 64, v)] if whole_only else _variants(s, bits, v))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.tile(fp, len(keys)))], ["key", "fp"])
+
+    return run
+
+
+def _crowded(distance: int):
+    """(key, n) of every entry under which the fingerprints of a crowded segment value come."""
+    sizes = [bits for _, bits in segments(distance)]
+
+    def run(batches):
+        for batch in batches:
+            key, n = batch.column("key").to_numpy(), batch.column("count").to_numpy()
+            for s, bits in enumerate(sizes):
+                here = key >> 47 == s
+                for k in _variants(s, bits, key[here] & np.int64((1 << 40) - 1)):
+                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n[here])], ["key", "n"])
+
+    return run
 
 
 def links(prints: DataFrame, distance: int, tile: int = 2048) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints (column ``fp``) that connect all pairs at ``distance`` bits or fewer."""
-    entries = prints.select("fp", F.explode(_variants("fp", distance)).alias("e")).select("fp", "e.slot", "e.rest", "e.side")
-    key = ["slot", "rest"]
-    whole = F.col("slot") % 128 == 64
-    sizes = (entries.groupBy(*key).agg(F.count("*").alias("n"), F.sum("side").alias("ones"))
-             .filter((F.col("n") > 1) & (whole | ((F.col("ones") > 0) & (F.col("ones") < F.col("n")))))
-             .select(*key, F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
-    return deal_pairs(entries, sizes, key, "fp").mapInArrow(_close(distance), "u long, v long").distinct()
+    """Edges (u, v) between distinct fingerprints (column ``fp``) that connect all pairs at ``distance`` bits or fewer.
+
+    A key's fingerprints have one of at most two values of its segment, so
+    only keys of values with more than ``tile`` fingerprints can be crowded.
+    """
+    spark = prints.sparkSession
+    spread = prints.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp")
+    entries = spread.mapInArrow(_index(distance), "key long, fp long")
+    busy = written(spread.mapInArrow(_index(distance, whole_only=True), "key long, fp long")
+                   .groupBy("key").count().filter(F.col("count") > tile), "crowded")
+    close, schema = _close(distance), "u long, v long"
+    if busy.isEmpty():
+        return gathered(entries, ["key"]).mapInArrow(close, schema).distinct()
+    tiles = (busy.mapInArrow(_crowded(distance), "key long, n long").groupBy("key")
+             .agg((F.ceil(F.sum("n") / tile) + 1).cast("int").alias("tiles")))
+    return (gathered(entries.join(tiles, "key", "left_anti"), ["key"]).mapInArrow(close, schema)
+            .unionByName(deal_pairs(entries, tiles, ["key"], "fp").mapInArrow(close, schema)).distinct())
 
 
 def _close(distance: int):
-    """Close pairs of each pair of tiles, as a spanning forest where there are many."""
+    """Close pairs under each key, or of each pair of tiles of one, as a spanning forest where there are many."""
+    cuts_of = segments(distance)
+
     def run(batches):
-        for t, cuts in whole_groups(batches, ["slot", "rest", "a", "b"]):
-            fp = t.column("fp").to_numpy().view(np.uint64)
-            side, tile = t.column("side").to_numpy(), t.column("t").to_numpy()
-            whole = t.column("slot").to_numpy() % 128 == 64
-            cross = t.column("a").to_numpy() != t.column("b").to_numpy()
+        first = next(batches, None)
+        if first is None:
+            return
+        tiled = "a" in first.schema.names
+        for t, cuts in whole_groups(itertools.chain([first], batches), ["key", "a", "b"] if tiled else ["key"]):
+            fp, slot = t.column("fp").to_numpy().view(np.uint64), t.column("key").to_numpy() >> 40
+            whole = slot % 128 == 64
+            bit = np.array([a for a, _ in cuts_of])[slot // 128] + np.where(whole, 0, slot % 128)
+            side = np.where(whole, 0, fp >> bit.astype(np.uint64) & np.uint64(1)).astype(np.int8)
+            tile = t.column("t").to_numpy() if tiled else np.zeros(len(fp), dtype=np.int32)
+            cross = t.column("a").to_numpy() != t.column("b").to_numpy() if tiled else np.zeros(len(fp), dtype=bool)
             sizes = np.diff(cuts)
             us, vs = [], []
-            for n in np.unique(sizes):
+            for n in np.unique(sizes[sizes > 1]):
                 starts = cuts[:-1][sizes == n]
                 if n > 64:
                     for s in starts.tolist():
@@ -113,7 +164,7 @@ def _close(distance: int):
                         vs.append(v)
                     continue
                 i, j = np.triu_indices(n, 1)  # groups of one size, by far the most, all at once
-                at = max(1, (1 << 20) // max(1, len(i)))
+                at = max(1, (1 << 20) // len(i))
                 for k in range(0, len(starts), at):
                     s = starts[k:k + at, None]
                     x, y = (s + i).ravel(), (s + j).ravel()
