@@ -1,4 +1,4 @@
-"""Keying helpers: constant keys (P5) and deterministic salts."""
+"""Deterministic salts (P6); a count without a key needs no constant one (P5)."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def constant_key(value: str = "pv") -> Column:
-    """The ``("pv", 1)`` pair of the page-view job: one literal key."""
-    return F.lit(value)
-
-
 def salt(cols, buckets: int = 8, prefix: str | None = None) -> Column:
     """Deterministic salt in ``[0, buckets)`` from a hash of ``cols``.
 

@@ -29,10 +29,3 @@ def render_top_n(df: DataFrame, window_end: str, rank: str, key: str, cnt: str,
               .select(window_end,
                       F.concat_ws("\n", F.concat(F.lit("===="), ts_text(window_end), F.lit("====")),
                                   F.transform("_ls", lambda x: x["l"])).alias("text")))
-
-
-def render_pattern(df: DataFrame, key: str, first_ts: str, last_ts: str, n: str) -> DataFrame:
-    """``key: n fails between first and last`` lines for the login rules."""
-    return df.select(F.format_string("%s: %d failed logins between %s and %s",
-                                     F.col(key).cast("string"), F.col(n),
-                                     ts_text(first_ts), ts_text(last_ts)).alias("text"))

@@ -94,26 +94,22 @@ def ntz_to_seconds(c) -> Column:
     return F.expr(f"timestampdiff(SECOND, {EPOCH_NTZ}, {_sql(c)})")
 
 
-# Fixed value: the access-log time layout read by the hot-URL job.
+# The access-log time layout read by the hot-URL job, to write and to read.
 ACCESS_LOG_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss"
+ACCESS_LOG_TIME = r"^(\d{2})/(\d{2})/(\d{4}):(\d{2}):(\d{2}):(\d{2})$"
 
 
-def parse_log_time(c, fmt: str = ACCESS_LOG_TIME_FORMAT) -> Column:
+def parse_log_time(c) -> Column:
     """Parse log time text to timestamp_ntz; unparsable text gives NULL.
 
     The zone-offset field of the log line is ignored, as in the reference: the
-    text is read as a wall-clock time.  Parsing and the cast to ntz both use the
-    session zone, so the wall clock survives whatever that zone is.
+    text is a wall-clock time.  No session zone takes part, so times that some
+    zone skips or repeats are read like any other.
     """
-    return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")
+    day, month, year, hour, minute, second = (F.regexp_extract(_col(c), ACCESS_LOG_TIME, i).try_cast("int") for i in range(1, 7))
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)"))
 
 
 def local_day(ts: str, zone: str = "Asia/Shanghai") -> Column:
     """Calendar day of a zone-less UTC instant as seen in ``zone``."""
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(ts)))
-
-
-def next_local_midnight(ts: str, zone: str = "Asia/Shanghai") -> Column:
-    """First instant (zone-less UTC) of the day after ``ts`` in ``zone`` (P10)."""
-    nxt = F.date_add(local_day(ts, zone), 1).cast("timestamp_ntz")
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), nxt)

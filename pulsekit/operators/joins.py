@@ -38,28 +38,41 @@ def interval_join(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts:
     return j.select(*keep)
 
 
+def _near(one: DataFrame, one_ts: str, many: DataFrame, many_ts: str, on: list[str], lo: int, hi: int, how: str) -> DataFrame:
+    """``one`` joined with the rows of ``many`` whose time is in ``[one + lo, one + hi]``.
+
+    Here ``many`` is copied into the (at most two) buckets whose rows can
+    reach it and ``one`` keeps its own bucket, so each of its rows is there
+    once and outer and anti joins are right as they stand.
+    """
+    width = max(hi - lo, 1)
+    o = one.withColumn("_o", micros(one, one_ts)).withColumn("_bk", floor_div(F.col("_o"), width))
+    m = (many.withColumnsRenamed({k: f"_m_{k}" for k in on}).withColumn("_m", micros(many, many_ts))
+         .withColumn("_mbk", F.explode(F.sequence(floor_div(F.col("_m") - F.lit(hi), width), floor_div(F.col("_m") - F.lit(lo), width)))))
+    gap = F.col("_m") - F.col("_o")
+    cond = (F.col("_bk") == F.col("_mbk")) & (gap >= lo) & (gap <= hi)
+    for k in on:
+        cond &= o[k] == m[f"_m_{k}"]
+    return o.join(m, cond, how)
+
+
 def reconcile(pays: DataFrame, receipts: DataFrame, on, pay_ts: str, receipt_ts: str,
               pay_id: str, receipt_id: str, lower="-3 seconds", upper="5 seconds",
               status: str = "status") -> DataFrame:
     """Full reconciliation: matched pairs, pays without receipt, receipts without pay.
 
-    ``matched`` rows are the interval join; the leftovers are anti joins on
-    the unique row ids of each side (no hot key, no duplicates from the time
-    buckets).  Status values: ``matched``, ``pay_only``, ``receipt_only``.
-    The m:n join is the default meaning; one-to-one matching in arrival order
-    is the streaming processor's job.
+    One left outer join by key, time bucket and range gives the pairs and the
+    pays alone, one anti join the receipts alone; no hot key, no duplicates
+    from the buckets.  Status values: ``matched``, ``pay_only``,
+    ``receipt_only``.  The m:n join is the default meaning; one-to-one
+    matching is the streaming processor's job.
     """
     on = [on] if isinstance(on, str) else list(on)
-    matched = interval_join(pays, receipts, on, pay_ts, receipt_ts, lower, upper)
-    pay_only = pays.join(matched.select(pay_id), pay_id, "left_anti")
-    rec_only = receipts.join(matched.select(receipt_id), receipt_id, "left_anti")
-    cols = on + [c for c in pays.columns if c not in on] + [c for c in receipts.columns if c not in on]
-
-    def shape(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in cols],
-                         F.lit(tag).alias(status))
-
-    pay_types = {f.name: f.dataType for f in pays.schema.fields + receipts.schema.fields}
-    out = shape(matched, "matched").unionByName(shape(pay_only, "pay_only")) \
-        .unionByName(shape(rec_only, "receipt_only"))
-    return out.select(*[F.col(c).cast(pay_types[c]).alias(c) for c in cols], status)
+    lo, hi = to_micros(lower), to_micros(upper)
+    left = [c for c in pays.columns if c not in on]
+    right = [c for c in receipts.columns if c not in on]
+    paid = _near(pays, pay_ts, receipts, receipt_ts, on, lo, hi, "left").select(
+        *on, *left, *right, F.when(F.col("_m").isNull(), "pay_only").otherwise("matched").alias(status))
+    alone = _near(receipts, receipt_ts, pays, pay_ts, on, -hi, -lo, "left_anti")
+    return paid.unionByName(alone.select(*on, *(F.lit(None).cast(pays.schema[c].dataType).alias(c) for c in left), *right,
+                                         F.lit("receipt_only").alias(status)))

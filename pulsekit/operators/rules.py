@@ -45,27 +45,25 @@ def cap_per_day(df: DataFrame, keys, ts: str, seq: str, max_clicks: int = 100,
 
 
 def fail_pairs(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interval="2 seconds",
-               order: str = "event", block=None) -> DataFrame:
+               order: str = "event", block=None, seq_block: int = 1 << 20) -> DataFrame:
     """A fail whose previous row of the key is a fail at most ``interval`` away.
 
     ``order='event'`` sorts by (time, seq); ``order='arrival'`` follows ``seq``
-    only and compares ``abs`` of the time difference, like the reference.
+    only and compares ``abs`` of the time difference, like the reference; a
+    key's rows are split into ranges of ``seq_block`` numbers, and the first
+    row of a range looks at the last row of the range before it.
     Returns ``key, first_ts, last_ts, first_seq, last_seq``.
     """
     keys = _keys(key)
     span = to_micros(interval)
     base = df.select(*keys, ts, seq, is_fail.alias("_f"))
-    if order == "event":
-        b = time_blocks(base, ts, back_us=span, block=block)
-        w = Window.partitionBy(*keys, "_blk").orderBy(ts, seq)
-        own = F.col("_own")
-    elif order == "arrival":
-        b = base.withColumn("_us", micros(base, ts))
-        w = Window.partitionBy(*keys).orderBy(seq)
-        own = F.lit(True)
-    else:
+    if order == "arrival":
+        return _arrival_pairs(base, keys, ts, seq, span, seq_block)
+    if order != "event":
         raise ValueError("order is 'event' or 'arrival'")
-    x = b.select(*keys, ts, seq, "_f", "_us", own.alias("_own"),
+    b = time_blocks(base, ts, back_us=span, block=block)
+    w = Window.partitionBy(*keys, "_blk").orderBy(ts, seq)
+    x = b.select(*keys, ts, seq, "_f", "_us", "_own",
                  F.lag("_f").over(w).alias("_pf"), F.lag("_us").over(w).alias("_pus"),
                  F.lag(ts).over(w).alias("first_ts"), F.lag(seq).over(w).alias("first_seq"))
     hit = F.col("_own") & F.col("_f") & F.col("_pf") & (F.abs(F.col("_us") - F.col("_pus")) <= span)
@@ -73,6 +71,18 @@ def fail_pairs(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interval=
                                 F.col(seq).alias("last_seq"))
 
 
+def _arrival_pairs(base: DataFrame, keys: list[str], ts: str, seq: str, span: int, seq_block: int) -> DataFrame:
+    row = F.struct(F.col(seq).alias("seq"), F.col("_f").alias("f"), F.col("_us").alias("us"), F.col(ts).alias("ts"))
+    x = base.withColumn("_us", micros(base, ts)).withColumn("_blk", F.floor(F.col(seq) / seq_block)).withColumn("_row", row)
+    ends = x.groupBy(*keys, "_blk").agg(F.max("_row").alias("_last"))  # a row per key and range
+    carry = ends.select(*keys, "_blk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_blk")).alias("_carry"))
+    inside = F.lag("_row").over(Window.partitionBy(*keys, "_blk").orderBy(seq))
+    y = x.withColumn("_in", inside).join(carry, keys + ["_blk"]).withColumn("_p", F.coalesce("_in", "_carry"))
+    hit = F.col("_f") & F.col("_p.f") & (F.abs(F.col("_us") - F.col("_p.us")) <= span)
+    return y.filter(hit).select(*keys, F.col("_p.ts").alias("first_ts"), F.col(ts).alias("last_ts"),
+                                F.col("_p.seq").alias("first_seq"), F.col(seq).alias("last_seq"))
+
+
 def fail_episodes(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interval="2 seconds",
                   grace="0 seconds", block=None) -> DataFrame:
     """The first fail opens an episode closing ``interval`` later; >= 2 fails → one alert.
@@ -116,9 +126,10 @@ def fail_episodes(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interv
            .agg(F.array_sort(F.collect_list(F.struct(F.col("_us").alias("us"), F.col(ts).alias("ts")))).alias("_rows"),
                 F.max(ends).alias("_cancel_us")))
     # state: t0 (µs), first ts, last ts, count, closed episodes
-    ep_t = "struct<first_ts:timestamp_ntz,last_ts:timestamp_ntz,n:bigint>"
-    init = F.struct(F.lit(None).cast("bigint").alias("t0"), F.lit(None).cast("timestamp_ntz").alias("f"),
-                    F.lit(None).cast("timestamp_ntz").alias("l"), F.lit(0).cast("bigint").alias("n"),
+    time_t = df.schema[ts].dataType.simpleString()
+    ep_t = f"struct<first_ts:{time_t},last_ts:{time_t},n:bigint>"
+    init = F.struct(F.lit(None).cast("bigint").alias("t0"), F.lit(None).cast(time_t).alias("f"),
+                    F.lit(None).cast(time_t).alias("l"), F.lit(0).cast("bigint").alias("n"),
                     F.array().cast(f"array<{ep_t}>").alias("out"))
 
     def step(acc, r):

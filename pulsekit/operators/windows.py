@@ -112,17 +112,6 @@ def _slide(panes: DataFrame, keys: list[str], k: int, block: int, with_sum: bool
     return live.select(*keys, F.explode(F.sequence(F.col("_i"), hi)).alias("_q"), "_cnt", "_sum")
 
 
-def tumbling_counts(df, ts, keys=None, size="1 hour", **kw) -> DataFrame:
-    """Tumbling window counts (``slide = size``)."""
-    return window_counts(df, ts, keys, size, size, **kw)
-
-
-def window_end_of(df: DataFrame, ts: str, size, name: str = "window_end") -> Column:
-    """End of the tumbling window holding ``ts`` (W7), same type as ``ts``."""
-    size_us = to_micros(size)
-    return micros_to((floor_div(micros(df, ts), size_us) + 1) * F.lit(size_us), df.schema[ts].dataType).alias(name)
-
-
 def salted_counts(df: DataFrame, ts: str, size, salt_col: Column, buckets: int = 8,
                   name: str = "cnt") -> DataFrame:
     """A3/A4: count per (window, salt) first, then sum the partials per window.

@@ -91,6 +91,11 @@ def ad_clicks_by_province(clicks: DataFrame, max_clicks: int = 100, size="1 hour
                           zone: str = "Asia/Shanghai") -> DataFrame:
     """Passed clicks per province and sliding window."""
     passed, _ = ad_click_cap(clicks, max_clicks, zone)
+    return province_counts(passed, size, slide)
+
+
+def province_counts(passed: DataFrame, size="1 hour", slide="5 seconds") -> DataFrame:
+    """Clicks that passed the cap, per province and sliding window."""
     return window_counts(passed, "ts", ["province"], size, slide)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pulsekit.plans.stream_catalog import STREAM_ORACLE_OF
+
 H = 3_600_000_000
 M5 = 300_000_000
 S5 = 5_000_000
@@ -176,7 +178,11 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
                    count(DISTINCT user_id) AS uv FROM ({HOURLY}) v GROUP BY ALL""",
         "uv_bitmap": f"""
             SELECT make_timestamp(us // {H} * {H}) AS window_start, make_timestamp((us // {H} + 1) * {H}) AS window_end,
-                   count(DISTINCT right(CAST(user_id AS VARCHAR), 6)) AS uv FROM ({HOURLY}) v GROUP BY ALL""",
+                   count(DISTINCT right(CAST(user_id + 1000000 * (1 + us // {M5} % 9) AS VARCHAR), 6)) AS uv,
+                   count(DISTINCT user_id + 1000000 * (1 + us // {M5} % 9)) AS ids FROM ({HOURLY}) v GROUP BY ALL""",
+        "uv_approx": f"""
+            SELECT make_timestamp(us // {H} * {H}) AS window_start, make_timestamp((us // {H} + 1) * {H}) AS window_end,
+                   count(DISTINCT user_id) AS uv, true AS close FROM ({HOURLY}) v GROUP BY ALL""",
         "uv_running": f"""
             WITH v AS (SELECT event_id AS seq, user_id, us, us // {H} AS q FROM ({HOURLY}) h),
             f AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY q, user_id ORDER BY us, seq) = 1
@@ -200,7 +206,8 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
             SELECT user_id, first_ts, last_ts, first_seq, last_seq FROM (
               SELECT user_id, ts AS last_ts, event_id AS last_seq, f, us,
                 lag(f) OVER w AS pf, lag(us) OVER w AS pus, lag(ts) OVER w AS first_ts, lag(event_id) OVER w AS first_seq
-              FROM ({LOGIN}) l WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) x
+              FROM (SELECT * REPLACE (event_id // 7 * 7 + 6 - event_id % 7 AS event_id) FROM ({LOGIN}) r) l
+              WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) x
             WHERE f AND pf AND abs(us - pus) <= {2 * H}""",
         "fail_episodes": _episodes(2 * H),
         "fail_runs": _runs(3, 24 * H),
@@ -223,11 +230,4 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
 
 
 ORACLES = build()
-ORACLES.update({
-    "stream_pv_hourly": ORACLES["pv_hourly"],
-    "stream_hot_items_topn": ORACLES["hot_items_topn"],
-    "stream_uv_hourly": ORACLES["uv_hourly"],
-    "stream_interval_join": ORACLES["interval_join"],
-    "stream_order_status": ORACLES["order_status"],
-    "stream_click_cap_pass": ORACLES["click_cap_pass"],
-})
+ORACLES.update({stream: ORACLES[batch] for stream, batch in STREAM_ORACLE_OF.items()})

@@ -58,13 +58,6 @@ def q_stream_uv_hourly(spark, sf, max_files=None, delay="0 seconds"):
     return _ntz(out, "window_start", "window_end")
 
 
-def q_stream_channel_counts(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
-    rows = D.market_behavior(read_table_stream(spark, sf, "events", max_files)).select("channel", "behavior", "ts")
-    counts = stream_window_counts(end.close(rows, "ts", delay), "ts", ["channel", "behavior"], "1 hour", "5 seconds")
-    return _ntz(run_to_table(counts, "stream_channel_counts", end), "window_start", "window_end")
-
-
 def _sides(spark, sf, close, max_files, delay):
     def side(etype, idn, tsn):
         ev = read_table_stream(spark, sf, "events", max_files).filter(F.col("event_type") == etype)
@@ -160,8 +153,9 @@ def q_stream_click_cap_warn(spark, sf, max_files=None, delay="0 seconds"):
         "user_id", "event_type", "day", "ts", "seq", F.lit(BLACKLIST_WARNING).alias("warning"))
 
 
-# Same questions as the batch queries, so the same oracles.
+# Same questions as the batch queries, so the same oracles.  (The 1 h / 5 s counts are not registered: millions of
+# windows pass through state; ``stream_window_counts`` is tested on fewer.)
 STREAM_ORACLE_OF = {f"stream_{name}": name for name in (
-    "pv_hourly", "hot_items_topn", "uv_hourly", "channel_counts", "interval_join", "reconcile", "order_status", "order_paid",
+    "pv_hourly", "hot_items_topn", "uv_hourly", "interval_join", "reconcile", "order_status", "order_paid",
     "order_timeout", "fail_pairs", "fail_episodes", "fail_runs", "click_cap_pass", "click_cap_warn")}
 STREAM_QUERIES = {name: globals()[f"q_{name}"] for name in STREAM_ORACLE_OF}

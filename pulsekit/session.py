@@ -45,7 +45,7 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

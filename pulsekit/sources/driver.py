@@ -97,21 +97,29 @@ def receipts(events: DataFrame) -> DataFrame:
                     F.col("ts").alias("receipt_ts")))
 
 
-def ad_clicks(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """S3 shape: clicks, ad = item, province = nation of the customer whose key is the user.
+def clicks(events: DataFrame) -> DataFrame:
+    """S3 shape without the place: clicks, ad = item."""
+    return events.filter(F.col("event_type") == "click").select(
+        "user_id", item_id().alias("ad_id"), "ts", F.col("event_id").alias("seq"))
+
+
+def located(rows: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Click rows with province (nation of the customer whose key is the user) and city.
 
     ``nation`` is a fixed 25-row dimension, so it is broadcast.  ``customer``
     grows with the data: the join is left to the planner, whose broadcast
     threshold checks its size (AQE switches to a broadcast only under it).
     """
-    clicks = events.filter(F.col("event_type") == "click").select(
-        "user_id", item_id().alias("ad_id"), "ts", F.col("event_id").alias("seq"))
     geo = (customer.select("c_custkey", "c_nationkey", "c_mktsegment")
            .join(F.broadcast(nation.select("n_nationkey", "n_name")),
                  F.col("c_nationkey") == F.col("n_nationkey"))
            .select(F.col("c_custkey"), F.col("n_name").alias("province"), F.col("c_mktsegment").alias("city")))
-    return (clicks.join(geo, clicks.user_id == geo.c_custkey, "left")
-            .select("user_id", "ad_id", "province", "city", "ts", "seq"))
+    return rows.join(geo, rows.user_id == geo.c_custkey, "left").drop("c_custkey")
+
+
+def ad_clicks(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """S3 shape: clicks, ad = item, province and city of the customer."""
+    return located(clicks(events), customer, nation).select("user_id", "ad_id", "province", "city", "ts", "seq")
 
 
 def market_behavior(events: DataFrame) -> DataFrame:

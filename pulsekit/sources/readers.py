@@ -7,7 +7,7 @@ first bad line instead, which is what the reference does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,22 @@ from pulsekit.functions.time import millis_to_ntz, parse_log_time, seconds_to_nt
 from pulsekit.sources import schemas as S  # noqa: F401
 
 
-def _with_seq(df: DataFrame, seq: str = "seq") -> DataFrame:
-    # Increasing in file order within and across the splits of one file.
-    return df.withColumn(seq, F.monotonically_increasing_id())
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines under ``path`` with ``seq``: files by name, then the place in the file.
+
+    Spark packs large splits first, so row numbers of its partitions do not
+    follow the files.  A line's number is its file's rank, then its split's
+    byte offset plus its row in the split: a line has at least one byte, so
+    this grows along a file of up to 2^40 bytes.  The table of splits is one
+    row per split.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_f"),
+                                       F.col("_metadata.file_block_start").alias("_b"),
+                                       F.monotonically_increasing_id().alias("_m"))
+    splits = raw.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"))
+    rank = F.dense_rank().over(Window.orderBy("_f")).cast("long") - 1
+    place = splits.select("_f", "_b", (rank * (1 << 40) + F.col("_b") - F.col("_m0")).alias("_at"))
+    return raw.join(place, ["_f", "_b"]).select("value", (F.col("_at") + F.col("_m")).alias("seq"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
@@ -28,7 +41,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
     reference's ``String.split`` does.  Empty string fields become NULL.
     ``mode='FAILFAST'`` raises on the first line that does not parse.
     """
-    lines = _with_seq(spark.read.text(path))
+    lines = _lines(spark, path)
     return parse_lines(lines, schema, sep=sep, mode=mode)
 
 
@@ -136,5 +149,5 @@ def parse_access_log(lines: DataFrame, col: str = "value", sep: str = ",") -> tu
 
 
 def read_access_log(spark: SparkSession, path: str, sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    lines = _with_seq(spark.read.text(path))
+    lines = _lines(spark, path)
     return parse_access_log(lines, sep=sep)

@@ -28,5 +28,3 @@ LOGIN = _st(("user_id", L), ("ip", S), ("event_type", S), ("ts", NTZ))
 ORDER = _st(("order_id", L), ("event_type", S), ("tx_id", S), ("ts", NTZ))
 RECEIPT = _st(("tx_id", S), ("pay_channel", S), ("ts", NTZ))
 MARKET = _st(("user_id", L), ("behavior", S), ("channel", S), ("ts", NTZ))
-
-CORRUPT = "_corrupt_record"
