@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm.common import PREFIX, written
 from pulsekit.llm.suffix_array import suffix_array
+from pulsekit.llm.textchunks import forget
 from pulsekit.llm.tiles import gathered, whole_groups
 
 _BASE = 0x9E3779B97F4A7C15
@@ -135,6 +136,7 @@ def _candidates(windows: Windows):
     that others learn of it; the rest are known to repeat and go anywhere.
     """
     def run(batches):
+        forget()
         for batch in batches:
             parts = []
             for some, data, at in _runs(batch):

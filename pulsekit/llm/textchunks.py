@@ -57,7 +57,7 @@ class ChunkTable:
     becomes the older one, and chunks still in use move back as they occur.
     """
 
-    def __init__(self, compute, limit: int = 400_000):
+    def __init__(self, compute, limit: int = 250_000):
         self.compute, self.limit = compute, limit
         self.now, self.old = {}, {}
 
@@ -81,7 +81,7 @@ class ChunkTable:
             out.append(v)
         return out
 
-    def coded(self, texts: pa.Array, batch_bytes: int = 6 << 20):
+    def coded(self, texts: pa.Array, batch_bytes: int = 4 << 20):
         """Runs of texts: the values of their distinct chunks, the chunks as codes into these, and where each text's begin."""
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         runs = np.cumsum(sizes) // batch_bytes
@@ -120,3 +120,8 @@ def worker_table(key: tuple, make) -> ChunkTable:
         _TABLES.clear()
         _TABLES[key] = make()
     return _TABLES[key]
+
+
+def forget() -> None:
+    """Give back the room of this worker's table when it goes on to other work."""
+    _TABLES.clear()

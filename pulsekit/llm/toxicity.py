@@ -166,7 +166,7 @@ def score(text: Column, model: Model) -> Column:
         def compute(chunk, known):
             return tuple(f for f in chunk_features(chunk) if f in model.weights)
 
-        table = worker_table(model.key(), lambda: ChunkTable(compute))
+        table = worker_table(model.key(), lambda: ChunkTable(compute, limit=100_000))
         z = [model.bias + sum(sorted(model.weights[f] for f in set().union(*table.values(list(set((t or "").lower().split()))))))
              for t in texts.to_pylist()]
         return pa.array(1 / (1 + np.exp(-np.array(z, dtype=float))))
