@@ -116,18 +116,22 @@ def _tile(t: pa.Table, make, min_cosine: float):
     norm = np.sqrt(products(x, x))
     part = ((x / norm[:, None]) @ space.turn[space.cuts[block]:space.cuts[block + 1]].T).astype(np.float32)
     square = (part ** 2).sum(axis=1)
-    if t.column("a")[0] == t.column("b")[0]:
-        own = other = np.arange(len(x))
-    else:
-        own, other = np.flatnonzero(tile == t.column("a")[0].as_py()), np.flatnonzero(tile == t.column("b")[0].as_py())
+    a, b = t.column("a")[0].as_py(), t.column("b")[0].as_py()
+    if a == b:
+        meet = [(np.flatnonzero(home), np.arange(len(x)))]
+    else:  # two visitors meet in another cell
+        meet = [(np.flatnonzero((tile == a) & home), np.flatnonzero(tile == b)),
+                (np.flatnonzero((tile == a) & ~home), np.flatnonzero((tile == b) & home))]
     counts, groups, edges = np.zeros(len(x), dtype=np.int64), np.arange(len(x)), []
-    for i in range(0, len(own), 512):
-        some = own[i:i + 512]
-        near = square[some, None] + square[other] - 2 * part[some] @ part[other].T <= np.float32(space.budgets[block] + 1e-5)
-        p, q = np.nonzero(near)
+    most = np.float32(space.budgets[block] + 1e-5)
+    for some, other in ((own[i:i + 256], other) for own, other in meet for i in range(0, len(own), 256)):
+        near = part[some] @ (-2 * part[other].T)
+        near += square[other]
+        p, q = np.nonzero(near <= (most - square[some])[:, None])
         p, q = some[p], other[q]
-        ok = (home[p] | home[q]) if own is not other else (home[p] | home[q]) & (p < q)
-        p, q = p[ok], q[ok]
+        if a == b:
+            ok = ~home[q] | (p < q)
+            p, q = p[ok], q[ok]
         for j in range(0, len(p), 1 << 16):
             u, v = p[j:j + (1 << 16)], q[j:j + (1 << 16)]
             ok = products(x[u], x[v]) / (norm[u] * norm[v]) >= min_cosine
@@ -147,7 +151,7 @@ def _tile(t: pa.Table, make, min_cosine: float):
                                          ["u", "v", "n"])
 
 
-def near_duplicates(vectors: DataFrame, *, min_cosine: float = 0.95, block_dims: int = 8, grid_dims: int = 2, tile: int = 8192,
+def near_duplicates(vectors: DataFrame, *, min_cosine: float = 0.95, block_dims: int = 8, grid_dims: int = 2, tile: int = 16_384,
                     id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """One row per vector: id, n_links (other vectors with cosine >= ``min_cosine``), component_id (smallest id reachable), kept.
 
