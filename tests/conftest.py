@@ -8,7 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pulsekit.session import get_session  # noqa: E402
 
-FIX = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
 SF001 = "/root/testdata/sf0.001"
 
 
@@ -18,7 +17,3 @@ def spark():
     s = get_session("local[4]", 8, app="pulsekit-tests",
                     extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
     yield s
-
-
-def fixture(name: str) -> str:
-    return os.path.join(FIX, name)
