@@ -125,3 +125,4 @@ def worker_table(key: tuple, make) -> ChunkTable:
 def forget() -> None:
     """Give back the room of this worker's table when it goes on to other work."""
     _TABLES.clear()
+    pa.default_memory_pool().release_unused()
