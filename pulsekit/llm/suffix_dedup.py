@@ -249,8 +249,11 @@ def _batch(rows: list, schema: str) -> pa.RecordBatch:
                                       [f for f, _ in fields])
 
 
-def _repeats(windows: Windows):
-    """Contexts sorted by anchor: the runs of their windows that repeat, as first and last window."""
+def _repeats(windows: Windows, part: int = 20_000):
+    """Contexts sorted by anchor: the runs of their windows that repeat, as first and last window.
+
+    About ``part`` contexts are sorted at a time, but never less than an anchor's.
+    """
     def run(batches):
         for t, cuts in whole_groups(batches, ["key"]):
             contexts, lead, n, times, names = _collapsed(t)
@@ -262,15 +265,25 @@ def _repeats(windows: Windows):
             met = np.concatenate([[False], group[1:] == group[:-1]])
             met[:-1] |= met[1:].copy()
             some = np.flatnonzero(met)
-            for part in np.array_split(some, max(1, len(some) // 20_000)) if len(some) else []:
-                found = shared_windows([contexts[i] for i in part.tolist()], lead[part], n[part], windows.length)[:, :again.shape[1]]
-                again[part, :found.shape[1]] |= found
+            for mine in _whole_parts(some, group[some], part):
+                found = shared_windows([contexts[i] for i in mine.tolist()], lead[mine], n[mine], windows.length)[:, :again.shape[1]]
+                again[mine, :found.shape[1]] |= found
             again &= np.arange(again.shape[1]) < n[:, None]
             yield from _as_runs(again, names)
 
     return run
 
 
+def _whole_parts(rows: np.ndarray, group: np.ndarray, limit: int) -> list[np.ndarray]:
+    """``rows`` in parts of at most ``limit``, cut only where ``group`` changes; a larger group is a part of its own."""
+    ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(rows)).tolist()
+    cuts = [0]
+    for begin, end in itertools.pairwise([0, *ends]):
+        if end - cuts[-1] > limit and begin > cuts[-1]:
+            cuts.append(begin)
+    return [rows[a:b] for a, b in itertools.pairwise([*cuts, len(rows)]) if b > a]
+
+
 def _collapsed(t: pa.Table):
     """Distinct contexts of a table sorted by key, with how often they occur (2: or more)."""
     columns = [t.column(c).to_numpy() for c in ("key", "c1", "c2", "lead")]

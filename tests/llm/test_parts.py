@@ -198,6 +198,35 @@ def test_repeats_of_short_strings(spark, crowded):
         assert got.get(i, []) == list(zip(edges[::2], edges[1::2], strict=True))
 
 
+def test_parts_keep_an_anchor_whole():
+    """Pairs of near copies of one frequent passage: each window repeats in one other context, however small the parts."""
+    windows = suffix_dedup.Windows(20)
+    passage = b"the frequent passage in the middle of all"
+    r = random.Random(3)
+    some = []
+    for _ in range(25):
+        left, right = (bytes(r.randrange(97, 123) for _ in range(30)) for _ in range(2))
+        some += [left + passage + right, left + passage + right[:15] + bytes(r.randrange(97, 123) for _ in range(15))]
+    at = np.cumsum([0, *map(len, some)])
+    text, lo, hi, anchor, _ = windows.anchors(np.frombuffer(b"".join(some), dtype=np.uint8), at)
+    places = [[] for _ in some]
+    for t, first, last, a in zip(text.tolist(), lo.tolist(), hi.tolist(), anchor.tolist(), strict=True):
+        places[t].append(a - int(at[t]) + suffix_dedup._PLACE * ((a - first) + suffix_dedup._SPAN * (a - last)))
+    docs = pa.RecordBatch.from_pydict({"row": list(range(len(some))), "text": some, "places": places})
+    contexts = pa.Table.from_batches(suffix_dedup._contexts(windows, "bytes")([docs])).sort_by("key").combine_chunks()
+
+    def found(part):
+        return {tuple(x.values()) for b in suffix_dedup._repeats(windows, part)(contexts.to_batches()) for x in b.to_pylist()}
+
+    assert len(found(1000)) > 50
+    for part in (1, 7, 30):
+        assert found(part) == found(1000)
+    group = np.array([1, 1, 1, 2, 3, 3, 4, 4, 4, 4, 4, 5])
+    parts = suffix_dedup._whole_parts(np.arange(12), group, 4)
+    assert [p.tolist() for p in parts] == [[0, 1, 2, 3], [4, 5], [6, 7, 8, 9, 10], [11]]
+    assert suffix_dedup._whole_parts(np.arange(0), group[:0], 4) == []
+
+
 def test_probes_in_order():
     template = ann.probe_template(4, 81)
     assert template.shape == (81, 8) and not template[0].any()
