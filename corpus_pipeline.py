@@ -2,7 +2,8 @@
 
 Four stages, each an operator of ``pulsekit.llm`` with the parameters of its
 query: toxic documents go, one document of each SimHash group stays, byte
-strings that occur twice go, and what is left is packed.  Each stage takes
+strings and passages of over 50 words that occur twice go, and what is left is
+packed.  Each stage takes
 (spark, docs, sf_dir) and works on all that the stage before it kept; all but
 the last return the columns of ``docs``.
 
@@ -34,9 +35,12 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.representatives(docs, **SIMHASH)
 
 
+REPEAT_WORDS = 51
+
+
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the byte strings that occur elsewhere too; ``n_chars`` follows."""
-    out = suffix_dedup.without_repeats(docs, REPEAT_BYTES)
+    """Documents without the byte strings and the passages of over 50 words that occur elsewhere too; ``n_chars`` follows."""
+    out = suffix_dedup.without_repeats(docs, REPEAT_BYTES, words=REPEAT_WORDS)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -452,6 +452,75 @@ def _merged(batches):
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))], ["row", "spans"])
 
 
+_WIDTH = 8
+
+
+def _word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word of texts in a row that begin at ``at`` (and end); words stand between Unicode's spaces."""
+    space = np.zeros(len(data) + 1, dtype=bool)
+    space[:-1] = np.isin(data, np.frombuffer(b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ", dtype=np.uint8))
+    for wide in _WIDE_SPACES:
+        hit = np.ones(max(0, len(data) - len(wide) + 1), dtype=bool)
+        for k, byte in enumerate(wide):
+            hit &= data[k:k + len(hit)] == byte
+        where = np.flatnonzero(hit)
+        for k in range(len(wide)):
+            space[where + k] = True
+    word = ~space
+    word[-1] = False
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[at] = True
+    before = np.concatenate([[False], word[:-1]])
+    return np.flatnonzero(word & (cut | ~before)), np.flatnonzero(before & (cut | ~word))
+
+
+_WIDE_SPACES = [c.encode() for c in map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+
+
+def _as_words(batches):
+    """Texts with each word as ``_WIDTH`` bytes of its hash (none is 255), without what stands between words."""
+    for batch in batches:
+        for some, data, at in _runs(batch):
+            begin, end = _word_bounds(data, at)
+            through = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_TABLE[data] * _powers(len(data), _BASE))])
+            words = _mixed((through[end] - through[begin]) * _powers(len(data) + 1, _INVERSE)[begin]) & np.uint64(0x7F7F7F7F7F7F7F7F)
+            edges = (np.searchsorted(begin, at) * _WIDTH).tolist()
+            coded = words.astype("<u8").tobytes()
+            texts = pa.array([coded[a:b] for a, b in itertools.pairwise(edges)], pa.binary())
+            yield pa.RecordBatch.from_arrays([some.column("row"), texts], ["row", "text"])
+
+
+def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
+    """Of ``docs`` (row: a hash that names it, text): (row, spans) of words that lie in ``words`` words in a row that repeat.
+
+    ``spans``: as :func:`repeated_windows` gives them for the words' hashes,
+    ``_WIDTH`` bytes a word.  Words are equal whatever space stands between them.
+    """
+    coded = docs.select("row", "text").mapInArrow(_as_words, "row long, text binary")
+    return repeated_windows(coded, words * _WIDTH)[1]
+
+
+def _all_spans(text, spans, passages) -> F.Column:
+    """Sorted, disjoint byte spans: ``spans`` and, from first to last whole word, ``passages`` (null where both are)."""
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
+    @F.arrow_udf("array<struct<a:long,b:long>>")
+    def union(texts: pa.Array, lists: pa.Array, coded: pa.Array) -> pa.Array:
+        out = []
+        for t, some, runs in zip(texts.cast(pa.binary()).to_pylist(), lists.to_pylist(), coded.to_pylist(), strict=True):
+            if runs:
+                begin, end = _word_bounds(np.frombuffer(t, dtype=np.uint8), np.array([0, len(t)]))
+                # hashes of the words next to a passage may share some bytes
+                whole = [(-(-r["a"] // _WIDTH), r["b"] // _WIDTH) for r in runs]
+                both = [*(some or []), *({"a": int(begin[a]), "b": int(end[b - 1])} for a, b in whole)]
+                some = next(_merged([pa.RecordBatch.from_arrays(
+                    [pa.array([0]), pa.array([sorted(both, key=lambda s: (s["a"], s["b"]))], kind)], ["row", "spans"])])).column("spans")[0].as_py()
+            out.append(some)
+        return pa.array(out, kind)
+
+    return union(text, spans, passages)
+
+
 def kept_bytes(text, spans) -> F.Column:
     """``binary``: the bytes of a text outside ``spans`` (null: all; null text: none)."""
     @F.arrow_udf("binary")
@@ -492,15 +561,18 @@ def repeats(docs: DataFrame, length: int = 400, *, id_col: str = "doc_id", text_
         F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame, length: int = 400, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 400, *, words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text_col``.
 
-    A character that a cut runs through goes with it; null texts stay null;
-    rows stay, also those with nothing left.
+    With ``words``, passages of that many words or more that occur elsewhere
+    too go as well, however few bytes they have.  A character that a cut runs
+    through goes with it; null texts stay null; rows stay, also those with
+    nothing left.
     """
     row, found = PREFIX + "row", PREFIX + "spans"
     rows = docs.withColumn(row, row_name(docs, id_col, text_col))
-    _, spans = repeated_windows(rows.select(F.col(row).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), length)
+    texts = rows.select(F.col(row).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    _, spans = repeated_windows(texts, length)
 
     @F.arrow_udf("string")
     def valid(data: pa.Array) -> pa.Array:
@@ -508,4 +580,8 @@ def without_repeats(docs: DataFrame, length: int = 400, *, id_col: str = "doc_id
 
     text = F.when(F.col(found).isNull(), F.col(text_col)).otherwise(valid(kept_bytes(F.col(text_col), F.col(found))))
     joined = rows.join(spans.select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left")
+    if words:
+        passages = PREFIX + "passages"
+        joined = joined.join(repeated_passages(texts, words).select(F.col("row").alias(row), F.col("spans").alias(passages)), row, "left")
+        joined = joined.withColumn(found, _all_spans(F.col(text_col), F.col(found), F.col(passages)))
     return joined.withColumn(text_col, text).select(*docs.columns)

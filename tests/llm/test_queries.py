@@ -1,6 +1,7 @@
 """Every corpus query on tables of awkward cases and on empty ones, against plain Python."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -243,3 +244,24 @@ def test_pipeline(spark, sf):
     assert bag((r.doc_id, r.text) for r in last) == bag(want)
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in last)
     check_packing([r.asDict() for r in corpus_pipeline.run(spark, sf).collect()], want)
+
+
+def test_pipeline_cuts_passages_of_over_50_words(spark):
+    """Passages of 51 to 65 words, all under 400 bytes, go from otherwise different documents; 50 words stay."""
+    r = random.Random(12)
+
+    def some(n):
+        return ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(1, 7))) for _ in range(n)]
+
+    want, rows = [], []
+    for k, n in enumerate((50, 51, 52, 58, 65)):
+        passage = some(n)
+        assert len(" ".join(passage)) < 400
+        for copy, space in enumerate([" ", "\n", "\xa0"]):
+            a, b = " ".join([*some(70), f"é{k}.{copy}"]), " ".join([f"{copy}.{k}é", *some(40 * copy)])
+            rows.append((len(rows), f"{a}\n{space.join(passage)} {b}"))
+            want.append(rows[-1][1] if n == 50 else f"{a}\n {b}")
+    rows += [(90, None), (91, ""), (92, " \n"), (93, "one")]
+    want += [None, "", " \n", "one"]
+    got = corpus_pipeline.unrepeated(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    assert [x.text for x in sorted(got.collect(), key=lambda x: x.doc_id)] == want
