@@ -56,6 +56,8 @@ class Windows:
         self.gram = max(1, min(16, length // 4))
         self.half = max(1, (length - self.gram + 1) // 2)
         self.core = length - self.half + 1
+        if self.half > _SPAN:
+            raise ValueError(f"windows of {length} bytes: an anchor may lie over {_SPAN} bytes into its window")
 
     def anchors(self, data: np.ndarray, at: np.ndarray):
         """Of texts in a row that begin at ``at`` (and end): text, first and last window, anchor, hash of the anchor's bytes."""
@@ -125,8 +127,8 @@ def _runs(batch: pa.RecordBatch, limit: int = 1 << 20):
             yield batch.slice(a, b - a), np.frombuffer(b"".join(texts.to_pylist()), dtype=np.uint8), np.concatenate([[0], np.cumsum(sizes[a:b])])
 
 
-_PLACE = 1 << 40
-_SPAN = 1 << 11
+_PLACE = 1 << 31                # more than a text's bytes
+_SPAN = 1 << 16                 # more than the bytes from a window's start to its anchor; a place and two spans fill 63 bits
 
 
 def _candidates(windows: Windows):

@@ -227,6 +227,17 @@ def test_parts_keep_an_anchor_whole():
     assert suffix_dedup._whole_parts(np.arange(0), group[:0], 4) == []
 
 
+def test_repeats_of_long_strings(spark):
+    """Anchors further than 2,048 bytes into their windows; a length that places cannot hold is refused."""
+    r = random.Random(9)
+    shared, *own = ("".join(r.choice("abcdefgh") for _ in range(n)) for n in (11_000, 900, 700, 800))
+    frame = spark.createDataFrame([(1, own[0] + shared + own[1]), (2, shared + own[2])], "row long, text string")
+    _, spans = suffix_dedup.repeated_windows(frame, length=9000)
+    assert {x.row: [(s.a, s.b) for s in x.spans] for x in spans.collect()} == {1: [(900, 11_900)], 2: [(0, 11_000)]}
+    with pytest.raises(ValueError):
+        suffix_dedup.Windows(140_000)
+
+
 def test_probes_in_order():
     template = ann.probe_template(4, 81)
     assert template.shape == (81, 8) and not template[0].any()
