@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import ann, bpe, embedding_dedup, packing, sharding, simhash, suffix_dedup, token_store, toxicity
+from pulsekit.llm import ann, bpe, decontamination, embedding_dedup, packing, sharding, simhash, suffix_dedup, token_store, toxicity
 from pulsekit.llm.common import table, text_bytes
 from pulsekit.llm.token_counts import token_counts
 from pulsekit.session import scratch_path
@@ -114,6 +114,14 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document shares with the benchmark: ten words in a row, or a whole shorter item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"), span=10)
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_byte_bpe": op4_byte_bpe,
@@ -125,6 +133,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_token_store": op10_token_store,
+    "op11_decontamination": op11_decontamination,
 }
 
 _VALID = "embedding IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0 AND isfinite(list_sum(embedding::DOUBLE[]))"
