@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import ann, bpe, decontamination, embedding_dedup, packing, sharding, simhash, suffix_dedup, token_store, toxicity
+from pulsekit.llm import ann, bpe, decontamination, embedding_dedup, packing, sharding, simhash, suffix_dedup, token_store, toxicity, whitening
 from pulsekit.llm.common import table, text_bytes
 from pulsekit.llm.token_counts import token_counts
 from pulsekit.session import scratch_path
@@ -122,6 +122,15 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the four leading components of the distinct ones."""
+    rows, found, error = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=4)
+    explained = [float(e / found.trace) for e in found.values] if found else []
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("i", "whitened")).select(
+        "vec_id", (F.col("i") + 1).alias("component"), F.lit(found.n if found else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.get(F.array(*map(F.lit, explained)).cast("array<double>"), F.col("i")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_byte_bpe": op4_byte_bpe,
@@ -134,6 +143,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_token_store": op10_token_store,
     "op11_decontamination": op11_decontamination,
+    "op12_whitening": op12_whitening,
 }
 
 _VALID = "embedding IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0 AND isfinite(list_sum(embedding::DOUBLE[]))"
