@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import ann, bpe, decontamination, embedding_dedup, packing, sharding, simhash, suffix_dedup, token_store, toxicity, whitening
+from pulsekit.llm import ann, bpe, conversation_repair, decontamination, embedding_dedup, packing, sharding, simhash, suffix_dedup, token_store, toxicity, whitening
 from pulsekit.llm.common import table, text_bytes
 from pulsekit.llm.token_counts import token_counts
 from pulsekit.session import scratch_path
@@ -131,6 +131,22 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(F.array(*map(F.lit, explained)).cast("array<double>"), F.col("i")).alias("explained"), F.lit(error).alias("identity_error"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults put in by a checksum of ``conv_id:turn``; ``copies`` is 0 for rows that are lost, 2 for repeated ones."""
+    name = F.concat(*(F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(":") for c in ("conv_id", ":", "turn")))
+    kind = F.crc32(name.cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with every damaged conversation, and its cheapest repair."""
+    return conversation_repair.repaired(damaged(table(spark, sf_dir, "conversations")), copies=F.col("copies"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_byte_bpe": op4_byte_bpe,
@@ -144,6 +160,7 @@ QUERIES = {
     "op10_token_store": op10_token_store,
     "op11_decontamination": op11_decontamination,
     "op12_whitening": op12_whitening,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _VALID = "embedding IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0 AND isfinite(list_sum(embedding::DOUBLE[]))"
