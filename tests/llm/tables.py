@@ -35,7 +35,8 @@ def documents(extra: bool = True) -> pa.Table:
             "source": pa.array([None if i % 7 == 0 else f"src{i % 2}" for i in range(n)], pa.string()),
             "n_chars": pa.array([None if t is None else len(t) for t in some], pa.int64())}
     if extra:  # names that the operators use themselves
-        for name in ("shard", "slot", "row", "spans", "ids", "fp", "key", "score", "piece", "length", "component_id", "n", "size"):
+        for name in ("shard", "slot", "row", "spans", "ids", "fp", "key", "score", "piece", "length", "component_id", "n", "size",
+                     "sequence_id", "offset", "start", "vec", "low", "n_kept", "text_crc32", "words", "n_words", "hashes", "grams", "at", "w"):
             cols[name] = pa.array([None if i % 3 == 0 else i for i in range(n)], pa.int64())
     return pa.table(cols)
 
@@ -59,8 +60,34 @@ def vectors() -> pa.Table:
                      "label": pa.array([None if i % 4 == 0 else i for i in range(len(ids))], pa.int32()), "cid": pa.array(ids, pa.int64())})
 
 
+def benchmark() -> pa.Table:
+    some = [" ".join(texts()[7].split()[40:75]), prose(1, 120)[30:200], "Ab, aB", "", None, "!!", prose(50, 30), " ".join(prose(9, 450).split()[:10]),
+            " ".join(texts()[7].split()[60:72]), "漢字 😀 é", prose(11, 9), prose(1, 120)]
+    ids = [*range(100, 100 + len(some) - 2), 100, None]      # an id twice, a null id
+    return pa.table({"item_id": pa.array(ids, pa.int64()), "text": pa.array(some, pa.string()), "words": pa.array(ids, pa.int64()),
+                     "window": pa.array(["?"] * len(ids))})
+
+
+def conversations() -> pa.Table:
+    r = random.Random(3)
+    rows = []
+    for c in range(60):
+        for t in range(r.randrange(0, 9)):
+            role = r.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None])
+            rows.append((c, r.choice([t, t, t, t, 2 * t, None, 0]), role, r.choice(["Yes.", "No", " ", None, prose(t, 9) + "!", "é?\n", "So. \t", "", "why"])))
+    rows += rows[:25] + [(None, 1, "user", "Hm."), (None, None, None, None), (None, 2, "assistant", "Ok.")]
+    rows += [(900, t, "user" if t % 2 else "assistant", f"{t}.") for t in range(300)]           # long
+    rows += [(901, None, "user", "again.")] * 40 + [(902, 5, "system", "x.")] + [(903, -2**63, "user", "a."), (903, 2**63 - 1, "assistant", "b.")]
+    r.shuffle(rows)
+    c, t, who, text = zip(*rows, strict=True)
+    return pa.table({"conv_id": pa.array(c, pa.int64()), "turn": pa.array(t, pa.int64()), "role": pa.array(who, pa.string()),
+                     "text": pa.array(text, pa.string()), "n": pa.array([None] * len(c), pa.int64()), "conv": pa.array(c, pa.int64()),
+                     "seq": pa.array(["x"] * len(c))})
+
+
 def folder(path, docs=None, empty: bool = False) -> str:
-    tables = {"documents": docs if docs is not None else documents(), "labels": labels(), "embeddings": vectors()}
+    tables = {"documents": docs if docs is not None else documents(), "labels": labels(), "embeddings": vectors(), "benchmark": benchmark(),
+              "conversations": conversations()}
     for name, t in tables.items():
         pq.write_table(t.slice(0, 0) if empty else t, os.path.join(path, f"{name}.parquet"))
     return str(path)

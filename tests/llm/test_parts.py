@@ -271,3 +271,63 @@ def test_swaps_take_the_weight_off_a_name(spark):
     assert toxicity.swapped("Muslims and men") == "christians and women"
     assert mean(without, neutral) > 0.6 > mean(swapped, neutral)
     assert mean(swapped, bad) > 0.5
+
+
+def test_windows_across_segments(spark):
+    """Short segments, short items, frequent fingerprints and joins without broadcast give what a scan of all windows gives."""
+    from pulsekit.llm.decontamination import contaminated
+    from tests.llm.test_queries import shared
+    r = random.Random(5)
+    texts = [" ".join(r.choice("ab c d e".split()) for _ in range(r.randrange(0, 60))) for _ in range(80)] + [None, "", "?!"]
+    items = [(i, " ".join(r.choice("ab c d e".split()) for _ in range(n))) for i, n in enumerate([1, 3, 6, 6, 7, 9, 9, 12, 14, 20])]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for limit in (0, 1000):
+        for some in (items, items[5:]):
+            got = contaminated(docs, bench.filter(f"item_id >= {some[0][0]}"), span=6, gram=3, step=7, broadcast_rows=limit).collect()
+            want = [(i, texts[i], *x) for i, x in enumerate(shared(texts, some, 6))]
+            assert sorted(((r.doc_id, r.text, r.n_words, r.n_hit, list(r["items"])) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_filtered_iteration_finds_close_values(spark):
+    """Ninety dimensions, leading values close to the rest and two of them equal; few passes, certified."""
+    import numpy as np
+
+    from pulsekit.llm.whitening import leading_components
+    rng = np.random.default_rng(2)
+    x = rng.integers(-900, 900, (3000, 90))
+    x[:, :3] = np.floor(x[:, :3] * [1.25, 1.2, 1.16])
+    x = np.vstack([x, -x])                                     # mean zero
+    fit = spark.createDataFrame([(r,) for r in x.tolist()], "x array<long>").repartition(5)
+    got = leading_components(fit, len(x), x.sum(axis=0).tolist(), 4)
+    e, q = np.linalg.eigh(x.T @ x / len(x))
+    assert np.allclose(got.values, e[::-1][:4], rtol=1e-11) and got.angles.max() < 1e-9 and got.passes < 150
+    assert np.abs(np.abs((got.vectors * q[:, ::-1][:, :4]).sum(axis=0)) - 1).max() < 1e-12
+    assert abs(got.trace / e.sum() - 1) < 1e-12
+
+
+def test_whitening_of_few_and_large_vectors(spark):
+    from pulsekit.llm.whitening import whiten
+    one = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, None)], "vec_id long, embedding array<double>")
+    rows, found, _ = whiten(one)
+    assert [(r.vec_id, r.whitened, r.deviation) for r in rows.orderBy("vec_id").collect()] == [(1, [], 0), (2, [], 0)] and found.n == 1
+    wide = spark.createDataFrame([(1, [1e15, 0.0]), (2, [0.0, 0.0]), (3, [1e30, 0.0]), (4, [-0.001, 0.0])], "vec_id long, embedding array<double>")
+    rows, found, error = whiten(wide)
+    got = {r.vec_id: r for r in rows.collect()}
+    assert set(got) == {1, 2, 4} and got[1].deviation is None and len(got[1].whitened) == 1 and found.sums[0] == 256 * 10**15 - 1 and error < 1e-9
+
+
+def test_grammar_solves_what_single_rows_solve():
+    """Any grammar gives the cheapest edits, and of equal ones the least; checked against all edits of short sequences."""
+    import itertools
+
+    from pulsekit.llm.repair_grammar import START, STATES, Grammar, ending, text_of
+    from tests.llm.test_queries import cheapest
+    grammar = Grammar()
+    assert grammar.add([(0, 1), (1, 2), (8, 8), (2, 1), (5, 0)]) >= 3 and grammar.add([(9, 2), (10, 10), (10, 8)]) >= 1
+    role = {"s": "system", "u": "user", "a": "assistant", "o": "tool"}
+    for n in range(1, 5):
+        for letters in itertools.product("sUauod" if n > 3 else "suaoSUAOd", repeat=n):
+            rows = [(i, "user", " ") if c == "d" else (i, role[c.lower()], f"{i}" + "." * c.islower()) for i, c in enumerate(letters)]
+            ways = [(e[0] + ending(j)[0], text_of(e[1]) + ending(j)[1]) for j in STATES if (e := grammar.matrix("".join(letters))[START][j])]
+            assert min(ways) == cheapest(rows)[5:7]

@@ -1,7 +1,9 @@
 """Every corpus query on tables of awkward cases and on empty ones, against plain Python."""
 
 import hashlib
+import itertools
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -220,6 +222,140 @@ def test_toxicity(spark, sf):
         assert r["held_out"] == held and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
 
 
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def shared(texts, items, span=10):
+    """For each text its words, how many lie in a window of an item, and which items those are."""
+    windows: dict[tuple, set] = {}
+    for i, t in items:
+        w = words(t)
+        n = min(span, len(w))
+        for a in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[a:a + n]), set()).add(i)
+    out = []
+    for t in texts:
+        w, hit, ids = words(t), set(), set()
+        for n in {len(k) for k in windows}:
+            for a in range(len(w) - n + 1):
+                if tuple(w[a:a + n]) in windows:
+                    hit |= set(range(a, a + n))
+                    ids |= windows[tuple(w[a:a + n])]
+        out.append((len(w), len(hit), sorted(str(i) for i in ids - {None})))
+    return out
+
+
+def test_decontamination(spark, sf):
+    b = tables.benchmark()
+    items = list(zip(b["item_id"].to_pylist(), b["text"].to_pylist(), strict=True))
+    found = shared([t for _, t in docs()], items)
+    assert sum(h > 0 for _, h, _ in found) > 5
+    want = [(i, n, h, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), h > 0) for (i, _), (n, h, ids) in zip(docs(), found, strict=True)]
+    got = rows(spark, sf, "op11_decontamination")
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert bag(tuple(r[c] for c in names) for r in got) == bag(want)
+
+
+def test_whitening(spark, sf):
+    """Against a dense eigendecomposition; the 16-dimensional vectors are the commonest."""
+    some = [(k, v) for k, v in vectors() if v is not None and len(v) == 16 and all(x is not None and np.isfinite(x) for x in v)]
+    x = np.floor(256 * np.array([np.array(v, dtype=np.float32).astype(float) for _, v in some]))
+    fit = np.unique(x, axis=0)
+    n, total = len(fit), fit.sum(axis=0)
+    e, q = np.linalg.eigh((fit - total / n).T @ (fit - total / n) / n)
+    e, q = e[::-1], q[:, ::-1]
+    got: dict[tuple, list] = {}
+    for r in rows(spark, sf, "op12_whitening"):
+        assert r["n"] == n and abs(r["explained"] / (e[r["component"] - 1] / e.sum()) - 1) < 1e-9 and r["identity_error"] < 1e-9
+        got.setdefault((repr(r["vec_id"]), r["deviation"]), []).append((r["component"], r["whitened"]))
+    want = (x - total / n) @ q[:, :4] / np.sqrt(e[:4])
+    deviations = ((n * x.astype(int) - total.astype(int)) ** 2).sum(axis=1)
+    assert bag(k for k, v in got.items() for _ in v) == bag((repr(k), int(d)) for (k, _), d in zip(some, deviations, strict=True) for _ in range(4))
+    for c in range(4):
+        mine = np.array([dict(got[repr(k), int(d)])[c + 1] for (k, _), d in zip(some, deviations, strict=True)])
+        assert min(np.abs(mine - want[:, c]).max(), np.abs(mine + want[:, c]).max()) < 1e-9
+
+
+SPACE = " \t\n\x0b\x0c\r"
+AFTER = {"s": ({0}, 1), "u": ({0, 1, 3}, 2), "a": ({2}, 3)}
+
+
+def cheapest(some):
+    """Faults and the least (cost, audit, lines) of rows (turn, role, text), one row at a time."""
+    some = sorted(some, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    turns = [t for t, _, _ in some if t is not None]
+    seen, faults = set(), []
+    for _, role, text in some:
+        bare = text.strip(SPACE)
+        faults.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(some))
+    best = {0: (0, "", ())}
+
+    def put(into, state, way):
+        if state not in into or way[:2] < into[state][:2]:
+            into[state] = way
+
+    def with_inserts(ways):
+        ways = dict(ways)
+        for _ in range(4):
+            for state, (cost, audit, lines) in list(ways.items()):
+                for name, line in (("u", "user:"), ("a", "assistant:")):
+                    if state in AFTER[name][0]:
+                        put(ways, AFTER[name][1], (cost + 3, audit + "I", (*lines, line)))
+        return ways
+
+    for (_, role, text), fault in zip(some, faults, strict=True):
+        now = {}
+        for state, (cost, audit, lines) in with_inserts(best).items():
+            put(now, state, (cost + 4, audit + "D", lines))
+            if fault in ("", "truncated"):
+                cost += 3 * (fault == "truncated")
+                if state in AFTER.get(role[:1], ((), 0))[0]:
+                    put(now, AFTER[role[0]][1], (cost, audit + "K", (*lines, f"{role}:{text}")))
+                for name, full in (("u", "user"), ("a", "assistant")):
+                    if state in AFTER[name][0]:
+                        put(now, AFTER[name][1], (cost + 3, audit + "R", (*lines, f"{full}:{text}")))
+        best = now
+    ways = with_inserts(best)
+    cost, audit, lines = min(ways[s] for s in (0, 3) if s in ways)
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    return (gaps if gaps < 2**63 else None, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit,
+            hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def damaged():
+    t = tables.conversations()
+    out: dict = {}
+    for conv, turn, role, text in zip(*(t[c].to_pylist() for c in ("conv_id", "turn", "role", "text")), strict=True):
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out.setdefault(conv, []).extend([(turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1))
+    return out
+
+
+REPAIR = ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def test_conversation_repair(spark, sf):
+    got = rows(spark, sf, "op13_conversation_repair")
+    assert bag(tuple(r[c] for c in REPAIR) for r in got) == bag((conv, *cheapest(some)) for conv, some in damaged().items())
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 50])
+def test_conversations_over_many_blocks(spark, sf, block_rows):
+    """Small blocks, so that most conversations are walks over several."""
+    from pyspark.sql import functions as F
+
+    from pulsekit.llm import conversation_repair
+    from pulsekit.llm.queries import damaged as query_damaged
+    got = conversation_repair.repaired(query_damaged(spark.read.parquet(f"{sf}/conversations.parquet")), copies=F.col("copies"),
+                                       block_rows=block_rows, least=2, broadcast_bytes=0).collect()
+    assert bag(tuple(r[c] for c in REPAIR) for r in got) == bag((conv, *cheapest(some)) for conv, some in damaged().items())
+
+
 def test_pipeline(spark, sf):
     """Stage by stage against plain versions, each on what the stage before it kept."""
     start = spark.read.parquet(f"{sf}/documents.parquet")
