@@ -214,6 +214,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile": q_reconcile,
 }
 
-from pulsekit.plans.stream_catalog import STREAM_QUERIES  # noqa: E402
+from pulsekit.plans.stream_catalog import STREAM_ONLY, STREAM_QUERIES  # noqa: E402
 
-QUERIES.update(STREAM_QUERIES)
+QUERIES.update(STREAM_QUERIES | STREAM_ONLY)

@@ -141,6 +141,24 @@ _PAIR = """
     WHERE p.event_type = 'purchase' AND r.event_type = 'signup'"""
 
 
+LATE_URLS = f"""
+    WITH g AS (SELECT url, us // 600 AS us, event_id FROM (
+        SELECT '/item/' || CAST({ITEM} AS VARCHAR) AS url, epoch_us(date_trunc('second', ts)) AS us, event_id
+        FROM events WHERE event_type IN ('click', 'view')) e),
+    a AS (SELECT *, us - 20000000 + CASE WHEN event_id % 29 = 5 THEN 3600000000 WHEN event_id % 2 = 1 THEN 45000000 ELSE 0 END AS come FROM g),
+    p AS (SELECT ((max(come) - min(come)) // 3 // {M5} + 1) * {M5} AS period FROM a),
+    b AS (SELECT url, us, come // period AS load FROM a, p),
+    m AS (SELECT load, (max(max(us)) OVER (ORDER BY load ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) // 1000 - 2000) * 1000 AS mark
+          FROM b GROUP BY load),
+    w AS (SELECT url, (us // {M5} + 1 + j) * {M5} AS e, (us // {M5} + 2) * {M5} AS last, coalesce(mark, 0) AS mark, j
+          FROM b JOIN m USING (load), range(0, 2) t(j))
+    SELECT url, make_timestamp(e) AS window_end, count(*) FILTER (e + 60000000 > mark) AS cnt,
+           CAST(greatest(count(*) FILTER (e <= mark AND e + 60000000 > mark)
+                - CASE WHEN count(*) FILTER (e > mark) = 0 THEN 1 ELSE 0 END, 0) AS INTEGER) AS corrections,
+           CAST(count(*) FILTER (e = last AND e + 60000000 <= mark) AS BIGINT) AS dropped
+    FROM w GROUP BY url, e HAVING count(*) FILTER (e + 60000000 > mark OR e = last) > 0"""
+
+
 def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
     pair = _PAIR.format(lo=3 * H, hi=5 * H)
     pass_n = max(1, cap - 1)
@@ -230,4 +248,5 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
 
 
 ORACLES = build()
+ORACLES["stream_hot_urls_late"] = LATE_URLS
 ORACLES.update({stream: ORACLES[batch] for stream, batch in STREAM_ORACLE_OF.items()})

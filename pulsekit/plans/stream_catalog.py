@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from pulsekit.sources import driver as D
 from pulsekit.streaming import processors as P
-from pulsekit.streaming.io import Ending, read_table_stream, run_to_table
-from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_top_n,
-                                      stream_window_counts)
+from pulsekit.session import scratch_path
+from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_to_table
+from pulsekit.streaming.late import DROPPED, latest, stream_late_windows, stream_top_n
+from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_window_counts)
+from pulsekit.streaming.running import running_counts, stream_running_distinct
 
 # The batch queries' parameters.
 TOP_N, CAP = 3, 3
@@ -47,9 +49,71 @@ def q_stream_pv_hourly(spark, sf, max_files=None, delay="0 seconds"):
 def q_stream_hot_items_topn(spark, sf, max_files=None, delay="0 seconds"):
     end = Ending(spark)
     views = _views(spark, sf, end, max_files, delay, D.item_id().alias("item_id"))
-    counts = stream_panes(views, "ts", "item_id", "1 hour", "5 minutes")
-    out = run_to_table(stream_top_n(counts, "item_id", "cnt", "5 minutes", TOP_N), "stream_hot_items", end)
-    return _ntz(out, "window_end").select("window_end", "rank", "item_id", "cnt")
+    counts = stream_panes(views, "ts", "item_id", "1 hour", "5 minutes").select(
+        F.unix_micros("w.end").alias("window_end"), "item_id", "cnt")
+    return _ranked(run_to_table(stream_top_n(counts, "item_id", TOP_N), "stream_hot_items", end), "item_id")
+
+
+def _ranked(lists: DataFrame, key: str) -> DataFrame:
+    """The last revision of each window end's list."""
+    return latest(lists, ["window_end"], "revision").select(_us("window_end", "window_end"), "rank", key, "cnt")
+
+
+# The hot-url job's disorder and lateness.
+URL_DELAY, URL_LATENESS, URL_SIZE, URL_SLIDE = "2 seconds", "60 seconds", "10 minutes", "5 minutes"
+
+
+def _gets(events: DataFrame) -> DataFrame:
+    """GET requests of the access log: its times are whole seconds."""
+    url = F.concat(F.lit("/item/"), D.item_id().cast("string"))
+    return events.filter(F.col("event_type").isin("click", "view")).select(F.date_trunc("second", "ts").alias("ts"), url.alias("url"), F.col("event_id").alias("seq"))
+
+
+def q_stream_hot_urls_topn(spark, sf, max_files=None, delay=URL_DELAY):
+    end = Ending(spark)
+    gets = end.close(_gets(read_table_stream(spark, sf, "events", max_files)).select("ts", "url"), "ts", delay)
+    counts = stream_late_windows(gets, "ts", "url", URL_SIZE, URL_SLIDE, URL_LATENESS).filter(F.col("kind") != DROPPED)
+    return _ranked(run_to_table(stream_top_n(counts, "url", TOP_N, URL_LATENESS), "stream_hot_urls", end), "url")
+
+
+# Late arrivals: time runs 600 times faster (a month in 72 minutes), odd events come 45 s late and some an hour.
+URL_FASTER, URL_LOADS = 600, 3
+
+
+def late_requests(events: DataFrame) -> tuple[DataFrame, int]:
+    """Requests with the load that each arrives in, and the number of loads; loads end 20 s after a window does."""
+    us = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / URL_FASTER)
+    wait = F.when(F.col("seq") % 29 == 5, 3_600_000_000).when(F.col("seq") % 2 == 1, 45_000_000).otherwise(0)
+    rows = _gets(events).select(us.alias("us"), "url", (us + wait - 20_000_000).alias("at"))
+    low, high = rows.agg(F.min("at"), F.max("at")).first()
+    if low is None:
+        return rows.select(F.timestamp_micros("us").alias("ts"), "url", F.lit(0).alias("load")), 0
+    period = ((high - low) // URL_LOADS // 300_000_000 + 1) * 300_000_000
+    first, last = low // period, high // period
+    return rows.select(F.timestamp_micros("us").alias("ts"), "url", (F.floor(F.col("at") / period) - first).cast("int").alias("load")), last - first + 1
+
+
+def q_stream_hot_urls_late(spark, sf):
+    """Each url's windows when rows come late: the last count, how often it was corrected, and rows that came too late."""
+    rows, loads = late_requests(D.table(spark, sf, "events"))
+    path, out, progress = (scratch_path(spark, f"late-{n}") for n in ("in", "out", "progress"))
+    end = Ending(spark)
+    rows.filter("load < 0").drop("load").write.parquet(path)
+    stream = end.close(spark.readStream.schema("ts timestamp, url string").parquet(path), "ts", URL_DELAY)
+    counts = stream_late_windows(stream, "ts", "url", URL_SIZE, URL_SLIDE, URL_LATENESS)
+    for _ in arrivals(rows, "load", loads, path):
+        run_to_table(counts, "late", out=out, checkpoint=progress)
+    log = run_to_table(counts, "late", end, out=out, checkpoint=progress)
+    gone = F.col("kind") == DROPPED
+    return log.groupBy("url", "window_end").agg(
+        F.coalesce(F.max(F.when(~gone, F.col("cnt"))), F.lit(0)).alias("cnt"), F.coalesce(F.max("version"), F.lit(0)).alias("corrections"),
+        F.coalesce(F.sum(F.when(gone, F.col("cnt"))), F.lit(0)).alias("dropped")).withColumn("window_end", F.timestamp_micros("window_end").cast("timestamp_ntz"))
+
+
+def q_stream_uv_running(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    views = _views(spark, sf, end, max_files, delay, F.col("event_id").alias("seq"))
+    return running_counts(run_to_table(stream_running_distinct(views, "ts", "user_id", "seq"), "stream_uv_running", end))
 
 
 def q_stream_uv_hourly(spark, sf, max_files=None, delay="0 seconds"):
@@ -156,6 +220,8 @@ def q_stream_click_cap_warn(spark, sf, max_files=None, delay="0 seconds"):
 # Same questions as the batch queries, so the same oracles.  (The 1 h / 5 s counts are not registered: millions of
 # windows pass through state; ``stream_window_counts`` is tested on fewer.)
 STREAM_ORACLE_OF = {f"stream_{name}": name for name in (
-    "pv_hourly", "hot_items_topn", "uv_hourly", "interval_join", "reconcile", "order_status", "order_paid",
+    "pv_hourly", "hot_items_topn", "hot_urls_topn", "uv_hourly", "uv_running", "interval_join", "reconcile", "order_status", "order_paid",
     "order_timeout", "fail_pairs", "fail_episodes", "fail_runs", "click_cap_pass", "click_cap_warn")}
 STREAM_QUERIES = {name: globals()[f"q_{name}"] for name in STREAM_ORACLE_OF}
+# Questions of their own.
+STREAM_ONLY = {"stream_hot_urls_late": q_stream_hot_urls_late}

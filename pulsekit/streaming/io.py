@@ -114,6 +114,13 @@ def run_to_table(df: DataFrame, name: str, ending: Ending | None = None, mode: s
     return spark.read.schema(df.schema).parquet(out)
 
 
+def arrivals(rows: DataFrame, load: str, loads: int, path: str):
+    """Append the rows of each load to the folder that a stream reads, in order; the caller runs the stream in between."""
+    for i in range(loads):
+        rows.filter(F.col(load) == i).drop(load).write.mode("append").parquet(path)
+        yield i
+
+
 def write_outputs(df: DataFrame, targets: dict, epoch_id: int) -> None:
     """``foreachBatch`` body writing several tagged outputs of one micro-batch (K2).
 

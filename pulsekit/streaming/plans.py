@@ -42,28 +42,6 @@ def stream_window_counts(df: DataFrame, ts: str, keys, size, slide=None, name: s
     return g.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), name)
 
 
-def stream_top_n(counts_with_window: DataFrame, key: str, cnt: str, slide, n: int = 3, salts: int = 16) -> DataFrame:
-    """The top ``n`` (count desc, key asc) per window end, in two stages.
-
-    Input: counts per key with their window column ``w``.
-    ``window_time(w)`` falls in exactly one tumbling window of the slide's
-    length, whose end is ``w``'s end.  The first stage keeps ``n`` of each
-    salt's keys, the second at most ``n * salts`` rows.
-    """
-    row = F.struct((-F.col(cnt)).alias("neg"), F.col(key).alias("k"))
-
-    def best(rows):
-        return F.slice(F.sort_array(rows), 1, n).alias("top")
-
-    part = (counts_with_window.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)))
-            .groupBy(F.window(F.window_time("w"), _txt(slide)).alias("w2"), "salt").agg(best(F.collect_list(row))))
-    g = (part.groupBy(F.window(F.window_time("w2"), _txt(slide)).alias("w3"))
-         .agg(best(F.flatten(F.collect_list("top")))))
-    return (g.select(F.col("w3.end").alias("window_end"), F.posexplode("top").alias("pos", "t"))
-            .select("window_end", (F.col("pos") + 1).cast("int").alias("rank"), F.col("t.k").alias(key),
-                    (-F.col("t.neg")).alias(cnt)))
-
-
 def stream_distinct_per_window(df: DataFrame, ts: str, id_col: str, size, name: str = "uv") -> DataFrame:
     """A5 on a stream: de-duplicate (window, id) in state, then count per window."""
     w = df.withColumn("w", F.window(ts, _txt(size))).dropDuplicates(["w", id_col])

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pulsekit.plans.catalog import QUERIES
 from pulsekit.plans.stream_catalog import STREAM_ORACLE_OF, STREAM_QUERIES
 from pulsekit.streaming.io import Ending, run_to_table, upsert_latest, write_outputs
+from pulsekit.streaming.late import latest, stream_late_windows, stream_top_n
+from pulsekit.streaming.running import running_counts, stream_running_distinct
 from pulsekit.streaming.processors import stream_click_cap, stream_one_to_one, stream_order_status
 from tests.conftest import SF001
 
@@ -31,12 +33,12 @@ def folder_table(spark, path, files: int) -> str:
 
 @pytest.mark.parametrize("name", sorted(STREAM_QUERIES))
 def test_one_file(spark, name):
-    if name not in ("stream_order_paid", "stream_click_cap_pass"):  # the other tag's twin runs
-        same(STREAM_QUERIES[name](spark, SF001), QUERIES[STREAM_ORACLE_OF[name]](spark, SF001))
+    same(STREAM_QUERIES[name](spark, SF001), QUERIES[STREAM_ORACLE_OF[name]](spark, SF001))
 
 
 @pytest.mark.parametrize("name", ["stream_hot_items_topn", "stream_uv_hourly", "stream_interval_join", "stream_reconcile", "stream_order_timeout",
-                                  "stream_fail_episodes", "stream_fail_runs", "stream_click_cap_warn"])
+                                  "stream_fail_episodes", "stream_fail_runs", "stream_click_cap_warn", "stream_hot_urls_topn", "stream_uv_running",
+                                  "stream_fail_pairs"])
 def test_folder_a_file_at_a_time(spark, tmp_path, name):
     sf = folder_table(spark, tmp_path, 3)
     same(STREAM_QUERIES[name](spark, sf, max_files=1), QUERIES[STREAM_ORACLE_OF[name]](spark, SF001))
@@ -117,3 +119,91 @@ def test_many_overlaps(spark, tmp_path):
     end = Ending(spark)
     got = run_to_table(stream_window_counts(end.close(s, "ts", "1 minute"), "ts", "k", "1 hour", "5 seconds"), "overlaps", end)
     same(got, window_counts(spark.read.parquet(str(tmp_path / "in")), "ts", ["k"], "1 hour", "5 seconds"))
+
+
+def late_log(spark, tmp_path, parts, lateness="120 seconds", **sizes):
+    s = batches(spark, tmp_path / "in", "url string, ts long", *parts)
+    end = Ending(spark)
+    counts = stream_late_windows(end.close(s, "ts", "2 seconds"), "ts", "url", sizes.get("size", "600 seconds"), sizes.get("slide", "300 seconds"), lateness)
+    return run_to_table(counts, "late", end)
+
+
+def test_windows_fire_again_for_late_rows(spark, tmp_path):
+    """One micro-batch a part: fired at the watermark, corrected once a late row, gone after the lateness; only windows expire, not rows."""
+    log = late_log(spark, tmp_path, [
+        [("a", 10), ("a", 200), ("b", 290), (None, 5)], [("a", 400)],               # watermark 398: ends 0 and 300 fire
+        [("a", 250), ("a", 251), ("c", 299), ("d", 298)],                           # late for 300, on time for 600
+        [("z", 500)],                                                               # watermark 498: 300 is gone
+        [("a", 100), ("a", -50), ("a", -60), ("e", -1)]])                           # 600 still counts the first; the others have no window left
+    got = sorted(((r.url or "", r.window_end // 1_000_000, r.cnt, -1 if r.version is None else r.version, r.kind) for r in log.collect()))
+    assert got == sorted([
+        ("a", 300, 2, 0, "fired"), ("a", 300, 3, 1, "late"), ("a", 300, 4, 2, "late"), ("a", 600, 6, 0, "fired"), ("a", 900, 1, 0, "fired"),
+        ("b", 300, 1, 0, "fired"), ("b", 600, 1, 0, "fired"), ("", 300, 1, 0, "fired"), ("", 600, 1, 0, "fired"),
+        ("c", 300, 1, 0, "late"), ("c", 600, 1, 0, "fired"), ("d", 300, 1, 0, "late"), ("d", 600, 1, 0, "fired"),
+        ("z", 600, 1, 0, "fired"), ("z", 900, 1, 0, "fired"), ("a", 300, 2, -1, "dropped"), ("e", 300, 1, -1, "dropped")])
+
+
+def test_no_lateness_drops_what_is_late(spark, tmp_path):
+    log = late_log(spark, tmp_path, [[("a", 10)], [("a", 700)], [("a", 20), ("b", 30), ("a", 690)]], lateness="0 seconds", size="300 seconds")
+    assert sorted((r.url, r.window_end // 1_000_000, r.cnt, r.kind) for r in log.collect()) == [
+        ("a", 300, 1, "dropped"), ("a", 300, 1, "fired"), ("a", 900, 2, "fired"), ("b", 300, 1, "dropped")]
+
+
+def test_ranks_are_revised_and_bounded(spark, tmp_path):
+    """Corrections move ranks; a key that was out comes back; ties go by key; state holds n entries whatever the keys."""
+    first = [("k%03d" % i, 5) for i in range(200)] + [("x", 6)] * 3 + [("y", 7)] * 2
+    s = batches(spark, tmp_path / "in", "url string, ts long", first, [("t", 320)], [("y", 8), ("y", 9), ("k150", 3)], [("k150", 3), ("k150", 4), ("k150", 2)])
+    end = Ending(spark)
+    counts = stream_late_windows(end.close(s, "ts", "2 seconds"), "ts", "url", "300 seconds", lateness="1 hour")
+    lists = run_to_table(stream_top_n(counts, "url", 3, "1 hour"), "ranked", end)
+    by: dict = {}
+    for r in lists.filter("window_end = 300000000").orderBy("revision", "rank").collect():
+        by.setdefault(r.revision, []).append((r["rank"], r.url, r.cnt))
+    assert [by[k] for k in sorted(by)][-1] == [(1, "k150", 5), (2, "y", 4), (3, "x", 3)]
+    assert all(len(rows) == 3 for rows in by.values()) and len(by) >= 2
+    assert sorted((r["rank"], r.url, r.cnt) for r in latest(lists, ["window_end"], "revision").filter("window_end = 300000000").collect()) == by[max(by)]
+
+
+def test_best_of_many_keys_in_little_room():
+    from pulsekit.streaming.late import _best
+    rows = [(f"k{i % 997}", i) for i in range(5000)]
+    assert _best({}, rows, 3) == [("k14", 4999), ("k13", 4998), ("k12", 4997)]
+
+
+def test_running_count_with_disorder(spark, tmp_path):
+    """Rows come out of order within the delay, over several micro-batches; nulls, repeats and ids of any sign; an hour's end inside."""
+    rows = [[(5, 3590, 1), (5, 3500, 2), (-7, 3595, 3), (None, 3596, 4)], [(8, 3560, 5), (5, 3605, 6), (2**60, 3599, 7)],
+            [(8, 3601, 8), (5, 3580, 9), (-7, 3660, 10)], [(9, 7300, 11), (5, 3000, 12)]]
+    s = batches(spark, tmp_path / "in", "user long, ts long, seq long", *rows)
+    end = Ending(spark)
+    got = running_counts(run_to_table(stream_running_distinct(end.close(s, "ts", "60 seconds"), "ts", "user", "seq"), "running", end))
+    seen: dict = {}
+    want = []
+    for user, ts, seq in sorted((r for part in rows for r in part if r[0] is not None and r[2] != 12), key=lambda r: r[1:]):   # 12 is behind the watermark
+        seen.setdefault(ts // 3600, set()).add(user)
+        want.append((seq, len(seen[ts // 3600])))
+    assert sorted((r.seq, r.uv) for r in got.collect()) == sorted(want)
+
+
+def test_late_requests_match_a_plain_count(spark):
+    """The loads, the watermark between them and the windows, one row at a time."""
+    from pulsekit.plans import stream_catalog as C
+    rows, loads = C.late_requests(spark.read.parquet(f"{SF001}/events.parquet"))
+    passed, want = 0, {}
+    by = sorted(rows.select("load", F.unix_micros("ts").alias("us"), "url").collect())
+    for load in range(loads):
+        here = [(r.us, r.url) for r in by if r.load == load]
+        for us, url in here:
+            ends = [(us // 300_000_000 + 1 + j) * 300_000_000 for j in range(2)]
+            alive = [e for e in ends if e + 60_000_000 > passed]
+            for e in alive:
+                cnt, late, gone = want.get((url, e), (0, -1, 0))
+                want[url, e] = (cnt + 1, late + 1 if e <= passed else max(late, 0), gone)
+            if not alive:
+                cnt, late, gone = want.get((url, ends[-1]), (0, 0, 0))
+                want[url, ends[-1]] = (cnt, late, gone + 1)
+        passed = max(passed, (max(us for us, _ in here) // 1000 - 2000) * 1000) if here else passed
+    got = {(r.url, int(r.end)): (r.cnt, r.corrections, r.dropped) for r in C.q_stream_hot_urls_late(spark, SF001).withColumn(
+        "end", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', window_end)")).collect()}
+    assert got == {k: (c, max(n, 0), g) for k, (c, n, g) in want.items()}
+    assert sum(g for _, _, g in got.values()) > 0
