@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from pulsekit.operators.joins import interval_join, reconcile
 from pulsekit.operators.rules import cap_per_day
+from pulsekit.operators.sketches import bitmap_partials, bitmap_window_counts
 from pulsekit.plans import jobs
-from pulsekit.session import ensure_utc
+from pulsekit.session import ensure_utc, scratch_path
 from pulsekit.sources import driver as D
 from pulsekit.sources.readers import parse_access_log, parse_lines
 from pulsekit.sources.schemas import RAW_USER_BEHAVIOR
@@ -84,14 +85,29 @@ def q_uv_hourly(spark, sf):
     return jobs.unique_visitors(_ub(spark, sf))
 
 
+def _seven_digit_ids(spark, sf):
+    """Views with ids of seven digits, of which some share their last six."""
+    five = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (5 * 60_000_000))
+    return _ub(spark, sf).withColumn("user_id", F.col("user_id") + 1_000_000 * (1 + five % 9))
+
+
 def q_uv_bitmap(spark, sf):
     """Ids of seven digits that share their last six, and so their offset; ``ids`` counts them exactly."""
-    five = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (5 * 60_000_000))
-    ub = _ub(spark, sf).withColumn("user_id", F.col("user_id") + 1_000_000 * (1 + five % 9))
+    ub = _seven_digit_ids(spark, sf)
     exact = jobs.unique_visitors(ub).withColumnRenamed("uv", "ids")
     return jobs.unique_visitors_bitmap(ub).join(exact, ["window_start", "window_end"])
 
 
+def q_uv_bitmap_sliding(spark, sf):
+    """Hourly and sliding 24-hour counts from one stored table of hourly bitmaps; rows are read once."""
+    views = _seven_digit_ids(spark, sf).filter(F.col("behavior") == "pv")
+    path = scratch_path(spark, "bitmaps")
+    bitmap_partials(views, "ts", "user_id").write.parquet(path)
+    stored = spark.read.parquet(path)
+    hours = [bitmap_window_counts(stored, "1 hour", n).withColumn("hours", F.lit(n)) for n in (1, 24)]
+    return hours[0].unionByName(hours[1])
+
+
 def q_uv_approx(spark, sf):
     """The exact count beside the sketch, and whether the sketch is within three standard errors (and one)."""
     ub = _ub(spark, sf)
@@ -196,6 +212,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pv_salted": q_pv_salted,
     "uv_hourly": q_uv_hourly,
     "uv_bitmap": q_uv_bitmap,
+    "uv_bitmap_sliding": q_uv_bitmap_sliding,
     "uv_approx": q_uv_approx,
     "uv_running": q_uv_running,
     "channel_counts": q_channel_counts,

@@ -198,6 +198,11 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
             SELECT make_timestamp(us // {H} * {H}) AS window_start, make_timestamp((us // {H} + 1) * {H}) AS window_end,
                    count(DISTINCT right(CAST(user_id + 1000000 * (1 + us // {M5} % 9) AS VARCHAR), 6)) AS uv,
                    count(DISTINCT user_id + 1000000 * (1 + us // {M5} % 9)) AS ids FROM ({HOURLY}) v GROUP BY ALL""",
+        "uv_bitmap_sliding": f"""
+            WITH v AS (SELECT us // {H} AS p, right(CAST(user_id + 1000000 * (1 + us // {M5} % 9) AS VARCHAR), 6) AS off FROM ({HOURLY}) h)
+            SELECT make_timestamp((p - i) * {H}) AS window_start, make_timestamp((p - i + n) * {H}) AS window_end,
+                   count(DISTINCT off) AS uv, CAST(n AS INTEGER) AS hours
+            FROM v, (VALUES (1), (24)) s(n), range(0, 24) t(i) WHERE i < n GROUP BY p - i, n""",
         "uv_approx": f"""
             SELECT make_timestamp(us // {H} * {H}) AS window_start, make_timestamp((us // {H} + 1) * {H}) AS window_end,
                    count(DISTINCT user_id) AS uv, true AS close FROM ({HOURLY}) v GROUP BY ALL""",
@@ -249,4 +254,7 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
 
 ORACLES = build()
 ORACLES["stream_hot_urls_late"] = LATE_URLS
+ORACLES["stream_channel_ingest"] = f"""
+    SELECT ['app store', 'wechat', 'weibo', 'tieba'][(({ITEM} % 4) + 4) % 4 + 1] AS channel, upper(event_type) AS behavior,
+           count(*) AS cnt, true AS replayed FROM events GROUP BY ALL"""
 ORACLES.update({stream: ORACLES[batch] for stream, batch in STREAM_ORACLE_OF.items()})

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pulsekit.sources import driver as D
 from pulsekit.streaming import processors as P
 from pulsekit.session import scratch_path
+from pulsekit.operators.windows import window_counts
+from pulsekit.streaming.ingest import stamp_ingest
 from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_to_table
 from pulsekit.streaming.late import DROPPED, latest, stream_late_windows, stream_top_n
 from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_window_counts)
@@ -110,6 +112,20 @@ def q_stream_hot_urls_late(spark, sf):
         F.coalesce(F.sum(F.when(gone, F.col("cnt"))), F.lit(0)).alias("dropped")).withColumn("window_end", F.timestamp_micros("window_end").cast("timestamp_ntz"))
 
 
+def q_stream_channel_ingest(spark, sf, max_files=None):
+    """Channels by ingest time: rows of all windows, and whether windows replayed from the stored times are those of the stream."""
+    events = D.market_behavior(read_table_stream(spark, sf, "events", max_files)).select("channel", "behavior")
+    path = scratch_path(spark, "ingest")
+    stored = stamp_ingest(events, path, scratch_path(spark, "ingest-progress"))
+    end, keys, windows = Ending(spark), ["channel", "behavior"], ("1 minute", "5 seconds")
+    again = window_counts(stored, "ingest_ts", keys, *windows).withColumnRenamed("cnt", "again")
+    stream = end.close(spark.readStream.schema(stored.schema).parquet(path), "ingest_ts")
+    live = run_to_table(stream_window_counts(stream, "ingest_ts", keys, *windows), "stream_channel_ingest", end)
+    both = live.join(again, [*keys, "window_start", "window_end"], "full")
+    same = F.coalesce(F.col("cnt") == F.col("again"), F.lit(False))
+    return both.groupBy(*keys).agg((F.sum("cnt") / 12).cast("long").alias("cnt"), F.min(same).alias("replayed"))
+
+
 def q_stream_uv_running(spark, sf, max_files=None, delay="0 seconds"):
     end = Ending(spark)
     views = _views(spark, sf, end, max_files, delay, F.col("event_id").alias("seq"))
@@ -224,4 +240,4 @@ STREAM_ORACLE_OF = {f"stream_{name}": name for name in (
     "order_timeout", "fail_pairs", "fail_episodes", "fail_runs", "click_cap_pass", "click_cap_warn")}
 STREAM_QUERIES = {name: globals()[f"q_{name}"] for name in STREAM_ORACLE_OF}
 # Questions of their own.
-STREAM_ONLY = {"stream_hot_urls_late": q_stream_hot_urls_late}
+STREAM_ONLY = {"stream_hot_urls_late": q_stream_hot_urls_late, "stream_channel_ingest": q_stream_channel_ingest}

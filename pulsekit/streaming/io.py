@@ -8,17 +8,21 @@ End of input: append mode emits a window only after the watermark passes it,
 and a finite input never moves the watermark past its own tail.  A stream is
 therefore read together with a second one over a folder that stays empty
 while the data is drained, in as many micro-batches as it takes.  Then a
-one-row marker far in the future is put into that folder and the same query
-runs once more on its checkpoint, which closes what is still open.  Closing
-is final: the checkpoint's watermark is then far ahead of any later row.
+one-row marker is put into that folder and the same query runs once more on
+its checkpoint, which closes what is still open.  A marker far in the future
+is final: the checkpoint's watermark is then ahead of any later row.  A marker
+``until`` some time closes what ends by then, and no more: later rows go on.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsekit.functions.time import to_micros
 from pulsekit.session import ensure_utc, scratch_path
 
 MARKER = "_end_marker"
@@ -28,11 +32,6 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
-
-
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """The parquet table ``name`` of ``sf_dir``, a file or a folder of part files, as a stream (NTZ columns become timestamp).
 
@@ -40,11 +39,13 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: in
     """
     ensure_utc(spark)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
+    table = spark.read.parquet(path)
+    schema, files = table.schema, table.inputFiles()
+    one_file = len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet")
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    df = r.parquet(path) if _is_folder(spark, path) else r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    df = r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir) if one_file else r.parquet(path)
     for f in schema.fields:
         if isinstance(f.dataType, T.TimestampNTZType):
             df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
@@ -52,11 +53,15 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: in
 
 
 class Ending:
-    """The ends of a query's inputs: attached to its streams, released when they are drained."""
+    """The ends of a query's inputs: attached to its streams, released when they are drained.
+
+    ``folder`` keeps the markers where a later run of the same query finds
+    them; without it they are in a fresh folder.
+    """
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.markers: list[tuple[DataFrame, str]] = []
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark, self.folder = spark, folder
+        self.markers: list[tuple[DataFrame, str, str, str]] = []
 
     def close(self, stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
         """Filtered and projected ``stream`` with its watermark; its windows close when the end is released.
@@ -66,50 +71,81 @@ class Ending:
         both inputs, where they would drop the marker, whose other fields are
         null.  The marker itself is removed by a filter that reads the time.
         """
-        path = scratch_path(self.spark, "marker")
+        path = f"{self.folder}/{len(self.markers)}" if self.folder else scratch_path(self.spark, "marker")
         blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema.fields if f.name != ts]
         row = self.spark.range(1).select(*blank, F.to_timestamp(F.lit(MARKER_TS)).alias(ts)).select(*stream.columns)
-        row.limit(0).write.parquet(path)
-        self.markers.append((row, path))
+        row.limit(0).write.mode("append").parquet(path)
+        self.markers.append((row, path, ts, delay))
         end = self.spark.readStream.schema(stream.schema).parquet(path)
         both = (stream.withColumn(MARKER, F.lit(False)).unionByName(end.withColumn(MARKER, F.lit(True)))
                 .withWatermark(ts, delay))
-        keep = F.when(F.col(MARKER), F.col(ts) < F.to_timestamp(F.lit(MARKER_TS))).otherwise(F.lit(True))
-        return both.filter(keep).drop(MARKER)
-
-    def release(self) -> None:
-        for row, path in self.markers:
+        never = F.col(ts) < F.to_timestamp(F.lit("0001-01-01 00:00:00"))
+        return both.filter(F.when(F.col(MARKER), never).otherwise(F.lit(True))).drop(MARKER)
+
+    def release(self, until: str | None = None) -> None:
+        """Close the inputs: up to ``until`` (the watermark goes there, unless it is ahead), or for good."""
+        for row, path, ts, delay in self.markers:
+            if until:
+                row = row.withColumn(ts, F.timestamp_micros(F.unix_micros(F.to_timestamp(F.lit(until))) + to_micros(delay)))
             row.coalesce(1).write.mode("append").parquet(path)
 
 
+def _start(df: DataFrame, out: str, checkpoint: str, mode: str, **trigger):
+    """A parquet sink on a state store that keyed processors can use."""
+    spark = df.sparkSession
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKS)  # read when the query starts
+    try:
+        return df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger).start(out)
+    finally:
+        spark.conf.set(_PROVIDER, before)
+
+
+def run_while(df: DataFrame, out: str, checkpoint: str, going, interval: str = "1 second", mode: str = "append", limit: float = 600) -> DataFrame:
+    """Run with a trigger every ``interval`` while ``going(progress)`` holds, then stop, and read the sink back.
+
+    ``going`` gets the progress of each finished micro-batch (a dictionary)
+    and is asked again after every one; after ``limit`` seconds the run stops
+    anyway.  A later run with the same folders goes on from there.
+    """
+    q, began, seen = _start(df, out, checkpoint, mode, processingTime=interval), time.monotonic(), None
+    try:
+        while time.monotonic() - began < limit and q.isActive:
+            last = q.lastProgress
+            if last and last["batchId"] != seen:
+                seen = last["batchId"]
+                if not going(last):
+                    break
+            q.awaitTermination(0.1)
+    finally:
+        q.stop()
+    if q.exception():
+        raise q.exception()
+    return df.sparkSession.read.schema(df.schema).parquet(out)
+
+
 def run_to_table(df: DataFrame, name: str, ending: Ending | None = None, mode: str = "append",
-                 out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                 out: str | None = None, checkpoint: str | None = None, until: str | None = None) -> DataFrame:
     """Run a streaming query over everything available, write parquet, read it back.
 
     ``out`` and ``checkpoint`` name the sink and the query's progress: a run
     with the same two goes on where the last one stopped.  Without them both
     are fresh folders under ``spark.checkpoint.dir``.  With an ``ending`` the
-    inputs are drained first, then closed, which is final.
+    inputs are drained first, then closed: up to ``until``, or for good.
     """
     spark = df.sparkSession
     out = out or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
 
     def drain() -> None:
-        before = spark.conf.get(_PROVIDER)
-        spark.conf.set(_PROVIDER, _ROCKS)  # read when the query starts; keyed processors need it
-        try:
-            q = (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
-                 .trigger(availableNow=True).start(out))
-        finally:
-            spark.conf.set(_PROVIDER, before)
+        q = _start(df, out, checkpoint, mode, availableNow=True)
         q.awaitTermination()
         if q.exception():
             raise q.exception()
 
     drain()
     if ending:
-        ending.release()
+        ending.release(until)
         drain()
     return spark.read.schema(df.schema).parquet(out)
 

@@ -285,7 +285,7 @@ def _run(df: DataFrame, key, ts: str, seq: str, kind: Column, rule) -> DataFrame
     """The rule's output per key.  Filter rows before the watermark, not after it (see ``streaming.io``)."""
     keys = [key] if isinstance(key, str) else list(key)
     x = df.select(*keys, F.unix_micros(F.col(ts)).alias("us"), F.col(seq).cast("long").alias("seq"), kind.alias("kind"))
-    schema = T.StructType([*(x.schema[k] for k in keys), *T._parse_datatype_string(rule.out).fields])
+    schema = T.StructType([*(x.schema[k] for k in keys), *T.StructType.fromDDL(rule.out).fields])
     return x.groupBy(*keys).transformWithState(EventTimeRule(rule), schema, "append", "EventTime")
 
 

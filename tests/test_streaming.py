@@ -1,13 +1,14 @@
 """Streams give the batch answers: one file or many, one micro-batch or one per file, in order or within the delay."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulsekit.plans.catalog import QUERIES
 from pulsekit.plans.stream_catalog import STREAM_ORACLE_OF, STREAM_QUERIES
-from pulsekit.streaming.io import Ending, run_to_table, upsert_latest, write_outputs
+from pulsekit.streaming.io import Ending, run_to_table, run_while, upsert_latest, write_outputs
 from pulsekit.streaming.late import latest, stream_late_windows, stream_top_n
 from pulsekit.streaming.running import running_counts, stream_running_distinct
 from pulsekit.streaming.processors import stream_click_cap, stream_one_to_one, stream_order_status
@@ -207,3 +208,60 @@ def test_late_requests_match_a_plain_count(spark):
         "end", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', window_end)")).collect()}
     assert got == {k: (c, max(n, 0), g) for k, (c, n, g) in want.items()}
     assert sum(g for _, _, g in got.values()) > 0
+
+
+def test_ingest_time_is_written_once(spark, tmp_path):
+    """Each load has one ingest time, kept as it is when the run goes on; windows over it can be replayed."""
+    from pulsekit.operators.windows import window_counts
+    from pulsekit.streaming.ingest import stamp_ingest
+    from pulsekit.streaming.plans import stream_window_counts
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    s = batches(spark, tmp_path / "in", "k string, ts long", [("a", 1), ("b", 2)], [("a", 3)])
+    first = {(r.k, r.ts.timestamp()): r.ingest_ts for r in stamp_ingest(s, out, progress).collect()}
+    batches(spark, tmp_path / "in", "k string, ts long", [("a", 4)])
+    stored = stamp_ingest(s, out, progress)
+    again = {(r.k, r.ts.timestamp()): r.ingest_ts for r in stored.collect()}
+    assert len(again) == 4 and all(again[k] == t for k, t in first.items())
+    assert len(set(first.values())) == 2 and max(first.values()) < again[max(set(again) - set(first))]
+    for _ in range(2):
+        end = Ending(spark)
+        x = end.close(spark.readStream.schema(stored.schema).parquet(out), "ingest_ts")
+        same(run_to_table(stream_window_counts(x, "ingest_ts", "k", "10 seconds", "5 seconds"), "by-ingest", end),
+             window_counts(stored, "ingest_ts", ["k"], "10 seconds", "5 seconds"))
+
+
+def test_wall_clock_windows(spark, tmp_path):
+    """Rows count in the windows open when they come; a window is given by the first run after its end."""
+    from pulsekit.streaming.ingest import stream_wall_clock_windows
+    where = {"out": str(tmp_path / "out"), "checkpoint": str(tmp_path / "progress")}
+    s = batches(spark, tmp_path / "in", "k string, ts long", [("a", 1), ("a", 2), (None, 3)])
+    counts = stream_wall_clock_windows(s, "k", "2 seconds", "1 second")
+    began = time.time()
+    run_while(counts, **where, going=lambda p: p["numInputRows"] == 0, interval="0 seconds", limit=60)     # stops when the rows are in
+    time.sleep(max(0.0, 2.5 - (time.time() - began)))
+    rest = []
+
+    def until_all_is_out(progress):
+        rest.append(progress["sink"]["numOutputRows"] if "sink" in progress else 0)
+        return spark.read.schema(counts.schema).parquet(where["out"]).count() < 4
+
+    got = run_while(counts, **where, going=until_all_is_out, interval="0 seconds", limit=60).collect()
+    assert sorted((r.k or "", r.cnt) for r in got) == [("", 1), ("", 1), ("a", 2), ("a", 2)]
+    ends = sorted({r.window_end for r in got})
+    assert ends[1] - ends[0] == 1_000_000 and began < ends[0] / 1e6 and ends[1] / 1e6 < time.time()
+
+
+def test_an_end_that_is_not_final(spark, tmp_path):
+    """Closed up to a time, stopped, started again from the same folders, more rows, closed up to another time, closed for good."""
+    from pulsekit.operators.windows import window_counts
+    from pulsekit.streaming.plans import stream_window_counts
+    where = {"out": str(tmp_path / "out"), "checkpoint": str(tmp_path / "progress")}
+    loads = [[("a", 10), ("a", 3500)], [("a", 3700), ("b", 7300)], [("b", 7900)]]
+    got = []
+    for load, until in zip(loads, ("1970-01-01 01:00:00", "1970-01-01 02:00:00", None), strict=True):
+        s = batches(spark, tmp_path / "in", "k string, ts long", load)
+        end = Ending(spark, str(tmp_path / "ends"))
+        counts = stream_window_counts(end.close(s, "ts", "5 minutes"), "ts", "k", "1 hour")
+        got.append(run_to_table(counts, "go-on", end, **where, until=until).count())
+    assert got == [1, 2, 3]
+    same(spark.read.parquet(where["out"]), window_counts(spark.read.parquet(str(tmp_path / "in")), "ts", ["k"], "1 hour"))
