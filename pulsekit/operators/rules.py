@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.functions.time import local_day, micros, to_micros
 from pulsekit.operators.blocks import time_blocks
+from pulsekit.session import checkpoint_dir
 
 # Fixed value: text of the click-cap warning row.
 BLACKLIST_WARNING = "blacklisted: daily click cap reached"
@@ -92,65 +93,76 @@ def fail_episodes(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interv
     reference's watermark delay does (it counts fails arriving up to that
     much later).  Returns ``key, first_ts, last_ts, n_fails``.
 
-    The episodes of a run of fails depend on each other (each starts at the
-    first fail after the previous one closed), so each island (fails with
-    gaps within reach, no success between) is folded in time order with
-    ``aggregate`` over its sorted rows.  Islands are found per (key, time
-    block), so a key's history is not one task; an island is one array.
+    The episodes of a run of fails depend on each other: each starts at the
+    first fail after the one before it closed.  That chain is not walked.
+    Every fail gets the episode that it would open and the fail that would
+    open the next one, from running counts per (key, time block) at the time
+    its episode would close; a fail after a success, or after a gap beyond
+    reach, opens one whatever came before; and the fails that these lead to
+    are found by doubling the links (:func:`_reached`).  A task holds the
+    rows of one block, however long a run of fails is.
     """
     keys = _keys(key)
+    checkpoint_dir(df.sparkSession)
     reach = to_micros(interval) + to_micros(grace)
     base = df.select(*keys, ts, seq, is_fail.alias("_f"))
-    # Island starts and the success that may cancel an island's last episode
-    # are within ``reach`` of their rows: compute them per (key, time block).
-    b = time_blocks(base, ts, back_us=reach, ahead_us=reach, block=block)
-    w = Window.partitionBy(*keys, "_blk").orderBy(ts, seq)
-    x = b.select(*keys, ts, seq, "_f", "_us", "_blk", "_own",
-                 F.lag("_f").over(w).alias("_pf"), F.lag("_us").over(w).alias("_pus"),
-                 F.lead("_f").over(w).alias("_nf"), F.lead("_us").over(w).alias("_nus"))
-    start = F.col("_f") & (F.col("_pf").isNull() | ~F.col("_pf") | (F.col("_us") - F.col("_pus") > reach))
-    x = x.filter("_own").withColumn("_start", F.when(start, F.struct(F.col("_us").alias("us"), F.col(seq).alias("seq"))))
-    # Island of a fail = the latest start at or before it: inside the block a
-    # running ``last``; before the block's first start, the last start of an
-    # earlier block, found on a per-(key, block) summary (one row per block).
+    # A next opener beyond two reaches follows a gap beyond reach, so it opens an episode anyway.
+    if block:
+        block = f"{max(to_micros(block), 2 * reach)} us"
+    b = time_blocks(base, ts, back_us=reach, ahead_us=2 * reach, block=block)
+    part = Window.partitionBy(*keys, "_blk")
+    w, one = part.orderBy("_us", seq), F.lit(1).cast("long")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("_isl", F.last("_start", ignorenulls=True).over(upto))
-    summary = x.groupBy(*keys, "_blk").agg(F.max("_start").alias("_last"))
-    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, "_blk", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
-    x = (x.join(carry, keys + ["_blk"], "left")
-         .withColumn("_island", F.coalesce("_isl", "_carry")))
-    ends = F.when(F.col("_nf") == F.lit(False), F.col("_nus"))
-    isl = (x.filter("_f")
-           .groupBy(*keys, F.col("_island.us").alias("_iu"), F.col("_island.seq").alias("_is"))
-           .agg(F.array_sort(F.collect_list(F.struct(F.col("_us").alias("us"), F.col(ts).alias("ts")))).alias("_rows"),
-                F.max(ends).alias("_cancel_us")))
-    # state: t0 (µs), first ts, last ts, count, closed episodes
-    time_t = df.schema[ts].dataType.simpleString()
-    ep_t = f"struct<first_ts:{time_t},last_ts:{time_t},n:bigint>"
-    init = F.struct(F.lit(None).cast("bigint").alias("t0"), F.lit(None).cast(time_t).alias("f"),
-                    F.lit(None).cast(time_t).alias("l"), F.lit(0).cast("bigint").alias("n"),
-                    F.array().cast(f"array<{ep_t}>").alias("out"))
-
-    def step(acc, r):
-        inside = acc["t0"].isNotNull() & (r["us"] <= acc["t0"] + F.lit(reach))
-        closed = F.when(acc["n"] >= 2, F.array_append(acc["out"], F.struct(acc["f"].alias("first_ts"),
-                                                                             acc["l"].alias("last_ts"),
-                                                                             acc["n"].alias("n"))
-                                                      )).otherwise(acc["out"])
-        return F.when(inside, F.struct(acc["t0"].alias("t0"), acc["f"].alias("f"), r["ts"].alias("l"),
-                                       (acc["n"] + 1).alias("n"), acc["out"].alias("out"))) \
-            .otherwise(F.struct(r["us"].alias("t0"), r["ts"].alias("f"), r["ts"].alias("l"),
-                                F.lit(1).cast("bigint").alias("n"), closed.alias("out")))
-
-    folded = isl.select(*keys, F.aggregate("_rows", init, step).alias("_s"), "_cancel_us")
-    last_ok = (F.col("_s.n") >= 2) & (F.col("_cancel_us").isNull()
-                                       | (F.col("_cancel_us") > F.col("_s.t0") + F.lit(reach)))
-    last = F.when(last_ok, F.array(F.struct(F.col("_s.f").alias("first_ts"), F.col("_s.l").alias("last_ts"),
-                                            F.col("_s.n").alias("n")))).otherwise(F.array().cast(f"array<{ep_t}>"))
-    eps = folded.select(*keys, F.explode(F.concat(F.col("_s.out"), last)).alias("_e"))
-    return eps.select(*keys, F.col("_e.first_ts").alias("first_ts"), F.col("_e.last_ts").alias("last_ts"),
-                      F.col("_e.n").alias("n_fails"))
+    x = b.withColumn("_n", F.sum(F.when(F.col("_f"), one).otherwise(0)).over(upto)).withColumn("_ok", F.sum(F.when(F.col("_f"), 0).otherwise(one)).over(upto))
+    after_ok = F.lag("_f").over(w)
+    x = x.withColumn("_opens", F.col("_f") & (after_ok.isNull() | ~after_ok | (F.col("_us") - F.lag("_us").over(w) > reach)))
+    # each own fail once more, at the time its episode would close, after all rows of that time
+    close = F.struct((F.col("_us") + F.lit(reach)).alias("t"), F.lit(True).alias("closes"))
+    x = x.withColumn("_at", F.explode(F.array_compact(F.array(
+        F.struct(F.col("_us").alias("t"), F.lit(False).alias("closes")), F.when(F.col("_f") & F.col("_own"), close)))))
+    real_fail = F.col("_f") & ~F.col("_at.closes")
+    order = [F.col("_at.t"), F.col("_at.closes"), F.col(seq)]
+    so_far = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    from_now = part.orderBy(*(c.desc() for c in order)).rowsBetween(Window.unboundedPreceding, 0)
+    fail = F.struct(F.col("_us").alias("us"), F.col(seq).alias("seq"), F.col("_opens").alias("opens"))
+    real = ~F.col("_at.closes")
+    x = (x.withColumn("_n_end", F.max(F.when(real, F.col("_n"))).over(so_far)).withColumn("_ok_end", F.max(F.when(real, F.col("_ok"))).over(so_far))
+         .withColumn("_last", F.last(F.when(real_fail, F.col(ts)), ignorenulls=True).over(so_far))
+         .withColumn("_next", F.last(F.when(real_fail, fail), ignorenulls=True).over(from_now)))
+    cancelled = F.col("_ok_end") > F.col("_ok")
+    near = F.col("_next.us") <= F.col("_us") + F.lit(2 * reach)
+    to = F.when(~cancelled & near & ~F.col("_next.opens"), F.struct("_next.us", "_next.seq"))
+    fails = x.filter("_at.closes").select(
+        *keys, F.struct(F.col("_us").alias("us"), F.col(seq).alias("seq")).alias("_row"), F.col(ts).alias("first_ts"), F.col("_last").alias("last_ts"),
+        (F.col("_n_end") - F.col("_n") + 1).alias("n_fails"), cancelled.alias("_cancelled"), "_opens", to.alias("_to")).checkpoint()
+    links = fails.filter("_to IS NOT NULL").select(*keys, "_row", "_to")
+    opened = _reached(fails.filter("_opens").select(*keys, "_row"), links, keys, "_row", "_to")
+    kept = fails.filter(~F.col("_cancelled") & (F.col("n_fails") >= 2))
+    same = F.lit(True)
+    for c in [*keys, "_row"]:
+        same &= kept[c].eqNullSafe(opened[c])
+    return kept.join(opened, same, "left_semi").select(*keys, "first_ts", "last_ts", "n_fails")
+
+
+def _reached(starts: DataFrame, links: DataFrame, keys: list[str], node: str, to: str) -> DataFrame:
+    """(keys, node) of the starts and of all that links (keys, node, to), at most one from each node, lead to from them.
+
+    Links double each round, so a chain of n takes log2(n) rounds of joins on
+    unique rows; rounds end when no link is as long.  Links must not run in circles.
+    """
+    def same_row(a_node: str) -> Column:
+        same = F.col(a_node) == F.col("_b_node")
+        for c in keys:
+            same &= F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+        return same
+
+    found = starts.select(*keys, node)
+    while not links.isEmpty():
+        other = links.select(*(F.col(c).alias(f"_b_{c}") for c in keys), F.col(node).alias("_b_node"), F.col(to).alias("_b_to"))
+        ahead = found.join(other, same_row(node)).select(*keys, F.col("_b_to").alias(node))
+        found = found.unionByName(ahead).distinct().checkpoint()
+        links = links.join(other, same_row(to)).select(*keys, node, F.col("_b_to").alias(to)).checkpoint()
+    return found
 
 
 def order_status(df: DataFrame, key, ts: str, seq: str, is_create: Column, is_pay: Column,

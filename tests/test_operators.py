@@ -2,6 +2,8 @@
 
 import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulsekit.functions.keys import salt
@@ -143,3 +145,42 @@ def test_render_top_n(spark):
         "CAST(we AS TIMESTAMP_NTZ) AS window_end", "rank", "item_id", "cnt")
     text = render_top_n(df, "window_end", "rank", "item_id", "cnt").first().text
     assert text.splitlines() == ["====2024-01-01 01:00:00.0====", "Top1 ItemId:7 Count:5", "Top2 ItemId:9 Count:3"]
+
+
+def plain_episodes(rows, reach):
+    """Episodes of one key, one row (second, seq, is_fail) at a time."""
+    out, open_ = [], None
+    for t, _, fail in sorted(rows):
+        if open_ and t > open_[0] + reach:
+            out.append(open_)
+            open_ = None
+        if not fail:
+            open_ = None
+        elif open_:
+            open_ = (open_[0], t, open_[2] + 1)
+        else:
+            open_ = (t, t, 1)
+    return sorted(e for e in [*out, *([open_] if open_ else [])] if e[2] >= 2)
+
+
+def episodes(spark, keyed, reach, **how):
+    rows = [(k, t, s, f) for k, some in keyed.items() for t, s, f in some]
+    df = spark.createDataFrame(rows, "k string, sec long, seq long, f boolean").withColumn("ts", F.timestamp_seconds("sec").cast("timestamp_ntz"))
+    got = fail_episodes(df, "k", "ts", "seq", F.col("f"), f"{reach} seconds", **how)
+    sec = {c: F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})").alias(c) for c in ("first_ts", "last_ts")}
+    return sorted((r.k or "", r.first_ts, r.last_ts, r.n_fails) for r in got.select("k", *sec.values(), "n_fails").collect())
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.sampled_from([True, True, True, True, False])), max_size=80), st.integers(1, 9), st.sampled_from([None, "9 seconds", "31 seconds"]))
+def test_episodes_of_any_rows(spark, rows, reach, block):
+    """Ties, successes inside and at the very close, chains over many blocks."""
+    some = [(t, i, f) for i, (t, f) in enumerate(rows)]
+    assert episodes(spark, {"x": some, None: some[::2]}, reach, block=block) == sorted(
+        [("x", *e) for e in plain_episodes(some, reach)] + [("", *e) for e in plain_episodes(some[::2], reach)])
+
+
+def test_a_long_run_of_fails(spark):
+    """One island of 4,000 fails with two rhythms that never meet, cut into blocks of a few rows each."""
+    some = [(3 * i + (i % 7 == 0), i, True) for i in range(4000)]
+    assert episodes(spark, {"x": some}, 10, block="50 seconds") == [("x", *e) for e in plain_episodes(some, 10)]
