@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsekit.operators.joins import interval_join, reconcile
+from pulsekit.operators.matching import reconcile_one_to_one
 from pulsekit.operators.rules import cap_per_day
 from pulsekit.operators.sketches import bitmap_partials, bitmap_window_counts
 from pulsekit.plans import jobs
@@ -202,6 +203,11 @@ def q_reconcile(spark, sf):
                      JOIN_LOWER, JOIN_UPPER)
 
 
+def q_reconcile_one_to_one(spark, sf):
+    ev = _events(spark, sf)
+    return reconcile_one_to_one(D.pays(ev), D.receipts(ev), "tx", "pay_ts", "receipt_ts", "pay_id", "receipt_id", JOIN_LOWER, JOIN_UPPER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_counts": q_hot_items_counts,
     "hot_items_topn": q_hot_items_topn,
@@ -229,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_status": q_order_status,
     "interval_join": q_interval_join,
     "reconcile": q_reconcile,
+    "reconcile_one_to_one": q_reconcile_one_to_one,
 }
 
 from pulsekit.plans.stream_catalog import STREAM_ONLY, STREAM_QUERIES  # noqa: E402

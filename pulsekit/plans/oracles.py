@@ -159,6 +159,32 @@ LATE_URLS = f"""
     FROM w GROUP BY url, e HAVING count(*) FILTER (e + 60000000 > mark OR e = last) > 0"""
 
 
+def _one_to_one(low: int, high: int) -> str:
+    """A row at a time per user, with the list of those that wait (the brute-force form)."""
+    return f"""
+    WITH RECURSIVE r AS (
+      SELECT user_id, ts, epoch_us(ts) AS us, event_id AS id, event_type = 'purchase' AS pay,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+      FROM events WHERE event_type IN ('purchase', 'signup')),
+    s AS (
+      SELECT user_id, CAST(0 AS BIGINT) AS rn, CAST([] AS STRUCT(us BIGINT, id BIGINT, pay BOOLEAN)[]) AS wait,
+             CAST(NULL AS BIGINT) AS pay_id, CAST(NULL AS BIGINT) AS receipt_id FROM r GROUP BY user_id
+      UNION ALL
+      SELECT user_id, rn, CASE WHEN hit IS NULL THEN list_append(wait, {{'us': us, 'id': id, 'pay': pay}})
+                               ELSE list_filter(wait, lambda x: x.id <> hit.id) END,
+             CASE WHEN hit IS NOT NULL THEN CASE WHEN pay THEN id ELSE hit.id END END,
+             CASE WHEN hit IS NOT NULL THEN CASE WHEN pay THEN hit.id ELSE id END END
+      FROM (SELECT r.user_id, r.rn, r.us, r.id, r.pay, s.wait,
+              list_filter(s.wait, lambda x: x.pay <> r.pay AND (CASE WHEN r.pay THEN x.us - r.us ELSE r.us - x.us END) BETWEEN {low} AND {high})[1] AS hit
+            FROM s JOIN r ON r.user_id = s.user_id AND r.rn = s.rn + 1) q),
+    m AS (SELECT pay_id, receipt_id FROM s WHERE pay_id IS NOT NULL),
+    p AS (SELECT user_id, id AS pay_id, ts AS pay_ts FROM r WHERE pay),
+    c AS (SELECT user_id, id AS receipt_id, ts AS receipt_ts FROM r WHERE NOT pay)
+    SELECT coalesce(p.user_id, c.user_id) AS tx, p.pay_id, pay_ts, c.receipt_id, receipt_ts,
+           CASE WHEN m.pay_id IS NOT NULL THEN 'matched' WHEN p.pay_id IS NULL THEN 'receipt_only' ELSE 'pay_only' END AS status
+    FROM p LEFT JOIN m ON m.pay_id = p.pay_id FULL JOIN c ON c.receipt_id = m.receipt_id"""
+
+
 def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
     pair = _PAIR.format(lo=3 * H, hi=5 * H)
     pass_n = max(1, cap - 1)
@@ -239,6 +265,7 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
         "order_timeout": f"SELECT order_id, first_ts, first_seq FROM ({_followed(12 * H)}) m WHERE NOT hit",
         "order_status": _order_status(12 * H),
         "interval_join": pair,
+        "reconcile_one_to_one": _one_to_one(-3 * H, 5 * H),
         "reconcile": f"""
             WITH m AS ({pair}),
             p AS (SELECT user_id AS tx, event_id AS pay_id, ts AS pay_ts FROM events WHERE event_type = 'purchase'),

@@ -162,6 +162,16 @@ def q_stream_reconcile(spark, sf, max_files=None, delay="0 seconds"):
     return _ntz(out, "pay_ts", "receipt_ts")
 
 
+def q_stream_reconcile_one_to_one(spark, sf, max_files=None, delay="0 seconds"):
+    end = Ending(spark)
+    kind = F.when(F.col("event_type") == "purchase", "pay").otherwise("receipt")
+    ev = read_table_stream(spark, sf, "events", max_files).filter(F.col("event_type").isin("purchase", "signup"))
+    both = end.close(ev.select(F.col("user_id").alias("tx"), "ts", F.col("event_id").alias("seq"), kind.alias("kind")), "ts", delay)
+    out = run_to_table(P.stream_one_to_one(both, "tx", "ts", "seq", "kind", JOIN_LOWER, JOIN_UPPER), "stream_one_to_one", end)
+    return out.select("tx", F.col("pay_seq").alias("pay_id"), _us("pay_us", "pay_ts"), F.col("receipt_seq").alias("receipt_id"),
+                      _us("receipt_us", "receipt_ts"), "status")
+
+
 def _orders(spark, sf, end, max_files, delay) -> DataFrame:
     orders = D.order_events(read_table_stream(spark, sf, "events", max_files))
     return end.close(orders.filter(F.col("event_type").isin("create", "pay")).select("order_id", "event_type", "ts", "seq"), "ts", delay)
@@ -236,7 +246,7 @@ def q_stream_click_cap_warn(spark, sf, max_files=None, delay="0 seconds"):
 # Same questions as the batch queries, so the same oracles.  (The 1 h / 5 s counts are not registered: millions of
 # windows pass through state; ``stream_window_counts`` is tested on fewer.)
 STREAM_ORACLE_OF = {f"stream_{name}": name for name in (
-    "pv_hourly", "hot_items_topn", "hot_urls_topn", "uv_hourly", "uv_running", "interval_join", "reconcile", "order_status", "order_paid",
+    "pv_hourly", "hot_items_topn", "hot_urls_topn", "uv_hourly", "uv_running", "interval_join", "reconcile", "reconcile_one_to_one", "order_status", "order_paid",
     "order_timeout", "fail_pairs", "fail_episodes", "fail_runs", "click_cap_pass", "click_cap_warn")}
 STREAM_QUERIES = {name: globals()[f"q_{name}"] for name in STREAM_ORACLE_OF}
 # Questions of their own.
