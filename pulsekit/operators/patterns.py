@@ -40,14 +40,14 @@ def consecutive(df: DataFrame, key, ts: str, seq: str, cond: Column, n: int, wit
             .select(*keys, "first_ts", "last_ts", "first_seq", "last_seq", F.lit(n).cast("int").alias("n_events")))
 
 
-def followed_by(df: DataFrame, key, ts: str, seq: str, first: Column, then: Column, within,
-                inclusive: bool = False, block=None) -> tuple[DataFrame, DataFrame]:
-    """Each ``first`` row pairs with the next ``then`` row of its key (other rows skipped).
+def followed_by_tagged(df: DataFrame, key, ts: str, seq: str, first: Column, then: Column, within,
+                       inclusive: bool = False, block=None) -> DataFrame:
+    """N3/N4 in one pass: each ``first`` row with the next ``then`` row of its key (other rows skipped).
 
-    Returns ``(matches, timeouts)``.  A match needs ``then.ts - first.ts <
-    within`` (``<=`` with ``inclusive``).  Several ``first`` rows may pair with
-    the same ``then`` row (no skip strategy).  Timeouts are the ``first`` rows
-    without a match, the reference's timeout side output (N4).
+    ``status`` is ``match`` where ``then.ts - first.ts < within`` (``<=``
+    with ``inclusive``), else ``timeout``, the reference's side output, with
+    null ``then`` columns.  Several ``first`` rows may pair with the same
+    ``then`` row (no skip strategy).
     """
     keys = _keys(key)
     span = to_micros(within)
@@ -63,7 +63,13 @@ def followed_by(df: DataFrame, key, ts: str, seq: str, first: Column, then: Colu
     gap = F.col("_n.us") - F.col("_us")
     hit = F.col("_n").isNotNull() & ((gap <= span) if inclusive else (gap < span))
     x = x.withColumn("_hit", hit)
-    matches = x.filter("_hit").select(*keys, F.col(ts).alias("first_ts"), F.col(seq).alias("first_seq"),
-                                      F.col("_n.ts").alias("then_ts"), F.col("_n.seq").alias("then_seq"))
-    timeouts = x.filter(~F.col("_hit")).select(*keys, F.col(ts).alias("first_ts"), F.col(seq).alias("first_seq"))
-    return matches, timeouts
+    return x.select(*keys, F.col(ts).alias("first_ts"), F.col(seq).alias("first_seq"),
+                    F.when(F.col("_hit"), F.col("_n.ts")).alias("then_ts"), F.when(F.col("_hit"), F.col("_n.seq")).alias("then_seq"),
+                    F.when(F.col("_hit"), "match").otherwise("timeout").alias("status"))
+
+
+def followed_by(df: DataFrame, key, ts: str, seq: str, first: Column, then: Column, within,
+                inclusive: bool = False, block=None) -> tuple[DataFrame, DataFrame]:
+    """``(matches, timeouts)`` of :func:`followed_by_tagged`, for callers that need one of them; both together are two passes."""
+    tagged = followed_by_tagged(df, key, ts, seq, first, then, within, inclusive, block)
+    return tagged.filter("status = 'match'").drop("status"), tagged.filter("status = 'timeout'").drop("then_ts", "then_seq", "status")

@@ -22,27 +22,33 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def cap_per_day(df: DataFrame, keys, ts: str, seq: str, max_clicks: int = 100,
-                zone: str = "Asia/Shanghai", day: str = "day") -> tuple[DataFrame, DataFrame]:
-    """Per (keys, local day) pass the first clicks, warn once at the cap, drop the rest.
-
-    The n-th click of a day passes when ``n == 1 or n < max_clicks`` (the
-    first click always passes, as in the reference); the warning is the
-    ``max(2, max_clicks)``-th click.  The day is the calendar day in ``zone``
-    (the reference resets at local midnight, UTC+8).  Both outputs filter on
-    ``row_number``, so Spark limits each group on the map side before the
-    shuffle: a (user, ad, day) with a third of all clicks ships only the few
-    rows that can pass.  Returns ``(passed, warnings)``.
+def cap_tagged(df: DataFrame, keys, ts: str, seq: str, max_clicks: int = 100,
+               zone: str = "Asia/Shanghai", day: str = "day") -> DataFrame:
+    """T1/O1 in one pass: rows with ``status`` ``pass`` or ``warn``; the rest are dropped.
+
+    The n-th click of a (keys, local day) passes when ``n == 1 or n <
+    max_clicks`` (the first click always passes, as in the reference); the
+    warning is the ``max(2, max_clicks)``-th click.  The day is the calendar
+    day in ``zone`` (the reference resets at local midnight, UTC+8).  The
+    filter on ``row_number`` lets Spark limit each group on the map side
+    before the shuffle: a (user, ad, day) with a third of all clicks ships
+    only the few rows that can pass or warn.
     """
     keys = _keys(keys)
-    d = df.withColumn(day, local_day(ts, zone))
+    last_pass, warn_at = max(1, max_clicks - 1), max(2, max_clicks)
     w = Window.partitionBy(*keys, day).orderBy(ts, seq)
-    last_pass = max(1, max_clicks - 1)
-    warn_at = max(2, max_clicks)
-    passed = (d.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= last_pass).drop("_n"))
-    warnings = (d.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == warn_at)
-                .select(*keys, day, ts, seq, F.lit(BLACKLIST_WARNING).alias("warning")))
-    return passed, warnings
+    n = F.col("_n")
+    return (df.withColumn(day, local_day(ts, zone)).withColumn("_n", F.row_number().over(w)).filter(n <= warn_at)
+            .withColumn("status", F.when(n <= last_pass, "pass").when(n == warn_at, "warn")).filter("status IS NOT NULL").drop("_n"))
+
+
+def cap_per_day(df: DataFrame, keys, ts: str, seq: str, max_clicks: int = 100,
+                zone: str = "Asia/Shanghai", day: str = "day") -> tuple[DataFrame, DataFrame]:
+    """``(passed, warnings)`` of :func:`cap_tagged`, for callers that need one of them; both together are two passes."""
+    keys = _keys(keys)
+    tagged = cap_tagged(df, keys, ts, seq, max_clicks, zone, day)
+    warnings = tagged.filter("status = 'warn'").select(*keys, day, ts, seq, F.lit(BLACKLIST_WARNING).alias("warning"))
+    return tagged.filter("status = 'pass'").drop("status"), warnings
 
 
 def fail_pairs(df: DataFrame, key, ts: str, seq: str, is_fail: Column, interval="2 seconds",

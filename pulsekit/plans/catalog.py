@@ -10,6 +10,7 @@ hours; the window jobs keep the reference's sizes and slides.
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +18,14 @@ from pyspark.sql import functions as F
 
 from pulsekit.operators.joins import interval_join, reconcile
 from pulsekit.operators.matching import reconcile_one_to_one
-from pulsekit.operators.rules import cap_per_day
+from pulsekit.operators.patterns import followed_by_tagged
+from pulsekit.operators.rules import cap_per_day, cap_tagged
 from pulsekit.operators.sketches import bitmap_partials, bitmap_window_counts
+from pulsekit.operators.tagged import read_tagged, write_tagged
 from pulsekit.plans import jobs
 from pulsekit.session import ensure_utc, scratch_path
 from pulsekit.sources import driver as D
-from pulsekit.sources.readers import parse_access_log, parse_lines
+from pulsekit.sources.readers import parse_access_log, parse_lines, parse_tagged
 from pulsekit.sources.schemas import RAW_USER_BEHAVIOR
 from pulsekit.functions.time import seconds_to_ntz
 
@@ -140,6 +143,34 @@ def q_click_cap_warn(spark, sf):
     return warn
 
 
+def _in_one_pass(spark, tagged: DataFrame, name: str, *tags: str) -> DataFrame:
+    """Each tag written to its own folder by one job, and read back."""
+    path = scratch_path(spark, name)
+    write_tagged(tagged, path)
+    outputs = [read_tagged(spark, path, t).withColumn("status", F.lit(t)) for t in tags]
+    return functools.reduce(DataFrame.unionByName, outputs)
+
+
+def q_click_cap_tagged(spark, sf):
+    tagged = cap_tagged(_cap_input(spark, sf), ["user_id", "event_type"], "ts", "seq", CAP)
+    return _in_one_pass(spark, tagged, "click-cap", "pass", "warn")
+
+
+def q_order_pattern_tagged(spark, sf):
+    orders = _orders(spark, sf)
+    tagged = followed_by_tagged(orders, "order_id", "ts", "seq", F.col("event_type") == "create", F.col("event_type") == "pay", ORDER_WITHIN)
+    return _in_one_pass(spark, tagged, "order-pattern", "match", "timeout")
+
+
+def q_csv_rejects_tagged(spark, sf):
+    """Lines of which some lack a field or hold text where a number belongs."""
+    lines = D.user_behavior_lines(_events(spark, sf))
+    value = (F.when(F.col("seq") % 17 == 0, F.substring_index("value", ",", 3)).when(F.col("seq") % 19 == 0, F.concat(F.lit("x"), F.col("value")))
+             .otherwise(F.col("value")))
+    tagged = parse_tagged(lines.withColumn("value", value), RAW_USER_BEHAVIOR).withColumnRenamed("value", "line")
+    return _in_one_pass(spark, tagged.withColumn("line", F.when(F.col("status") == "reject", F.col("line"))), "csv", "ok", "reject").drop("ts")
+
+
 def q_ad_province_counts(spark, sf):
     """The cap needs no province: only clicks that pass are joined with the customers."""
     passed, _ = jobs.ad_click_cap(D.clicks(_events(spark, sf)), CAP)
@@ -224,6 +255,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_counts": q_channel_counts,
     "click_cap_pass": q_click_cap_pass,
     "click_cap_warn": q_click_cap_warn,
+    "click_cap_tagged": q_click_cap_tagged,
+    "order_pattern_tagged": q_order_pattern_tagged,
+    "csv_rejects_tagged": q_csv_rejects_tagged,
     "ad_province_counts": q_ad_province_counts,
     "fail_pairs": q_fail_pairs,
     "fail_pairs_arrival": q_fail_pairs_arrival,

@@ -244,6 +244,19 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
         "click_cap_pass": f"SELECT user_id, event_type, ts, seq, day FROM ({_cap(f'n <= {pass_n}')}) c",
         "click_cap_warn": f"""SELECT user_id, event_type, day, ts, seq,
             'blacklisted: daily click cap reached' AS warning FROM ({_cap(f'n = {warn_n}')}) c""",
+        "click_cap_tagged": f"""SELECT user_id, event_type, ts, seq, day, CASE WHEN n <= {pass_n} THEN 'pass' ELSE 'warn' END AS status
+            FROM ({_cap(f'n <= {pass_n} OR n = {warn_n}')}) c""",
+        "order_pattern_tagged": f"""SELECT order_id, first_ts, first_seq, CASE WHEN hit THEN then_ts END AS then_ts, CASE WHEN hit THEN then_seq END AS then_seq,
+            CASE WHEN hit THEN 'match' ELSE 'timeout' END AS status FROM ({_followed(12 * H)}) m""",
+        "csv_rejects_tagged": f"""
+            WITH v AS (SELECT event_id AS seq, user_id, {ITEM} AS item_id, CAST((({ITEM} % 10) + 10) % 10 AS INTEGER) AS category_id, {BEHAVIOR} AS behavior,
+                              epoch_us(ts) // 1000000 AS sec FROM events),
+            l AS (SELECT *, seq % 17 = 0 AS short, seq % 19 = 0 AS text FROM v)
+            SELECT seq, CASE WHEN short THEN concat_ws(',', user_id, item_id, category_id)
+                             WHEN text THEN concat_ws(',', 'x' || user_id, item_id, category_id, behavior, sec) END AS line,
+                   CASE WHEN NOT (short OR text) THEN user_id END AS user_id, CASE WHEN NOT (short OR text) THEN item_id END AS item_id,
+                   CASE WHEN NOT (short OR text) THEN category_id END AS category_id, CASE WHEN NOT (short OR text) THEN behavior END AS behavior,
+                   CASE WHEN short OR text THEN 'reject' ELSE 'ok' END AS status FROM l""",
         "ad_province_counts": _sliding(passed_clicks, ["province"], H, S5),
         "fail_pairs": f"""
             SELECT user_id, first_ts, last_ts, first_seq, last_seq FROM (

@@ -45,14 +45,34 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
     return parse_lines(lines, schema, sep=sep, mode=mode)
 
 
+def parse_tagged(lines: DataFrame, schema: T.StructType, col: str = "value", sep: str = ",",
+                 positions: list[int] | None = None, mode: str = "PERMISSIVE") -> DataFrame:
+    """Lines in one pass: the fields where ``status`` is ``ok``, only the line where it is ``reject``."""
+    keep, staged = _staged(lines, schema, col, sep, positions, mode)
+    return staged.select(*keep, col, *(F.when(F.col("_ok"), F.col(n)).alias(n) for n in schema.names),
+                         F.when(F.col("_ok"), "ok").otherwise("reject").alias("status"))
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value", sep: str = ",",
                 positions: list[int] | None = None, mode: str = "PERMISSIVE") -> tuple[DataFrame, DataFrame]:
-    """Split text lines on ``sep`` and cast field ``positions[i]`` to ``schema[i]``.
+    """Split text lines on ``sep`` and cast field ``positions[i]`` to ``schema[i]`` (P1, P2): rows and rejects.
 
     A line whose field is missing, or whose numeric field is empty or does not
     cast, is a reject (the reference's ``parseLong`` would throw).  Empty text
     fields (the create rows' tx id) become NULL.
     """
+    keep, staged = _staged(lines, schema, col, sep, positions, mode)
+    # Rows are selected through a generator, not a Filter: Catalyst would push
+    # a Filter on ``_ok`` below these projections with every alias inlined,
+    # re-evaluating the split (and whatever built the line) per field.
+    rows = (staged.select(*keep, F.explode(F.when(F.col("_ok"), F.array(F.struct(*schema.names)))).alias("_x"))
+            .select(*keep, "_x.*"))
+    rejects = (staged.select(*keep, F.explode(F.when(~F.col("_ok"), F.array(F.col(col)))).alias(col)))
+    return rows, rejects
+
+
+def _staged(lines: DataFrame, schema: T.StructType, col: str, sep: str, positions: list[int] | None, mode: str) -> tuple[list[str], DataFrame]:
+    """The other columns, and lines with their typed fields and whether they are good (``_ok``)."""
     positions = positions or list(range(len(schema.fields)))
     keep = [c for c in lines.columns if c != col]
     # Staged projections: split once, read each field once, cast once.  (A
@@ -75,14 +95,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value", sep:
     if mode.upper() == "FAILFAST":
         ok = F.coalesce(F.assert_true(ok, F.concat(F.lit("malformed line: "), F.col(col))).cast("boolean"),
                         F.lit(True))
-    staged = typed.select(*keep, col, ok.alias("_ok"), *schema.names)
-    # Rows are selected through a generator, not a Filter: Catalyst would push
-    # a Filter on ``_ok`` below these projections with every alias inlined,
-    # re-evaluating the split (and whatever built the line) per field.
-    rows = (staged.select(*keep, F.explode(F.when(F.col("_ok"), F.array(F.struct(*schema.names)))).alias("_x"))
-            .select(*keep, "_x.*"))
-    rejects = (staged.select(*keep, F.explode(F.when(~F.col("_ok"), F.array(F.col(col)))).alias(col)))
-    return rows, rejects
+    return keep, typed.select(*keep, col, F.coalesce(ok, F.lit(False)).alias("_ok"), *schema.names)
 
 
 def _regex_quote(sep: str) -> str:
