@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm.common import PREFIX, written
 from pulsekit.llm.components import connected_components
-from pulsekit.llm.textchunks import forget
+from pulsekit.llm.textchunks import forget, give_back
 from pulsekit.llm.tiles import deal_pairs, forest, gathered, whole_groups
 
 BITS = 64
@@ -62,7 +62,8 @@ def fingerprint(text: Column, shingle: int = 4) -> Column:
     @F.arrow_udf("long")
     def prints(texts: pa.Array) -> pa.Array:
         forget()
-        got = np.array([fingerprint_of(t or "", shingle) for t in texts.to_pylist()], dtype=np.uint64)
+        got = np.array([fingerprint_of(t.as_py() or "", shingle) for t in texts], dtype=np.uint64)
+        give_back()
         return pa.array(got.view(np.int64))
 
     return prints(text)

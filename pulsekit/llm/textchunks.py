@@ -9,6 +9,7 @@ times; a bounded table per Python worker answers those.
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import re
 
@@ -53,13 +54,17 @@ class ChunkTable:
 
     ``compute(chunk, known)`` gives the value of a chunk; ``known`` looks up
     another chunk, such as one of its pieces, without computing it.  Two
-    generations of about ``limit`` chunks each: when the newer is full it
+    generations of about ``room`` bytes each: when the newer is full it
     becomes the older one, and chunks still in use move back as they occur.
+    Chunks of more than ``longest`` characters are not kept.
     """
 
-    def __init__(self, compute, limit: int = 250_000):
-        self.compute, self.limit = compute, limit
-        self.now, self.old = {}, {}
+    #: Bytes that an entry takes besides its texts: two objects' heads and a place in a dictionary.
+    HEAD = 200
+
+    def __init__(self, compute, room: int = 52 << 20, longest: int = 4096):
+        self.compute, self.room, self.longest = compute, room, longest
+        self.now, self.old, self.used = {}, {}, 0
 
     def known(self, chunk: str):
         got = self.now.get(chunk)
@@ -67,29 +72,35 @@ class ChunkTable:
 
     def values(self, chunks: list[str]) -> list:
         """The value of each of some distinct chunks."""
-        if len(self.now) > self.limit:
-            self.now, self.old = {}, self.now
-        now, old, known, compute = self.now, self.old, self.known, self.compute
-        out = []
+        if self.used > self.room:
+            self.now, self.old, self.used = {}, self.now, 0
+        now, old, known, compute, longest = self.now, self.old, self.known, self.compute, self.longest
+        out, used, before = [], 0, len(self.now)
         for c in chunks:
             v = now.get(c)
             if v is None:
                 v = old.get(c)
                 if v is None:
                     v = compute(c, known)
-                now[c] = v
+                if len(c) <= longest:
+                    now[c] = v
+                    used += len(c) if isinstance(v, int) else len(c) + len(v)
             out.append(v)
+        self.used += used + self.HEAD * (len(now) - before)
         return out
 
     def coded(self, texts: pa.Array, batch_bytes: int = 4 << 20):
         """Runs of texts: the values of their distinct chunks, the chunks as codes into these, and where each text's begin."""
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         runs = np.cumsum(sizes) // batch_bytes
-        for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(texts)] if len(texts) else []):
-            lists = cut_all(texts.slice(a, b - a))
-            at = lists.offsets.to_numpy().astype(np.int64)
-            chunks = lists.flatten().dictionary_encode()
-            yield self.values(chunks.dictionary.to_numpy(zero_copy_only=False).tolist()), chunks.indices.to_numpy(), at - at[0]
+        try:
+            for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(texts)] if len(texts) else []):
+                lists = cut_all(texts.slice(a, b - a))
+                at = lists.offsets.to_numpy().astype(np.int64)
+                chunks = lists.flatten().dictionary_encode()
+                yield self.values(chunks.dictionary.to_numpy(zero_copy_only=False).tolist()), chunks.indices.to_numpy(), at - at[0]
+        finally:
+            give_back()
 
     def sums(self, texts: pa.Array) -> np.ndarray:
         """For each text the sum of its chunks' values."""
@@ -122,7 +133,17 @@ def worker_table(key: tuple, make) -> ChunkTable:
     return _TABLES[key]
 
 
+def give_back() -> None:
+    """Return the heap that is free to the system: an idle worker keeps its table, not the room its batches took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not this C library
+
+
 def forget() -> None:
     """Give back the room of this worker's table when it goes on to other work."""
-    _TABLES.clear()
-    pa.default_memory_pool().release_unused()
+    if _TABLES:
+        _TABLES.clear()
+    give_back()

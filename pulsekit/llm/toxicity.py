@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import written
-from pulsekit.llm.textchunks import ChunkTable, worker_table
+from pulsekit.llm.textchunks import ChunkTable, give_back, worker_table
 
 #: Identity terms by kind; a term is swapped for the next of its kind (fixed values).
 IDENTITY_TERMS = (
@@ -166,9 +166,10 @@ def score(text: Column, model: Model) -> Column:
         def compute(chunk, known):
             return tuple(f for f in chunk_features(chunk) if f in model.weights)
 
-        table = worker_table(model.key(), lambda: ChunkTable(compute, limit=100_000))
+        table = worker_table(model.key(), lambda: ChunkTable(compute, room=24 << 20))
         z = [model.bias + sum(sorted(model.weights[f] for f in set().union(*table.values(list(set((t or "").lower().split()))))))
              for t in texts.to_pylist()]
+        give_back()
         return pa.array(1 / (1 + np.exp(-np.array(z, dtype=float))))
 
     return scores(text)

@@ -213,7 +213,7 @@ def test_parts_keep_an_anchor_whole():
     for t, first, last, a in zip(text.tolist(), lo.tolist(), hi.tolist(), anchor.tolist(), strict=True):
         places[t].append(a - int(at[t]) + suffix_dedup._PLACE * ((a - first) + suffix_dedup._SPAN * (a - last)))
     docs = pa.RecordBatch.from_pydict({"row": list(range(len(some))), "text": some, "places": places})
-    contexts = pa.Table.from_batches(suffix_dedup._contexts(windows, "bytes")([docs])).sort_by("key").combine_chunks()
+    contexts = pa.Table.from_batches(suffix_dedup._contexts(windows)([docs])).sort_by("key").combine_chunks()
 
     def found(part):
         return {tuple(x.values()) for b in suffix_dedup._repeats(windows, part)(contexts.to_batches()) for x in b.to_pylist()}
@@ -331,3 +331,14 @@ def test_grammar_solves_what_single_rows_solve():
             rows = [(i, "user", " ") if c == "d" else (i, role[c.lower()], f"{i}" + "." * c.islower()) for i, c in enumerate(letters)]
             ways = [(e[0] + ending(j)[0], text_of(e[1]) + ending(j)[1]) for j in STATES if (e := grammar.matrix("".join(letters))[START][j])]
             assert min(ways) == cheapest(rows)[5:7]
+
+
+def test_chunk_table_is_bounded_by_bytes():
+    """Texts without spaces are one chunk each: long ones are not kept, short ones only up to the room."""
+    from pulsekit.llm.textchunks import ChunkTable
+    table = ChunkTable(lambda chunk, known: chunk.encode() * 2, room=1 << 20, longest=4096)
+    for i in range(400):
+        texts = pa.array([f"{i}." + "x" * 90_000] + [f"{i}.{j}." + "y" * (j * 50) for j in range(60)])
+        assert table.values(texts.to_pylist()) == [t.encode() * 2 for t in texts.to_pylist()]
+        held = sum(len(k) + len(v) for some in (table.now, table.old) for k, v in some.items())
+        assert held < 2 * ((1 << 20) + 61 * 3 * 4096)
