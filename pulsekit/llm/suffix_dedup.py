@@ -30,6 +30,7 @@ its windows are compared by equality joins of 128-bit digests.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm.common import PREFIX, written
 from pulsekit.llm.suffix_array import suffix_array
-from pulsekit.llm.textchunks import forget
+from pulsekit.llm.textchunks import forget, give_back
 from pulsekit.llm.tiles import gathered, whole_groups
 
 _BASE = 0x9E3779B97F4A7C15
@@ -117,7 +118,7 @@ def _folded(x: np.ndarray, count: int, join) -> np.ndarray:
         part = join(part[:len(part) - size // 2], part[size // 2:], size // 2)
 
 
-def _runs(batch: pa.RecordBatch, limit: int = 1 << 20):
+def _runs(batch: pa.RecordBatch, limit: int = 1 << 18):
     """Slices of a batch of about ``limit`` bytes of text: the slice, its bytes, and where each text begins."""
     sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1).tolist(), batch.num_rows]
@@ -155,6 +156,7 @@ def _candidates(windows: Windows):
             alone = np.zeros(len(key), dtype=bool)
             alone[first] = True
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (deal, known, alone, row, place)], ["deal", "known", "asks", "row", "place"])
+        give_back()
 
     return run
 
@@ -204,37 +206,73 @@ def _decided(t: pa.Table, final: bool):
         yield from out.to_batches()
 
 
-def _contexts(windows: Windows, what: str):
-    """Of documents (row, text, places): contexts with their bytes (``what`` = "bytes") or where they occur ("places")."""
+def _slices(batch: pa.RecordBatch, limit: int = 4 << 20):
+    """Slices of a batch of about ``limit`` bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1).tolist(), batch.num_rows]
+    for a, b in itertools.pairwise(cuts):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def _found_contexts(windows: Windows, some: pa.RecordBatch):
+    """(digest, bytes before the anchor, bytes after it that no window begins at, row, text, anchor) of each place of documents (row, text, places)."""
+    import xxhash
+
+    for row, text, found in zip(some.column("row").to_pylist(), some.column("text").cast(pa.binary()).to_pylist(),
+                                some.column("places").to_pylist(), strict=True):
+        for place in found:
+            anchor, spans = place % _PLACE, place // _PLACE
+            left, right = spans % _SPAN, spans // _SPAN
+            context = text[anchor - left:anchor - right + windows.length]
+            if anchor < left or len(context) < left - right + windows.length:
+                continue  # another row's place, by an equal row hash
+            digest = xxhash.xxh3_128_intdigest(context)
+            yield ((digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63), left), left - right + 1, row, context, anchor
+
+
+def _places(windows: Windows):
+    """Where contexts occur."""
+    def run(batches):
+        for batch in batches:
+            for some in _slices(batch):
+                rows = [(*name, row, anchor - name[2]) for name, _, row, _, anchor in _found_contexts(windows, some)]
+                if rows:
+                    yield _batch(rows, _PLACES)
+        give_back()
+
+    return run
+
+
+def _contexts(windows: Windows, keys_only: bool = False, bytes_once: bool = False, limit: int = 8 << 20):
+    """Contexts with their bytes, in batches of about ``limit`` of these; equal ones of a batch are one row.
+
+    ``bytes_once``: one that comes again in a later batch of a task has its number, not its bytes.
+    """
     import xxhash
 
     def run(batches):
         for batch in batches:
             rows: dict[tuple, list] = {}
-            places = []
-            for row, text, found in zip(batch.column("row").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(),
-                                        batch.column("places").to_pylist(), strict=True):
-                for place in found:
-                    anchor, spans = place % _PLACE, place // _PLACE
-                    left, right = spans % _SPAN, spans // _SPAN
-                    context = text[anchor - left:anchor - right + windows.length]
-                    if anchor < left or len(context) < left - right + windows.length:
-                        continue  # another row's place, by an equal row hash
-                    digest = xxhash.xxh3_128_intdigest(context)
-                    name = ((digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63), left)
-                    if what == "places":
-                        places.append((*name, row, anchor - left))
-                        continue
+            size, sent = 0, set()
+            for some in _slices(batch):
+                for name, n, _, context, anchor in _found_contexts(windows, some):
                     got = rows.get(name)
-                    if got is None:
-                        key = xxhash.xxh64_intdigest(text[anchor:anchor + windows.core]) - (1 << 63)
-                        rows[name] = [key, *name, left - right + 1, 1, context]
-                    else:
+                    if got is not None:
                         got[5] = 2
-            if what == "places" and places:
-                yield _batch(places, _PLACES)
-            elif rows:
+                        continue
+                    left = name[2]
+                    key = xxhash.xxh64_intdigest(context[left:left + windows.core]) - (1 << 63)
+                    held = b"" if keys_only or (bytes_once and name in sent) else context
+                    rows[name] = [key, *name, n, 1, held]
+                    size += len(held) + 100
+                    if size >= limit:
+                        yield _batch(list(rows.values()), _CONTEXTS)
+                        sent.update(rows)
+                        rows, size = {}, 0
+            if rows:
                 yield _batch(list(rows.values()), _CONTEXTS)
+        give_back()
 
     return run
 
@@ -272,6 +310,7 @@ def _repeats(windows: Windows, part: int = 20_000):
                 again[mine, :found.shape[1]] |= found
             again &= np.arange(again.shape[1]) < n[:, None]
             yield from _as_runs(again, names)
+        give_back()
 
     return run
 
@@ -289,7 +328,8 @@ def _whole_parts(rows: np.ndarray, group: np.ndarray, limit: int) -> list[np.nda
 def _collapsed(t: pa.Table):
     """Distinct contexts of a table sorted by key, with how often they occur (2: or more)."""
     columns = [t.column(c).to_numpy() for c in ("key", "c1", "c2", "lead")]
-    order = np.lexsort(columns[::-1])
+    no_bytes = pc.equal(pc.binary_length(t.column("context")), 0).to_numpy()
+    order = np.lexsort([no_bytes, *columns[::-1]])
     key, c1, c2, lead = (c[order] for c in columns)
     new = np.concatenate([[True], (key[1:] != key[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1]) | (lead[1:] != lead[:-1])])
     start = np.flatnonzero(new)
@@ -411,19 +451,27 @@ def _by_digest(windows: Windows):
 _DIGESTS = "c1 long, c2 long, lead int, a int, times int, d1 long, d2 long"
 
 
-def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000, code=None) -> tuple[DataFrame, DataFrame]:
     """Of ``docs`` (row: a hash that names it, text): (row, text) of those with candidates, and (row, spans) of bytes that repeat.
 
+    ``code``: what turns batches of (row, text) into those to search, within the same Python worker.
+
     ``spans``: sorted, disjoint, not touching [first, end) byte ranges.
     """
     windows = Windows(length)
-    dealt = docs.select("row", "text").mapInArrow(_candidates(windows), "deal long, known boolean, asks boolean, row long, place long")
+    candidates = _candidates(windows)
+    dealt = docs.select("row", "text").mapInArrow(lambda batches: candidates(code(batches) if code else batches),
+                                                  "deal long, known boolean, asks boolean, row long, place long")
     again = gathered(dealt, ["deal"]).mapInArrow(_repeated, "row long, place long")
     places = again.groupBy("row").agg(F.collect_set("place").alias("places"))  # bounded by the text's length
-    affected = written(docs.select("row", "text").join(places, "row"), "repeats")
-    contexts = affected.mapInArrow(_contexts(windows, "bytes"), _CONTEXTS)
-    busy = written(affected.mapInArrow(_contexts(windows, "bytes"), _CONTEXTS).groupBy("key").count()
+    affected = written(docs.select("row", "text").join(places, "row"), "repeats")  # not coded: texts take less room than codes
+
+    def found_in(step, schema):
+        return affected.mapInArrow(lambda batches: step(code(batches) if code else batches), schema)
+
+    busy = written(found_in(_contexts(windows, keys_only=True), _CONTEXTS).groupBy("key").count()
                    .filter(F.col("count") > crowded).select("key"), "crowded")
+    contexts = found_in(_contexts(windows, bytes_once=busy.isEmpty()), _CONTEXTS)
     if busy.isEmpty():
         found = gathered(contexts, ["key"]).mapInArrow(_repeats(windows), _FOUND)
     else:
@@ -433,7 +481,7 @@ def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000)
         met = each.join(twice, ["d1", "d2"]).select(*name, F.col("a").alias("b")).distinct()
         found = (gathered(contexts.join(busy, "key", "left_anti"), ["key"]).mapInArrow(_repeats(windows), _FOUND)
                  .unionByName(met))
-    where = affected.mapInArrow(_contexts(windows, "places"), _PLACES)
+    where = found_in(_places(windows), _PLACES)
     spans = (where.join(found, ["c1", "c2", "lead"])
              .select("row", F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + length).alias("b")).alias("s"))
              .groupBy("row").agg(F.sort_array(F.collect_set("s")).alias("spans")))
@@ -480,7 +528,7 @@ _WIDE_SPACES = [c.encode() for c in map(chr, (0x85, 0xA0, 0x1680, *range(0x2000,
 
 
 def _as_words(batches):
-    """Texts with each word as ``_WIDTH`` bytes of its hash (none is 255), without what stands between words."""
+    """Texts with each word as ``_WIDTH`` bytes of its hash (none is 255), without what stands between words; other columns stay."""
     for batch in batches:
         for some, data, at in _runs(batch):
             begin, end = _word_bounds(data, at)
@@ -489,7 +537,7 @@ def _as_words(batches):
             edges = (np.searchsorted(begin, at) * _WIDTH).tolist()
             coded = words.astype("<u8").tobytes()
             texts = pa.array([coded[a:b] for a, b in itertools.pairwise(edges)], pa.binary())
-            yield pa.RecordBatch.from_arrays([some.column("row"), texts], ["row", "text"])
+            yield pa.RecordBatch.from_arrays([texts if c == "text" else some.column(c) for c in some.schema.names], some.schema.names)
 
 
 def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
@@ -498,45 +546,53 @@ def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
     ``spans``: as :func:`repeated_windows` gives them for the words' hashes,
     ``_WIDTH`` bytes a word.  Words are equal whatever space stands between them.
     """
-    coded = docs.select("row", "text").mapInArrow(_as_words, "row long, text binary")
-    return repeated_windows(coded, words * _WIDTH)[1]
+    return repeated_windows(docs, words * _WIDTH, code=_as_words)[1]
 
 
-def _all_spans(text, spans, passages) -> F.Column:
-    """Sorted, disjoint byte spans: ``spans`` and, from first to last whole word, ``passages`` (null where both are)."""
+def _united(text: memoryview, spans: list | None, passages: list | None) -> list:
+    """Sorted, disjoint byte spans: ``spans`` and, from first to last whole word, ``passages``."""
+    if not passages:
+        return spans or []
+    begin, end = _word_bounds(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]))
+    # hashes of the words next to a passage may share some bytes
+    whole = [(-(-r["a"] // _WIDTH), r["b"] // _WIDTH) for r in passages]
+    both = [*(spans or []), *({"a": int(begin[a]), "b": int(end[b - 1])} for a, b in whole)]
     kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    return next(_merged([pa.RecordBatch.from_arrays(
+        [pa.array([0]), pa.array([sorted(both, key=lambda s: (s["a"], s["b"]))], kind)], ["row", "spans"])])).column("spans")[0].as_py()
 
-    @F.arrow_udf("array<struct<a:long,b:long>>")
-    def union(texts: pa.Array, lists: pa.Array, coded: pa.Array) -> pa.Array:
-        out = []
-        for t, some, runs in zip(texts.cast(pa.binary()).to_pylist(), lists.to_pylist(), coded.to_pylist(), strict=True):
-            if runs:
-                begin, end = _word_bounds(np.frombuffer(t, dtype=np.uint8), np.array([0, len(t)]))
-                # hashes of the words next to a passage may share some bytes
-                whole = [(-(-r["a"] // _WIDTH), r["b"] // _WIDTH) for r in runs]
-                both = [*(some or []), *({"a": int(begin[a]), "b": int(end[b - 1])} for a, b in whole)]
-                some = next(_merged([pa.RecordBatch.from_arrays(
-                    [pa.array([0]), pa.array([sorted(both, key=lambda s: (s["a"], s["b"]))], kind)], ["row", "spans"])])).column("spans")[0].as_py()
-            out.append(some)
-        return pa.array(out, kind)
 
-    return union(text, spans, passages)
+def _cut(text, spans: list | None, passages: list | None = None) -> bytes:
+    """The bytes of a text (an Arrow scalar) outside spans and passages (null text: none)."""
+    data = text.as_buffer()
+    t = memoryview(data) if data is not None else memoryview(b"")
+    edges = [0, *(e for s in _united(t, spans, passages) for e in (s["a"], s["b"])), len(t)]
+    return b"".join(t[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
 def kept_bytes(text, spans) -> F.Column:
     """``binary``: the bytes of a text outside ``spans`` (null: all; null text: none)."""
     @F.arrow_udf("binary")
-    def kept(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        out = []
-        for t, some in zip(texts.cast(pa.binary()).to_pylist(), lists.to_pylist(), strict=True):
-            t = t or b""
-            edges = [0, *(e for s in some or () for e in (s["a"], s["b"])), len(t)]
-            out.append(b"".join(t[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-        return pa.array(out, type=pa.binary())
+    def kept(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, lists in batches:
+            yield pa.array([_cut(texts[i], s) for i, s in enumerate(lists.to_pylist())], type=pa.binary())
+            give_back()
 
     return kept(text, spans)
 
 
+def kept_text(text, spans, passages) -> F.Column:
+    """``string``: what stays of a text outside ``spans`` and ``passages`` (null: none), without the characters that a cut runs through."""
+    @F.arrow_udf("string")
+    def kept(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, lists, coded in batches:
+            yield pa.array([_cut(texts[i], s, p).decode("utf-8", "ignore")
+                            for i, (s, p) in enumerate(zip(lists.to_pylist(), coded.to_pylist(), strict=True))], type=pa.string())
+            give_back()
+
+    return kept(text, spans, passages)
+
+
 def row_name(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> F.Column:
     """A hash that names a row by id and text.  Equal rows share it, as they share their result."""
     return F.xxhash64(id_col, text_col)
@@ -576,14 +632,12 @@ def without_repeats(docs: DataFrame, length: int = 400, *, words: int | None = N
     texts = rows.select(F.col(row).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     _, spans = repeated_windows(texts, length)
 
-    @F.arrow_udf("string")
-    def valid(data: pa.Array) -> pa.Array:
-        return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in data.to_pylist()], type=pa.string())
-
-    text = F.when(F.col(found).isNull(), F.col(text_col)).otherwise(valid(kept_bytes(F.col(text_col), F.col(found))))
+    passages = PREFIX + "passages"
     joined = rows.join(spans.select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left")
     if words:
-        passages = PREFIX + "passages"
         joined = joined.join(repeated_passages(texts, words).select(F.col("row").alias(row), F.col("spans").alias(passages)), row, "left")
-        joined = joined.withColumn(found, _all_spans(F.col(text_col), F.col(found), F.col(passages)))
+    else:
+        joined = joined.withColumn(passages, F.lit(None).cast("array<struct<a:long,b:long>>"))
+    cut = F.col(text_col).isNotNull() & (F.col(found).isNotNull() | F.col(passages).isNotNull())
+    text = F.when(cut, kept_text(F.col(text_col), F.col(found), F.col(passages))).otherwise(F.col(text_col))
     return joined.withColumn(text_col, text).select(*docs.columns)
