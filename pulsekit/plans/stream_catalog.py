@@ -19,6 +19,7 @@ from pulsekit.streaming.ingest import stamp_ingest
 from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_to_table
 from pulsekit.streaming.late import DROPPED, latest, stream_late_windows, stream_top_n
 from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_window_counts)
+from pulsekit.streaming.runs import stream_window_runs, windows_of
 from pulsekit.streaming.running import running_counts, stream_running_distinct
 
 # The batch queries' parameters.
@@ -126,6 +127,23 @@ def q_stream_channel_ingest(spark, sf, max_files=None):
     return both.groupBy(*keys).agg((F.sum("cnt") / 12).cast("long").alias("cnt"), F.min(same).alias("replayed"))
 
 
+def q_stream_channel_counts(spark, sf, max_files=None, delay="0 seconds"):
+    end, keys = Ending(spark), ["channel", "behavior"]
+    events = D.market_behavior(read_table_stream(spark, sf, "events", max_files)).select("ts", *keys)
+    runs = stream_window_runs(end.close(events, "ts", delay), "ts", keys, "1 hour", "5 seconds")
+    return windows_of(run_to_table(runs, "stream_channel_counts", end), keys, "1 hour", "5 seconds")
+
+
+def q_stream_ad_province_counts(spark, sf, max_files=None, delay="0 seconds"):
+    """Clicks that pass the daily cap, located by a join with a table, counted in windows: two state machines in a row."""
+    end = Ending(spark)
+    clicks = D.clicks(read_table_stream(spark, sf, "events", max_files))
+    passed = P.stream_click_cap(end.close(clicks, "ts", delay), "user_id", "ad_id", "ts", "seq", CAP).filter("status = 'pass'")
+    located = D.located(passed.select("user_id", "ts_us"), D.table(spark, sf, "customer"), D.table(spark, sf, "nation"))
+    runs = stream_window_runs(located, None, "province", "1 hour", "5 seconds", us="ts_us")
+    return windows_of(run_to_table(runs, "stream_ad_province", end), "province", "1 hour", "5 seconds")
+
+
 def q_stream_uv_running(spark, sf, max_files=None, delay="0 seconds"):
     end = Ending(spark)
     views = _views(spark, sf, end, max_files, delay, F.col("event_id").alias("seq"))
@@ -243,10 +261,10 @@ def q_stream_click_cap_warn(spark, sf, max_files=None, delay="0 seconds"):
         "user_id", "event_type", "day", "ts", "seq", F.lit(BLACKLIST_WARNING).alias("warning"))
 
 
-# Same questions as the batch queries, so the same oracles.  (The 1 h / 5 s counts are not registered: millions of
-# windows pass through state; ``stream_window_counts`` is tested on fewer.)
+# Same questions as the batch queries, so the same oracles.
 STREAM_ORACLE_OF = {f"stream_{name}": name for name in (
-    "pv_hourly", "hot_items_topn", "hot_urls_topn", "uv_hourly", "uv_running", "interval_join", "reconcile", "reconcile_one_to_one", "order_status", "order_paid",
+    "pv_hourly", "hot_items_topn", "hot_urls_topn", "uv_hourly", "uv_running", "channel_counts",
+    "ad_province_counts", "interval_join", "reconcile", "reconcile_one_to_one", "order_status", "order_paid",
     "order_timeout", "fail_pairs", "fail_episodes", "fail_runs", "click_cap_pass", "click_cap_warn")}
 STREAM_QUERIES = {name: globals()[f"q_{name}"] for name in STREAM_ORACLE_OF}
 # Questions of their own.
