@@ -598,8 +598,12 @@ def row_name(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return F.xxhash64(id_col, text_col)
 
 
-def repeats(docs: DataFrame, length: int = 400, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes that are kept).
+def repeats(docs: DataFrame, length: int = 400, *, words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes that are kept), n_kept (their number).
+
+    With ``words`` also n_passages and n_passage_words: maximal runs of words
+    that lie in ``words`` words in a row which occur elsewhere too, and how many words
+    those are; short of ``length`` bytes they are found, not removed.
 
     Null texts are empty.  Texts shorter than ``length`` keep all bytes;
     equal texts of ``length`` bytes or more, repeated rows included, lose all.
@@ -614,9 +618,17 @@ def repeats(docs: DataFrame, length: int = 400, *, id_col: str = "doc_id", text_
            .groupBy("row").agg(*(F.first(c).alias(c) for c in ("n_removed", "n_spans", "cut_sha256"))))
     whole = rows.select(id_col, "row", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256"))
     none = F.lit(0).cast("long")
-    return whole.join(cut, "row", "left").select(
-        id_col, "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"),
-        F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
+    removed = F.coalesce("n_removed", none)
+    out = [F.col(id_col), F.col("n_bytes"), removed.alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"),
+           F.coalesce("cut_sha256", "sha256").alias("kept_sha256"), (F.col("n_bytes") - removed).alias("n_kept")]
+    both = whole.join(cut, "row", "left")
+    if words:
+        # hashes of the words next to a passage may share some bytes
+        inside = F.aggregate("spans", none, lambda n, s: n + F.floor(s["b"] / _WIDTH) - F.ceil(s["a"] / _WIDTH))
+        found = repeated_passages(rows.select("row", "text"), words).groupBy("row").agg(F.first("spans").alias("spans"))
+        both = both.join(found.select("row", F.size("spans").cast("long").alias("n_passages"), inside.alias("n_passage_words")), "row", "left")
+        out += [F.coalesce(c, none).alias(c) for c in ("n_passages", "n_passage_words")]
+    return both.select(*out)
 
 
 def without_repeats(docs: DataFrame, length: int = 400, *, words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -167,6 +167,22 @@ def test_suffix_dedup(spark, sf):
         want.append((i, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
     got = rows(spark, sf, "op6_suffix_dedup")
     assert bag(tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in got) == bag(want)
+    assert all(r["n_kept"] == r["n_bytes"] - r["n_removed"] for r in got)
+
+
+def test_suffix_dedup_finds_passages_of_over_50_words(spark, sf):
+    """Words as Unicode's spaces cut them, whatever space stands between; runs of words in 51 that occur again."""
+    some = [(i, (t or "").split()) for i, t in docs()]
+    seen = Counter(tuple(w[a:a + 51]) for _, w in some for a in range(len(w) - 50))
+    want = []
+    for i, w in some:
+        gone = np.zeros(len(w) + 2, dtype=int)
+        for a in range(len(w) - 50):
+            if seen[tuple(w[a:a + 51])] > 1:
+                gone[a + 1:a + 52] = 1
+        want.append((i, int((np.diff(gone) == 1).sum()), int(gone.sum())))
+    assert sum(n > 0 for _, n, _ in want) > 4
+    assert bag((r["doc_id"], r["n_passages"], r["n_passage_words"]) for r in rows(spark, sf, "op6_suffix_dedup")) == bag(want)
 
 
 def valid(v):
