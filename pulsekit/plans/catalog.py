@@ -24,7 +24,9 @@ from pulsekit.operators.sketches import bitmap_partials, bitmap_window_counts
 from pulsekit.operators.tagged import read_tagged, write_tagged
 from pulsekit.plans import jobs
 from pulsekit.session import ensure_utc, scratch_path
+from pulsekit.functions.render import render_top_n
 from pulsekit.sources import driver as D
+from pulsekit.sources import readers as R
 from pulsekit.sources.readers import parse_access_log, parse_lines, parse_tagged
 from pulsekit.sources.schemas import RAW_USER_BEHAVIOR
 from pulsekit.functions.time import seconds_to_ntz
@@ -239,6 +241,39 @@ def q_reconcile_one_to_one(spark, sf):
     return reconcile_one_to_one(D.pays(ev), D.receipts(ev), "tx", "pay_ts", "receipt_ts", "pay_id", "receipt_id", JOIN_LOWER, JOIN_UPPER)
 
 
+def _read_back(spark, lines: DataFrame, read) -> DataFrame:
+    """Lines written as text files and read by a reader of the library; every line must parse."""
+    path = scratch_path(spark, "lines")
+    lines.select("value").write.text(path)
+    rows, rejects = read(spark, path)
+    return rows.drop("seq").unionByName(rejects.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.drop("seq").schema.fields)))
+
+
+def q_read_ad_clicks(spark, sf):
+    return _read_back(spark, D.ad_click_lines(_events(spark, sf), D.table(spark, sf, "customer"), D.table(spark, sf, "nation")), R.read_ad_clicks)
+
+
+def q_read_logins(spark, sf):
+    return _read_back(spark, D.login_lines(_events(spark, sf)), R.read_logins)
+
+
+def q_read_orders(spark, sf):
+    return _read_back(spark, D.order_lines(_events(spark, sf)), R.read_orders)
+
+
+def q_read_receipts(spark, sf):
+    return _read_back(spark, D.receipt_lines(_events(spark, sf)), R.read_receipts)
+
+
+def q_read_market(spark, sf):
+    return _read_back(spark, D.market_lines(_events(spark, sf)), R.read_market)
+
+
+def q_hot_items_text(spark, sf):
+    """The ranked lists as the text that a console shows, one per window end."""
+    return render_top_n(q_hot_items_topn(spark, sf), "window_end", "rank", "item_id", "cnt")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_counts": q_hot_items_counts,
     "hot_items_topn": q_hot_items_topn,
@@ -270,6 +305,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_join": q_interval_join,
     "reconcile": q_reconcile,
     "reconcile_one_to_one": q_reconcile_one_to_one,
+    "read_ad_clicks": q_read_ad_clicks,
+    "read_logins": q_read_logins,
+    "read_orders": q_read_orders,
+    "read_receipts": q_read_receipts,
+    "read_market": q_read_market,
+    "hot_items_text": q_hot_items_text,
 }
 
 from pulsekit.plans.stream_catalog import STREAM_ONLY, STREAM_QUERIES  # noqa: E402

@@ -278,6 +278,20 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
         "order_timeout": f"SELECT order_id, first_ts, first_seq FROM ({_followed(12 * H)}) m WHERE NOT hit",
         "order_status": _order_status(12 * H),
         "interval_join": pair,
+        "read_ad_clicks": f"""SELECT e.user_id, {ITEM} AS ad_id, n.n_name AS province, c.c_mktsegment AS city, date_trunc('second', e.ts) AS ts
+            FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey WHERE e.event_type = 'click'""",
+        "read_logins": """SELECT user_id, '10.0.0.' || (user_id % 256) AS ip, CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS event_type,
+            date_trunc('second', ts) AS ts FROM events""",
+        "read_orders": """SELECT user_id AS order_id, CASE event_type WHEN 'signup' THEN 'create' ELSE 'pay' END AS event_type,
+            CASE event_type WHEN 'purchase' THEN 'tx' || user_id END AS tx_id, date_trunc('second', ts) AS ts
+            FROM events WHERE event_type IN ('signup', 'purchase')""",
+        "read_receipts": f"""SELECT 'tx' || user_id AS tx_id, ['wechat', 'alipay'][(({ITEM} % 2) + 2) % 2 + 1] AS pay_channel, date_trunc('second', ts) AS ts
+            FROM events WHERE event_type = 'signup'""",
+        "read_market": f"""SELECT user_id, upper(event_type) AS behavior, ['app store', 'wechat', 'weibo', 'tieba'][(({ITEM} % 4) + 4) % 4 + 1] AS channel,
+            date_trunc('millisecond', ts) AS ts FROM events""",
+        "hot_items_text": f"""SELECT window_end, '====' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0====' || chr(10)
+                || string_agg('Top' || rank || ' ItemId:' || item_id || ' Count:' || cnt, chr(10) ORDER BY rank) AS text
+            FROM ({_top(HOT_ITEMS_COUNTS, "item_id", top_n)}) t GROUP BY window_end""",
         "reconcile_one_to_one": _one_to_one(-3 * H, 5 * H),
         "reconcile": f"""
             WITH m AS ({pair}),

@@ -66,6 +66,44 @@ def user_behavior_lines(events: DataFrame) -> DataFrame:
     return ub.select("seq", line.alias("value"))
 
 
+def _epoch(unit: str) -> Column:
+    return F.expr(f"CAST(timestampdiff({unit}, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS STRING)")
+
+
+def _csv(rows: DataFrame, *columns: str, unit: str = "SECOND") -> DataFrame:
+    """Text lines of some columns (null: empty) and the time, with the arrival number."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return rows.select("seq", F.concat_ws(",", *fields, _epoch(unit)).alias("value"))
+
+
+def ad_click_lines(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """S3 CSV lines: user, ad, province, city, epoch seconds."""
+    return _csv(ad_clicks(events, customer, nation), "user_id", "ad_id", "province", "city")
+
+
+def login_lines(events: DataFrame) -> DataFrame:
+    """S4 CSV lines: user, ip, event type, epoch seconds."""
+    return _csv(logins(events), "user_id", "ip", "event_type")
+
+
+def order_lines(events: DataFrame) -> DataFrame:
+    """S5 CSV lines: order, event type, transaction (empty on create), epoch seconds."""
+    return _csv(order_events(events).filter(F.col("event_type").isin("create", "pay")), "order_id", "event_type", "tx_id")
+
+
+def receipt_lines(events: DataFrame) -> DataFrame:
+    """S6 CSV lines of signups as receipts: transaction, pay channel, epoch seconds."""
+    channel = F.element_at(F.array(F.lit("wechat"), F.lit("alipay")), (F.pmod(item_id(), F.lit(2)) + 1).cast("int"))
+    rows = events.filter(F.col("event_type") == "signup").select(
+        F.concat(F.lit("tx"), F.col("user_id").cast("string")).alias("tx_id"), channel.alias("pay_channel"), "ts", F.col("event_id").alias("seq"))
+    return _csv(rows, "tx_id", "pay_channel")
+
+
+def market_lines(events: DataFrame) -> DataFrame:
+    """S7 CSV lines: user, behaviour, channel, epoch milliseconds."""
+    return _csv(market_behavior(events), "user_id", "behavior", "channel", unit="MILLISECOND")
+
+
 def logins(events: DataFrame) -> DataFrame:
     """S4 shape: error → fail, anything else → success."""
     return events.select(
