@@ -308,6 +308,7 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
 
 ORACLES = build()
 ORACLES["stream_hot_urls_late"] = LATE_URLS
+ORACLES["stream_pv_upsert"] = ORACLES["pv_hourly"]
 ORACLES["stream_channel_ingest"] = f"""
     SELECT ['app store', 'wechat', 'weibo', 'tieba'][(({ITEM} % 4) + 4) % 4 + 1] AS channel, upper(event_type) AS behavior,
            count(*) AS cnt, true AS replayed FROM events GROUP BY ALL"""

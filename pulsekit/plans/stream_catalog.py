@@ -16,11 +16,12 @@ from pulsekit.streaming import processors as P
 from pulsekit.session import scratch_path
 from pulsekit.operators.windows import window_counts
 from pulsekit.streaming.ingest import stamp_ingest
-from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_to_table
+from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_each, run_to_table
 from pulsekit.streaming.late import DROPPED, latest, stream_late_windows, stream_top_n
 from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_window_counts)
 from pulsekit.streaming.runs import stream_window_runs, windows_of
 from pulsekit.streaming.running import running_counts, stream_running_distinct
+from pulsekit.streaming.upsert import UpsertTable
 
 # The batch queries' parameters.
 TOP_N, CAP = 3, 3
@@ -144,6 +145,21 @@ def q_stream_ad_province_counts(spark, sf, max_files=None, delay="0 seconds"):
     return windows_of(run_to_table(runs, "stream_ad_province", end), "province", "1 hour", "5 seconds")
 
 
+def q_stream_pv_upsert(spark, sf):
+    """Hourly views in update mode: each load changes some hours, an upsert table keeps the last count of each."""
+    views = D.table(spark, sf, "events").filter("event_type = 'view'").select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 3).alias("load"))
+    path, progress = scratch_path(spark, "upsert-in"), scratch_path(spark, "upsert-progress")
+    table = UpsertTable(spark, scratch_path(spark, "upsert"), "window_start timestamp, window_end timestamp, pv long", ["window_start", "window_end"],
+                        buckets=4, compact_every=2)
+    views.filter("load < 0").drop("load").write.parquet(path)
+    stream = spark.readStream.schema("ts timestamp").parquet(path)
+    counts = stream.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("pv")).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "pv")
+    for _ in arrivals(views, "load", 3, path):
+        run_each(counts, progress, table.upsert)
+    return _ntz(table.current(), "window_start", "window_end")
+
+
 def q_stream_uv_running(spark, sf, max_files=None, delay="0 seconds"):
     end = Ending(spark)
     views = _views(spark, sf, end, max_files, delay, F.col("event_id").alias("seq"))
@@ -268,4 +284,5 @@ STREAM_ORACLE_OF = {f"stream_{name}": name for name in (
     "order_timeout", "fail_pairs", "fail_episodes", "fail_runs", "click_cap_pass", "click_cap_warn")}
 STREAM_QUERIES = {name: globals()[f"q_{name}"] for name in STREAM_ORACLE_OF}
 # Questions of their own.
-STREAM_ONLY = {"stream_hot_urls_late": q_stream_hot_urls_late, "stream_channel_ingest": q_stream_channel_ingest}
+STREAM_ONLY = {"stream_hot_urls_late": q_stream_hot_urls_late, "stream_channel_ingest": q_stream_channel_ingest,
+               "stream_pv_upsert": q_stream_pv_upsert}

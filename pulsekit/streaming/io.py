@@ -90,17 +90,26 @@ class Ending:
             row.coalesce(1).write.mode("append").parquet(path)
 
 
-def _start(df: DataFrame, out: str, checkpoint: str, mode: str, **trigger):
-    """A parquet sink on a state store that keyed processors can use."""
+def _start(df: DataFrame, out: str | None, checkpoint: str, mode: str, each=None, **trigger):
+    """A parquet sink, or ``each(batch, epoch)``, on a state store that keyed processors can use."""
     spark = df.sparkSession
     before = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, _ROCKS)  # read when the query starts
     try:
-        return df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger).start(out)
+        w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger)
+        return w.foreachBatch(each).start() if each else w.format("parquet").start(out)
     finally:
         spark.conf.set(_PROVIDER, before)
 
 
+def run_each(df: DataFrame, checkpoint: str, each, mode: str = "update") -> None:
+    """Drain the input through ``each(batch, epoch)``; a run with the same checkpoint goes on where the last one stopped."""
+    q = _start(df, None, checkpoint, mode, each, availableNow=True)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
 def run_while(df: DataFrame, out: str, checkpoint: str, going, interval: str = "1 second", mode: str = "append", limit: float = 600) -> DataFrame:
     """Run with a trigger every ``interval`` while ``going(progress)`` holds, then stop, and read the sink back.
 

@@ -11,6 +11,7 @@ from pulsekit.plans.stream_catalog import STREAM_ORACLE_OF, STREAM_QUERIES
 from pulsekit.streaming.io import Ending, run_to_table, run_while, upsert_latest, write_outputs
 from pulsekit.streaming.late import latest, stream_late_windows, stream_top_n
 from pulsekit.streaming.running import running_counts, stream_running_distinct
+from pulsekit.streaming.upsert import UpsertTable
 from pulsekit.streaming.processors import stream_click_cap, stream_one_to_one, stream_order_status
 from tests.conftest import SF001
 
@@ -265,3 +266,39 @@ def test_an_end_that_is_not_final(spark, tmp_path):
         got.append(run_to_table(counts, "go-on", end, **where, until=until).count())
     assert got == [1, 2, 3]
     same(spark.read.parquet(where["out"]), window_counts(spark.read.parquet(str(tmp_path / "in")), "ts", ["k"], "1 hour"))
+
+
+def test_upsert_table(spark, tmp_path):
+    """Epochs replace keys, replays change nothing, unfinished epochs are not seen, snapshots keep reads short, earlier epochs can be read."""
+    import glob
+    table = UpsertTable(spark, str(tmp_path / "t"), "k string, v long, at long", ["k"], buckets=3, compact_every=3)
+
+    def rows(*r):
+        return spark.createDataFrame(r, "k string, v long, at long")
+
+    def now(epoch=None):
+        return sorted((r.k or "", r.v, r.at) for r in table.current(epoch).collect())
+
+    assert now() == []
+    table.upsert(rows(("a", 1, 10), ("a", 2, 9), ("b", 1, 1), (None, 5, None)), 0, order="at")
+    assert now() == [("", 5, None), ("a", 1, 10), ("b", 1, 1)]
+    table.upsert(rows(("a", 7, 11)), 1, order="at")
+    table.upsert(rows(("a", 99, 99)), 1, order="at")                       # the epoch comes again after it was complete
+    assert now() == [("", 5, None), ("a", 7, 11), ("b", 1, 1)] and now(0) == [("", 5, None), ("a", 1, 10), ("b", 1, 1)]
+    rows(("a", -1, -1)).write.parquet(str(tmp_path / "t/delta/epoch=2"))   # written, not committed: a failed run
+    assert now() == [("", 5, None), ("a", 7, 11), ("b", 1, 1)]
+    table.upsert(rows(("b", 2, 20), ("c", 1, 1)), 2)                       # the replay writes it over; third epoch: a snapshot
+    assert now() == [("", 5, None), ("a", 7, 11), ("b", 2, 20), ("c", 1, 1)]
+    assert glob.glob(str(tmp_path / "t/snapshot/epoch=2/*.parquet"))
+    read = table.current().inputFiles()
+    assert read and not any("/delta/" in f for f in read)
+    for epoch in range(3, 8):
+        table.upsert(rows(("c", epoch, epoch)), epoch)
+    assert now() == [("", 5, None), ("a", 7, 11), ("b", 2, 20), ("c", 7, 7)]
+    again = UpsertTable(spark, str(tmp_path / "t"), "k string, v long, at long", ["k"])
+    assert len(again.current().inputFiles()) < 12 and again.current().count() == 4
+
+
+def test_update_mode_into_an_upsert_table(spark):
+    from pulsekit.plans.stream_catalog import q_stream_pv_upsert
+    same(q_stream_pv_upsert(spark, SF001), QUERIES["pv_hourly"](spark, SF001))
