@@ -308,6 +308,13 @@ def build(cap: int = 3, top_n: int = 3) -> dict[str, str]:
 
 ORACLES = build()
 ORACLES["stream_hot_urls_late"] = LATE_URLS
+ORACLES["stream_login_disorder"] = """
+    SELECT user_id, first_ts, last_ts, first_seq, last_seq FROM (
+      SELECT user_id, make_timestamp(us) AS last_ts, event_id AS last_seq, f, us,
+        lag(f) OVER w AS pf, lag(us) OVER w AS pus, make_timestamp(lag(us) OVER w) AS first_ts, lag(event_id) OVER w AS first_seq
+      FROM (SELECT user_id, event_id, event_type = 'error' AS f, epoch_us(ts) // 600 AS us FROM events) l
+      WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)) x
+    WHERE f AND pf AND abs(us - pus) <= 12000000"""
 ORACLES["stream_pv_upsert"] = ORACLES["pv_hourly"]
 ORACLES["stream_channel_ingest"] = f"""
     SELECT ['app store', 'wechat', 'weibo', 'tieba'][(({ITEM} % 4) + 4) % 4 + 1] AS channel, upper(event_type) AS behavior,

@@ -18,7 +18,7 @@ from pulsekit.operators.windows import window_counts
 from pulsekit.streaming.ingest import stamp_ingest
 from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_each, run_to_table
 from pulsekit.streaming.late import DROPPED, latest, stream_late_windows, stream_top_n
-from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_window_counts)
+from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_reconcile, stream_window_counts)
 from pulsekit.streaming.runs import stream_window_runs, windows_of
 from pulsekit.streaming.running import running_counts, stream_running_distinct
 from pulsekit.streaming.upsert import UpsertTable
@@ -190,10 +190,9 @@ def q_stream_interval_join(spark, sf, max_files=None, delay="0 seconds"):
 def q_stream_reconcile(spark, sf, max_files=None, delay="0 seconds"):
     end = Ending(spark)
     pays, receipts = _sides(spark, sf, end.close, max_files, delay)
-    j = stream_interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", JOIN_LOWER, JOIN_UPPER, "full_outer")
-    status = F.when(F.col("receipt_id").isNull(), "pay_only").when(F.col("pay_id").isNull(), "receipt_only").otherwise("matched")
-    out = run_to_table(j.select("tx", "pay_id", "pay_ts", "receipt_id", "receipt_ts", status.alias("status")), "stream_reconcile", end)
-    return _ntz(out, "pay_ts", "receipt_ts")
+    rows = stream_reconcile(pays, receipts, "tx", "pay_ts", "receipt_ts", "pay_id", "receipt_id", JOIN_LOWER, JOIN_UPPER)
+    out = run_to_table(rows, "stream_reconcile", end)
+    return out.select("tx", F.col("left_id").alias("pay_id"), _us("left_us", "pay_ts"), F.col("right_id").alias("receipt_id"), _us("right_us", "receipt_ts"), "status")
 
 
 def q_stream_reconcile_one_to_one(spark, sf, max_files=None, delay="0 seconds"):
@@ -245,6 +244,24 @@ def q_stream_fail_pairs(spark, sf, max_files=None, delay="0 seconds"):
         "user_id", _us("first_us", "first_ts"), _us("last_us", "last_ts"), "first_seq", "last_seq")
 
 
+def q_stream_login_disorder(spark, sf):
+    """Fail pairs of logins that come up to 5 s out of order, over several loads; time runs 600 times faster, so 2 hours are 12 s."""
+    us = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / URL_FASTER)
+    rows = D.logins(D.table(spark, sf, "events")).select("user_id", "event_type", us.alias("us"), "seq", (us + F.col("seq") % 6 * 1_000_000).alias("at"))
+    low, high = rows.agg(F.min("at"), F.max("at")).first()
+    period = ((high or 0) - (low or 0)) // URL_LOADS + 1
+    rows = rows.select("user_id", "event_type", F.timestamp_micros("us").alias("ts"), "seq", F.floor((F.col("at") - F.lit(low or 0)) / period).cast("int").alias("load"))
+    path, out, progress = (scratch_path(spark, f"disorder-{n}") for n in ("in", "out", "progress"))
+    end = Ending(spark)
+    rows.filter("load < 0").drop("load").write.parquet(path)
+    stream = end.close(spark.readStream.schema("user_id long, event_type string, ts timestamp, seq long").parquet(path), "ts", "5 seconds")
+    pairs = P.stream_fail_pairs(stream, "user_id", "ts", "seq", "event_type", "12 seconds")
+    for _ in arrivals(rows, "load", URL_LOADS, path):
+        run_to_table(pairs, "disorder", out=out, checkpoint=progress)
+    found = run_to_table(pairs, "disorder", end, out=out, checkpoint=progress)
+    return found.select("user_id", _us("first_us", "first_ts"), _us("last_us", "last_ts"), "first_seq", "last_seq")
+
+
 def q_stream_fail_episodes(spark, sf, max_files=None, delay="0 seconds"):
     end = Ending(spark)
     rows = P.stream_fail_episodes(_logins(spark, sf, end, max_files, delay), "user_id", "ts", "seq", "event_type", PAIR_GAP)
@@ -285,4 +302,4 @@ STREAM_ORACLE_OF = {f"stream_{name}": name for name in (
 STREAM_QUERIES = {name: globals()[f"q_{name}"] for name in STREAM_ORACLE_OF}
 # Questions of their own.
 STREAM_ONLY = {"stream_hot_urls_late": q_stream_hot_urls_late, "stream_channel_ingest": q_stream_channel_ingest,
-               "stream_pv_upsert": q_stream_pv_upsert}
+               "stream_pv_upsert": q_stream_pv_upsert, "stream_login_disorder": q_stream_login_disorder}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.functions.time import to_micros
+from pulsekit.functions.time import floor_div, to_micros
 
 
 def _txt(span) -> str:
@@ -49,14 +49,51 @@ def stream_distinct_per_window(df: DataFrame, ts: str, id_col: str, size, name:
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), name)
 
 
-def stream_interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
-                         lower, upper, how: str = "inner") -> DataFrame:
+def stream_interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str, lower, upper) -> DataFrame:
     """J1 on streams: both sides watermarked; the time bound lets Spark drop join state.
 
-    ``how='full_outer'`` also gives, once the watermark is past any partner,
-    the rows of either side without one; its key column is filled from either side.
+    State is split by key and time bucket, so a key with a third of all rows
+    is spread over its buckets: buckets are as long as the bounds are apart,
+    a right row has one, a left row comes to the two (at most) that hold
+    its partners, and each pair meets once.
     """
-    r = right.withColumnRenamed(on, "_rk")
-    cond = F.expr(f"{on} = _rk AND {right_ts} >= {left_ts} + INTERVAL '{to_micros(lower) / 1e6:.6f}' SECOND "
-                  f"AND {right_ts} <= {left_ts} + INTERVAL '{to_micros(upper) / 1e6:.6f}' SECOND")
-    return left.join(r, cond, how).withColumn(on, F.coalesce(on, "_rk")).drop("_rk")
+    low, high = to_micros(lower), to_micros(upper)
+    size = max(high - low, 1)
+    at = F.unix_micros(left_ts)
+    buckets = F.array_distinct(F.array(floor_div(at + F.lit(low), size), floor_div(at + F.lit(high), size)))
+    a = left.withColumn("_bucket", F.explode(buckets))
+    b = right.withColumnRenamed(on, "_rk").withColumn("_rb", floor_div(F.unix_micros(right_ts), size))
+    cond = F.expr(f"{on} = _rk AND _bucket = _rb AND {right_ts} >= {left_ts} + INTERVAL '{low / 1e6:.6f}' SECOND "
+                  f"AND {right_ts} <= {left_ts} + INTERVAL '{high / 1e6:.6f}' SECOND")
+    return a.join(b, cond).drop("_rk", "_bucket", "_rb")
+
+
+def stream_reconcile(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str, left_id: str, right_id: str, lower, upper,
+                     left_only="pay_only", right_only="receipt_only") -> DataFrame:
+    """J2 on streams: the pairs of :func:`stream_interval_join` and the rows of either side that have none.
+
+    A row is left over once the watermark is past its last possible partner
+    and no pair had it.  That is kept per row id (whole numbers, unique
+    within a side), so no key gathers rows.  Times are epoch microseconds:
+    on, left_us, left_id, right_us, right_id, status.
+    """
+    from pulsekit.streaming.processors import leftovers
+    low, high = to_micros(lower), to_micros(upper)
+    # not through the watermarked columns: rows and pairs behind the watermark must reach the processor
+    us = {c: F.unix_micros(c) for c in (left_ts, right_ts)}
+    pairs = stream_interval_join(left, right, on, left_ts, right_ts, lower, upper).select(
+        F.col(on).alias("key"), us[left_ts].alias("left_us"), F.col(left_id).cast("long").alias("left_id"),
+        us[right_ts].alias("right_us"), F.col(right_id).cast("long").alias("right_id"))
+    none = F.lit(None).cast("long")
+
+    def alone(df, ts, row_id, is_left):
+        mine, other = (F.struct(us[ts].alias("us"), F.col(row_id).cast("long").alias("id")), F.struct(none.alias("us"), none.alias("id")))
+        x = df.select(F.col(on).alias("key"), (mine if is_left else other).alias("l"), (other if is_left else mine).alias("r"), F.lit(is_left).alias("is_left"))
+        return x.select("key", F.col("l.us").alias("left_us"), F.col("l.id").alias("left_id"), F.col("r.us").alias("right_us"),
+                        F.col("r.id").alias("right_id"), "is_left", F.lit(False).alias("paired"))
+
+    rows = alone(left, left_ts, left_id, True).unionByName(alone(right, right_ts, right_id, False))
+    rows = rows.unionByName(pairs.withColumn("is_left", F.lit(True)).withColumn("paired", F.lit(True)))
+    both = rows.withColumn("sides", F.when(F.col("paired"), F.array(F.lit(True), F.lit(False))).otherwise(F.array("is_left")))
+    both = both.withColumn("side", F.explode("sides")).withColumn("id", F.when(F.col("side"), F.col("left_id")).otherwise(F.col("right_id")))
+    return leftovers(both.drop("sides", "is_left"), {True: (high, left_only), False: (-low, right_only)}).withColumnRenamed("key", on)

@@ -281,6 +281,64 @@ class OneToOne(_Rule):
         self.state = {"waiting": left} if left else None
 
 
+class Leftovers(StatefulProcessor):
+    """Pairs as they come (told by their left row), and the row itself when its time is up without one.
+
+    Keyed by side and row id.  State: whether a pair came, and the row until then.
+    """
+
+    out = "left_us long, left_id long, right_us long, right_id long, status string"
+
+    def __init__(self, key: str, reach: dict[bool, tuple[int, str]]):
+        self.key, self.reach = key, reach
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.row = handle.getValueState("row", self.state)
+        self.paired = handle.getValueState("paired", "yes boolean")
+
+    def _out(self, r, status):
+        return Row(**{self.key: r[self.key]}, left_us=r.left_us, left_id=r.left_id, right_us=r.right_us, right_id=r.right_id, status=status)
+
+    def handleInputRows(self, key, rows, timerValues):
+        is_left = key[0]
+        reach, _ = self.reach[is_left]
+        wake = None
+        for r in rows:
+            us = r.left_us if is_left else r.right_us
+            wake = us + max(reach, 0) if wake is None else wake
+            if not r.paired:
+                self.row.update((r[self.key], us))
+                continue
+            self.paired.update((True,))
+            if is_left:
+                yield self._out(r, "matched")
+        if wake is not None:
+            self.handle.registerTimer(wake // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        is_left, id_ = key
+        if self.row.exists() and not self.paired.exists():
+            value, us = self.row.get()
+            mine, other = (us, id_), (None, None)
+            left, right = (mine, other) if is_left else (other, mine)
+            yield Row(**{self.key: value}, left_us=left[0], left_id=left[1], right_us=right[0], right_id=right[1], status=self.reach[is_left][1])
+        self.row.clear()
+        self.paired.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def leftovers(rows: DataFrame, reach: dict[bool, tuple[int, str]], key: str = "key") -> DataFrame:
+    """(key, left_us, left_id, right_us, right_id, paired, side, id) → pairs and leftovers; ``reach`` by side (True: left): µs and status."""
+    kind = rows.schema[key]
+    processor = Leftovers(key, reach)
+    processor.state = T.StructType([T.StructField("value", kind.dataType), T.StructField("us", T.LongType())])
+    schema = T.StructType([kind, *T.StructType.fromDDL(Leftovers.out).fields])
+    return rows.groupBy("side", "id").transformWithState(processor, schema, "append", "EventTime")
+
+
 def _run(df: DataFrame, key, ts: str, seq: str, kind: Column, rule) -> DataFrame:
     """The rule's output per key.  Filter rows before the watermark, not after it (see ``streaming.io``)."""
     keys = [key] if isinstance(key, str) else list(key)

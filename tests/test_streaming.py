@@ -302,3 +302,30 @@ def test_upsert_table(spark, tmp_path):
 def test_update_mode_into_an_upsert_table(spark):
     from pulsekit.plans.stream_catalog import q_stream_pv_upsert
     same(q_stream_pv_upsert(spark, SF001), QUERIES["pv_hourly"](spark, SF001))
+
+
+def test_joins_of_a_hot_key(spark, tmp_path):
+    """One key with most rows, out of order within the delay over three micro-batches: pairs once each, leftovers of both sides,
+    and the key's rows spread over buckets of the join."""
+    import random
+
+    from pulsekit.streaming.plans import stream_interval_join, stream_reconcile
+    r = random.Random(3)
+    keys = ["hot"] * 90 + [f"k{i % 9}" for i in range(30)] + [None]
+    pays = [(k, i, r.randrange(0, 600)) for i, k in enumerate(keys)]
+    receipts = [(k, 1000 + i, t + r.randrange(-6, 9)) for i, (k, _, t) in enumerate(pays)]
+
+    def side(name, rows):
+        rows = sorted(rows, key=lambda x: x[2] + r.randrange(0, 20))
+        parts = [rows[i * len(rows) // 3:(i + 1) * len(rows) // 3] for i in range(3)]
+        return batches(spark, tmp_path / name, f"tx string, {name}_id long, ts long", *parts).withColumnRenamed("ts", f"{name}_ts")
+
+    end = Ending(spark)
+    a, b = end.close(side("a", pays), "a_ts", "60 seconds"), end.close(side("b", receipts), "b_ts", "60 seconds")
+    rows = run_to_table(stream_reconcile(a, b, "tx", "a_ts", "b_ts", "a_id", "b_id", "-3 seconds", "5 seconds"), "hot", end)
+    pairs = {(i, j) for k, i, t in pays for m, j, u in receipts if k is not None and k == m and -3 <= u - t <= 5}
+    want = [(i, j, "matched") for i, j in pairs]
+    want += [(i, None, "pay_only") for _, i, _ in pays if i not in {p for p, _ in pairs}] + [(None, j, "receipt_only") for _, j, _ in receipts if j not in {q for _, q in pairs}]
+    assert sorted(((x.left_id, x.right_id, x.status) for x in rows.collect()), key=repr) == sorted(want, key=repr)
+    plan = stream_interval_join(a, b, "tx", "a_ts", "b_ts", "-3 seconds", "5 seconds")
+    assert plan.columns == ["tx", "a_id", "a_ts", "b_id", "b_ts"]
