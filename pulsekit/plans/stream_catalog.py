@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pulsekit.sources import driver as D
 from pulsekit.streaming import processors as P
 from pulsekit.session import scratch_path
+from pulsekit.operators.topn import top_n_by_count
 from pulsekit.operators.windows import window_counts
 from pulsekit.streaming.ingest import stamp_ingest
-from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_each, run_to_table
+from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_batches_to_table, run_each, run_to_table
 from pulsekit.streaming.late import DROPPED, latest, stream_late_windows, stream_top_n
-from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_panes, stream_reconcile, stream_window_counts)
+from pulsekit.streaming.plans import (stream_distinct_per_window, stream_interval_join, stream_reconcile, stream_window_counts)
 from pulsekit.streaming.runs import stream_window_runs, windows_of
 from pulsekit.streaming.running import running_counts, stream_running_distinct
 from pulsekit.streaming.upsert import UpsertTable
@@ -45,17 +46,18 @@ def _views(spark, sf, ending, max_files, delay, *extra) -> DataFrame:
 
 
 def q_stream_pv_hourly(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     counts = stream_window_counts(_views(spark, sf, end, max_files, delay), "ts", None, "1 hour", name="pv")
     return _ntz(run_to_table(counts, "stream_pv_hourly", end), "window_start", "window_end")
 
 
 def q_stream_hot_items_topn(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     views = _views(spark, sf, end, max_files, delay, D.item_id().alias("item_id"))
-    counts = stream_panes(views, "ts", "item_id", "1 hour", "5 minutes").select(
-        F.unix_micros("w.end").alias("window_end"), "item_id", "cnt")
-    return _ranked(run_to_table(stream_top_n(counts, "item_id", TOP_N), "stream_hot_items", end), "item_id")
+    # a window's counts all come in the micro-batch in which the watermark passes it: each is ranked by a batch query, without state
+    counts = stream_window_counts(views, "ts", "item_id", "1 hour", "5 minutes")
+    out = run_batches_to_table(counts, "stream_hot_items", lambda b: top_n_by_count(b, "window_end", "item_id", "cnt", TOP_N), end)
+    return _ntz(out, "window_end").select("window_end", "rank", "item_id", "cnt")
 
 
 def _ranked(lists: DataFrame, key: str) -> DataFrame:
@@ -74,7 +76,7 @@ def _gets(events: DataFrame) -> DataFrame:
 
 
 def q_stream_hot_urls_topn(spark, sf, max_files=None, delay=URL_DELAY):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     gets = end.close(_gets(read_table_stream(spark, sf, "events", max_files)).select("ts", "url"), "ts", delay)
     counts = stream_late_windows(gets, "ts", "url", URL_SIZE, URL_SLIDE, URL_LATENESS).filter(F.col("kind") != DROPPED)
     return _ranked(run_to_table(stream_top_n(counts, "url", TOP_N, URL_LATENESS), "stream_hot_urls", end), "url")
@@ -119,7 +121,7 @@ def q_stream_channel_ingest(spark, sf, max_files=None):
     events = D.market_behavior(read_table_stream(spark, sf, "events", max_files)).select("channel", "behavior")
     path = scratch_path(spark, "ingest")
     stored = stamp_ingest(events, path, scratch_path(spark, "ingest-progress"))
-    end, keys, windows = Ending(spark), ["channel", "behavior"], ("1 minute", "5 seconds")
+    end, keys, windows = Ending(spark, at_once=not max_files), ["channel", "behavior"], ("1 minute", "5 seconds")
     again = window_counts(stored, "ingest_ts", keys, *windows).withColumnRenamed("cnt", "again")
     stream = end.close(spark.readStream.schema(stored.schema).parquet(path), "ingest_ts")
     live = run_to_table(stream_window_counts(stream, "ingest_ts", keys, *windows), "stream_channel_ingest", end)
@@ -129,7 +131,7 @@ def q_stream_channel_ingest(spark, sf, max_files=None):
 
 
 def q_stream_channel_counts(spark, sf, max_files=None, delay="0 seconds"):
-    end, keys = Ending(spark), ["channel", "behavior"]
+    end, keys = Ending(spark, at_once=not max_files), ["channel", "behavior"]
     events = D.market_behavior(read_table_stream(spark, sf, "events", max_files)).select("ts", *keys)
     runs = stream_window_runs(end.close(events, "ts", delay), "ts", keys, "1 hour", "5 seconds")
     return windows_of(run_to_table(runs, "stream_channel_counts", end), keys, "1 hour", "5 seconds")
@@ -137,7 +139,7 @@ def q_stream_channel_counts(spark, sf, max_files=None, delay="0 seconds"):
 
 def q_stream_ad_province_counts(spark, sf, max_files=None, delay="0 seconds"):
     """Clicks that pass the daily cap, located by a join with a table, counted in windows: two state machines in a row."""
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     clicks = D.clicks(read_table_stream(spark, sf, "events", max_files))
     passed = P.stream_click_cap(end.close(clicks, "ts", delay), "user_id", "ad_id", "ts", "seq", CAP).filter("status = 'pass'")
     located = D.located(passed.select("user_id", "ts_us"), D.table(spark, sf, "customer"), D.table(spark, sf, "nation"))
@@ -161,13 +163,13 @@ def q_stream_pv_upsert(spark, sf):
 
 
 def q_stream_uv_running(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     views = _views(spark, sf, end, max_files, delay, F.col("event_id").alias("seq"))
     return running_counts(run_to_table(stream_running_distinct(views, "ts", "user_id", "seq"), "stream_uv_running", end))
 
 
 def q_stream_uv_hourly(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     out = run_to_table(stream_distinct_per_window(_views(spark, sf, end, max_files, delay), "ts", "user_id", "1 hour"), "stream_uv_hourly", end)
     return _ntz(out, "window_start", "window_end")
 
@@ -188,7 +190,7 @@ def q_stream_interval_join(spark, sf, max_files=None, delay="0 seconds"):
 
 
 def q_stream_reconcile(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     pays, receipts = _sides(spark, sf, end.close, max_files, delay)
     rows = stream_reconcile(pays, receipts, "tx", "pay_ts", "receipt_ts", "pay_id", "receipt_id", JOIN_LOWER, JOIN_UPPER)
     out = run_to_table(rows, "stream_reconcile", end)
@@ -196,7 +198,7 @@ def q_stream_reconcile(spark, sf, max_files=None, delay="0 seconds"):
 
 
 def q_stream_reconcile_one_to_one(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     kind = F.when(F.col("event_type") == "purchase", "pay").otherwise("receipt")
     ev = read_table_stream(spark, sf, "events", max_files).filter(F.col("event_type").isin("purchase", "signup"))
     both = end.close(ev.select(F.col("user_id").alias("tx"), "ts", F.col("event_id").alias("seq"), kind.alias("kind")), "ts", delay)
@@ -211,14 +213,14 @@ def _orders(spark, sf, end, max_files, delay) -> DataFrame:
 
 
 def q_stream_order_status(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     rows = P.stream_order_status(_orders(spark, sf, end, max_files, delay), "order_id", "ts", "seq", "event_type", ORDER_WITHIN)
     out = run_to_table(rows, "stream_order_status", end)
     return out.select("order_id", _us("create_us", "create_ts"), _us("pay_us", "pay_ts"), "create_seq", "pay_seq", "status")
 
 
 def _followed(spark, sf, max_files, delay) -> DataFrame:
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     rows = P.stream_followed_by(_orders(spark, sf, end, max_files, delay), "order_id", "ts", "seq", "event_type", ORDER_WITHIN)
     return run_to_table(rows, "stream_followed_by", end)
 
@@ -238,7 +240,7 @@ def _logins(spark, sf, end, max_files, delay) -> DataFrame:
 
 
 def q_stream_fail_pairs(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     rows = P.stream_fail_pairs(_logins(spark, sf, end, max_files, delay), "user_id", "ts", "seq", "event_type", PAIR_GAP)
     return run_to_table(rows, "stream_fail_pairs", end).select(
         "user_id", _us("first_us", "first_ts"), _us("last_us", "last_ts"), "first_seq", "last_seq")
@@ -263,21 +265,21 @@ def q_stream_login_disorder(spark, sf):
 
 
 def q_stream_fail_episodes(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     rows = P.stream_fail_episodes(_logins(spark, sf, end, max_files, delay), "user_id", "ts", "seq", "event_type", PAIR_GAP)
     return run_to_table(rows, "stream_fail_episodes", end).select(
         "user_id", _us("first_us", "first_ts"), _us("last_us", "last_ts"), "n_fails")
 
 
 def q_stream_fail_runs(spark, sf, max_files=None, delay="0 seconds"):
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     rows = P.stream_fail_runs(_logins(spark, sf, end, max_files, delay), "user_id", "ts", "seq", "event_type", RUN_N, RUN_WITHIN)
     return run_to_table(rows, "stream_fail_runs", end).select(
         "user_id", _us("first_us", "first_ts"), _us("last_us", "last_ts"), "first_seq", "last_seq", "n_events")
 
 
 def _capped(spark, sf, max_files, delay) -> DataFrame:
-    end = Ending(spark)
+    end = Ending(spark, at_once=not max_files)
     ev = read_table_stream(spark, sf, "events", max_files).select("user_id", "event_type", "ts", F.col("event_id").alias("seq"))
     rows = P.stream_click_cap(end.close(ev, "ts", delay), "user_id", "event_type", "ts", "seq", CAP)
     out = run_to_table(rows, "stream_click_cap", end)

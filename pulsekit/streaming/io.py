@@ -56,11 +56,13 @@ class Ending:
     """The ends of a query's inputs: attached to its streams, released when they are drained.
 
     ``folder`` keeps the markers where a later run of the same query finds
-    them; without it they are in a fresh folder.
+    them; without it they are in a fresh folder.  ``at_once``: the input is
+    one micro-batch, so its end may come with it (the watermark moves only
+    after a micro-batch) and the query is started once, not twice.
     """
 
-    def __init__(self, spark: SparkSession, folder: str | None = None):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str | None = None, at_once: bool = False):
+        self.spark, self.folder, self.at_once = spark, folder, at_once
         self.markers: list[tuple[DataFrame, str, str, str]] = []
 
     def close(self, stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -152,13 +154,37 @@ def run_to_table(df: DataFrame, name: str, ending: Ending | None = None, mode: s
         if q.exception():
             raise q.exception()
 
-    drain()
-    if ending:
+    if ending and ending.at_once:
         ending.release(until)
         drain()
+    else:
+        drain()
+        if ending:
+            ending.release(until)
+            drain()
     return spark.read.schema(df.schema).parquet(out)
 
 
+def run_batches_to_table(df: DataFrame, name: str, transform, ending: Ending | None = None, mode: str = "append",
+                         out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """As :func:`run_to_table`, with each micro-batch of results put through ``transform``, a batch query.
+
+    An epoch has its own folder, written over on a replay, so no row comes twice.
+    """
+    spark = df.sparkSession
+    out, checkpoint = out or scratch_path(spark, f"{name}-out"), checkpoint or scratch_path(spark, f"{name}-ckpt")
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        transform(batch).write.mode("overwrite").parquet(f"{out}/epoch_id={epoch}")
+
+    steps = [lambda: run_each(df, checkpoint, each, mode)]
+    if ending:
+        steps = [ending.release, *steps] if ending.at_once else [*steps, ending.release, *steps]
+    for step in steps:
+        step()
+    return spark.read.parquet(out).drop("epoch_id")
+
+
 def arrivals(rows: DataFrame, load: str, loads: int, path: str):
     """Append the rows of each load to the folder that a stream reads, in order; the caller runs the stream in between."""
     for i in range(loads):
