@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm import ann, bpe, conversation_repair, decontamination, embedding_dedup, packing, sharding, simhash, suffix_dedup, token_store, toxicity, whitening
 from pulsekit.llm.common import table, text_bytes
-from pulsekit.llm.token_counts import token_counts
+from pulsekit.llm.token_counts import count_tokens
 from pulsekit.session import scratch_path
 
 
@@ -101,9 +101,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
-    counts = token_counts(F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
-    return (table(spark, sf_dir, "documents")
-            .select("doc_id", text_bytes("text").alias("n_bytes"), counts.alias("n_tokens"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return (rows.select("doc_id", text_bytes("text").alias("n_bytes"), "n_tokens")
             .withColumn("over_limit", F.col("n_tokens") > 512))
 
 

@@ -9,26 +9,30 @@ states.  A transition on a byte carries the number of tokens that the byte
 adds to the count (a merge makes it zero or negative).  States and
 transitions are compiled when first reached and kept up to a bound.
 
-**Chunks.**  A long text is cut into chunks; each chunk becomes a map from
-the state before it to the count and the state after it.  A space between
-two other characters brings every state to the same one, so a map is held as
-(text up to the first such place, count between, text from the last one on),
-and maps compose associatively, by a tree over neighbours.
+**Chunks.**  A long text is cut into chunks, rows of their own; each chunk
+becomes, in whatever task it lies, a map from the state before it to the
+count and the state after it.  A space between two other characters, or a
+digit after an ASCII letter, brings every state to the same one, so a map is
+held as (text up to the first such place, count between, text from the last
+one on).  Maps compose associatively: a round composes each ``fan``
+neighbours of a text by a grouped aggregate, so a text of n chunks takes
+log(n) rounds and no task sees more than ``fan`` maps.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.llm.bpe import merge
-from pulsekit.llm.common import pairwise_tree
+from pulsekit.llm.common import PREFIX, pairwise_tree, written
 from pulsekit.llm.library_ids import BYTE_LEVEL, byte_alphabet
 from pulsekit.llm.textchunks import _INNER_SPACE, ChunkTable, cut, worker_table
 
@@ -103,14 +107,15 @@ class ChunkMap(NamedTuple):
     meets: bool
 
 
-def chunk_map(chunk: str, count) -> ChunkMap:
-    first = _INNER_SPACE.search(chunk)
-    if first is None:
+#: Where all states meet: an inner space, or a digit after a letter (other letters than ASCII's may be numbers to the pattern).
+_MEETS = re.compile(f"{_INNER_SPACE.pattern}|(?<=[A-Za-z])(?=[0-9])")
+
+
+def chunk_map(chunk: str, count, meets=_MEETS) -> ChunkMap:
+    at = [m.start() for m in meets.finditer(chunk)]
+    if not at:
         return ChunkMap(chunk, 0, "", False)
-    last = chunk.rindex(" ")
-    while not _INNER_SPACE.match(chunk, last):
-        last = chunk.rindex(" ", 0, last)
-    return ChunkMap(chunk[:first.start()], count(chunk[first.start():last]), chunk[last:], True)
+    return ChunkMap(chunk[:at[0]], count(chunk[at[0]:at[-1]]), chunk[at[-1]:], True)
 
 
 def compose(a: ChunkMap, b: ChunkMap, count) -> ChunkMap:
@@ -173,3 +178,66 @@ def token_counts(text: Column, path: str, pattern: str = BYTE_LEVEL, chunk_chars
         return pa.array(out)
 
     return counts(text)
+
+
+_MAP = "struct<head: string, count: long, tail: string, meets: boolean>"
+
+
+def _places(path: str) -> re.Pattern:
+    """Where states meet, for a file's special strings: none may stand across such a place."""
+    _, special = load_ranks_json(path)
+    return _INNER_SPACE if any(_MEETS.search(t) for t in special) else _MEETS
+
+
+def count_tokens(docs: DataFrame, path: str, text_col: str = "text", name: str = "n_tokens", pattern: str = BYTE_LEVEL,
+                 chunk_chars: int = 1 << 16, fan: int = 64) -> DataFrame:
+    """``docs`` with the tokens of each text (:func:`token_counts`) as ``name``.
+
+    Texts of more than ``chunk_chars`` characters are counted by chunk maps,
+    a row a chunk, over all tasks; equal ones once.  What has no place where
+    states meet (a single piece, such as one letter very many times) is
+    counted in one go.
+    """
+    kept = [c for c in docs.columns if c != name]
+    longest = docs.agg(F.max(F.length(text_col))).first()[0] or 0
+    if longest <= chunk_chars:
+        return docs.select(*kept, token_counts(F.col(text_col), path, pattern, chunk_chars).alias(name))
+    is_long = F.coalesce(F.length(text_col) > chunk_chars, F.lit(False))
+    short = docs.filter(~is_long).select(*kept, token_counts(F.col(text_col), path, pattern, chunk_chars).alias(name))
+    key, total = PREFIX + "key", PREFIX + "total"
+    named = docs.filter(is_long).select(*kept, F.concat(F.md5(text_col), F.length(text_col).cast("string")).alias(key))
+    meets = _places(path)
+
+    def counting():
+        table = _counter(path, pattern)
+        return lambda x: sum(table.values(cut(x)))
+
+    @F.arrow_udf(_MAP)
+    def mapped(chunks: pa.Array) -> pa.Array:
+        count = counting()
+        return pa.array([chunk_map(c, count, meets)._asdict() for c in chunks.to_pylist()], _ARROW_MAP)
+
+    @F.arrow_udf(_MAP)
+    def composed(lists: pa.Array) -> pa.Array:
+        count = counting()
+        return pa.array([pairwise_tree([ChunkMap(**x["m"]) for x in some], lambda a, b: compose(a, b, count))._asdict() for some in lists.to_pylist()],
+                        _ARROW_MAP)
+
+    @F.arrow_udf("long")
+    def finished(maps: pa.Array) -> pa.Array:
+        count = counting()
+        return pa.array([count(m["head"]) + m["count"] + count(m["tail"]) for m in maps.to_pylist()], pa.int64())
+
+    texts = named.groupBy(key).agg(F.first(text_col).alias("text"))
+    chunks = texts.select(key, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{chunk_chars}}}"), F.lit(0))).alias("i", "chunk"))
+    maps = written(chunks.repartition(key, "i").select(key, "i", mapped("chunk").alias("m")), "chunk-maps")
+    n = -(-longest // chunk_chars)
+    while n > 1:
+        maps = (maps.groupBy(key, F.floor(F.col("i") / fan).cast("int").alias("i2"))
+                .agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("some")).select(key, F.col("i2").alias("i"), composed("some").alias("m")))
+        n = -(-n // fan)
+    counts = maps.select(F.col(key).alias(total), finished("m").alias(name))
+    return short.unionByName(named.join(counts, named[key] == counts[total]).select(*kept, name))
+
+
+_ARROW_MAP = pa.struct([("head", pa.string()), ("count", pa.int64()), ("tail", pa.string()), ("meets", pa.bool_())])

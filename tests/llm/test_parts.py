@@ -342,3 +342,19 @@ def test_chunk_table_is_bounded_by_bytes():
         assert table.values(texts.to_pylist()) == [t.encode() * 2 for t in texts.to_pylist()]
         held = sum(len(k) + len(v) for some in (table.now, table.old) for k, v in some.items())
         assert held < 2 * ((1 << 20) + 61 * 3 * 4096)
+
+
+@pytest.mark.parametrize("size,fan", [(7, 2), (40, 3), (1000, 64)])
+def test_counts_of_long_texts_from_chunk_rows(spark, size, fan):
+    """Rows of chunks, composed in rounds, give the library's counts: with and without spaces, special strings, repeated texts, nulls."""
+    from tokenizers import Tokenizer
+
+    from pulsekit.llm.token_counts import count_tokens
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    r = random.Random(size)
+    texts = [None, "", " ", "x" * 300, "ab12cd345ef" * 60, "deadbeef0042" * 90, "  a  b \n\n c" * 50, "\u00bd\u00b25\u00b2 5a\u00e95" * 40, "no<|endoftext|>space" * 30, "<|endoftext|>" * 9,
+             " ".join("".join(r.choice("abcde123'.,é") for _ in range(r.randrange(1, 12))) for _ in range(300)), "a" + " " * 200 + "b", "don't I'll 's5 x's" * 40]
+    rows = [(i, t) for i, t in enumerate(texts + texts[4:7])]
+    got = count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, chunk_chars=size, fan=fan).collect()
+    assert sorted((x.doc_id, x.n_tokens) for x in got) == [(i, len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
