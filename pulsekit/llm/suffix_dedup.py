@@ -132,8 +132,22 @@ _PLACE = 1 << 31                # more than a text's bytes
 _SPAN = 1 << 16                 # more than the bytes from a window's start to its anchor; a place and two spans fill 63 bits
 
 
-def _candidates(windows: Windows):
-    """(deal, known, row, place) of every anchor.
+def _pieces(data: np.ndarray, at: np.ndarray, length: int, limit: int):
+    """Texts in a row; if one is longer than ``limit``, text by text, such ones in pieces that overlap by a window less a byte.
+
+    Yields bytes, where texts begin in them, the number of the first text, and the bytes of it before these.
+    """
+    if np.diff(at).max(initial=0) <= limit:
+        yield data, at, 0, 0
+        return
+    for t, (begin, end) in enumerate(itertools.pairwise(at.tolist())):
+        for first in range(0, max(1, end - begin - length + 1), limit):
+            piece = data[begin + first:min(end, begin + first + limit + length - 1)]
+            yield piece, np.array([0, len(piece)]), t, first
+
+
+def _candidates(windows: Windows, limit: int = 1 << 20):
+    """(deal, known, row, place) of every anchor; texts of more than ``limit`` bytes are searched in pieces.
 
     Of equal anchors in one batch one row is dealt by the anchor's hash, so
     that others learn of it; the rest are known to repeat and go anywhere.
@@ -142,11 +156,11 @@ def _candidates(windows: Windows):
         forget()
         for batch in batches:
             parts = []
-            for some, data, at in _runs(batch):
-                text, lo, hi, anchor, key = windows.anchors(data, at)
-                start = at[text]
-                place = (anchor - start) + _PLACE * ((anchor - lo) + _SPAN * (anchor - hi))
-                parts.append((key, some.column("row").to_numpy()[text], place))
+            for some, whole, starts in _runs(batch):
+                for data, at, first, before in _pieces(whole, starts, windows.length, limit):
+                    text, lo, hi, anchor, key = windows.anchors(data, at)
+                    place = (anchor - at[text] + before) + _PLACE * ((anchor - lo) + _SPAN * (anchor - hi))
+                    parts.append((key, some.column("row").to_numpy()[text + first], place))
             if not parts:
                 continue
             key, row, place = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -451,7 +465,7 @@ def _by_digest(windows: Windows):
 _DIGESTS = "c1 long, c2 long, lead int, a int, times int, d1 long, d2 long"
 
 
-def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000, code=None) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000, code=None, piece: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """Of ``docs`` (row: a hash that names it, text): (row, text) of those with candidates, and (row, spans) of bytes that repeat.
 
     ``code``: what turns batches of (row, text) into those to search, within the same Python worker.
@@ -459,7 +473,7 @@ def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000,
     ``spans``: sorted, disjoint, not touching [first, end) byte ranges.
     """
     windows = Windows(length)
-    candidates = _candidates(windows)
+    candidates = _candidates(windows, piece)
     dealt = docs.select("row", "text").mapInArrow(lambda batches: candidates(code(batches) if code else batches),
                                                   "deal long, known boolean, asks boolean, row long, place long")
     again = gathered(dealt, ["deal"]).mapInArrow(_repeated, "row long, place long")

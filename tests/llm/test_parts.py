@@ -183,15 +183,15 @@ def test_anchors_depend_on_the_window_alone():
             assert found == sum(max(0, len(t) - length + 1) for t in some)
 
 
-@pytest.mark.parametrize("crowded", [50_000, 1])
-def test_repeats_of_short_strings(spark, crowded):
-    """Sorted contexts and the digests of crowded anchors both give what brute force gives."""
+@pytest.mark.parametrize("crowded,piece", [(50_000, 1 << 20), (1, 1 << 20), (50_000, 13), (1, 50)])
+def test_repeats_of_short_strings(spark, crowded, piece):
+    """Sorted contexts and the digests of crowded anchors both give what brute force gives, and texts in pieces what whole ones give."""
     from tests.llm.test_queries import repeated
     r = random.Random(8)
     parts = ["".join(r.choice("abcd") for _ in range(n)) for n in (30, 40, 60)]
     some = ["".join(r.choice([*parts, "xyz", "aaaaaaaaaaaaaa", "".join(r.choice("abcd") for _ in range(9))]) for _ in range(r.randrange(8))) for _ in range(60)]
     frame = spark.createDataFrame(list(enumerate(some)), "row long, text string").repartition(5)
-    _, spans = suffix_dedup.repeated_windows(frame, length=20, crowded=crowded)
+    _, spans = suffix_dedup.repeated_windows(frame, length=20, crowded=crowded, piece=piece)
     got = {x.row: [(s.a, s.b) for s in x.spans] for x in spans.collect()}
     for i, gone in enumerate(repeated([t.encode() for t in some], 20)):
         edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
