@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.sources import driver as D
-from pulsekit.streaming import processors as P
-from pulsekit.session import scratch_path
 from pulsekit.operators.topn import top_n_by_count
 from pulsekit.operators.windows import window_counts
+from pulsekit.session import ensure_utc, scratch_path
+from pulsekit.sources import driver as D
+from pulsekit.streaming import processors as P
 from pulsekit.streaming.ingest import stamp_ingest
 from pulsekit.streaming.io import Ending, arrivals, read_table_stream, run_batches_to_table, run_each, run_to_table
 from pulsekit.streaming.late import DROPPED, latest, stream_late_windows, stream_top_n
@@ -101,6 +101,7 @@ def late_requests(events: DataFrame) -> tuple[DataFrame, int]:
 
 def q_stream_hot_urls_late(spark, sf):
     """Each url's windows when rows come late: the last count, how often it was corrected, and rows that came too late."""
+    ensure_utc(spark)
     rows, loads = late_requests(D.table(spark, sf, "events"))
     path, out, progress = (scratch_path(spark, f"late-{n}") for n in ("in", "out", "progress"))
     end = Ending(spark)
@@ -149,6 +150,7 @@ def q_stream_ad_province_counts(spark, sf, max_files=None, delay="0 seconds"):
 
 def q_stream_pv_upsert(spark, sf):
     """Hourly views in update mode: each load changes some hours, an upsert table keeps the last count of each."""
+    ensure_utc(spark)
     views = D.table(spark, sf, "events").filter("event_type = 'view'").select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 3).alias("load"))
     path, progress = scratch_path(spark, "upsert-in"), scratch_path(spark, "upsert-progress")
     table = UpsertTable(spark, scratch_path(spark, "upsert"), "window_start timestamp, window_end timestamp, pv long", ["window_start", "window_end"],
@@ -248,6 +250,7 @@ def q_stream_fail_pairs(spark, sf, max_files=None, delay="0 seconds"):
 
 def q_stream_login_disorder(spark, sf):
     """Fail pairs of logins that come up to 5 s out of order, over several loads; time runs 600 times faster, so 2 hours are 12 s."""
+    ensure_utc(spark)
     us = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / URL_FASTER)
     rows = D.logins(D.table(spark, sf, "events")).select("user_id", "event_type", us.alias("us"), "seq", (us + F.col("seq") % 6 * 1_000_000).alias("at"))
     low, high = rows.agg(F.min("at"), F.max("at")).first()
