@@ -214,7 +214,10 @@ def near_duplicates(docs: DataFrame, *, distance: int = 4, shingle: int = 4, id_
 
 
 def representatives(docs: DataFrame, *, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, that of the smallest id (null ids last, then by a hash of the text)."""
+    """The rows of ``docs`` that stay: one of each component, that of the smallest id (null ids last, then by a hash of the text).
+
+    Of rows equal in id and text, but not in other columns, any one stays.
+    """
     row = PREFIX + "row"
     name = F.xxhash64(id_col, text_col)
     rows = written(docs.select(F.col(id_col).alias("id"), name.alias("row"), fingerprint(F.col(text_col), shingle).alias("fp")), "fingerprints")

@@ -37,7 +37,7 @@ _TOO_LARGE = float(1 << 63)
 
 @dataclass
 class Components:
-    """Mean and leading components of ``n`` vectors; ``rows`` and ``sums`` are exact."""
+    """Leading components of ``n`` vectors; the sums of their entries are exact."""
 
     n: int
     sums: list[int]
