@@ -87,13 +87,13 @@ def stream_reconcile(left: DataFrame, right: DataFrame, on: str, left_ts: str, r
     none = F.lit(None).cast("long")
 
     def alone(df, ts, row_id, is_left):
-        mine, other = (F.struct(us[ts].alias("us"), F.col(row_id).cast("long").alias("id")), F.struct(none.alias("us"), none.alias("id")))
-        x = df.select(F.col(on).alias("key"), (mine if is_left else other).alias("l"), (other if is_left else mine).alias("r"), F.lit(is_left).alias("is_left"))
-        return x.select("key", F.col("l.us").alias("left_us"), F.col("l.id").alias("left_id"), F.col("r.us").alias("right_us"),
-                        F.col("r.id").alias("right_id"), "is_left", F.lit(False).alias("paired"))
+        return df.select(F.lit(is_left).alias("side"), F.col(row_id).cast("long").alias("id"), F.col(on).alias("key"), us[ts].alias("us"),
+                         F.lit(False).alias("paired"), none.alias("other_us"), none.alias("other_id"))
+
+    def told(is_left, mine, other):
+        return F.struct(F.lit(is_left).alias("side"), F.col(f"{mine}_id").alias("id"), "key", F.col(f"{mine}_us").alias("us"),
+                        F.lit(True).alias("paired"), F.col(f"{other}_us").alias("other_us"), F.col(f"{other}_id").alias("other_id"))
 
     rows = alone(left, left_ts, left_id, True).unionByName(alone(right, right_ts, right_id, False))
-    rows = rows.unionByName(pairs.withColumn("is_left", F.lit(True)).withColumn("paired", F.lit(True)))
-    both = rows.withColumn("sides", F.when(F.col("paired"), F.array(F.lit(True), F.lit(False))).otherwise(F.array("is_left")))
-    both = both.withColumn("side", F.explode("sides")).withColumn("id", F.when(F.col("side"), F.col("left_id")).otherwise(F.col("right_id")))
-    return leftovers(both.drop("sides", "is_left"), {True: (high, left_only), False: (-low, right_only)}).withColumnRenamed("key", on)
+    both = pairs.select(F.inline(F.array(told(True, "left", "right"), told(False, "right", "left"))))
+    return leftovers(rows.unionByName(both), {True: (high, left_only), False: (-low, right_only)}).withColumnRenamed("key", on)

@@ -6,6 +6,10 @@ order, whatever micro-batches they came in.  Disorder within the watermark's
 delay therefore gives the batch answer.  Absences (no pay, an episode's
 close) are found when the watermark passes their time, from a timer.
 
+A group of the state is a bucket of many keys, and map tasks pack the rows of
+a group into Arrow streams: state is read and written a few times per group
+and micro-batch, not per key or row.
+
 A rule is a small class: ``step`` takes the state and a row, ``expire`` what
 the watermark has passed; both give outputs and the new state.  State is
 bounded by what the rule may still need and goes when it is past.  Times
@@ -14,9 +18,13 @@ cross the Python boundary as epoch microseconds.
 
 from __future__ import annotations
 
+import itertools
 import json
 from datetime import date, datetime, timedelta, timezone
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,67 +32,150 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from pulsekit.functions.time import local_day, to_micros
 
-_ROWS = "us long, seq long, kind string"
+#: Groups of a stream's keys or ids.  A state call costs about as much as some hundred rows, so it is made per group, not per key.
+BUCKETS = 2048
+#: Bytes of rows that a map task packs at a time.
+PACK_BYTES = 32 << 20
+
+
+def _bucket(columns: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+
+
+def _pack(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as to:
+        to.write_table(rows)
+    return sink.getvalue().to_pybytes()
 
 
-class EventTimeRule(StatefulProcessor):
-    """Holds rows until the watermark passes them, then acts in event order."""
+def _packed(df: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` by the columns ``by`` (without nulls): those and ``rows``, the other columns of some rows as an Arrow stream."""
+    def some(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(batches)
+        t = t.take(pc.sort_indices(t, sort_keys=[(c, "ascending") for c in by])).combine_chunks()
+        new = np.zeros(max(t.num_rows - 1, 0), dtype=bool)
+        for c in by:
+            at = t.column(c).to_numpy()
+            new |= at[1:] != at[:-1]
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), t.num_rows]
+        rest = t.drop_columns(by)
+        rows = pa.array([_pack(rest.slice(a, b - a)) for a, b in itertools.pairwise(edges)], pa.binary())
+        return pa.RecordBatch.from_arrays([*(t.column(c).take(edges[:-1]).combine_chunks() for c in by), rows], [*by, "rows"])
 
-    def __init__(self, rule):
-        self.rule = rule
+    def pack(batches):
+        held, size = [], 0
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                size += b.nbytes
+            if size >= PACK_BYTES:
+                yield some(held)
+                held, size = [], 0
+        if held:
+            yield some(held)
+
+    return df.mapInArrow(pack, T.StructType([*(df.schema[c] for c in by), T.StructField("rows", T.BinaryType())]))
+
+
+class _Held(StatefulProcessor):
+    """Packed rows of a group that wait for the watermark, each with its time in the column ``us``."""
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", _ROWS)
-        self.held = handle.getValueState("held", "state string")
+        self.rows = handle.getListState("rows", "rows binary")
+        self.settled = set()
 
-    def handleInputRows(self, key, rows, timerValues):
-        some, first = [], None
-        for r in rows:
-            some.append((r.us, r.seq, r.kind))
-            first = r.us if first is None else min(first, r.us)
-            if len(some) == 1000:
-                self.rows.appendList(some)
-                some = []
-        if some:
-            self.rows.appendList(some)
-        if first is not None:
-            self.handle.registerTimer(first // 1000 + 1)
-        return iter(())
+    def reach(self, key) -> int:
+        """How far (µs) the watermark must pass a row's time for it to be due."""
+        return 0
+
+    def hold(self, key, tables: list[pa.Table]) -> None:
+        tables = [t for t in tables if t.num_rows]
+        if tables:
+            self.rows.appendList([(_pack(t),) for t in tables])
+            self._wake(min(pc.min(t.column("us")).as_py() for t in tables) + self.reach(key))
+
+    def _wake(self, us: int) -> None:
+        self.handle.registerTimer(us // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        due, rest = [], []
+        if (key, passed) in self.settled:   # another timer of the group, of the same micro-batch
+            return
+        self.settled.add((key, passed))
+        due = rest = None
         if self.rows.exists():
-            for us, seq, kind in self.rows.get():
-                (due if us < passed else rest).append((us, seq, kind))
-        state = json.loads(self.held.get()[0]) if self.held.exists() else None
-        before = json.dumps(state)
-        for row in sorted(due):
-            for out in self.rule.step(state, *row):
-                yield Row(**dict(zip(self.rule.keys, key, strict=True)), **out)
-            state = self.rule.state
-        if state is not None:
-            for out in self.rule.expire(state, passed):
-                yield Row(**dict(zip(self.rule.keys, key, strict=True)), **out)
-            state = self.rule.state
-        if due:
-            if rest:
-                self.rows.put(rest)
-            else:
+            t = pa.concat_tables([_unpack(r[0]) for r in self.rows.get()])
+            late = pc.less(t.column("us"), passed - self.reach(key))
+            due, rest = t.filter(late), t.filter(pc.invert(late))
+            if due.num_rows and rest.num_rows:
+                self.rows.put([(_pack(rest),)])
+            elif due.num_rows:
                 self.rows.clear()
-        if state is None:
-            self.held.clear()
-        elif json.dumps(state) != before:
-            self.held.update((json.dumps(state),))
-        wake = [u for u in (min((r[0] for r in rest), default=None), self.rule.wakes(state) if state is not None else None) if u is not None]
+        wake = yield from self.act(key, passed, zip(*(c.to_pylist() for c in due.columns), strict=True) if due else ())
+        if rest:
+            wake.append(pc.min(rest.column("us")).as_py() + self.reach(key))
         if wake:
-            self.handle.registerTimer(max(min(wake), passed) // 1000 + 1)
+            self._wake(max(min(wake), passed))
+
+    def act(self, key, passed: int, due) -> list[int]:
+        """Yields outputs for the rows that are due; returns further times to wake at."""
+        raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
+def _unpack(rows: bytes) -> pa.Table:
+    return pa.ipc.open_stream(rows).read_all()
+
+
+class EventTimeRule(_Held):
+    """Holds rows until the watermark passes them, then acts in event order, key by key.
+
+    Grouped by a bucket of the keys; a row is keys, us, seq, kind.  ``held``
+    has a row per key with a state: the keys and the state.
+    """
+
+    def __init__(self, rule, keys: T.StructType):
+        self.rule, self.keys = rule, keys
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.held = handle.getListState("held", T.StructType([*self.keys, T.StructField("state", T.StringType())]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        self.hold(key, [_unpack(r.rows) for r in rows])
+        return iter(())
+
+    def act(self, key, passed, due):
+        before = {tuple(r)[:-1]: r[-1] for r in self.held.get()} if self.held.exists() else {}
+        by_key: dict[tuple, list[tuple]] = {k: [] for k in before}
+        n = len(self.keys)
+        for row in due:
+            by_key.setdefault(row[:n], []).append(row[n:])
+        after, wake = {}, []
+        for k, mine in by_key.items():
+            state, names = json.loads(before[k]) if k in before else None, dict(zip(self.rule.keys, k, strict=True))
+            for row in sorted(mine):
+                for out in self.rule.step(state, *row):
+                    yield Row(**names, **out)
+                state = self.rule.state
+            if state is not None:
+                for out in self.rule.expire(state, passed):
+                    yield Row(**names, **out)
+                state = self.rule.state
+            if state is not None:
+                after[k] = json.dumps(state)
+                wake.append(self.rule.wakes(state))
+        if after != before:
+            self.held.clear()
+            if after:
+                self.held.appendList([(*k, state) for k, state in after.items()])
+        return wake
+
+
 class _Rule:
     """``step`` and ``expire`` yield output columns and leave the new state in ``self.state``."""
 
@@ -281,70 +372,59 @@ class OneToOne(_Rule):
         self.state = {"waiting": left} if left else None
 
 
-class Leftovers(StatefulProcessor):
-    """Pairs as they come (told by their left row), and the row itself when its time is up without one.
+class Leftovers(_Held):
+    """Pairs as they come (told by their left row), and a row itself when its time is up without one.
 
-    Keyed by side and row id.  State: whether a pair came, and the row until then.
+    Grouped by side and a bucket of the row ids; a row is id, key, us, paired,
+    other_us, other_id.  State: rows and which ids had a pair, both until the
+    row's time is up.  Rows without a time are left over at once.
     """
 
     out = "left_us long, left_id long, right_us long, right_id long, status string"
 
-    def __init__(self, key: str, reach: dict[bool, tuple[int, str]]):
-        self.key, self.reach = key, reach
+    def __init__(self, key: str, sides: dict[bool, tuple[int, str]]):
+        self.key, self.sides = key, sides
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.row = handle.getValueState("row", self.state)
-        self.paired = handle.getValueState("paired", "yes boolean")
+    def reach(self, key):
+        return max(self.sides[key[0]][0], 0)
 
-    def _out(self, r, status):
-        return Row(**{self.key: r[self.key]}, left_us=r.left_us, left_id=r.left_id, right_us=r.right_us, right_id=r.right_id, status=status)
+    def _out(self, is_left, id_, value, us, other=(None, None), status=None):
+        left, right = ((us, id_), other) if is_left else (other, (us, id_))
+        return Row(**{self.key: value}, left_us=left[0], left_id=left[1], right_us=right[0], right_id=right[1], status=status or self.sides[is_left][1])
 
     def handleInputRows(self, key, rows, timerValues):
-        is_left = key[0]
-        reach, _ = self.reach[is_left]
-        wake = None
-        for r in rows:
-            us = r.left_us if is_left else r.right_us
-            wake = us + max(reach, 0) if wake is None else wake
-            if not r.paired:
-                self.row.update((r[self.key], us))
-                continue
-            self.paired.update((True,))
-            if is_left:
-                yield self._out(r, "matched")
-        if wake is not None:
-            self.handle.registerTimer(wake // 1000 + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        is_left, id_ = key
-        if self.row.exists() and not self.paired.exists():
-            value, us = self.row.get()
-            mine, other = (us, id_), (None, None)
-            left, right = (mine, other) if is_left else (other, mine)
-            yield Row(**{self.key: value}, left_us=left[0], left_id=left[1], right_us=right[0], right_id=right[1], status=self.reach[is_left][1])
-        self.row.clear()
-        self.paired.clear()
-
-    def close(self) -> None:
-        pass
-
-
-def leftovers(rows: DataFrame, reach: dict[bool, tuple[int, str]], key: str = "key") -> DataFrame:
-    """(key, left_us, left_id, right_us, right_id, paired, side, id) → pairs and leftovers; ``reach`` by side (True: left): µs and status."""
+        tables = [_unpack(r.rows) for r in rows]
+        for t in tables:
+            now = pc.or_(pc.and_(t.column("paired"), key[0]), pc.is_null(t.column("us")))
+            for id_, value, us, paired, *other in zip(*(c.to_pylist() for c in t.filter(now).columns), strict=True):
+                yield self._out(key[0], id_, value, us, other, "matched" if paired else None)
+        self.hold(key, [t.filter(pc.is_valid(t.column("us"))).drop_columns(["other_us", "other_id"]) for t in tables])
+
+    def act(self, key, passed, due):
+        due = list(due)
+        paired = {id_ for id_, _, _, yes in due if yes}
+        for id_, (value, us) in {id_: (value, us) for id_, value, us, yes in due if not yes}.items():
+            if id_ not in paired:
+                yield self._out(key[0], id_, value, us)
+        return []
+
+
+def leftovers(rows: DataFrame, sides: dict[bool, tuple[int, str]], key: str = "key", buckets: int = BUCKETS) -> DataFrame:
+    """(side, id, key, us, paired, other_us, other_id) → pairs and leftovers; ``sides`` (True: left): reach in µs and status."""
     kind = rows.schema[key]
-    processor = Leftovers(key, reach)
-    processor.state = T.StructType([T.StructField("value", kind.dataType), T.StructField("us", T.LongType())])
     schema = T.StructType([kind, *T.StructType.fromDDL(Leftovers.out).fields])
-    return rows.groupBy("side", "id").transformWithState(processor, schema, "append", "EventTime")
+    x = rows.select("side", _bucket(["id"], buckets).alias("bucket"), "id", key, "us", "paired", "other_us", "other_id")
+    return _packed(x, ["side", "bucket"]).groupBy("side", "bucket").transformWithState(Leftovers(key, sides), schema, "append", "EventTime")
 
 
-def _run(df: DataFrame, key, ts: str, seq: str, kind: Column, rule) -> DataFrame:
+def _run(df: DataFrame, key, ts: str, seq: str, kind: Column, rule, buckets: int = BUCKETS) -> DataFrame:
     """The rule's output per key.  Filter rows before the watermark, not after it (see ``streaming.io``)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    x = df.select(*keys, F.unix_micros(F.col(ts)).alias("us"), F.col(seq).cast("long").alias("seq"), kind.alias("kind"))
-    schema = T.StructType([*(x.schema[k] for k in keys), *T.StructType.fromDDL(rule.out).fields])
-    return x.groupBy(*keys).transformWithState(EventTimeRule(rule), schema, "append", "EventTime")
+    names = [key] if isinstance(key, str) else list(key)
+    keys = [F.col(k).alias(f"k{i}") for i, k in enumerate(names)]
+    x = df.select(_bucket(names, buckets).alias("bucket"), *keys, F.unix_micros(F.col(ts)).alias("us"), F.col(seq).cast("long").alias("seq"), kind.alias("kind"))
+    schema = T.StructType([*(df.schema[k] for k in names), *T.StructType.fromDDL(rule.out).fields])
+    held = T.StructType(x.schema.fields[1:len(names) + 1])
+    return _packed(x, ["bucket"]).groupBy("bucket").transformWithState(EventTimeRule(rule, held), schema, "append", "EventTime")
 
 
 def stream_order_status(orders: DataFrame, key: str, ts: str, seq: str, event_type: str, within="15 minutes") -> DataFrame:

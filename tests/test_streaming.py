@@ -329,3 +329,35 @@ def test_joins_of_a_hot_key(spark, tmp_path):
     assert sorted(((x.left_id, x.right_id, x.status) for x in rows.collect()), key=repr) == sorted(want, key=repr)
     plan = stream_interval_join(a, b, "tx", "a_ts", "b_ts", "-3 seconds", "5 seconds")
     assert plan.columns == ["tx", "a_id", "a_ts", "b_id", "b_ts"]
+
+
+@pytest.fixture
+def state_rows(monkeypatch):
+    """How many state rows the queries of a test wrote."""
+    from pulsekit.streaming import io
+    queries, start = [], io._start
+
+    def started(*args, **kwargs):
+        queries.append(start(*args, **kwargs))
+        return queries[-1]
+
+    monkeypatch.setattr(io, "_start", started)
+    return lambda kind: sum(o["numRowsUpdated"] for q in queries for p in q.recentProgress for o in p["stateOperators"] if o["operatorName"].startswith(kind))
+
+
+def test_reconcile_state_is_by_bucket(spark, tmp_path, state_rows):
+    """Many row ids over two micro-batches, keys null, a row that comes twice, one without a time: leftovers once an id, state per bucket."""
+    from pulsekit.streaming.plans import stream_reconcile
+    n = 9000
+    pays = [(i if i % 11 else None, i, 1000 + i % 50) for i in range(n)]
+    receipts = [(i, 2 * n + i, 1002 + i % 50) for i in range(0, n, 2)]
+    sides = [batches(spark, tmp_path / c, f"tx long, {c}_id long, ts long", rows[:len(rows) // 2], rows[len(rows) // 2:]).withColumnRenamed("ts", f"{c}_ts")
+             for c, rows in (("a", [*pays, pays[1], (1, n, None)]), ("b", receipts))]
+    end = Ending(spark)
+    a, b = (end.close(x, f"{c}_ts", "60 seconds") for x, c in zip(sides, "ab", strict=True))
+    got = run_to_table(stream_reconcile(a, b, "tx", "a_ts", "b_ts", "a_id", "b_id", "-3 seconds", "5 seconds"), "many", end).collect()
+    paired = {i for i in range(0, n, 2) if i % 11}
+    want = [(i, 2 * n + i, "matched") for i in paired] + [(i, None, "pay_only") for i in [*range(n), n] if i not in paired]
+    want += [(None, 2 * n + i, "receipt_only") for i in range(0, n, 2) if i not in paired]
+    assert sorted(((r.left_id, r.right_id, r.status) for r in got), key=repr) == sorted(want, key=repr)
+    assert state_rows("transformWithState") < 2 * n
