@@ -73,8 +73,8 @@ def stream_reconcile(left: DataFrame, right: DataFrame, on: str, left_ts: str, r
     """J2 on streams: the pairs of :func:`stream_interval_join` and the rows of either side that have none.
 
     A row is left over once the watermark is past its last possible partner
-    and no pair had it.  That is kept per row id (whole numbers, unique
-    within a side), so no key gathers rows.  Times are epoch microseconds:
+    and no pair had it.  That is kept by bucket of row ids (whole numbers,
+    unique within a side), so no key gathers rows.  Times are epoch microseconds:
     on, left_us, left_id, right_us, right_id, status.
     """
     from pulsekit.streaming.processors import leftovers

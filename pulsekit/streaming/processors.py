@@ -92,6 +92,8 @@ class _Held(StatefulProcessor):
 
     def hold(self, key, tables: list[pa.Table]) -> None:
         tables = [t for t in tables if t.num_rows]
+        if any(t.column("us").null_count for t in tables):
+            raise ValueError("rows must have a time")
         if tables:
             self.rows.appendList([(_pack(t),) for t in tables])
             self._wake(min(pc.min(t.column("us")).as_py() for t in tables) + self.reach(key))

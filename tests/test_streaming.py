@@ -345,6 +345,21 @@ def state_rows(monkeypatch):
     return lambda kind: sum(o["numRowsUpdated"] for q in queries for p in q.recentProgress for o in p["stateOperators"] if o["operatorName"].startswith(kind))
 
 
+def test_click_cap_state_is_by_bucket(spark, tmp_path, state_rows):
+    """Many users and ads, some null, rows that come twice: the answer of each, with state written per bucket and not per row."""
+    rows = [(i if i % 7 else None, f"ad{i % 3}", 1000 + j, 4 * i + j) for i in range(1500) for j in range(4)]
+    rows += rows[:40]
+    s = batches(spark, tmp_path / "in", "user long, ad string, ts long, seq long", rows)
+    end = Ending(spark, at_once=True)
+    got = run_to_table(stream_click_cap(end.close(s, "ts"), "user", "ad", "ts", "seq", 3), "many", end).collect()
+    by: dict = {}
+    for user, ad, ts, seq in rows:
+        by.setdefault((user, ad), []).append((ts, seq))
+    want = [(*k, seq, "pass" if n < 2 else "warn") for k, mine in by.items() for n, (_, seq) in enumerate(sorted(mine)[:3])]
+    assert sorted(map(repr, ((r.user, r.ad, r.seq, r.status) for r in got))) == sorted(map(repr, want))
+    assert state_rows("transformWithState") < len(rows) / 2
+
+
 def test_reconcile_state_is_by_bucket(spark, tmp_path, state_rows):
     """Many row ids over two micro-batches, keys null, a row that comes twice, one without a time: leftovers once an id, state per bucket."""
     from pulsekit.streaming.plans import stream_reconcile
