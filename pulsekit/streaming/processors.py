@@ -53,6 +53,7 @@ def _packed(df: DataFrame, by: list[str]) -> DataFrame:
     """``df`` by the columns ``by`` (without nulls): those and ``rows``, the other columns of some rows as an Arrow stream."""
     def some(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(batches)
+        t = t.cast(pa.schema([f.with_nullable(True) for f in t.schema]))   # it varies by micro-batch; packed rows must be alike
         t = t.take(pc.sort_indices(t, sort_keys=[(c, "ascending") for c in by])).combine_chunks()
         new = np.zeros(max(t.num_rows - 1, 0), dtype=bool)
         for c in by:

@@ -360,6 +360,18 @@ def test_click_cap_state_is_by_bucket(spark, tmp_path, state_rows):
     assert state_rows("transformWithState") < len(rows) / 2
 
 
+def test_one_to_one_state_is_by_bucket(spark, tmp_path, state_rows):
+    """Many keys over two micro-batches: rows and waiting ones stay with their key, state is written per bucket."""
+    n = 6000
+    s = batches(spark, tmp_path / "in", "tx long, kind string, ts long, seq long",
+                [(i, "pay", 100 + i % 3, i) for i in range(n)], [(i, "receipt", 103, n + i) for i in range(0, n, 2)])
+    end = Ending(spark)
+    got = run_to_table(stream_one_to_one(end.close(s, "ts", "30 seconds"), "tx", "ts", "seq", "kind"), "many", end).collect()
+    want = {(i, i, n + i, "matched") if i % 2 == 0 else (i, i, None, "pay_only") for i in range(n)}
+    assert len(got) == n and {(r.tx, r.pay_seq, r.receipt_seq, r.status) for r in got} == want
+    assert state_rows("transformWithState") < n
+
+
 def test_reconcile_state_is_by_bucket(spark, tmp_path, state_rows):
     """Many row ids over two micro-batches, keys null, a row that comes twice, one without a time: leftovers once an id, state per bucket."""
     from pulsekit.streaming.plans import stream_reconcile
