@@ -25,6 +25,11 @@ group of copies together in one task:
 
 An anchor whose distinct contexts are too many for one task is not sorted;
 its windows are compared by equality joins of 128-bit digests.
+
+``repeats(words=...)`` looks for passages of words in the same sweep: words
+are hashed, windows of words have anchors as windows of bytes do, and of the
+anchors that repeat the windows' digests, not their words, are brought
+together.  Texts are joined with the places of both kinds once.
 """
 
 from __future__ import annotations
@@ -52,17 +57,21 @@ _BLOCK = 64
 class Windows:
     """Anchors of all windows of ``length`` bytes."""
 
-    def __init__(self, length: int):
+    def __init__(self, length: int, gram: int | None = None, half: int | None = None):
         self.length = length
-        self.gram = max(1, min(16, length // 4))
-        self.half = max(1, (length - self.gram + 1) // 2)
+        self.gram = gram or max(1, min(16, length // 4))
+        self.half = half or max(1, (length - self.gram + 1) // 2)
         self.core = length - self.half + 1
         if self.half > _SPAN:
             raise ValueError(f"windows of {length} bytes: an anchor may lie over {_SPAN} bytes into its window")
 
     def anchors(self, data: np.ndarray, at: np.ndarray):
         """Of texts in a row that begin at ``at`` (and end): text, first and last window, anchor, hash of the anchor's bytes."""
-        n = len(data)
+        return self.anchors_of(_TABLE[data], at)
+
+    def anchors_of(self, letters: np.ndarray, at: np.ndarray):
+        """:meth:`anchors` of texts whose letters, bytes or words, are given by their hashes."""
+        n = len(letters)
         none = np.zeros(0, dtype=np.int64)
         valid = np.zeros(n + 1, dtype=np.int64)
         long = np.flatnonzero(np.diff(at) >= self.length)
@@ -71,7 +80,6 @@ class Windows:
         np.add.at(valid, at[long], 1)
         np.add.at(valid, at[long + 1] - self.length + 1, -1)
         windows = np.flatnonzero(np.cumsum(valid[:-1]))
-        letters = _TABLE[data]
         grams = _folded(letters, self.gram, lambda a, b, k: a * np.uint64(pow(_BASE, k, 1 << 64)) + b)
         ranked = _mixed(grams) >> np.uint64(32) << np.uint64(32) | np.arange(len(grams), dtype=np.uint64)
         least = _folded(ranked, self.half, lambda a, b, k: np.minimum(a, b))
@@ -86,6 +94,12 @@ class Windows:
         return np.searchsorted(at, lo, side="right") - 1, lo, windows[last], anchor, key.view(np.int64)
 
 
+def word_windows(words: int) -> Windows:
+    """Anchors of all windows of ``words`` words: pairs of words in the first two thirds, so that they are few."""
+    gram = min(2, words)
+    return Windows(words, gram, max(1, min(words - gram + 1, 2 * words // 3)))
+
+
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -146,35 +160,51 @@ def _pieces(data: np.ndarray, at: np.ndarray, length: int, limit: int):
             yield piece, np.array([0, len(piece)]), t, first
 
 
-def _candidates(windows: Windows, limit: int = 1 << 20):
+def _candidates(windows: Windows, limit: int = 1 << 20, passages: Windows | None = None):
     """(deal, known, row, place) of every anchor; texts of more than ``limit`` bytes are searched in pieces.
 
+    ``passages``: windows of words whose anchors follow, ``coded``.
+
     Of equal anchors in one batch one row is dealt by the anchor's hash, so
     that others learn of it; the rest are known to repeat and go anywhere.
     """
     def run(batches):
         forget()
         for batch in batches:
-            parts = []
+            parts, coded = [], []
             for some, whole, starts in _runs(batch):
+                rows = some.column("row").to_numpy()
                 for data, at, first, before in _pieces(whole, starts, windows.length, limit):
                     text, lo, hi, anchor, key = windows.anchors(data, at)
-                    place = (anchor - at[text] + before) + _PLACE * ((anchor - lo) + _SPAN * (anchor - hi))
-                    parts.append((key, some.column("row").to_numpy()[text + first], place))
-            if not parts:
-                continue
-            key, row, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-            _, first, back, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            known = count[back] > 1
-            deal = np.where(np.isin(np.arange(len(key)), first), key, _mixed(row.view(np.uint64)).view(np.int64))
-            alone = np.zeros(len(key), dtype=bool)
-            alone[first] = True
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (deal, known, alone, row, place)], ["deal", "known", "asks", "row", "place"])
+                    parts.append((key, rows[text + first], _packed(anchor, lo, hi, at[text] - before)))
+                if passages:
+                    hashes, at = _word_hashes(whole, starts)
+                    text, lo, hi, anchor, key = passages.anchors_of(hashes, at)
+                    coded.append((~key, rows[text], _packed(anchor, lo, hi, at[text])))
+            for some, kind in ((parts, False), (coded, True)):
+                if some:
+                    yield _asking(some, kind)
         give_back()
 
     return run
 
 
+def _packed(anchor, lo, hi, start):
+    """An anchor's place in its text with the distances from its first and last window to it."""
+    return (anchor - start) + _PLACE * ((anchor - lo) + _SPAN * (anchor - hi))
+
+
+def _asking(parts: list[tuple], coded: bool) -> pa.RecordBatch:
+    key, row, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+    _, first, back, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    known = count[back] > 1
+    alone = np.zeros(len(key), dtype=bool)
+    alone[first] = True
+    deal = np.where(alone, key, _mixed(row.view(np.uint64)).view(np.int64))
+    columns = (deal, known, alone, row, place, np.full(len(key), coded))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["deal", "known", "asks", "row", "place", "coded"])
+
+
 def _repeated(batches):
     """Anchors whose bytes occur again: rows come sorted by hash, so a neighbour is enough."""
     held = None
@@ -216,7 +246,7 @@ def _decided(t: pa.Table, final: bool):
         again = again.copy()
         again[where[-1]] = False
     if again.any():
-        out = t.filter(pa.array(again)).select(["row", "place"])
+        out = t.filter(pa.array(again)).select(["row", "place", "coded"])
         yield from out.to_batches()
 
 
@@ -465,6 +495,34 @@ def _by_digest(windows: Windows):
 _DIGESTS = "c1 long, c2 long, lead int, a int, times int, d1 long, d2 long"
 
 
+def _by_anchor(found_in, contexts, places, schema: str, repeats, by_digest, crowded: int, length: int) -> DataFrame:
+    """(row, spans) of the windows that repeat.
+
+    ``found_in(step, schema)`` applies steps to the documents with candidates:
+    ``contexts(keys_only, bytes_once)`` gives contexts of ``schema``,
+    ``places`` where they occur.  ``repeats`` takes contexts sorted by anchor;
+    ``by_digest`` gives the windows, with a digest (d1, d2) each, of those of
+    anchors with more than ``crowded`` contexts.
+    """
+    busy = written(found_in(contexts(True, False), schema).groupBy("key").count()
+                   .filter(F.col("count") > crowded).select("key"), "crowded")
+    none = busy.isEmpty()
+    all_contexts = found_in(contexts(False, none), schema)
+    if none:
+        found = gathered(all_contexts, ["key"]).mapInArrow(repeats, _FOUND)
+    else:
+        name = ["c1", "c2", "lead", "a"]
+        each = by_digest(all_contexts.join(busy, "key"))
+        twice = each.groupBy("d1", "d2").agg(F.sum("times").alias("all")).filter(F.col("all") > 1)
+        met = each.join(twice, ["d1", "d2"]).select(*name, F.col("a").alias("b")).distinct()
+        found = (gathered(all_contexts.join(busy, "key", "left_anti"), ["key"]).mapInArrow(repeats, _FOUND)
+                 .unionByName(met))
+    spans = (found_in(places, _PLACES).join(found, ["c1", "c2", "lead"])
+             .select("row", F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + length).alias("b")).alias("s"))
+             .groupBy("row").agg(F.sort_array(F.collect_set("s")).alias("spans")))
+    return spans.mapInArrow(_merged, "row long, spans array<struct<a:long,b:long>>")
+
+
 def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000, code=None, piece: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """Of ``docs`` (row: a hash that names it, text): (row, text) of those with candidates, and (row, spans) of bytes that repeat.
 
@@ -472,34 +530,129 @@ def repeated_windows(docs: DataFrame, length: int = 400, crowded: int = 50_000,
 
     ``spans``: sorted, disjoint, not touching [first, end) byte ranges.
     """
-    windows = Windows(length)
-    candidates = _candidates(windows, piece)
+    return _repeated_windows(docs, length, None, crowded, code, piece)[:2]
+
+
+def windows_and_passages(docs: DataFrame, length: int, words: int, crowded: int = 50_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """:func:`repeated_windows` and (row, spans) as :func:`repeated_passages` gives them, in one sweep over the texts."""
+    return _repeated_windows(docs, length, words, crowded)
+
+
+def _repeated_windows(docs: DataFrame, length: int, words: int | None, crowded: int, code=None, piece: int = 1 << 20):
+    windows, passages = Windows(length), word_windows(words) if words else None
+    candidates = _candidates(windows, piece, passages)
     dealt = docs.select("row", "text").mapInArrow(lambda batches: candidates(code(batches) if code else batches),
-                                                  "deal long, known boolean, asks boolean, row long, place long")
-    again = gathered(dealt, ["deal"]).mapInArrow(_repeated, "row long, place long")
-    places = again.groupBy("row").agg(F.collect_set("place").alias("places"))  # bounded by the text's length
+                                                  "deal long, known boolean, asks boolean, row long, place long, coded boolean")
+    again = gathered(dealt, ["deal"]).mapInArrow(_repeated, "row long, place long, coded boolean")
+    kinds = {"places": ~F.col("coded")} | ({"passages": F.col("coded")} if words else {})
+    places = again.groupBy("row").agg(*(F.collect_set(F.when(c, F.col("place"))).alias(k) for k, c in kinds.items()))  # bounded by the text's length
     affected = written(docs.select("row", "text").join(places, "row"), "repeats")  # not coded: texts take less room than codes
 
-    def found_in(step, schema):
-        return affected.mapInArrow(lambda batches: step(code(batches) if code else batches), schema)
+    def found_in(kind):
+        some = affected.filter(F.size(kind) > 0).select("row", "text", kind)
+        return lambda step, schema: some.mapInArrow(lambda batches: step(code(batches) if code else batches), schema)
+
+    spans = _by_anchor(found_in("places"), lambda keys_only, once: _contexts(windows, keys_only, once), _places(windows), _CONTEXTS,
+                       _repeats(windows), lambda some: some.mapInArrow(_by_digest(windows), _DIGESTS), crowded, length)
+    texts = affected.select("row", "text")
+    if not words:
+        return texts, spans
+    runs = _by_anchor(found_in("passages"), lambda keys_only, _: _passage_contexts(passages, keys_only), _passage_places(passages), _PASSAGES,
+                      _repeated_passages, _passage_windows, crowded, words)
+    coded = F.transform("spans", lambda s: F.struct((s["a"] * _WIDTH).alias("a"), (s["b"] * _WIDTH).alias("b")))
+    return texts, spans, runs.select("row", coded.alias("spans"))
+
+
+def _found_passages(windows: Windows, some: pa.RecordBatch):
+    """Of the places of documents (row, text, passages): anchor's hash, digest of all words, words before the anchor, windows, row and
+    first word of each, and where its windows begin in the digests of all windows of these texts, the last."""
+    texts = some.column("text").cast(pa.binary()).to_pylist()
+    hashes, at = _word_hashes(np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0, *map(len, texts)]))
+    lists = some.column("passages")
+    text = np.repeat(np.arange(some.num_rows), lists.value_lengths().to_numpy())
+    place = lists.flatten().to_numpy()
+    anchor, spans = place % _PLACE, place // _PLACE
+    left, n = spans % _SPAN, spans % _SPAN - spans // _SPAN + 1
+    mine = (anchor >= left) & (at[text] + anchor - left + n - 1 + windows.length <= at[text + 1])  # else another row's place, by an equal row hash
+    text, anchor, left, n = (x[mine] for x in (text, anchor, left, n))
+    lo = at[text] + anchor - left
+    through = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * _powers(len(hashes), _BASE))])
+    undone = _powers(len(hashes) + 1, _INVERSE)
+
+    def digest(a, count):
+        return _mixed((through[a + count] - through[a]) * undone[a]).view(np.int64)
+
+    every = digest(np.arange(max(0, len(hashes) - windows.length + 1)), windows.length)
+    return digest(lo + left, windows.core), digest(lo, n - 1 + windows.length), left, n, some.column("row").to_numpy()[text], anchor - left, lo, every
+
+
+_PASSAGES = "key long, c1 long, c2 long, lead int, times int, windows array<long>"
+
+
+def _passage_contexts(windows: Windows, keys_only: bool):
+    """Contexts of words: the digests of their windows; equal ones of a slice of a batch are one row."""
+    def run(batches):
+        for batch in batches:
+            for some in _slices(batch):
+                key, whole, left, n, _, _, lo, every = _found_passages(windows, some)
+                name = _mixed(_mixed(key.view(np.uint64)) ^ whole.view(np.uint64) + left.astype(np.uint64))
+                _, first, times = np.unique(name, return_index=True, return_counts=True)
+                held = np.zeros(len(first), dtype=np.int64) if keys_only else n[first]
+                ends = np.concatenate([[0], np.cumsum(held)])
+                values = every[np.repeat(lo[first] - ends[:-1], held) + np.arange(ends[-1])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[first]), pa.array(key[first]), pa.array(whole[first]), pa.array(left[first].astype(np.int32)),
+                     pa.array(np.minimum(times, 2).astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))],
+                    ["key", "c1", "c2", "lead", "times", "windows"])
+        give_back()
 
-    busy = written(found_in(_contexts(windows, keys_only=True), _CONTEXTS).groupBy("key").count()
-                   .filter(F.col("count") > crowded).select("key"), "crowded")
-    contexts = found_in(_contexts(windows, bytes_once=busy.isEmpty()), _CONTEXTS)
-    if busy.isEmpty():
-        found = gathered(contexts, ["key"]).mapInArrow(_repeats(windows), _FOUND)
-    else:
-        name = ["c1", "c2", "lead", "a"]
-        each = contexts.join(busy, "key").mapInArrow(_by_digest(windows), _DIGESTS)
-        twice = each.groupBy("d1", "d2").agg(F.sum("times").alias("all")).filter(F.col("all") > 1)
-        met = each.join(twice, ["d1", "d2"]).select(*name, F.col("a").alias("b")).distinct()
-        found = (gathered(contexts.join(busy, "key", "left_anti"), ["key"]).mapInArrow(_repeats(windows), _FOUND)
-                 .unionByName(met))
-    where = found_in(_places(windows), _PLACES)
-    spans = (where.join(found, ["c1", "c2", "lead"])
-             .select("row", F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + length).alias("b")).alias("s"))
-             .groupBy("row").agg(F.sort_array(F.collect_set("s")).alias("spans")))
-    return affected, spans.mapInArrow(_merged, "row long, spans array<struct<a:long,b:long>>")
+    return run
+
+
+def _passage_places(windows: Windows):
+    """Where contexts of words occur."""
+    def run(batches):
+        for batch in batches:
+            for some in _slices(batch):
+                key, whole, left, _, row, first, _, _ = _found_passages(windows, some)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, whole, left.astype(np.int32), row, first)], ["c1", "c2", "lead", "row", "first"])
+        give_back()
+
+    return run
+
+
+def _repeated_passages(batches):
+    """Contexts of words sorted by anchor: the runs of their windows that repeat, as first and last window.
+
+    Equal windows have one anchor at one distance, so a context holds no window twice.
+    """
+    for t, _ in whole_groups(batches, ["key"]):
+        key, c2, lead = (t.column(c).to_numpy() for c in ("key", "c2", "lead"))
+        order = np.lexsort((lead, c2, key))
+        key, c2, lead = key[order], c2[order], lead[order]
+        start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (c2[1:] != c2[:-1]) | (lead[1:] != lead[:-1])]))
+        times = np.add.reduceat(t.column("times").to_numpy()[order], start)
+        lists = t.column("windows").combine_chunks().take(pa.array(order[start]))
+        n = lists.value_lengths().to_numpy()
+        context, windows = np.repeat(np.arange(len(start)), n), lists.flatten().to_numpy()
+        by = np.lexsort((windows, key[start][context]))
+        sorted_key, sorted_window = key[start][context][by], windows[by]
+        new = np.concatenate([[True], (sorted_key[1:] != sorted_key[:-1]) | (sorted_window[1:] != sorted_window[:-1])])
+        again = np.empty(len(windows), dtype=bool)
+        again[by] = (np.add.reduceat(times[context][by], np.flatnonzero(new)) > 1)[np.cumsum(new) - 1]
+        edge = np.concatenate([[True], context[1:] != context[:-1]])
+        begin = np.flatnonzero(again & (edge | ~np.concatenate([[False], again[:-1]])))
+        end = np.flatnonzero(again & (np.append(edge[1:], True) | ~np.append(again[1:], False)))
+        at = np.flatnonzero(edge)[context[begin]]
+        where = start[context[begin]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key[where]), pa.array(c2[where]), pa.array(lead[where]), pa.array((begin - at).astype(np.int32)), pa.array((end - at).astype(np.int32))],
+            ["c1", "c2", "lead", "a", "b"])
+
+
+def _passage_windows(contexts: DataFrame) -> DataFrame:
+    """Contexts of words of crowded anchors: one row per window."""
+    return contexts.select("c1", "c2", "lead", "times", F.posexplode("windows").alias("a", "d2")).withColumn("d1", F.col("c1"))
 
 
 def _merged(batches):
@@ -522,14 +675,15 @@ _WIDTH = 8
 def _word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end of every word of texts in a row that begin at ``at`` (and end); words stand between Unicode's spaces."""
     space = np.zeros(len(data) + 1, dtype=bool)
-    space[:-1] = np.isin(data, np.frombuffer(b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ", dtype=np.uint8))
-    for wide in _WIDE_SPACES:
-        hit = np.ones(max(0, len(data) - len(wide) + 1), dtype=bool)
-        for k, byte in enumerate(wide):
-            hit &= data[k:k + len(hit)] == byte
-        where = np.flatnonzero(hit)
-        for k in range(len(wide)):
-            space[where + k] = True
+    space[:-1] = _SPACE[data]
+    for lead, wides in _WIDE_SPACES.items():
+        where = np.flatnonzero(data == lead)
+        for wide in wides:
+            hit = where[where + len(wide) <= len(data)]
+            for k, byte in enumerate(wide):
+                hit = hit[data[hit + k] == byte]
+            for k in range(len(wide)):
+                space[hit + k] = True
     word = ~space
     word[-1] = False
     cut = np.zeros(len(data) + 1, dtype=bool)
@@ -538,7 +692,23 @@ def _word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(word & (cut | ~before)), np.flatnonzero(before & (cut | ~word))
 
 
-_WIDE_SPACES = [c.encode() for c in map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+_SPACE = np.isin(np.arange(256), np.frombuffer(b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ", dtype=np.uint8))
+_WIDE_SPACES: dict[int, list[bytes]] = {}
+for _c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000):
+    _WIDE_SPACES.setdefault(chr(_c).encode()[0], []).append(chr(_c).encode())
+
+
+def _word_hashes(data: np.ndarray, at: np.ndarray, limit: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts in a row that begin at ``at`` (and end), and where each text's words begin (and end); about ``limit`` bytes at a time."""
+    begin, end = _word_bounds(data, at)
+    out = np.empty(len(begin), dtype=np.uint64)
+    cuts = np.flatnonzero(np.diff(begin // limit)) + 1
+    for a, b in itertools.pairwise([0, *cuts.tolist(), len(begin)]):
+        if b > a:
+            some, first, last = data[begin[a]:end[b - 1]], begin[a:b] - begin[a], end[a:b] - begin[a]
+            through = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_TABLE[some] * _powers(len(some), _BASE))])
+            out[a:b] = _mixed((through[last] - through[first]) * _powers(len(some) + 1, _INVERSE)[first])
+    return out, np.searchsorted(begin, at)
 
 
 def _as_words(batches):
@@ -595,6 +765,20 @@ def kept_bytes(text, spans) -> F.Column:
     return kept(text, spans)
 
 
+def kept_parts(text, spans, passages) -> F.Column:
+    """``struct<kept:binary,n_chars:long>``: the bytes of a text outside ``spans``, and the characters that :func:`kept_text` leaves."""
+    kind = pa.struct([("kept", pa.binary()), ("n_chars", pa.int64())])
+
+    @F.arrow_udf("kept binary, n_chars long")
+    def kept(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, lists, coded in batches:
+            yield pa.array([{"kept": _cut(texts[i], s), "n_chars": len(_cut(texts[i], s, p).decode("utf-8", "ignore"))}
+                            for i, (s, p) in enumerate(zip(lists.to_pylist(), coded.to_pylist(), strict=True))], type=kind)
+            give_back()
+
+    return kept(text, spans, passages)
+
+
 def kept_text(text, spans, passages) -> F.Column:
     """``string``: what stays of a text outside ``spans`` and ``passages`` (null: none), without the characters that a cut runs through."""
     @F.arrow_udf("string")
@@ -617,32 +801,40 @@ def repeats(docs: DataFrame, length: int = 400, *, words: int | None = None, id_
 
     With ``words`` also n_passages and n_passage_words: maximal runs of words
     that lie in ``words`` words in a row which occur elsewhere too, and how many words
-    those are; short of ``length`` bytes they are found, not removed.
+    those are; short of ``length`` bytes they are found, not removed.  n_chars:
+    the characters of the text without them, as :func:`without_repeats` leaves it.
 
     Null texts are empty.  Texts shorter than ``length`` keep all bytes;
     equal texts of ``length`` bytes or more, repeated rows included, lose all.
     """
     rows = docs.select(F.col(id_col).alias(id_col), row_name(docs, id_col, text_col).alias("row"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    affected, spans = repeated_windows(rows, length)
-    size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
-    cut = (affected.join(spans, "row")
-           .select("row", size.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                   F.sha2(kept_bytes(F.col("text"), F.col("spans")), 256).alias("cut_sha256"))
-           .groupBy("row").agg(*(F.first(c).alias(c) for c in ("n_removed", "n_spans", "cut_sha256"))))
-    whole = rows.select(id_col, "row", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256"))
     none = F.lit(0).cast("long")
+    size = F.aggregate("spans", none, lambda n, s: n + s["b"] - s["a"])
+    cut = [F.coalesce(size, none).alias("n_removed"), F.coalesce(F.array_size("spans").cast("long"), none).alias("n_spans")]
+    kept = [F.sha2("text", 256).alias("sha256")]
+    if words:
+        affected, spans, passages = windows_and_passages(rows, length, words)
+        found = spans.join(passages.select("row", F.col("spans").alias("passages")), "row", "full")
+        inside = F.aggregate("passages", none, lambda n, s: n + F.floor(s["b"] / _WIDTH) - F.ceil(s["a"] / _WIDTH))
+        cut += [F.coalesce(F.array_size("passages").cast("long"), none).alias("n_passages"), F.coalesce(inside, none).alias("n_passage_words"),
+                F.col("part.n_chars").alias("cut_chars")]
+        part = kept_parts(F.col("text"), F.col("spans"), F.col("passages"))
+        kept.append(F.length("text").cast("long").alias("chars"))
+    else:
+        affected, found = repeated_windows(rows, length)
+        part = F.struct(kept_bytes(F.col("text"), F.col("spans")).alias("kept"))
+    cut.append(F.sha2("part.kept", 256).alias("cut_sha256"))
+    names = ["n_removed", "n_spans", *(["n_passages", "n_passage_words", "cut_chars"] if words else []), "cut_sha256"]
+    once = (affected.join(found, "row").withColumn("part", part).select("row", *cut)
+            .groupBy("row").agg(*(F.first(c).alias(c) for c in names)))
+    whole = rows.select(id_col, "row", F.octet_length("text").cast("long").alias("n_bytes"), *kept)
     removed = F.coalesce("n_removed", none)
     out = [F.col(id_col), F.col("n_bytes"), removed.alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"),
            F.coalesce("cut_sha256", "sha256").alias("kept_sha256"), (F.col("n_bytes") - removed).alias("n_kept")]
-    both = whole.join(cut, "row", "left")
     if words:
-        # hashes of the words next to a passage may share some bytes
-        inside = F.aggregate("spans", none, lambda n, s: n + F.floor(s["b"] / _WIDTH) - F.ceil(s["a"] / _WIDTH))
-        found = repeated_passages(rows.select("row", "text"), words).groupBy("row").agg(F.first("spans").alias("spans"))
-        both = both.join(found.select("row", F.size("spans").cast("long").alias("n_passages"), inside.alias("n_passage_words")), "row", "left")
-        out += [F.coalesce(c, none).alias(c) for c in ("n_passages", "n_passage_words")]
-    return both.select(*out)
+        out += [*(F.coalesce(c, none).alias(c) for c in ("n_passages", "n_passage_words")), F.coalesce("cut_chars", "chars").alias("n_chars")]
+    return whole.join(once, "row", "left").select(*out)
 
 
 def without_repeats(docs: DataFrame, length: int = 400, *, words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -187,6 +187,48 @@ def test_suffix_dedup_finds_passages_of_over_50_words(spark, sf):
     assert bag((r.doc_id, r.n_passages, r.n_passage_words) for r in got) == bag(want)
 
 
+def test_op6_finds_planted_passages(spark, tmp_path):
+    """Passages of 51 to 90 words, most under 400 bytes, in otherwise different documents: the query finds them and leaves clean documents alone."""
+    r = random.Random(21)
+
+    def some(n):
+        return ["".join(r.choice("abcdefghijklmnopé") for _ in range(r.randrange(1, 7))) for _ in range(n)]
+
+    want, texts = [], []
+    for n in (50, 51, 52, 58, 65, 90):
+        passage = some(n)
+        for space in " \n\xa0":
+            a, b = some(80), some(70)
+            texts.append(f"{' '.join(a)}\n{space.join(passage)} {' '.join(b)}")
+            want.append((n, f"{' '.join(a)}\n {' '.join(b)}") if n > 50 else (0, texts[-1]))
+    texts += ["clean é " + " ".join(some(200)), None, "", " \n", "one"]
+    want += [(0, t or "") for t in texts[-5:]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: x for x in QUERIES["op6_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    short = 0
+    for i, (n, left) in enumerate(want):
+        assert (got[i].n_passages, got[i].n_passage_words, got[i].n_chars) == (int(n > 0), n, len(left)), i
+        short += n > 0 and got[i].n_removed == 0
+    assert short >= 10
+
+
+@pytest.mark.parametrize("crowded", [50_000, 1])
+def test_short_passages(spark, crowded):
+    """Runs of words in six that occur again, in short texts with many repeats: one sweep gives both kinds as brute force does."""
+    r = random.Random(17)
+    parts = [" ".join(r.choice("abcde") for _ in range(n)) for n in (6, 7, 9, 14)]
+    some = [r.choice([" ", "\n", "  "]).join(r.choice([*parts, "a a a a a a a a a", *"abcdefghij"]) for _ in range(r.randrange(12))) for _ in range(70)]
+    frame = spark.createDataFrame(list(enumerate(some)), "row long, text string").repartition(5)
+    _, spans, passages = suffix_dedup.windows_and_passages(frame, 20, 6, crowded=crowded)
+    found = [{x.row: [(s.a, s.b) for s in x.spans] for x in f.collect()} for f in (spans, passages)]
+    for kind, items, length, unit in ((0, [t.encode() for t in some], 20, 1), (1, [tuple(t.split()) for t in some], 6, 8)):
+        for i, gone in enumerate(repeated(items, length)):
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]]))) * unit
+            assert found[kind].get(i, []) == list(zip(edges[::2], edges[1::2], strict=True)), (kind, i)
+    assert sum(map(len, found[1].values())) > 30
+
+
 def valid(v):
     return bool(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
 
