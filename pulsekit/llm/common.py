@@ -17,15 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """``df`` as a table in the shared scratch folder, read back.
 
     Cuts the lineage: a lost executor costs the stages since the table, not
-    those before it, and a table read twice is computed once.
+    those before it, and a table read twice is computed once.  ``free``: the
+    shuffle files that made it go when it is there, not when the driver next
+    happens to collect its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE, "false")
+    if free:
+        spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.set(_FREE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

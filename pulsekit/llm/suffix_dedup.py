@@ -505,7 +505,7 @@ def _by_anchor(found_in, contexts, places, schema: str, repeats, by_digest, crow
     anchors with more than ``crowded`` contexts.
     """
     busy = written(found_in(contexts(True, False), schema).groupBy("key").count()
-                   .filter(F.col("count") > crowded).select("key"), "crowded")
+                   .filter(F.col("count") > crowded).select("key"), "crowded", free=True)
     none = busy.isEmpty()
     all_contexts = found_in(contexts(False, none), schema)
     if none:
@@ -546,7 +546,7 @@ def _repeated_windows(docs: DataFrame, length: int, words: int | None, crowded:
     again = gathered(dealt, ["deal"]).mapInArrow(_repeated, "row long, place long, coded boolean")
     kinds = {"places": ~F.col("coded")} | ({"passages": F.col("coded")} if words else {})
     places = again.groupBy("row").agg(*(F.collect_set(F.when(c, F.col("place"))).alias(k) for k, c in kinds.items()))  # bounded by the text's length
-    affected = written(docs.select("row", "text").join(places, "row"), "repeats")  # not coded: texts take less room than codes
+    affected = written(docs.select("row", "text").join(places, "row"), "repeats", free=True)  # not coded: texts take less room than codes
 
     def found_in(kind):
         some = affected.filter(F.size(kind) > 0).select("row", "text", kind)
@@ -560,7 +560,8 @@ def _repeated_windows(docs: DataFrame, length: int, words: int | None, crowded:
     runs = _by_anchor(found_in("passages"), lambda keys_only, _: _passage_contexts(passages, keys_only), _passage_places(passages), _PASSAGES,
                       _repeated_passages, _passage_windows, crowded, words)
     coded = F.transform("spans", lambda s: F.struct((s["a"] * _WIDTH).alias("a"), (s["b"] * _WIDTH).alias("b")))
-    return texts, spans, runs.select("row", coded.alias("spans"))
+    # one kind's contexts are gone before the other's come
+    return texts, written(spans, "spans", free=True), written(runs.select("row", coded.alias("spans")), "passages", free=True)
 
 
 def _found_passages(windows: Windows, some: pa.RecordBatch):
